@@ -1,0 +1,22 @@
+"""Join helpers: broadcast only behind a proven size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def bounded_rows(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    Counts at most ``max_rows + 1`` rows, so the check costs no more than
+    the bound itself even when the table is huge.
+    """
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int, known_rows: int | None = None) -> DataFrame:
+    """Mark ``df`` for broadcast when its row count is within ``max_rows``;
+    otherwise return it unchanged so Catalyst plans a shuffle join."""
+    small = known_rows <= max_rows if known_rows is not None else bounded_rows(df, max_rows)
+    return F.broadcast(df) if small else df
