@@ -89,8 +89,9 @@ def score_plays(plays: DataFrame, lexicon: DataFrame | None = None,
     keys = [song_id, lang, "_song"]
     songs = keyed.select(*keys, lyrics).dropDuplicates(keys)
     scores = score_texts(songs, keys, lyrics, lang=lang, lexicon=lexicon)
-    cond = [keyed[k].eqNullSafe(scores[k]) for k in keys]
+    scores = scores.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+                           "sentiment", "emotion", "compound")
+    cond = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
     out = keyed.join(scores, on=cond, how="left")
-    return out.select(*[keyed[c] for c in plays.columns],
-                      clean_text(keyed[lyrics]).alias("cleaned_lyrics"),
-                      scores["sentiment"], scores["emotion"], scores["compound"])
+    return out.select(*plays.columns, clean_text(F.col(lyrics)).alias("cleaned_lyrics"),
+                      "sentiment", "emotion", "compound")

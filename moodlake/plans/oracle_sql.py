@@ -126,3 +126,244 @@ def queries_sql() -> dict[str, str]:
         FROM scores s"""
     q["top_emotion"] = doc_scores + "\nSELECT doc_id, emotion FROM scores"
     return q
+
+
+# --- SQL for the operator catalogue (text, envelope, library, lists) -----------
+
+PY_STRIP_WS = r"[\s\x0b\x1c-\x1f\x85\p{Z}]"
+
+
+def py_strip(x: str) -> str:
+    return f"regexp_replace({x}, '^{PY_STRIP_WS}+|{PY_STRIP_WS}+$', '', 'g')"
+
+
+FILES = """files AS (
+  SELECT p_partkey, p_name || ' - ' || CASE WHEN p_type = 'SMALL' THEN p_brand || ' - ' || p_type
+                                            ELSE p_brand END || '.mp3' AS file_name FROM part),
+lib0 AS (
+  SELECT 'songs' AS kind, CAST(NULL AS VARCHAR) AS container, file_name FROM files
+  UNION
+  SELECT 'albums', 'album-' || CAST(l.l_orderkey AS VARCHAR), f.file_name
+  FROM lineitem l JOIN files f ON f.p_partkey = l.l_partkey
+  UNION
+  SELECT 'playlists', o.o_orderpriority, f.file_name
+  FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey JOIN files f ON f.p_partkey = l.l_partkey),
+lib AS (
+  SELECT kind, container, file_name, concat_ws('/', kind, container, file_name) AS path,
+         string_split(left(file_name, length(file_name) - 4), ' - ')[1] AS name,
+         string_split(left(file_name, length(file_name) - 4), ' - ')[2] AS artist,
+         strpos(left(file_name, length(file_name) - 4), ' - ') AS sep
+  FROM lib0)"""
+
+DEFAULT_IMAGE_SQL = "'static/default-cover.jpg'"
+
+ITEMS = """items AS (
+  SELECT l.l_orderkey AS list_id,
+         row_number() OVER (PARTITION BY l.l_orderkey
+                            ORDER BY l.l_linenumber, l.l_partkey, l.l_suppkey,
+                                     l.l_returnflag <> 'R') - 1 AS position,
+         CAST(p.p_partkey AS VARCHAR) AS id, p.p_name AS name, s.s_name AS artist,
+         CASE WHEN l.l_returnflag = 'R' THEN """ + DEFAULT_IMAGE_SQL + """ ELSE 'img/' || p.p_brand END AS image
+  FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey
+  LEFT JOIN supplier s ON s.s_suppkey = l.l_suppkey)"""
+
+ARTISTS = """shipped AS (
+  SELECT l.l_suppkey, list_sort(list_distinct(list(p.p_type))) AS genres, count(*) AS n
+  FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey GROUP BY l.l_suppkey),
+artists AS (
+  SELECT CAST(s.s_suppkey AS VARCHAR) AS id, s.s_name AS name,
+         CASE WHEN s.s_acctbal < 0 THEN NULL ELSE 'img/' || s.s_name END AS image,
+         coalesce(sh.n, 0) AS followers, CAST(s.s_nationkey AS BIGINT) AS popularity,
+         coalesce(sh.genres, []) AS genres, s.s_acctbal
+  FROM supplier s LEFT JOIN shipped sh ON sh.l_suppkey = s.s_suppkey)"""
+
+
+def more_sql() -> dict[str, str]:
+    q: dict[str, str] = {}
+    ws = r"\s\x0b\x1c-\x1f\x85\p{Z}"
+    del ws
+    # scored record of every play (R1 batch form)
+    q["scored_plays"] = ("WITH " + PLAYS + ",\n" + VARIANTS + ",\n"
+                         + scoring_ctes("variants", ["doc_id", "lyrics_missing"], "lyrics", "genre")
+                         + f"""
+SELECT p.play_id, concat_ws('_', p.id, strftime(p."timestamp", '%Y-%m-%dT%H:%M:%S.%gZ')) AS combined_id,
+       p.topic, CASE WHEN s.compound = 0 THEN '0.0'
+          ELSE regexp_replace(regexp_replace(CAST(CAST(s.compound AS DECIMAL(6,4)) AS VARCHAR),
+               '0+$', ''), '\\.$', '.0') END AS sentiment,
+       s.emotion, {category("p.lyrics = 'Lyrics not found'", "s.compound")} AS sentiment_category,
+       md5({clean("p.lyrics")}) AS cleaned_md5
+FROM plays p JOIN scores s ON s.doc_id = p.doc_id
+ AND s.lyrics_missing = (p.lyrics = 'Lyrics not found' AND p.lyrics IS NOT NULL)""")
+    q["clean_text"] = f"""SELECT doc_id, md5({clean('text')}) AS cleaned_md5,
+        CAST(length({clean('text')}) AS INTEGER) AS cleaned_len,
+        {clean('text')} IS NOT NULL AND {clean('text')} <> '' AS present FROM documents"""
+    q["clean_title"] = f"""SELECT doc_id,
+        {py_strip("regexp_extract(split_part(text, chr(10), 1), '^[^\\[(]*', 0)")} AS title FROM documents"""
+    q["drop_first_line"] = """SELECT doc_id, md5(regexp_replace(text, '^[^\\n]*\\n', '')) AS body_md5
+        FROM documents"""
+    q["validate_lyrics"] = """SELECT doc_id,
+        CAST(length(text) - length(replace(text, '"', '')) AS INTEGER) AS quotes,
+        strpos(text, '[FN#') > 0 AS footnote,
+        md5(CASE WHEN strpos(text, '[FN#') > 0 OR length(text) - length(replace(text, '"', '')) >= 50
+                 THEN 'Lyrics not found' ELSE regexp_replace(text, '^[^\\n]*\\n', '') END) AS lyrics_md5
+        FROM documents"""
+    title = "regexp_extract(html, '<title>(.*?)</title>', 1)"
+    q["html_unescape"] = f"""SELECT page_id, {title} AS raw_title,
+        replace(replace(replace(replace(replace(replace(replace({title},
+          '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&#x27;', ''''), '&apos;', ''''),
+          '&amp;', '&') AS title FROM pages"""
+    q["after_equals"] = """SELECT page_id,
+        CASE WHEN strpos(url, '=') > 0 THEN substr(url, strpos(url, '=') + 1) END AS after_eq FROM pages"""
+    q["search_keys"] = """SELECT p_partkey, p_name || ' ' || p_brand AS key_spaced,
+        p_name || p_brand AS key_joined FROM part"""
+    q["iso_and_key"] = "WITH " + PLAYS + """
+SELECT play_id, strftime("timestamp", '%Y-%m-%dT%H:%M:%S.%gZ') AS iso_timestamp,
+       concat_ws('_', id, strftime("timestamp", '%Y-%m-%dT%H:%M:%S.%gZ')) AS combined_id FROM plays"""
+    q["parse_envelope"] = "WITH " + PLAYS + """
+SELECT id, name, artist, topic, genre, md5(lyrics) AS lyrics_md5,
+       strftime("timestamp", '%Y-%m-%dT%H:%M:%S.%gZ') AS iso_timestamp FROM plays"""
+    q["play_envelope"] = "WITH " + PLAYS + """
+SELECT play_id, md5(CAST(json_object('topic', topic, 'name', name, 'artist', artist, 'lyrics', lyrics,
+                                     'genre', genre, 'id', id) AS VARCHAR)) AS value_md5 FROM plays"""
+    q["unwrap_message"] = """SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events"""
+    q["union_feeds"] = "WITH " + PLAY_KEYS + "\nSELECT play_id, topic, doc_id FROM pk"
+    q["by_feed"] = "WITH " + PLAYS + """
+SELECT play_id, name, artist, genre FROM plays WHERE topic = 'song_italy_top'"""
+    q["flatten_tracks"] = "WITH " + ITEMS + "\nSELECT list_id, position, id, name, artist, image FROM items"
+    q["favourite_neighbors"] = "WITH " + ITEMS + """
+SELECT list_id, position, id,
+  coalesce(lag(id) OVER w, last_value(id) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS prev_id,
+  coalesce(lead(id) OVER w, first_value(id) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS next_id
+FROM items WINDOW w AS (PARTITION BY list_id ORDER BY position)"""
+    q["artist_profile"] = "WITH " + ARTISTS + """
+SELECT id, name, image, followers, popularity, array_to_string(genres, ', ') AS genres,
+       CASE WHEN len(genres) = 0 OR genres[1] IS NULL OR genres[1] = '' THEN 'not applicable'
+            ELSE genres[1] END AS primary_genre FROM artists"""
+    q["artist_cards"] = "WITH " + ARTISTS + f"""
+SELECT name, id, coalesce(image, {DEFAULT_IMAGE_SQL}) AS image FROM artists"""
+    q["with_genre"] = "WITH " + ITEMS + ",\n" + ARTISTS + """
+SELECT i.list_id, i.position, i.artist,
+       CASE WHEN a.id IS NULL THEN NULL
+            WHEN len(a.genres) = 0 OR a.genres[1] = '' THEN 'not applicable' ELSE a.genres[1] END AS genre
+FROM items i LEFT JOIN (SELECT * FROM artists WHERE s_acctbal > 0) a ON a.name = i.artist"""
+    q["parse_file_split"] = "WITH " + FILES + "\nSELECT path, name, artist FROM lib"
+    q["parse_file_index"] = "WITH " + FILES + """,
+ix AS (SELECT kind, container, path,
+         CASE WHEN sep > 0 THEN left(left(file_name, length(file_name) - 4), sep - 1) END AS name,
+         CASE WHEN sep > 0 THEN substr(left(file_name, length(file_name) - 4), sep + 3) END AS artist
+       FROM lib)
+SELECT path, name, artist, concat_ws('/', kind, container, name || ' - ' || artist || '.mp3') AS rebuilt FROM ix"""
+    q["by_artist"] = "WITH " + FILES + "\nSELECT path, kind, container, name FROM lib WHERE artist = 'Brand#3'"
+    q["by_container"] = "WITH " + FILES + """
+SELECT path, name, artist FROM lib WHERE kind = 'playlists' AND container = '1-URGENT'"""
+    q["distinct_artists"] = "WITH " + FILES + """,
+r AS (SELECT artist, CASE kind WHEN 'albums' THEN 0 WHEN 'playlists' THEN 1 ELSE 2 END AS kr,
+             coalesce(container, '') AS c, file_name FROM lib WHERE artist IS NOT NULL)
+SELECT artist, first_kind_rank, first_container, first_file FROM (
+  SELECT artist, kr AS first_kind_rank, c AS first_container, file_name AS first_file,
+         row_number() OVER (PARTITION BY artist ORDER BY kr, c, file_name) AS rn FROM r) WHERE rn = 1"""
+    q["artist_library"] = "WITH " + FILES + """
+SELECT path, kind, container, name,
+       CASE kind WHEN 'albums' THEN 0 WHEN 'playlists' THEN 1 ELSE 2 END AS kind_rank
+FROM lib WHERE artist = 'Brand#3'"""
+    q["delete_song"] = "WITH " + FILES + """
+SELECT path FROM lib WHERE NOT coalesce(kind = 'songs' AND name = 'red widget' AND artist = 'Brand#17', false)"""
+    q["delete_container"] = "WITH " + FILES + """
+SELECT path FROM lib WHERE NOT coalesce(kind = 'playlists' AND container = '1-URGENT', false)"""
+    q["delete_from"] = "WITH " + FILES + """,
+doomed AS (SELECT DISTINCT name, artist FROM lib WHERE kind = 'songs' AND artist = 'Brand#3'),
+kept AS (
+  SELECT * FROM lib l WHERE NOT (l.kind = 'playlists' AND l.container = '2-HIGH'
+    AND EXISTS (SELECT 1 FROM doomed d WHERE d.name IS NOT DISTINCT FROM l.name
+                AND d.artist IS NOT DISTINCT FROM l.artist)))
+SELECT kind, container, count(*) AS songs FROM kept WHERE container IS NOT NULL GROUP BY kind, container"""
+    q["delete_everywhere"] = "WITH " + FILES + """,
+doomed AS (SELECT DISTINCT name, artist FROM lib WHERE kind = 'songs' AND artist = 'Brand#3')
+SELECT path FROM lib l WHERE NOT EXISTS (SELECT 1 FROM doomed d WHERE d.name IS NOT DISTINCT FROM l.name
+                                         AND d.artist IS NOT DISTINCT FROM l.artist)"""
+    q["library_delete"] = "WITH " + FILES + """,
+doomed AS (SELECT DISTINCT name, artist FROM lib WHERE kind = 'playlists' AND container = '3-MEDIUM')
+SELECT path FROM lib l WHERE NOT EXISTS (SELECT 1 FROM doomed d WHERE d.name IS NOT DISTINCT FROM l.name
+                                         AND d.artist IS NOT DISTINCT FROM l.artist)"""
+    q["library_neighbors"] = "WITH " + FILES + """,
+pl AS (SELECT container, file_name FROM lib WHERE kind = 'playlists')
+SELECT container, file_name,
+  coalesce(lag(file_name) OVER w, last_value(file_name) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS prev_file_name,
+  coalesce(lead(file_name) OVER w, first_value(file_name) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS next_file_name
+FROM pl WINDOW w AS (PARTITION BY container ORDER BY file_name)"""
+    q["duplicate_members"] = """WITH k AS (
+  SELECT l_orderkey, l_linenumber FROM (SELECT DISTINCT * FROM lineitem)
+  GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)
+SELECT l.* FROM lineitem l SEMI JOIN k ON k.l_orderkey = l.l_orderkey AND k.l_linenumber = l.l_linenumber"""
+    q["dedupe_keep_first"] = """SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+    ORDER BY l_shipdate NULLS FIRST, l_partkey NULLS FIRST, l_suppkey NULLS FIRST, l_quantity NULLS FIRST,
+             l_extendedprice NULLS FIRST, l_discount NULLS FIRST, l_tax NULLS FIRST,
+             l_returnflag NULLS FIRST, l_linestatus NULLS FIRST) AS rn FROM lineitem) WHERE rn = 1"""
+    q["purge_duplicates"] = """WITH k AS (
+  SELECT l_orderkey, l_linenumber FROM (SELECT DISTINCT * FROM lineitem)
+  GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)
+SELECT l.* FROM lineitem l ANTI JOIN k ON k.l_orderkey = l.l_orderkey AND k.l_linenumber = l.l_linenumber"""
+    q["circular_neighbors"] = """SELECT conv_id, turn, role,
+  coalesce(lag(turn) OVER w, last_value(turn) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS prev_turn,
+  coalesce(lag(role) OVER w, last_value(role) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS prev_role,
+  coalesce(lead(turn) OVER w, first_value(turn) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS next_turn,
+  coalesce(lead(role) OVER w, first_value(role) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS next_role
+FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)"""
+    q["number_items"] = """SELECT o_orderkey, o_orderpriority,
+  row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey) AS item_number FROM orders"""
+    q["page"] = """SELECT o_orderkey, o_orderdate, o_totalprice FROM orders
+  ORDER BY o_orderdate, o_orderkey LIMIT 50 OFFSET 100"""
+    q["with_lyrics"] = """WITH t AS (
+  SELECT doc_id, 'song ' || CAST(doc_id AS VARCHAR) || CASE lang WHEN 'de' THEN ' [Remastered]'
+         WHEN 'fr' THEN ' (live)' ELSE '' END AS name, source AS artist FROM documents),
+dim AS (SELECT 'song ' || CAST(doc_id AS VARCHAR) AS title, source AS artist,
+  CASE WHEN strpos(text, '[FN#') > 0 OR length(text) - length(replace(text, '"', '')) >= 50
+       THEN 'Lyrics not found' ELSE regexp_replace(text, '^[^\\n]*\\n', '') END AS lyrics,
+  row_number() OVER (PARTITION BY 'song ' || CAST(doc_id AS VARCHAR), source ORDER BY doc_id) AS rn
+  FROM documents WHERE lang <> 'es'),
+j AS (SELECT t.doc_id, t.name, coalesce(d.lyrics, 'Lyrics not found') AS lyrics FROM t
+  LEFT JOIN dim d ON d.rn = 1 AND d.artist = t.artist AND d.title = """ + py_strip(
+        "regexp_extract(t.name, '^[^\\[(]*', 0)") + """)
+SELECT doc_id, name, md5(lyrics) AS lyrics_md5, lyrics = 'Lyrics not found' AS not_found FROM j"""
+    q["with_track_id"] = "WITH " + FILES + """,
+cat AS (SELECT p_name || p_brand AS k, min(p_partkey) AS id FROM part GROUP BY p_name || p_brand)
+SELECT l.path, l.name, l.artist, c.id AS track_id FROM lib l LEFT JOIN cat c ON c.k = l.name || l.artist
+WHERE l.kind = 'songs'"""
+    rel = ("CASE WHEN lower(name) = '{q}' THEN 0 WHEN starts_with(lower(name), '{q}') THEN 1 "
+           "WHEN contains(lower(name), '{q}') THEN 2 END")
+    parts = []
+    for kind, src, cap in (("artist", "SELECT s_suppkey AS id, s_name AS name FROM supplier", 12),
+                           ("album", "SELECT n_nationkey AS id, n_name AS name FROM nation", 12),
+                           ("song", "SELECT p_partkey AS id, p_name AS name FROM part", 10),
+                           ("playlist", "SELECT c_custkey AS id, c_name AS name FROM customer", 12)):
+        parts.append(f"""SELECT * FROM (SELECT '{kind}' AS kind, CAST(id AS VARCHAR) AS id, name,
+    {rel.format(q='12')} AS relevance FROM ({src})) x WHERE relevance IS NOT NULL""" + f"""
+    QUALIFY row_number() OVER (ORDER BY relevance, name, id) <= {cap}""")
+    body = "\nUNION ALL\n".join(f"SELECT *, row_number() OVER (ORDER BY relevance, name, id) AS rank FROM ({p})"
+                                for p in parts)
+    q["search_all"] = body
+    pq = "customer#0000001"
+    q["search_playlist"] = f"""SELECT * FROM (
+  SELECT 'playlist' AS kind, CAST(c_custkey AS VARCHAR) AS id, c_name AS name,
+         {rel.format(q=pq).replace('name', 'c_name')} AS relevance FROM customer) x
+WHERE relevance IS NOT NULL QUALIFY row_number() OVER (ORDER BY relevance, name, id) <= 1""".replace(
+        "SELECT * FROM (", "SELECT *, 1 AS rank FROM (", 1)
+    q["artist_top_tracks"] = """WITH pl AS (
+  SELECT s.s_name AS artist, l.l_partkey AS track_id, p.p_name AS name, n.n_name AS market
+  FROM lineitem l JOIN supplier s ON s.s_suppkey = l.l_suppkey JOIN nation n ON n.n_nationkey = s.s_nationkey
+  JOIN part p ON p.p_partkey = l.l_partkey),
+c AS (SELECT artist, track_id, count(*) AS plays, min(name) AS name FROM pl WHERE market = 'NATION_7'
+      GROUP BY artist, track_id)
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY artist ORDER BY plays DESC, track_id) AS rank FROM c)
+WHERE rank <= 3"""
+    return q
+
+
+_base_queries_sql = queries_sql
+
+
+def queries_sql() -> dict[str, str]:  # noqa: F811
+    q = _base_queries_sql()
+    q.update(more_sql())
+    return q
