@@ -20,6 +20,7 @@ from moodlake.operators import library as lib
 from moodlake.operators import lookup, search
 from moodlake.operators.scoring import score_plays, score_texts
 from moodlake.plans import dashboards as dash
+from moodlake.plans import streams
 from moodlake.sources.frames import frames_from_tables
 from moodlake.sources.library import library_from_tables
 from moodlake.sources.pages import pages_from_tables
@@ -388,4 +389,6 @@ def queries() -> dict[str, Query]:
                purge_duplicates, circular_neighbors, number_items, page, with_lyrics,
                with_track_id, search_all, search_playlist, artist_top_tracks):
         q[fn.__name__] = fn
+    q["stream_scoring"] = streams.stream_scoring
+    q["stream_trend_day"] = streams.stream_trend_day
     return q

@@ -366,4 +366,8 @@ _base_queries_sql = queries_sql
 def queries_sql() -> dict[str, str]:  # noqa: F811
     q = _base_queries_sql()
     q.update(more_sql())
+    # The streams must equal their batch forms.
+    q["stream_trend_day"] = q["taste_trend_day"]
+    q["stream_scoring"] = ("SELECT combined_id, topic, sentiment, emotion, sentiment_category, cleaned_md5 FROM ("
+                           + q["scored_plays"] + ")")
     return q
