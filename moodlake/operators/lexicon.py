@@ -85,8 +85,9 @@ BUILTIN_LEXICON = [
 
 
 def builtin_lexicon(spark: SparkSession) -> DataFrame:
-    """The built-in list as a DataFrame (a local relation of known size)."""
-    return spark.createDataFrame(BUILTIN_LEXICON, LEXICON_SCHEMA)
+    """The built-in list as a DataFrame: an inline ``VALUES`` table, so it
+    is a JVM-side local relation of known size (no Python worker)."""
+    return spark.sql(f"SELECT * FROM VALUES {lexicon_values_sql()} AS lex(lang, word, valence_milli, emotion)")
 
 
 def load_lexicon(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

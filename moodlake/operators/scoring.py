@@ -76,22 +76,26 @@ def score_texts(df: DataFrame, keys: list[str], text: str, lang: str = "lang",
 
 def score_plays(plays: DataFrame, lexicon: DataFrame | None = None,
                 lyrics: str = "lyrics", lang: str = "genre", song_id: str = "id") -> DataFrame:
-    """Per-play scored record: each distinct (id, lang, lyrics) is scored
-    once and joined back. Adds ``cleaned_lyrics, sentiment, emotion,
-    compound``.
+    """Per-play scored record: each distinct (id, lang, lyrics) is cleaned
+    and scored once, then joined back. Adds ``cleaned_lyrics, sentiment,
+    emotion, compound``.
 
-    Songs are keyed by (id, lang, sha256(lyrics)) so exploded token rows
-    never carry the lyrics text itself. A hot song is collapsed by the
-    partial ``distinct``; its join-back is split by AQE's skew handling.
+    Songs are keyed by (id, lang, md5(lyrics)) so exploded token rows never
+    carry the lyrics text. A hot song is collapsed by the partial
+    ``dropDuplicates``; its join-back is split by AQE's skew handling.
     """
-    digest = F.sha2(F.col(lyrics), 256)
-    keyed = plays.withColumn("_song", digest)
+    keyed = plays.withColumn("_song", F.md5(F.col(lyrics)))
     keys = [song_id, lang, "_song"]
-    songs = keyed.select(*keys, lyrics).dropDuplicates(keys)
-    scores = score_texts(songs, keys, lyrics, lang=lang, lexicon=lexicon)
-    scores = scores.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+    songs = (keyed.select(*keys, lyrics).dropDuplicates(keys)
+                  .withColumn("_cleaned", clean_text(lyrics)))
+    scores = score_texts(songs, keys, lyrics, lang=lang, lexicon=lexicon, cleaned="_cleaned")
+    # Keys may be NULL (a play without id): join null-safely.
+    scores = scores.select(*[F.col(k).alias(f"_s{i}") for i, k in enumerate(keys)],
                            "sentiment", "emotion", "compound")
+    scored_songs = songs.join(scores, [F.col(k).eqNullSafe(F.col(f"_s{i}")) for i, k in enumerate(keys)])
+    scored_songs = scored_songs.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+                                       F.col("_cleaned").alias("cleaned_lyrics"),
+                                       "sentiment", "emotion", "compound")
     cond = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
-    out = keyed.join(scores, on=cond, how="left")
-    return out.select(*plays.columns, clean_text(F.col(lyrics)).alias("cleaned_lyrics"),
-                      "sentiment", "emotion", "compound")
+    out = keyed.join(scored_songs, on=cond, how="left")
+    return out.select(*plays.columns, "cleaned_lyrics", "sentiment", "emotion", "compound")

@@ -31,8 +31,27 @@ FEED_ITALY = "song_italy_top"
 FEED_PLAYED = "song_played"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+# Tables whose rows carry long texts: per-row work (regex cleaning,
+# tokenising) dominates, so their scans must feed every core.
+TEXT_TABLES = {"documents", "pages", "conversations"}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+    """Read one driver table. Text tables are spread over all cores unless
+    ``spread=False`` (for reads that touch no text)."""
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spread_if_narrow(df) if spread and name in TEXT_TABLES else df
+
+
+def spread_if_narrow(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer splits than the cluster has
+    cores (a file written as one row group is read by one task). On a large
+    input the scan already has thousands of splits and this is a no-op, so
+    no shuffle is added where it is not needed."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores * 2)
 
 
 def feed_of(event_type: Column) -> Column:
@@ -51,7 +70,7 @@ def play_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Narrow play facts from ``events`` alone:
     ``play_id, timestamp, user_id, topic, doc_id, lyrics_missing``."""
     ev = table(spark, sf_dir, "events")
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents", spread=False)
     return ev.select(F.col("event_id").alias("play_id"), F.col("ts").alias("timestamp"),
                      "user_id", feed_of(F.col("event_type")).alias("topic"),
                      song_key(ev, docs).alias("doc_id"),
@@ -80,6 +99,7 @@ def song_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     attrs = ["doc_id", F.col("lang").alias("genre"), F.col("source").alias("artist")]
     found = docs.select(*attrs, F.lit(False).alias("lyrics_missing"), F.col("text").alias("lyrics"))
-    missing = docs.select(*attrs, F.lit(True).alias("lyrics_missing"),
+    # The sentinel rows carry no text: read without spreading.
+    missing = table(spark, sf_dir, "documents", spread=False).select(*attrs, F.lit(True).alias("lyrics_missing"),
                           F.lit(SENTINEL_LYRICS).alias("lyrics"))
     return found.unionByName(missing)
