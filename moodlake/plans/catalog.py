@@ -366,6 +366,57 @@ def artist_top_tracks(spark, sf_dir):
     return search.artist_top_tracks(pl, n=3, market=MARKET)
 
 
+def track_neighbors(spark, sf_dir):
+    """F1 + W1 + W3: neighbours of the first list entry of one track."""
+    f = _flat_items(spark, sf_dir).select("list_id", "position", "id", "name", "artist")
+    n = lib.circular_neighbors(f, ["list_id"], "position", fields=["id"])
+    hit = n.filter(pred.match_track("red widget", "Supplier#000000007"))
+    return hit.orderBy("list_id", "position").limit(1).select("list_id", "position", "id", "prev_id", "next_id")
+
+
+def album_cards(spark, sf_dir):
+    """P10: album cards (orders as albums, the customer as first artist;
+    finished orders have no cover)."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    images = F.when(F.col("o_orderstatus") == "F", F.array().cast("array<struct<url:string>>")) \
+        .otherwise(F.array(F.struct(F.concat(F.lit("img/album-"), F.col("o_orderkey").cast("string")).alias("url"))))
+    albums = o.join(c, o["o_custkey"] == c["c_custkey"], "left").select(
+        F.concat(F.lit("album-"), F.col("o_orderkey").cast("string")).alias("name"),
+        F.col("o_orderkey").cast("string").alias("id"), images.alias("images"),
+        F.array(F.struct(F.col("c_name").alias("name"))).alias("artists"))
+    return env.cards(albums, "album")
+
+
+def playlist_cards(spark, sf_dir):
+    """P10: playlist cards (customers as playlists)."""
+    c = table(spark, sf_dir, "customer")
+    images = F.when(F.col("c_acctbal") < 0, F.array().cast("array<struct<url:string>>")) \
+        .otherwise(F.array(F.struct(F.concat(F.lit("img/"), F.col("c_name")).alias("url"))))
+    return env.cards(c.select(F.col("c_name").alias("name"), F.col("c_custkey").cast("string").alias("id"),
+                              images.alias("images")), "playlist")
+
+
+def to_frames(spark, sf_dir):
+    """K2: each event as one JSON value."""
+    ev = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value", "props")
+    fr = env.to_frames(ev)
+    return fr.select(F.get_json_object("value", "$.event_id").cast("long").alias("event_id"),
+                     F.md5("value").alias("value_md5"))
+
+
+def sql_functions(spark, sf_dir):
+    """The registered SQL functions used from SQL text."""
+    from moodlake.functions.sql import register_sql
+    register_sql(spark)
+    table(spark, sf_dir, "documents").createOrReplaceTempView("ml_documents")
+    return spark.sql("""
+        SELECT doc_id, md5(clean_text(text)) AS cleaned_md5,
+               clean_title(substring_index(text, '\n', 1)) AS title,
+               md5(validate_lyrics(text)) AS lyrics_md5, count_char(text, '"') AS quotes
+        FROM ml_documents""")
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {
         "mood_board": dash.mood_board,
@@ -387,7 +438,8 @@ def queries() -> dict[str, Query]:
                artist_library, delete_song, delete_container, delete_from, delete_everywhere,
                library_delete, library_neighbors, duplicate_members, dedupe_keep_first,
                purge_duplicates, circular_neighbors, number_items, page, with_lyrics,
-               with_track_id, search_all, search_playlist, artist_top_tracks):
+               with_track_id, search_all, search_playlist, artist_top_tracks,
+               track_neighbors, album_cards, playlist_cards, to_frames, sql_functions):
         q[fn.__name__] = fn
     q["stream_scoring"] = streams.stream_scoring
     q["stream_trend_day"] = streams.stream_trend_day

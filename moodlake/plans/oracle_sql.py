@@ -357,6 +357,26 @@ c AS (SELECT artist, track_id, count(*) AS plays, min(name) AS name FROM pl WHER
       GROUP BY artist, track_id)
 SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY artist ORDER BY plays DESC, track_id) AS rank FROM c)
 WHERE rank <= 3"""
+    q["track_neighbors"] = "WITH " + ITEMS + """,
+n AS (SELECT list_id, position, id, name, artist,
+  coalesce(lag(id) OVER w, last_value(id) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS prev_id,
+  coalesce(lead(id) OVER w, first_value(id) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS next_id
+FROM items WINDOW w AS (PARTITION BY list_id ORDER BY position))
+SELECT list_id, position, id, prev_id, next_id FROM n
+WHERE name = 'red widget' AND artist = 'Supplier#000000007' ORDER BY list_id, position LIMIT 1"""
+    q["album_cards"] = f"""SELECT 'album-' || CAST(o.o_orderkey AS VARCHAR) AS name, CAST(o.o_orderkey AS VARCHAR) AS id,
+  CASE WHEN o.o_orderstatus = 'F' THEN {DEFAULT_IMAGE_SQL} ELSE 'img/album-' || CAST(o.o_orderkey AS VARCHAR) END AS image,
+  c.c_name AS artist
+FROM orders o LEFT JOIN customer c ON c.c_custkey = o.o_custkey"""
+    q["playlist_cards"] = f"""SELECT c_name AS name, CAST(c_custkey AS VARCHAR) AS id,
+  CASE WHEN c_acctbal < 0 THEN {DEFAULT_IMAGE_SQL} ELSE 'img/' || c_name END AS image FROM customer"""
+    q["to_frames"] = """SELECT event_id, md5(CAST(json_object('event_id', event_id, 'user_id', user_id,
+  'event_type', event_type, 'value', value, 'props', props) AS VARCHAR)) AS value_md5 FROM events"""
+    q["sql_functions"] = f"""SELECT doc_id, md5({clean('text')}) AS cleaned_md5,
+  {py_strip("regexp_extract(split_part(text, chr(10), 1), '^[^\\[(]*', 0)")} AS title,
+  md5(CASE WHEN strpos(text, '[FN#') > 0 OR length(text) - length(replace(text, '"', '')) >= 50
+           THEN 'Lyrics not found' ELSE regexp_replace(text, '^[^\\n]*\\n', '') END) AS lyrics_md5,
+  CAST(length(text) - length(replace(text, '"', '')) AS INTEGER) AS quotes FROM documents"""
     return q
 
 
