@@ -8,9 +8,10 @@ task bounded:
   partial aggregate, so a hot key is folded on the map side.
 * ``sequence_number`` — range-partition by (key, order), number rows inside
   each partition with ``monotonically_increasing_id`` (partition id in the
-  upper bits, record number in the lower 33 bits, as documented), then add
-  the count of the same key's rows in earlier partitions. A hot key simply
-  spans several range partitions.
+  upper bits, record number in the lower 33 bits, as documented), write
+  that once to the shared checkpoint folder, then add the count of the same
+  key's rows in earlier partitions. A hot key simply spans several range
+  partitions.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from moodlake.session import materialize
+
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -47,6 +50,10 @@ def sequence_number(df: DataFrame, partition_by: list[str], order_by: list, out:
                 .sortWithinPartitions(*keys, *orders)
                 .withColumn("_pid", F.spark_partition_id())
                 .withColumn("_mid", F.monotonically_increasing_id()))
+    # Range bounds come from a sample of the input, and the input's row
+    # order may differ between evaluations (e.g. after a join), so the
+    # numbered rows are written once and both uses below read that copy.
+    ranged = materialize(ranged, "sequence")
     stats = ranged.groupBy("_pid", *partition_by).agg(F.count(F.lit(1)).alias("_cnt"),
                                                       F.min("_mid").alias("_m0"))
     # Each key spans only the partitions its range covers, so this window
@@ -56,8 +63,7 @@ def sequence_number(df: DataFrame, partition_by: list[str], order_by: list, out:
     stats = stats.select(F.col("_pid").alias("_spid"),
                          *[F.col(c).alias(f"_sk{i}") for i, c in enumerate(partition_by)],
                          "_off", "_m0")
-    # No hint: stats is materialised first, so AQE sees its real size and
-    # broadcasts it when small; the range exchange is reused by both sides.
+    # No hint: AQE sees the real size of stats and broadcasts it when small.
     cond = [F.col("_pid") == F.col("_spid")] + [
         F.col(c).eqNullSafe(F.col(f"_sk{i}")) for i, c in enumerate(partition_by)]
     j = ranged.join(stats, cond)

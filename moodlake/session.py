@@ -58,6 +58,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def materialize(df, name: str = "table"):
+    """Write ``df`` once as parquet below the shared checkpoint folder and
+    read it back. Later uses see exactly the written rows (no recompute of
+    nondeterministic steps) and the lineage is cut, so a lost executor
+    does not replay the upstream stages."""
+    import uuid
+    path = sub_dir(df.sparkSession, "materialized", f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def sub_dir(spark: SparkSession, *parts: str) -> str:
     """A path below the shared checkpoint folder."""
     return os.path.join(checkpoint_dir(spark), *parts)

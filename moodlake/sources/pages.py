@@ -12,8 +12,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from moodlake.functions.envelope import PAGE_SCHEMA
+from moodlake.operators.ranking import sequence_number
 from moodlake.sources.tables import table
 
+# Fixed value: items per captured page of a list.
+PAGE_SIZE = 50
+
 
 def read_item_pages(spark: SparkSession, path: str, schema: T.StructType = PAGE_SCHEMA) -> DataFrame:
     """One row per captured page: ``offset`` (page start, 0 when absent)
@@ -25,25 +29,34 @@ def read_item_pages(spark: SparkSession, path: str, schema: T.StructType = PAGE_
     return df.withColumn("offset", F.coalesce(F.col("offset"), F.lit(0).cast("long")))
 
 
-def pages_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One page per order: its line items as wrapped track items in line
-    order. Track = part, first artist = supplier; a returned line ('R')
-    has no album image. Columns ``list_id, offset, items``."""
+def pages_from_tables(spark: SparkSession, sf_dir: str, page_size: int = PAGE_SIZE) -> DataFrame:
+    """Pages of at most ``page_size`` items, one list per order: its line
+    items as wrapped track items in line order. Track = part, first artist
+    = supplier; a returned line ('R') has no album image. Columns
+    ``list_id, offset, items``.
+
+    Items are numbered with ``sequence_number`` (no list is gathered into one
+    task) and packed per (list, page), so every collected array holds at
+    most ``page_size`` items however long the list is.
+    """
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey",
                                                 "l_suppkey", "l_returnflag")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     j = (li.join(part, li["l_partkey"] == part["p_partkey"])
            .join(sup, li["l_suppkey"] == sup["s_suppkey"], "left"))
-    images = F.when(F.col("l_returnflag") == "R", F.array().cast("array<struct<url:string>>")) \
+    returned = F.col("l_returnflag") == "R"
+    images = F.when(returned, F.array().cast("array<struct<url:string>>")) \
         .otherwise(F.array(F.struct(F.concat(F.lit("img/"), F.col("p_brand")).alias("url"))))
     track = F.struct(F.col("p_partkey").cast("string").alias("id"), F.col("p_name").alias("name"),
                      F.array(F.struct(F.col("s_name").alias("name"))).alias("artists"),
                      F.struct(images.alias("images")).alias("album"))
-    # An order has a handful of lines, so each collected list is small.
-    items = j.groupBy("l_orderkey").agg(
-        F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey",
-                                             F.struct(track.alias("track")).alias("item"))))
-        .alias("_lines"))
-    return items.select(F.col("l_orderkey").alias("list_id"), F.lit(0).cast("long").alias("offset"),
-                        F.transform("_lines", lambda x: x["item"]).alias("items"))
+    lines = j.select(F.col("l_orderkey").alias("list_id"), "l_linenumber", "l_partkey", "l_suppkey",
+                     (~returned).alias("_kept"), F.struct(track.alias("track")).alias("item"))
+    numbered = sequence_number(lines, ["list_id"], ["l_linenumber", "l_partkey", "l_suppkey", "_kept"],
+                               out="_rn")
+    paged = numbered.withColumn("_page", F.floor((F.col("_rn") - 1) / page_size).cast("long"))
+    packed = paged.groupBy("list_id", "_page").agg(
+        F.sort_array(F.collect_list(F.struct("_rn", "item"))).alias("_items"))
+    return packed.select("list_id", (F.col("_page") * page_size).alias("offset"),
+                         F.transform("_items", lambda x: x["item"]).alias("items"))

@@ -44,6 +44,16 @@ def test_sequence_number_equals_window_row_number(spark):
     assert sorted(got.collect()) == sorted(want.collect())
 
 
+def test_sequence_number_over_a_join(spark):
+    # A join's output order changes between evaluations; numbering must not.
+    left = spark.range(0, 4000).select((F.col("id") % 5).alias("g"), F.col("id").alias("o"))
+    right = spark.range(0, 4000).select(F.col("id").alias("o"), (F.col("id") * 3).alias("v"))
+    df = left.join(right, "o")
+    got = sequence_number(df, ["g"], ["o"], num_partitions=6)
+    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("o")))
+    assert sorted(got.select("g", "o", "v", "rn").collect()) == sorted(want.select("g", "o", "v", "rn").collect())
+
+
 def test_sequence_number_with_one_hot_key(spark):
     # One key holds almost every row; it spans several range partitions.
     df = spark.range(0, 3000).select(F.when(F.col("id") < 2900, 0).otherwise(F.col("id")).alias("g"),
