@@ -18,17 +18,26 @@ def stream_trend(scored: DataFrame, grain: str = "day", dim: str = "emotion",
                  watermark: str = "1 day", ts: str = "timestamp") -> DataFrame:
     """Plays per window, feed and ``dim``. Rows later than the watermark
     are dropped (the late-data policy); append mode emits a window once it
-    is closed."""
-    t = F.col(ts).cast("timestamp")
-    src = scored.withColumn(ts, t).withWatermark(ts, watermark)
+    is closed.
+
+    ``window`` aligns days on the UTC epoch, so the instant is first shifted
+    by the session zone's offset: windows are then calendar days of the
+    session zone, like the batch trend, whatever the zone.
+    """
+    zone = scored.sparkSession.conf.get("spark.sql.session.timeZone")
+    local = F.from_utc_timestamp(F.col(ts).cast("timestamp"), zone)
+    src = scored.withColumn("_local", local).withWatermark("_local", watermark)
     if grain == "day":
-        win = F.window(ts, "1 day")
+        win = F.window("_local", "1 day")
     elif grain == "week":
-        win = F.window(ts, "7 days", "7 days", WEEK_OFFSET)
+        win = F.window("_local", "7 days", "7 days", WEEK_OFFSET)
     else:
         raise ValueError("streaming grain is day or week; roll months up from days")
     agg = src.groupBy(win.alias("w"), "topic", dim).agg(F.count(F.lit(1)).alias("plays"))
-    return agg.select(F.to_date(F.col("w")["start"]).alias("period"), "topic", dim, "plays")
+    # Window starts are midnights of the shifted clock: their UTC date is
+    # the local date (epoch arithmetic, independent of the session zone).
+    period = F.date_from_unix_date(F.floor(F.unix_seconds(F.col("w")["start"]) / 86400).cast("int"))
+    return agg.select(period.alias("period"), "topic", dim, "plays")
 
 
 def month_rollup(days: DataFrame, dim: str = "emotion") -> DataFrame:
