@@ -110,3 +110,12 @@ def test_number_items(spark):
     df = spark.createDataFrame([("f", 3), ("f", 1), ("g", 2), ("f", 2)], "topic STRING, position INT")
     got = sorted((r.topic, r.position, r.item_number) for r in lib.number_items(df, ["position"]).collect())
     assert got == [("f", 1, 1), ("f", 2, 2), ("f", 3, 3), ("g", 2, 1)]
+
+
+def test_neighbors_of_first_match_and_miss(spark):
+    rows = [("L", 0, "a", "x"), ("L", 1, "b", "y"), ("L", 2, "a", "x"), ("L", 3, "c", "z")]
+    df = spark.createDataFrame(rows, "list STRING, position INT, name STRING, artist STRING")
+    n = lib.circular_neighbors(df, ["list"], "position")
+    hit = lib.neighbors_of(n, "a", "x").collect()
+    assert len(hit) == 1 and hit[0].position == 0 and hit[0].prev_name == "c" and hit[0].next_name == "b"
+    assert lib.neighbors_of(n, "nope", "x").count() == 0

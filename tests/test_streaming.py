@@ -101,3 +101,13 @@ def test_stream_trend_day_week_month(spark, tmp):
     assert ("2024-01-01", 1) in weeks and ("2024-01-08", 1) in weeks   # weeks start on Monday
     months = month_rollup(days).collect()
     assert sum(r.plays for r in months) == 3 and {str(r.period) for r in months} == {"2024-01-01"}
+
+
+def test_same_frame_twice_is_one_document(spark, tmp):
+    src = os.path.join(tmp, "frames")
+    write_frames(src, [PLAYS[0], PLAYS[0]], "dup.json")
+    sink = os.path.join(tmp, "sink")
+    run_scoring(read_frames(spark, "files", path=src), sink, os.path.join(tmp, "ck"),
+                available_now=True).awaitTermination()
+    assert spark.read.parquet(sink).count() == 2
+    assert len(keyed(spark, sink)) == 1
