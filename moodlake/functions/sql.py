@@ -38,7 +38,11 @@ SQL_FUNCTIONS = {
     "score_text": ("s DOUBLE", "STRING",
                    "regexp_replace(regexp_replace(CAST(CAST(coalesce(s, 0.0) AS DECIMAL(6,4)) AS STRING),"
                    " '0+$', ''), '\\\\.$', '.0')"),
-    "percent_decode": ("t STRING", "STRING", "coalesce(try_url_decode(replace(t, '+', '%2B')), t)"),
+    "percent_decode": ("t STRING", "STRING",
+                       "CASE WHEN t IS NOT NULL THEN array_join(transform("
+                       "regexp_extract_all(t, '(%[0-9A-Fa-f]{2})+|[^%]+|%', 0), "
+                       "p -> CASE WHEN startswith(p, '%') AND length(p) >= 3 "
+                       "THEN coalesce(try_url_decode(p), p) ELSE p END), '') END"),
 }
 
 

@@ -6,6 +6,8 @@ Every function takes and returns a ``Column`` so it composes inside one
 
 from __future__ import annotations
 
+import html.entities as _html_entities
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,6 +26,46 @@ _WS_RUN = r"(?U)[" + _WS + r"]+"
 _EDGE_WS = r"(?U)^[" + _WS + r"]+|[" + _WS + r"]+$"
 
 
+# HTML character references: the named table is the HTML5 list shipped
+# with Python (2,231 names), so it is built from that, not spelled out.
+ENTITY_PIECES = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)|[^&]+|&"
+HTML5_ENTITIES = _html_entities.html5
+LEGACY_ENTITIES = {k: v for k, v in HTML5_ENTITIES.items() if not k.endswith(";")}
+MAX_LEGACY_NAME = max(map(len, LEGACY_ENTITIES))
+
+
+def charref_fixes() -> dict[int, str]:
+    """Numeric references the HTML standard remaps: NUL → U+FFFD, CR, and
+    0x80-0x9F read as Windows-1252 (undefined bytes stay as they are)."""
+    fixes = {0x00: "\ufffd", 0x0D: "\r"}
+    for n in range(0x80, 0xA0):
+        try:
+            fixes[n] = bytes([n]).decode("cp1252")
+        except UnicodeDecodeError:
+            fixes[n] = chr(n)
+    return fixes
+
+
+_MAPS = None
+
+
+def _sql_str(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _entity_maps():
+    """The three lookup maps as map literals. Each is built from one SQL
+    expression (a single call into the JVM) and constant-folded by Catalyst."""
+    global _MAPS
+    if _MAPS is None:
+        def lit_map(d):
+            keys = ", ".join(_sql_str(k) if isinstance(k, str) else str(k) for k in d)
+            vals = ", ".join(_sql_str(v) for v in d.values())
+            return F.expr(f"map_from_arrays(array({keys}), array({vals}))")
+        _MAPS = (lit_map(HTML5_ENTITIES), lit_map(LEGACY_ENTITIES), lit_map(charref_fixes()))
+    return _MAPS
+
+
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -92,21 +134,52 @@ def parse_file_index(c) -> tuple[Column, Column]:
 
 
 def html_unescape(c) -> Column:
-    """The five XML entities plus the numeric apostrophe; ``&amp;`` goes
-    last so an escaped entity is not decoded twice."""
-    x = _c(c)
-    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'),
-                    ("&#39;", "'"), ("&#x27;", "'"), ("&apos;", "'"),
-                    ("&amp;", "&")):
-        x = F.replace(x, F.lit(ent), F.lit(ch))
-    return x
+    """Decode HTML character references the way Python's
+    ``html.unescape`` does (one left-to-right pass, so ``&amp;lt;`` gives
+    ``&lt;``): named references from the HTML5 table, legacy names without
+    ';' by longest prefix, decimal and hex references with the standard's
+    replacements for invalid code points."""
+    col = _c(c)
+    pieces = F.regexp_extract_all(col, F.lit(ENTITY_PIECES), 0)
+    out = F.transform(pieces, lambda p: F.when(F.startswith(p, F.lit("&")) & (F.length(p) > 1),
+                                               _decode_reference(p)).otherwise(p))
+    return F.when(col.isNotNull(), F.array_join(out, ""))
+
+
+def _decode_reference(p: Column) -> Column:
+    ents, legacy, fixes = _entity_maps()
+    name = F.substr(p, F.lit(2))
+    prefixes = [F.concat(F.try_element_at(legacy, F.substr(name, F.lit(1), F.lit(k))),
+                         F.substr(name, F.lit(k + 1)))
+                for k in range(MAX_LEGACY_NAME, 1, -1)]
+    named = F.coalesce(F.try_element_at(ents, name), *prefixes, p)
+    dec = F.regexp_extract(p, r"^&#([0-9]+)", 1)
+    hx = F.regexp_extract(p, r"^&#[xX]([0-9a-fA-F]+)", 1)
+    is_hex = hx != ""
+    digits = F.regexp_replace(F.when(is_hex, hx).otherwise(dec), "^0+", "")
+    huge = F.length(digits) > F.when(is_hex, F.lit(6)).otherwise(F.lit(7))
+    num = F.when(is_hex, F.conv(F.when(hx == "", "0").otherwise(hx), 16, 10)).otherwise(dec).try_cast("long")
+    invalid_cp = (num.between(0x1, 0x8) | (num == 0xB) | num.between(0xE, 0x1F) | num.between(0x7F, 0x9F)
+                  | num.between(0xFDD0, 0xFDEF) | ((num.bitwiseAND(0xFFFE)) == 0xFFFE))
+    numeric = (F.when(huge, F.lit("\ufffd"))
+               .when(F.try_element_at(fixes, num).isNotNull(), F.try_element_at(fixes, num))
+               .when(num.between(0xD800, 0xDFFF) | (num > 0x10FFFF), F.lit("\ufffd"))
+               .when(invalid_cp, F.lit(""))
+               .otherwise(F.decode(F.unhex(F.lpad(F.hex(num), 8, "0")), "UTF-32")))
+    return F.when(F.startswith(p, F.lit("&#")), numeric).otherwise(named)
 
 
 def percent_decode(c) -> Column:
-    """Percent-decode a path segment; '+' stays '+'. Undecodable input
-    is returned unchanged."""
+    """Percent-decode like Python's ``unquote``: runs of valid ``%XX``
+    escapes are decoded as UTF-8, invalid escapes and '+' stay as they are.
+
+    The text is cut into escape runs, plain runs and lone '%' signs
+    (``regexp_extract_all``); only the escape runs are decoded."""
     col = _c(c)
-    return F.coalesce(F.try_url_decode(F.replace(col, F.lit("+"), F.lit("%2B"))), col)
+    pieces = F.regexp_extract_all(col, F.lit(r"(%[0-9A-Fa-f]{2})+|[^%]+|%"), 0)
+    decoded = F.transform(pieces, lambda p: F.when(F.startswith(p, F.lit("%")) & (F.length(p) >= 3),
+                                                   F.coalesce(F.try_url_decode(p), p)).otherwise(p))
+    return F.when(col.isNotNull(), F.array_join(decoded, ""))
 
 
 def after_equals(c) -> Column:

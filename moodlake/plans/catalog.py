@@ -99,7 +99,8 @@ def html_unescape(spark, sf_dir):
 
 def percent_decode(spark, sf_dir):
     t = _page_title(spark, sf_dir)
-    return t.select("page_id", tx.percent_decode("url").alias("decoded"))
+    return t.select("page_id", tx.percent_decode("url").alias("decoded"),
+                    tx.percent_decode("raw_title").alias("decoded_title"))
 
 
 def after_equals(spark, sf_dir):

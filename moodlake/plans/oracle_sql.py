@@ -178,6 +178,40 @@ artists AS (
   FROM supplier s LEFT JOIN shipped sh ON sh.l_suppkey = s.s_suppkey)"""
 
 
+def _sq(v: str) -> str:
+    return "'" + v.replace("'", "''") + "'"
+
+
+def html_unescape_sql(x: str) -> str:
+    """Python's ``html.unescape`` as a DuckDB expression (same algorithm as
+    ``text.html_unescape``)."""
+    from moodlake.functions.text import (ENTITY_PIECES, HTML5_ENTITIES, LEGACY_ENTITIES, MAX_LEGACY_NAME,
+                                         charref_fixes)
+    ents = "MAP {" + ", ".join(f"{_sq(k)}: {_sq(v)}" for k, v in HTML5_ENTITIES.items()) + "}"
+    legacy = "MAP {" + ", ".join(f"{_sq(k)}: {_sq(v)}" for k, v in LEGACY_ENTITIES.items()) + "}"
+    fixes = " ".join(f"WHEN {n} THEN chr({ord(ch)})" for n, ch in charref_fixes().items())
+    name = "substr(p, 2)"
+    prefixes = ", ".join(f"({legacy})[substr({name}, 1, {k})] || substr({name}, {k + 1})"
+                         for k in range(MAX_LEGACY_NAME, 1, -1))
+    hx = "regexp_extract(p, '^&#[xX]([0-9a-fA-F]+)', 1)"
+    dec = "regexp_extract(p, '^&#([0-9]+)', 1)"
+    num = f"(CASE WHEN {hx} <> '' THEN TRY_CAST('0x' || {hx} AS BIGINT) ELSE TRY_CAST({dec} AS BIGINT) END)"
+    huge = (f"length(ltrim(CASE WHEN {hx} <> '' THEN {hx} ELSE {dec} END, '0')) > "
+            f"CASE WHEN {hx} <> '' THEN 6 ELSE 7 END")
+    invalid = (f"({num} BETWEEN 1 AND 8 OR {num} = 11 OR {num} BETWEEN 14 AND 31 OR {num} BETWEEN 127 AND 159"
+               f" OR {num} BETWEEN 64976 AND 65007 OR ({num} & 65534) = 65534)")
+    numeric = (f"CASE WHEN {huge} THEN chr(65533) "
+               f"WHEN {num} IN ({', '.join(str(n) for n in charref_fixes())}) THEN CASE {num} {fixes} END "
+               f"WHEN {num} BETWEEN 55296 AND 57343 OR {num} > 1114111 THEN chr(65533) "
+               f"WHEN {invalid} THEN '' ELSE chr(CAST({num} AS INTEGER)) END")
+    piece = (f"CASE WHEN starts_with(p, '&') AND length(p) > 1 THEN "
+             f"CASE WHEN starts_with(p, '&#') THEN {numeric} "
+             f"ELSE coalesce(({ents})[{name}], {prefixes}, p) END ELSE p END")
+    pattern = ENTITY_PIECES.replace("'", "''")
+    return (f"CASE WHEN {x} IS NOT NULL THEN array_to_string(list_transform("
+            f"regexp_extract_all({x}, '{pattern}'), lambda p: {piece}), '') END")
+
+
 def more_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     ws = r"\s\x0b\x1c-\x1f\x85\p{Z}"
@@ -208,10 +242,9 @@ FROM plays p JOIN scores s ON s.doc_id = p.doc_id
                  THEN 'Lyrics not found' ELSE regexp_replace(text, '^[^\\n]*\\n', '') END) AS lyrics_md5
         FROM documents"""
     title = "regexp_extract(html, '<title>(.*?)</title>', 1)"
-    q["html_unescape"] = f"""SELECT page_id, {title} AS raw_title,
-        replace(replace(replace(replace(replace(replace(replace({title},
-          '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&#x27;', ''''), '&apos;', ''''),
-          '&amp;', '&') AS title FROM pages"""
+    q["html_unescape"] = f"""SELECT page_id, {title} AS raw_title, {html_unescape_sql(title)} AS title FROM pages"""
+    q["percent_decode"] = f"""SELECT page_id, url_decode(replace(url, '+', '%2B')) AS decoded,
+        url_decode(replace({title}, '+', '%2B')) AS decoded_title FROM pages"""
     q["after_equals"] = """SELECT page_id,
         CASE WHEN strpos(url, '=') > 0 THEN substr(url, strpos(url, '=') + 1) END AS after_eq FROM pages"""
     q["search_keys"] = """SELECT p_partkey, p_name || ' ' || p_brand AS key_spaced,

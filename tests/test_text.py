@@ -75,10 +75,27 @@ def test_file_name_forms(spark):
     assert rows[2].sa is None and rows[2].ia is None
 
 
+HTML_CASES = ["It&#39;s &amp;lt; &#39;x&#39;", "&amp", "&am", "&ampX", "&notit;", "&copy; &middot;", "&#0;",
+              "&#13;", "&#128;", "&#x81;", "&#xD800;", "&#1114112;", "&#99999999999999999999;", "&#x1F600;",
+              "&#65;&#x42", "&#", "& ;", "&&amp;", "a&b", "", "&NotEqualTilde;", "&Eacute", "&eacute;x",
+              "&#11;", "&#xFFFE;", "&#xfdd0;", "&#127;", "&#x10FFFF;", "&unknown;", "&lt"]
+
+
+def test_html_unescape_matches_python(spark):
+    import html
+    df = spark.createDataFrame([(v,) for v in HTML_CASES], "v STRING")
+    for r in df.select("v", tx.html_unescape("v").alias("u")).collect():
+        assert r.u == html.unescape(r.v), r.v
+    assert tx.charref_fixes() == html._invalid_charrefs
+
+
 def test_html_and_links(spark):
     assert one(spark, tx.html_unescape, "It&#39;s &amp;lt; &#39;x&#39;") == "It's &lt; 'x'"
-    assert one(spark, tx.percent_decode, "a%20b+c") == "a b+c"
-    assert one(spark, tx.percent_decode, "bad%zz") == "bad%zz"
+    from urllib.parse import unquote
+    for v in ["a%20b+c", "bad%zz", "a%20b%zz", "%C3%A9t%C3%A9", "%C3x%A9", "100%", "%", "%2", "",
+              "Road+Trip%20%2B%26", "%E2%82"]:
+        assert one(spark, tx.percent_decode, v) == unquote(v), v
+    assert one(spark, tx.percent_decode, None) is None
     assert one(spark, tx.after_equals, "https://v.example/watch?v=abc=def") == "abc=def"
     assert one(spark, tx.after_equals, "no-equals") is None
 
@@ -130,5 +147,6 @@ def test_sql_functions_match_column_functions(spark):
     want = df.select("v", tx.clean_text("v").alias("c"), tx.clean_title("v").alias("t"),
                      tx.drop_first_line("v").alias("d"), tx.validate_lyrics("v").alias("vl")).collect()
     assert sorted(map(tuple, got), key=repr) == sorted(map(tuple, want), key=repr)
-    r = spark.sql("SELECT sentiment_category('x', 0.5) a, score_text(0.0005) b, after_equals('a=b') c").first()
-    assert (r.a, r.b, r.c) == ("slightly positive", "0.0005", "b")
+    r = spark.sql("SELECT sentiment_category('x', 0.5) a, score_text(0.0005) b, after_equals('a=b') c, "
+                  "percent_decode('a%20b%zz+') d").first()
+    assert (r.a, r.b, r.c, r.d) == ("slightly positive", "0.0005", "b", "a b%zz+")
