@@ -16,14 +16,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from moodlake.functions.text import parse_file_index, parse_file_split
-from moodlake.operators.joins import broadcast_if_bounded
 from moodlake.operators.ranking import first_per_key, sequence_number
 
 # Library folder kinds.
 KINDS = ["songs", "albums", "playlists"]
 
-MAX_BROADCAST_KEYS = 1_000_000
-
 
 def _null_safe_on(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     cond = None
@@ -72,9 +69,10 @@ def purge_duplicates(df: DataFrame, keys: list[str] = ("name", "artist"),
 # --- deletes (J5, M1-M4) -------------------------------------------------
 
 def library_delete(df: DataFrame, doomed: DataFrame, on: list[str]) -> DataFrame:
-    """Remove rows matching the delete set (anti-join; the set is
-    broadcast only when its size is proven small)."""
-    keys = broadcast_if_bounded(doomed.select(*on).distinct(), MAX_BROADCAST_KEYS)
+    """Remove rows matching the delete set (anti-join). The distinct
+    delete keys are an aggregate stage, so AQE knows their real size before
+    the join and broadcasts them only when small; no extra counting job."""
+    keys = doomed.select(*on).distinct()
     return df.join(keys, on=_null_safe_on(df, keys, on), how="left_anti")
 
 

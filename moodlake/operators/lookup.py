@@ -2,8 +2,9 @@
 
 Each dimension is first reduced to one row per lookup key with a partial
 aggregate (``first_per_key``), then joined with a left outer join, so a
-miss keeps the row. Dimension sides are broadcast only when proven small;
-otherwise Catalyst plans a shuffle join and AQE splits hot keys.
+miss keeps the row. The reduced dimension is an aggregate stage: AQE sees
+its real size before the join and broadcasts it only when small;
+otherwise the join shuffles and AQE splits hot keys of the play side.
 """
 
 from __future__ import annotations
@@ -13,11 +14,8 @@ from pyspark.sql import functions as F
 
 from moodlake.functions.envelope import primary_genre
 from moodlake.functions.text import SENTINEL_LYRICS, clean_title, search_key, validate_lyrics
-from moodlake.operators.joins import broadcast_if_bounded
 from moodlake.operators.ranking import first_per_key
 
-MAX_BROADCAST_DIM = 1_000_000
-
 
 def with_lyrics(tracks: DataFrame, lyrics_dim: DataFrame, order: str = "rank") -> DataFrame:
     """Lyrics by (clean title, artist). ``lyrics_dim`` has ``title,
@@ -25,9 +23,8 @@ def with_lyrics(tracks: DataFrame, lyrics_dim: DataFrame, order: str = "rank") -
     through the validity gate and first-line cut; a miss → sentinel."""
     dim = first_per_key(lyrics_dim.select("title", "artist", order, "lyrics"),
                         ["title", "artist"], [order])
-    dim = broadcast_if_bounded(dim.select(F.col("title").alias("_t"), F.col("artist").alias("_a"),
-                                          validate_lyrics("lyrics").alias("_lyrics")),
-                               MAX_BROADCAST_DIM)
+    dim = dim.select(F.col("title").alias("_t"), F.col("artist").alias("_a"),
+                     validate_lyrics("lyrics").alias("_lyrics"))
     keyed = tracks.withColumn("_t", clean_title("name")).withColumn("_a", F.col("artist"))
     j = keyed.join(dim, ["_t", "_a"], "left")
     return j.select(*tracks.columns,
@@ -38,9 +35,7 @@ def with_genre(tracks: DataFrame, artists_dim: DataFrame, order: str = "rank") -
     """Primary genre of the first artist hit by name; miss → NULL,
     empty genres → ``not applicable``."""
     dim = first_per_key(artists_dim.select("name", order, "genres"), ["name"], [order])
-    dim = broadcast_if_bounded(
-        dim.select(F.col("name").alias("_artist"),
-                   F.struct(F.col("genres")).alias("_hit")), MAX_BROADCAST_DIM)
+    dim = dim.select(F.col("name").alias("_artist"), F.struct(F.col("genres")).alias("_hit"))
     j = tracks.join(dim, F.col("artist") == F.col("_artist"), "left")
     return j.select(*tracks.columns, primary_genre("_hit").alias("genre"))
 
@@ -50,6 +45,6 @@ def with_track_id(plays: DataFrame, catalog: DataFrame, order: str = "rank") ->
     separator); a miss gives NULL."""
     cat = catalog.withColumn("_key", search_key("name", "artist", ""))
     dim = first_per_key(cat.select("_key", order, F.col("id").alias("_id")), ["_key"], [order])
-    dim = broadcast_if_bounded(dim.select("_key", "_id"), MAX_BROADCAST_DIM)
+    dim = dim.select("_key", "_id")
     j = plays.withColumn("_key", search_key("name", "artist", "")).join(dim, "_key", "left")
     return j.select(*plays.columns, F.col("_id").alias("track_id"))
