@@ -41,3 +41,16 @@ def read_keyed(spark: SparkSession, path: str, key: str = "combined_id") -> Data
 def to_frames_sink(df: DataFrame):
     """K2: rows as JSON values, ready for any sink (``value`` column)."""
     return df.select(F.to_json(F.struct(*df.columns)).alias("value"))
+
+
+def compact_keyed(spark: SparkSession, path: str, out: str, key: str = "combined_id",
+                  ts: str = "timestamp") -> DataFrame:
+    """Resolve the keys once and store the documents partitioned by feed
+    and day, so dashboard reads prune partitions instead of resolving keys
+    on every read. The key holds the play time, so a document never moves
+    to another day; re-running a compaction rewrites only the days present
+    (dynamic partition overwrite)."""
+    docs = read_keyed(spark, path, key).withColumn("day", F.to_date(F.col(ts)))
+    (docs.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("topic", "day").parquet(out))
+    return spark.read.parquet(out)

@@ -73,3 +73,18 @@ def test_score_plan_is_one_shuffle_with_broadcast_lexicon(spark):
     plan = score_texts(df, ["id"], "text", "lang")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_user_lexicon_and_bounded_broadcast(spark, tmp):
+    from moodlake.operators.joins import bounded_rows, broadcast_if_bounded
+    from moodlake.operators.lexicon import load_lexicon
+    path = f"{tmp}/lex"
+    spark.createDataFrame([("EN", "Zap", 1500, "surprise")],
+                          "lang STRING, word STRING, valence_milli INT, emotion STRING").write.parquet(path)
+    lex = load_lexicon(spark, path)
+    df = spark.createDataFrame([(1, "en", "zap zap love")], "id INT, lang STRING, text STRING")
+    r = score_texts(df, ["id"], "text", "lang", lexicon=lex).first()
+    assert r.emotion == "surprise" and r.compound == round(3.0 / math.sqrt(9.0 + 15), 4)
+    assert bounded_rows(spark.range(10), 10) and not bounded_rows(spark.range(11), 10)
+    plan = broadcast_if_bounded(spark.range(11), 10)._jdf.queryExecution().logical().toString()
+    assert "broadcast" not in plan.lower()

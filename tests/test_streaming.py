@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from moodlake.sources.frames import read_frames
 from moodlake.streaming.scoring import run_scoring, score_frames
-from moodlake.streaming.sinks import read_keyed
+from moodlake.streaming.sinks import compact_keyed, read_keyed
 from moodlake.streaming.trend import month_rollup, stream_trend
 
 PLAYS = [
@@ -111,3 +111,17 @@ def test_same_frame_twice_is_one_document(spark, tmp):
                 available_now=True).awaitTermination()
     assert spark.read.parquet(sink).count() == 2
     assert len(keyed(spark, sink)) == 1
+
+
+def test_compaction_partitions_by_feed_and_day(spark, tmp):
+    src = os.path.join(tmp, "frames")
+    write_frames(src, PLAYS, "part-0.json")
+    sink = os.path.join(tmp, "sink")
+    for ck in ("ck1", "ck2"):   # a replay doubles the stored rows
+        run_scoring(read_frames(spark, "files", path=src), sink, os.path.join(tmp, ck),
+                    available_now=True).awaitTermination()
+    out = compact_keyed(spark, sink, os.path.join(tmp, "compact"))
+    assert out.count() == 3
+    one_day = spark.read.parquet(os.path.join(tmp, "compact")).filter("topic = 'song_played' AND day = '2024-01-01'")
+    assert "PartitionFilters" in one_day._jdf.queryExecution().executedPlan().toString()
+    assert one_day.count() == 1
