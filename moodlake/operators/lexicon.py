@@ -19,6 +19,21 @@ EMOTIONS = ["fear", "anger", "anticipation", "trust", "surprise",
 # Fixed value: normalisation constant of the compound score s / sqrt(s^2 + a).
 COMPOUND_ALPHA = 15
 
+# Negation scalar of the valence model (a lexicon word preceded
+# within three tokens by a negator is scaled by it, once per negator).
+NEGATION_SCALAR_PCT = -74
+NEGATION_WINDOW = 3
+
+# Negators per language (whole tokens after cleaning).
+NEGATORS = {
+    "en": ["not", "no", "never", "none", "nothing", "nobody", "neither", "nor", "nowhere", "cannot",
+           "dont", "doesnt", "didnt", "isnt", "arent", "wasnt", "werent", "wont", "cant", "couldnt",
+           "shouldnt", "wouldnt", "aint", "without"],
+    "fr": ["ne", "pas", "jamais", "rien", "aucun", "aucune", "personne", "sans"],
+    "de": ["nicht", "kein", "keine", "keinen", "keinem", "keiner", "nie", "niemals", "nichts", "ohne"],
+    "es": ["no", "nunca", "jamás", "nada", "ningún", "ninguna", "ninguno", "tampoco", "sin"],
+}
+
 # Largest lexicon we broadcast without a second look; bigger ones go
 # through a shuffle join (a full sentiment lexicon has ~10k words).
 MAX_BROADCAST_WORDS = 2_000_000

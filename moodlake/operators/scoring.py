@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from moodlake.functions.text import NOT_APPLICABLE, clean_text, is_present, score_text
 from moodlake.operators.joins import broadcast_if_bounded
 from moodlake.operators.lexicon import (BUILTIN_LEXICON, COMPOUND_ALPHA, EMOTIONS,
-                                        MAX_BROADCAST_WORDS, builtin_lexicon)
+                                        MAX_BROADCAST_WORDS, NEGATION_SCALAR_PCT, NEGATION_WINDOW,
+                                        NEGATORS, builtin_lexicon)
 
 
 def _lexicon(spark: SparkSession, lexicon: DataFrame | None) -> DataFrame:
@@ -32,6 +33,37 @@ def compound_from_milli(s_milli: Column) -> Column:
     return F.round(s / F.sqrt(s * s + F.lit(float(COMPOUND_ALPHA))), 4)
 
 
+def compound_from_nano(s_nano: Column) -> Column:
+    """A6 on a sum kept in billionths (exact with negation scaling)."""
+    s = F.coalesce(s_nano, F.lit(0)).cast("double") / 1e9
+    return F.round(s / F.sqrt(s * s + F.lit(float(COMPOUND_ALPHA))), 4)
+
+
+def _negator_map() -> Column:
+    langs = ", ".join(f"'{l}', array({', '.join(repr(w) for w in ws)})" for l, ws in NEGATORS.items())
+    return F.expr(f"map({langs})")
+
+
+def weighted_tokens(text: Column, lang: Column, negation: bool) -> Column:
+    """Tokens with their valence weight in millionths: 1,000,000, or
+    scaled by the negation scalar once per negator among the preceding
+    ``NEGATION_WINDOW`` tokens. Computed on the token array of the row, so
+    no window and no shuffle is needed."""
+    tokens = F.split(text, " ")
+    if not negation:
+        return F.transform(tokens, lambda w: F.struct(w.alias("w"), F.lit(1_000_000).cast("long").alias("f")))
+    negs = F.coalesce(F.try_element_at(_negator_map(), lang), F.array().cast("array<string>"))
+
+    def factor(i):
+        f = F.lit(1).cast("long")
+        for k in range(1, NEGATION_WINDOW + 1):
+            prev = F.get(tokens, i - k)
+            f = f * F.when(F.array_contains(negs, prev), F.lit(NEGATION_SCALAR_PCT)).otherwise(F.lit(100))
+        return f
+
+    return F.transform(tokens, lambda w, i: F.struct(w.alias("w"), factor(i).alias("f")))
+
+
 def token_hits(df: DataFrame, keys: list[str], cleaned: str, lang: str,
                lexicon: DataFrame) -> DataFrame:
     """One row per token that is in the lexicon of the text's language."""
@@ -41,13 +73,16 @@ def token_hits(df: DataFrame, keys: list[str], cleaned: str, lang: str,
 
 
 def score_texts(df: DataFrame, keys: list[str], text: str, lang: str = "lang",
-                lexicon: DataFrame | None = None, cleaned: str | None = None) -> DataFrame:
+                lexicon: DataFrame | None = None, cleaned: str | None = None,
+                negation: bool = False) -> DataFrame:
     """Score each distinct key of ``df`` once.
 
     Returns ``keys + [compound DOUBLE, sentiment STRING, emotion STRING]``.
     ``df`` must hold one text per key (a song's lyrics). Text NULL or empty
     after cleaning → compound 0.0 and emotion NULL; text without any
-    lexicon hit → emotion ``not applicable``.
+    lexicon hit → emotion ``not applicable``. ``negation`` scales a word's
+    valence when a negator of its language precedes it (emotion counts are
+    not affected).
     """
     lex = _lexicon(df.sparkSession, lexicon)
     if cleaned is None:
@@ -58,15 +93,22 @@ def score_texts(df: DataFrame, keys: list[str], text: str, lang: str = "lang",
     lex = lex.select(F.col("lang").alias("_lang"), F.col("word").alias("_word"),
                      F.col("valence_milli").alias("_val"), F.col("emotion").alias("_emo"))
     # Left join keeps texts without hits; explode_outer keeps empty ones.
-    toks = base.select(*keys, "_present", "_lang",
-                       F.explode_outer(F.split(F.col("_text"), " ")).alias("_word"))
+    if negation:
+        toks = base.select(*keys, "_present", "_lang",
+                           F.explode_outer(weighted_tokens(F.col("_text"), F.col("_lang"), True)).alias("_t"))
+        toks = toks.select(*keys, "_present", "_lang", F.col("_t")["w"].alias("_word"),
+                           F.col("_t")["f"].alias("_f"))
+    else:
+        toks = base.select(*keys, "_present", "_lang",
+                           F.explode_outer(F.split(F.col("_text"), " ")).alias("_word"),
+                           F.lit(1_000_000).cast("long").alias("_f"))
     hits = toks.join(lex, on=["_lang", "_word"], how="left")
     counts = [F.count_if(F.col("_emo") == e).alias(f"_n{i}") for i, e in enumerate(EMOTIONS)]
     agg = hits.groupBy(*keys).agg(F.max("_present").alias("_present"),
-                                  F.sum("_val").alias("_s"), *counts)
+                                  F.sum(F.col("_val").cast("long") * F.col("_f")).alias("_s"), *counts)
     best = F.greatest(*[F.struct(F.col(f"_n{i}").alias("n"), F.lit(-i).alias("r"),
                                  F.lit(e).alias("e")) for i, e in enumerate(EMOTIONS)])
-    compound = compound_from_milli(F.col("_s"))
+    compound = compound_from_nano(F.col("_s"))
     emotion = (F.when(~F.col("_present"), F.lit(None).cast("string"))
                .when(best["n"] > 0, best["e"])
                .otherwise(F.lit(NOT_APPLICABLE)))

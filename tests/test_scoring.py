@@ -88,3 +88,32 @@ def test_user_lexicon_and_bounded_broadcast(spark, tmp):
     assert bounded_rows(spark.range(10), 10) and not bounded_rows(spark.range(11), 10)
     plan = broadcast_if_bounded(spark.range(11), 10)._jdf.queryExecution().logical().toString()
     assert "broadcast" not in plan.lower()
+
+
+def brute_negated(text_clean, lang):
+    from moodlake.operators.lexicon import NEGATORS
+    if not text_clean:
+        return 0.0
+    toks = text_clean.split(" ")
+    s = 0
+    for i, w in enumerate(toks):
+        hit = LEX.get((lang, w))
+        if hit:
+            f = 1_000_000
+            for k in (1, 2, 3):
+                if i - k >= 0 and toks[i - k] in NEGATORS.get(lang, []):
+                    f = f * -74 // 100
+            s += hit[0] * f
+    x = s / 1e9
+    return round(x / math.sqrt(x * x + COMPOUND_ALPHA), 4)
+
+
+def test_negation_option(spark):
+    from tests.test_text import py_clean
+    rows = ROWS + [(11, "en", "I do not love this"), (12, "en", "not never love"),
+                   (13, "en", "love not"), (14, "de", "nicht gut aber liebe"), (15, "en", "not a b c love")]
+    df = spark.createDataFrame(rows, "id INT, lang STRING, text STRING")
+    got = {r.id: r.compound for r in score_texts(df, ["id"], "text", "lang", negation=True).collect()}
+    for i, lang, text in rows:
+        assert got[i] == brute_negated(py_clean(text), lang), (i, text)
+    assert got[11] < 0 < got[12]
