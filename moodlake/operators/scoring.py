@@ -44,21 +44,17 @@ def _negator_map() -> Column:
     return F.expr(f"map({langs})")
 
 
-def weighted_tokens(text: Column, lang: Column, negation: bool) -> Column:
-    """Tokens with their valence weight in millionths: 1,000,000, or
-    scaled by the negation scalar once per negator among the preceding
-    ``NEGATION_WINDOW`` tokens. Computed on the token array of the row, so
-    no window and no shuffle is needed."""
-    tokens = F.split(text, " ")
-    if not negation:
-        return F.transform(tokens, lambda w: F.struct(w.alias("w"), F.lit(1_000_000).cast("long").alias("f")))
-    negs = F.coalesce(F.try_element_at(_negator_map(), lang), F.array().cast("array<string>"))
-
+def weighted_tokens(tokens: Column, negators: Column) -> Column:
+    """Tokens with their valence weight in millionths: 1,000,000, scaled by
+    the negation scalar once per negator among the preceding
+    ``NEGATION_WINDOW`` tokens. ``tokens`` and ``negators`` must be plain
+    column references (computed once per row), since the lambda reads them
+    for every element. Works on the row's own array: no window, no shuffle."""
     def factor(i):
         f = F.lit(1).cast("long")
         for k in range(1, NEGATION_WINDOW + 1):
             prev = F.get(tokens, i - k)
-            f = f * F.when(F.array_contains(negs, prev), F.lit(NEGATION_SCALAR_PCT)).otherwise(F.lit(100))
+            f = f * F.when(F.array_contains(negators, prev), F.lit(NEGATION_SCALAR_PCT)).otherwise(F.lit(100))
         return f
 
     return F.transform(tokens, lambda w, i: F.struct(w.alias("w"), factor(i).alias("f")))
@@ -94,8 +90,11 @@ def score_texts(df: DataFrame, keys: list[str], text: str, lang: str = "lang",
                      F.col("valence_milli").alias("_val"), F.col("emotion").alias("_emo"))
     # Left join keeps texts without hits; explode_outer keeps empty ones.
     if negation:
-        toks = base.select(*keys, "_present", "_lang",
-                           F.explode_outer(weighted_tokens(F.col("_text"), F.col("_lang"), True)).alias("_t"))
+        negs = F.coalesce(F.try_element_at(_negator_map(), F.col("_lang")), F.array().cast("array<string>"))
+        arr = base.select(*keys, "_present", "_lang", F.split(F.col("_text"), " ").alias("_tk"),
+                          negs.alias("_negs"))
+        toks = arr.select(*keys, "_present", "_lang",
+                          F.explode_outer(weighted_tokens(F.col("_tk"), F.col("_negs"))).alias("_t"))
         toks = toks.select(*keys, "_present", "_lang", F.col("_t")["w"].alias("_word"),
                            F.col("_t")["f"].alias("_f"))
     else:

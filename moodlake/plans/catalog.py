@@ -45,6 +45,12 @@ def compound_score(spark, sf_dir):
     return _doc_scores(spark, sf_dir).select("doc_id", "compound", "sentiment")
 
 
+def compound_score_negated(spark, sf_dir):
+    """A6 with the negation option: negators flip and damp what follows."""
+    d = table(spark, sf_dir, "documents")
+    return score_texts(d, ["doc_id"], "text", lang="lang", negation=True).select("doc_id", "compound", "sentiment")
+
+
 def top_emotion(spark, sf_dir):
     return _doc_scores(spark, sf_dir).select("doc_id", "emotion")
 
@@ -428,6 +434,7 @@ def queries() -> dict[str, Query]:
         "top_artists": dash.top_artists,
         "compound_score": compound_score,
         "top_emotion": top_emotion,
+        "compound_score_negated": compound_score_negated,
     }
     for g in ("day", "week", "month"):
         q[f"taste_trend_{g}"] = (lambda grain: lambda s, d: dash.taste_trend(s, d, grain))(g)
