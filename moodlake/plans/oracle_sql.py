@@ -25,7 +25,7 @@ FEED = ("CASE event_type WHEN 'view' THEN 'song_global_top' "
 PLAY_KEYS = f"""pk AS (
   SELECT event_id AS play_id, ts AS "timestamp", user_id, {FEED} AS topic,
          event_id % (SELECT count(*) FROM documents) AS doc_id,
-         event_type = 'error' AS lyrics_missing
+         coalesce(event_type = 'error', false) AS lyrics_missing
   FROM events)"""
 
 PLAYS = PLAY_KEYS + """,

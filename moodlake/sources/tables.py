@@ -74,7 +74,7 @@ def play_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(F.col("event_id").alias("play_id"), F.col("ts").alias("timestamp"),
                      "user_id", feed_of(F.col("event_type")).alias("topic"),
                      song_key(ev, docs).alias("doc_id"),
-                     (F.col("event_type") == "error").alias("lyrics_missing"))
+                     F.coalesce(F.col("event_type") == "error", F.lit(False)).alias("lyrics_missing"))
 
 
 def plays(spark: SparkSession, sf_dir: str) -> DataFrame:
