@@ -121,22 +121,19 @@ def score_plays(plays: DataFrame, lexicon: DataFrame | None = None,
     and scored once, then joined back. Adds ``cleaned_lyrics, sentiment,
     emotion, compound``.
 
-    Songs are keyed by (id, lang, md5(lyrics)) so exploded token rows never
-    carry the lyrics text. A hot song is collapsed by the partial
-    ``dropDuplicates``; its join-back is split by AQE's skew handling.
+    A song is keyed by one struct ``(id, lang, md5(lyrics))``: struct
+    equality treats NULL fields as equal, so the key is null-safe and still a
+    plain equi-join key. The songs, their scores and the join-back all hash
+    on it, so the per-song side is shuffled once; exploded token rows never
+    carry the lyrics. A hot song is folded by the partial ``dropDuplicates``
+    and its join-back is split by AQE's skew handling.
     """
-    keyed = plays.withColumn("_song", F.md5(F.col(lyrics)))
-    keys = [song_id, lang, "_song"]
-    songs = (keyed.select(*keys, lyrics).dropDuplicates(keys)
+    key = F.struct(F.col(song_id).alias("id"), F.col(lang).alias("lang"), F.md5(F.col(lyrics)).alias("h"))
+    keyed = plays.withColumn("_song", key)
+    songs = (keyed.select("_song", lyrics).dropDuplicates(["_song"])
+                  .withColumn("_lang", F.col("_song")["lang"])
                   .withColumn("_cleaned", clean_text(lyrics)))
-    scores = score_texts(songs, keys, lyrics, lang=lang, lexicon=lexicon, cleaned="_cleaned")
-    # Keys may be NULL (a play without id): join null-safely.
-    scores = scores.select(*[F.col(k).alias(f"_s{i}") for i, k in enumerate(keys)],
-                           "sentiment", "emotion", "compound")
-    scored_songs = songs.join(scores, [F.col(k).eqNullSafe(F.col(f"_s{i}")) for i, k in enumerate(keys)])
-    scored_songs = scored_songs.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-                                       F.col("_cleaned").alias("cleaned_lyrics"),
-                                       "sentiment", "emotion", "compound")
-    cond = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
-    out = keyed.join(scored_songs, on=cond, how="left")
+    scores = score_texts(songs, ["_song"], lyrics, lang="_lang", lexicon=lexicon, cleaned="_cleaned")
+    scored_songs = songs.select("_song", F.col("_cleaned").alias("cleaned_lyrics")).join(scores, "_song")
+    out = keyed.join(scored_songs, "_song", "left")
     return out.select(*plays.columns, "cleaned_lyrics", "sentiment", "emotion", "compound")
