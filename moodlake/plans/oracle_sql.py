@@ -242,8 +242,6 @@ def html_unescape_sql(x: str) -> str:
 
 def more_sql() -> dict[str, str]:
     q: dict[str, str] = {}
-    ws = r"\s\x0b\x1c-\x1f\x85\p{Z}"
-    del ws
     # scored record of every play (R1 batch form)
     q["scored_plays"] = ("WITH " + PLAYS + ",\n" + VARIANTS + ",\n"
                          + scoring_ctes("variants", ["doc_id", "lyrics_missing"], "lyrics", "genre")
