@@ -48,8 +48,12 @@ def spread_if_narrow(df: DataFrame) -> DataFrame:
     cores (a file written as one row group is read by one task). On a large
     input the scan already has thousands of splits and this is a no-op, so
     no shuffle is added where it is not needed."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Connect session): leave as is
+        return df
+    if splits >= cores:
         return df
     return df.repartition(cores * 2)
 

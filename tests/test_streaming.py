@@ -125,3 +125,37 @@ def test_compaction_partitions_by_feed_and_day(spark, tmp):
     one_day = spark.read.parquet(os.path.join(tmp, "compact")).filter("topic = 'song_played' AND day = '2024-01-01'")
     assert "PartitionFilters" in one_day._jdf.queryExecution().executedPlan().toString()
     assert one_day.count() == 1
+
+
+def test_late_rows_are_dropped_in_append_mode(spark, tmp):
+    """R5 late-data policy: with a 1-day watermark, a row more than a day
+    older than the newest event seen is dropped; append mode emits a day
+    only once the watermark has passed it."""
+    scored_dir = os.path.join(tmp, "scored")
+    schema = "topic STRING, emotion STRING, timestamp TIMESTAMP"
+
+    def land(rows, name):
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(os.path.join(scored_dir, name))
+
+    import datetime as dt
+    d = dt.datetime
+    land([("f", "joy", d(2024, 1, 1, 10)), ("f", "joy", d(2024, 1, 2, 10))], "b0")
+    out = os.path.join(tmp, "days")
+    trend = stream_trend(spark.readStream.schema(schema).parquet(os.path.join(scored_dir, "*")), "day")
+
+    def run():
+        q = (trend.writeStream.outputMode("append")
+             .foreachBatch(lambda b, i: b.write.mode("append").parquet(out))
+             .option("checkpointLocation", os.path.join(tmp, "ck")).trigger(availableNow=True).start())
+        q.awaitTermination()
+
+    run()
+    # Newest event jumps to Jan 5: the watermark moves to Jan 4, closing Jan 1-3.
+    land([("f", "joy", d(2024, 1, 5, 10))], "b1")
+    run()
+    # A row for Jan 2 now arrives late (older than the watermark): dropped.
+    land([("f", "joy", d(2024, 1, 2, 11)), ("f", "joy", d(2024, 1, 6, 10))], "b2")
+    run()
+    got = {(str(r.period), r.plays) for r in spark.read.parquet(out).collect()}
+    assert ("2024-01-01", 1) in got and ("2024-01-02", 1) in got
+    assert ("2024-01-02", 2) not in got
