@@ -304,7 +304,7 @@ def purge_duplicates(spark, sf_dir):
 # --- ordered lists ---------------------------------------------------------------------
 
 def circular_neighbors(spark, sf_dir):
-    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
+    c = table(spark, sf_dir, "conversations", spread=False).select("conv_id", "turn", "role")
     n = lib.circular_neighbors(c, ["conv_id"], "turn", fields=["turn", "role"])
     return n.select("conv_id", "turn", "role", "prev_turn", "prev_role", "next_turn", "next_role")
 

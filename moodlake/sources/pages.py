@@ -39,23 +39,24 @@ def pages_from_tables(spark: SparkSession, sf_dir: str, page_size: int = PAGE_SI
     task) and packed per (list, page), so every collected array holds at
     most ``page_size`` items however long the list is.
     """
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey",
-                                                "l_suppkey", "l_returnflag")
+    li = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("list_id"), "l_linenumber", "l_partkey", "l_suppkey",
+        (F.col("l_returnflag") != "R").alias("_kept"))
+    # Number the narrow line rows first (that copy is what gets written),
+    # then attach the track attributes.
+    numbered = sequence_number(li, ["list_id"], ["l_linenumber", "l_partkey", "l_suppkey", "_kept"],
+                               out="_rn")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
-    j = (li.join(part, li["l_partkey"] == part["p_partkey"])
-           .join(sup, li["l_suppkey"] == sup["s_suppkey"], "left"))
-    returned = F.col("l_returnflag") == "R"
-    images = F.when(returned, F.array().cast("array<struct<url:string>>")) \
+    j = (numbered.join(part, numbered["l_partkey"] == part["p_partkey"])
+                 .join(sup, numbered["l_suppkey"] == sup["s_suppkey"], "left"))
+    images = F.when(~F.col("_kept"), F.array().cast("array<struct<url:string>>")) \
         .otherwise(F.array(F.struct(F.concat(F.lit("img/"), F.col("p_brand")).alias("url"))))
     track = F.struct(F.col("p_partkey").cast("string").alias("id"), F.col("p_name").alias("name"),
                      F.array(F.struct(F.col("s_name").alias("name"))).alias("artists"),
                      F.struct(images.alias("images")).alias("album"))
-    lines = j.select(F.col("l_orderkey").alias("list_id"), "l_linenumber", "l_partkey", "l_suppkey",
-                     (~returned).alias("_kept"), F.struct(track.alias("track")).alias("item"))
-    numbered = sequence_number(lines, ["list_id"], ["l_linenumber", "l_partkey", "l_suppkey", "_kept"],
-                               out="_rn")
-    paged = numbered.withColumn("_page", F.floor((F.col("_rn") - 1) / page_size).cast("long"))
+    paged = j.select("list_id", "_rn", F.struct(track.alias("track")).alias("item"),
+                     F.floor((F.col("_rn") - 1) / page_size).cast("long").alias("_page"))
     packed = paged.groupBy("list_id", "_page").agg(
         F.sort_array(F.collect_list(F.struct("_rn", "item"))).alias("_items"))
     return packed.select("list_id", (F.col("_page") * page_size).alias("offset"),
