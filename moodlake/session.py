@@ -20,18 +20,36 @@ BASE_CONF = {
 }
 
 
+# Settings for a large cluster (hundreds of TB of plays). Big shuffles (the
+# play table joined back to its songs) start with many partitions and AQE
+# coalesces them to the advisory size; small ones (per-song scores, bounds,
+# delete sets) shrink to a few partitions or become broadcasts at run time.
+SCALE_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.parquet.filterPushdown": "true",
+}
+
+
 def get_session(master: str | None = None, app: str = "moodlake",
                 shuffle_partitions: int | None = None,
-                extra: dict | None = None) -> SparkSession:
+                extra: dict | None = None, scale: bool = False) -> SparkSession:
     """Build (or reuse) a session with the moodlake defaults.
 
-    On a cluster ``master`` stays None and the launcher decides; tests pass
-    ``local[*]``.
+    On a cluster ``master`` stays None and the launcher decides, and
+    ``scale=True`` adds ``SCALE_CONF``; tests pass ``local[*]``.
     """
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
     conf = dict(BASE_CONF)
+    if scale:
+        conf.update(SCALE_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
