@@ -24,6 +24,12 @@ COMPOUND_ALPHA = 15
 NEGATION_SCALAR_PCT = -74
 NEGATION_WINDOW = 3
 
+# Contrast rule — sentiment before the first contrast word of
+# a text is scaled by 0.5, after it by 1.5 (percent).
+CONTRAST_BEFORE_PCT = 50
+CONTRAST_AFTER_PCT = 150
+CONTRAST_WORDS = {"en": "but", "fr": "mais", "de": "aber", "es": "pero"}
+
 # Negators per language (whole tokens after cleaning).
 NEGATORS = {
     "en": ["not", "no", "never", "none", "nothing", "nobody", "neither", "nor", "nowhere", "cannot",

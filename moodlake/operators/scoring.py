@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from moodlake.functions.text import NOT_APPLICABLE, clean_text, is_present, score_text
 from moodlake.operators.joins import broadcast_if_bounded
 from moodlake.operators.lexicon import (BUILTIN_LEXICON, COMPOUND_ALPHA, EMOTIONS,
+                                        CONTRAST_AFTER_PCT, CONTRAST_BEFORE_PCT, CONTRAST_WORDS,
                                         MAX_BROADCAST_WORDS, NEGATION_SCALAR_PCT, NEGATION_WINDOW,
                                         NEGATORS, builtin_lexicon)
 
@@ -33,9 +34,16 @@ def compound_from_milli(s_milli: Column) -> Column:
     return F.round(s / F.sqrt(s * s + F.lit(float(COMPOUND_ALPHA))), 4)
 
 
-def compound_from_nano(s_nano: Column) -> Column:
-    """A6 on a sum kept in billionths (exact with negation scaling)."""
-    s = F.coalesce(s_nano, F.lit(0)).cast("double") / 1e9
+# Token weights are integers in 1e-8 (three negation factors and one
+# contrast factor, each in percent); valences are in 1e-3, so sums of
+# valence x weight are exact integers in 1e-11.
+WEIGHT_ONE = 100_000_000
+SUM_UNIT = 1e11
+
+
+def compound_from_units(s_units: Column) -> Column:
+    """A6 on a sum kept in 1e-11 units (exact with rule scaling)."""
+    s = F.coalesce(s_units, F.lit(0)).cast("double") / SUM_UNIT
     return F.round(s / F.sqrt(s * s + F.lit(float(COMPOUND_ALPHA))), 4)
 
 
@@ -44,17 +52,34 @@ def _negator_map() -> Column:
     return F.expr(f"map({langs})")
 
 
-def weighted_tokens(tokens: Column, negators: Column) -> Column:
-    """Tokens with their valence weight in millionths: 1,000,000, scaled by
-    the negation scalar once per negator among the preceding
-    ``NEGATION_WINDOW`` tokens. ``tokens`` and ``negators`` must be plain
-    column references (computed once per row), since the lambda reads them
-    for every element. Works on the row's own array: no window, no shuffle."""
+def _contrast_map() -> Column:
+    pairs = ", ".join(f"'{l}', '{w}'" for l, w in CONTRAST_WORDS.items())
+    return F.expr(f"map({pairs})")
+
+
+def weighted_tokens(tokens: Column, negators: Column, contrast_at: Column,
+                    negation: bool, contrast: bool) -> Column:
+    """Tokens with their valence weight in 1e-8 units (``WEIGHT_ONE`` = 1).
+    Negation scales by the negation scalar once per negator among the
+    preceding ``NEGATION_WINDOW`` tokens; contrast scales tokens before /
+    after the first contrast word (1-based ``contrast_at``, 0 = none).
+    ``tokens``, ``negators`` and ``contrast_at`` must be plain column
+    references (computed once per row): the lambda reads them for every
+    element. Works on the row's own array: no window, no shuffle."""
     def factor(i):
         f = F.lit(1).cast("long")
         for k in range(1, NEGATION_WINDOW + 1):
-            prev = F.get(tokens, i - k)
-            f = f * F.when(F.array_contains(negators, prev), F.lit(NEGATION_SCALAR_PCT)).otherwise(F.lit(100))
+            if negation:
+                prev = F.get(tokens, i - k)
+                f = f * F.when(F.array_contains(negators, prev), F.lit(NEGATION_SCALAR_PCT)).otherwise(F.lit(100))
+            else:
+                f = f * F.lit(100)
+        if contrast:
+            pos = i + 1
+            f = f * (F.when(contrast_at == 0, F.lit(100)).when(pos < contrast_at, F.lit(CONTRAST_BEFORE_PCT))
+                     .when(pos > contrast_at, F.lit(CONTRAST_AFTER_PCT)).otherwise(F.lit(100)))
+        else:
+            f = f * F.lit(100)
         return f
 
     return F.transform(tokens, lambda w, i: F.struct(w.alias("w"), factor(i).alias("f")))
@@ -70,15 +95,16 @@ def token_hits(df: DataFrame, keys: list[str], cleaned: str, lang: str,
 
 def score_texts(df: DataFrame, keys: list[str], text: str, lang: str = "lang",
                 lexicon: DataFrame | None = None, cleaned: str | None = None,
-                negation: bool = False) -> DataFrame:
+                negation: bool = False, contrast: bool = False) -> DataFrame:
     """Score each distinct key of ``df`` once.
 
     Returns ``keys + [compound DOUBLE, sentiment STRING, emotion STRING]``.
     ``df`` must hold one text per key (a song's lyrics). Text NULL or empty
     after cleaning → compound 0.0 and emotion NULL; text without any
     lexicon hit → emotion ``not applicable``. ``negation`` scales a word's
-    valence when a negator of its language precedes it (emotion counts are
-    not affected).
+    valence when a negator of its language precedes it; ``contrast`` damps
+    what precedes the first contrast word and stresses what follows
+    (emotion counts are affected by neither).
     """
     lex = _lexicon(df.sparkSession, lexicon)
     if cleaned is None:
@@ -89,25 +115,28 @@ def score_texts(df: DataFrame, keys: list[str], text: str, lang: str = "lang",
     lex = lex.select(F.col("lang").alias("_lang"), F.col("word").alias("_word"),
                      F.col("valence_milli").alias("_val"), F.col("emotion").alias("_emo"))
     # Left join keeps texts without hits; explode_outer keeps empty ones.
-    if negation:
+    if negation or contrast:
         negs = F.coalesce(F.try_element_at(_negator_map(), F.col("_lang")), F.array().cast("array<string>"))
         arr = base.select(*keys, "_present", "_lang", F.split(F.col("_text"), " ").alias("_tk"),
                           negs.alias("_negs"))
-        toks = arr.select(*keys, "_present", "_lang",
-                          F.explode_outer(weighted_tokens(F.col("_tk"), F.col("_negs"))).alias("_t"))
+        at = F.coalesce(F.array_position(F.col("_tk"), F.try_element_at(_contrast_map(), F.col("_lang"))),
+                        F.lit(0))
+        arr = arr.withColumn("_at", at)
+        weighted = weighted_tokens(F.col("_tk"), F.col("_negs"), F.col("_at"), negation, contrast)
+        toks = arr.select(*keys, "_present", "_lang", F.explode_outer(weighted).alias("_t"))
         toks = toks.select(*keys, "_present", "_lang", F.col("_t")["w"].alias("_word"),
                            F.col("_t")["f"].alias("_f"))
     else:
         toks = base.select(*keys, "_present", "_lang",
                            F.explode_outer(F.split(F.col("_text"), " ")).alias("_word"),
-                           F.lit(1_000_000).cast("long").alias("_f"))
+                           F.lit(WEIGHT_ONE).cast("long").alias("_f"))
     hits = toks.join(lex, on=["_lang", "_word"], how="left")
     counts = [F.count_if(F.col("_emo") == e).alias(f"_n{i}") for i, e in enumerate(EMOTIONS)]
     agg = hits.groupBy(*keys).agg(F.max("_present").alias("_present"),
                                   F.sum(F.col("_val").cast("long") * F.col("_f")).alias("_s"), *counts)
     best = F.greatest(*[F.struct(F.col(f"_n{i}").alias("n"), F.lit(-i).alias("r"),
                                  F.lit(e).alias("e")) for i, e in enumerate(EMOTIONS)])
-    compound = compound_from_nano(F.col("_s"))
+    compound = compound_from_units(F.col("_s"))
     emotion = (F.when(~F.col("_present"), F.lit(None).cast("string"))
                .when(best["n"] > 0, best["e"])
                .otherwise(F.lit(NOT_APPLICABLE)))

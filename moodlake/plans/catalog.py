@@ -51,6 +51,13 @@ def compound_score_negated(spark, sf_dir):
     return score_texts(d, ["doc_id"], "text", lang="lang", negation=True).select("doc_id", "compound", "sentiment")
 
 
+def compound_score_rules(spark, sf_dir):
+    """A6 with both options: negation and the contrast ('but') rule."""
+    d = table(spark, sf_dir, "documents")
+    return (score_texts(d, ["doc_id"], "text", lang="lang", negation=True, contrast=True)
+            .select("doc_id", "compound", "sentiment"))
+
+
 def top_emotion(spark, sf_dir):
     return _doc_scores(spark, sf_dir).select("doc_id", "emotion")
 
@@ -435,6 +442,7 @@ def queries() -> dict[str, Query]:
         "compound_score": compound_score,
         "top_emotion": top_emotion,
         "compound_score_negated": compound_score_negated,
+        "compound_score_rules": compound_score_rules,
     }
     for g in ("day", "week", "month"):
         q[f"taste_trend_{g}"] = (lambda grain: lambda s, d: dash.taste_trend(s, d, grain))(g)

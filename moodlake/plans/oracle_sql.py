@@ -69,25 +69,33 @@ emo(emotion, rnk) AS (VALUES {_EMO_VALUES}),
   LEFT JOIN {p}top t ON {on_t})"""
 
 
-def negated_scores_sql() -> str:
-    """Document compound with negation scaling (same model as
-    ``score_texts(..., negation=True)``)."""
-    from moodlake.operators.lexicon import NEGATION_SCALAR_PCT, NEGATION_WINDOW, NEGATORS
+def negated_scores_sql(contrast: bool = False) -> str:
+    """Document compound with negation scaling, and optionally the contrast
+    rule (same model as ``score_texts(..., negation=True, contrast=...)``)."""
+    from moodlake.operators.lexicon import (CONTRAST_AFTER_PCT, CONTRAST_BEFORE_PCT, CONTRAST_WORDS,
+                                            NEGATION_SCALAR_PCT, NEGATION_WINDOW, NEGATORS)
     negs = "CASE lang " + " ".join(
         f"WHEN '{l}' THEN [{', '.join(chr(39) + w + chr(39) for w in ws)}]" for l, ws in NEGATORS.items()
     ) + " ELSE [] END"
-    factor = " * ".join(
-        f"(CASE WHEN i - {k} >= 1 AND list_contains(negs, tk[i - {k}]) THEN {NEGATION_SCALAR_PCT} ELSE 100 END)"
-        for k in range(1, NEGATION_WINDOW + 1))
+    cword = "CASE lang " + " ".join(f"WHEN '{l}' THEN '{w}'" for l, w in CONTRAST_WORDS.items()) + " END"
+    factors = [f"(CASE WHEN i - {k} >= 1 AND list_contains(negs, tk[i - {k}]) THEN {NEGATION_SCALAR_PCT} ELSE 100 END)"
+               for k in range(1, NEGATION_WINDOW + 1)]
+    unit = "1e9"
+    if contrast:
+        factors.append(f"(CASE WHEN cpos = 0 THEN 100 WHEN i < cpos THEN {CONTRAST_BEFORE_PCT} "
+                       f"WHEN i > cpos THEN {CONTRAST_AFTER_PCT} ELSE 100 END)")
+        unit = "1e11"
+    factor = " * ".join(factors)
     return f"""WITH lex(lang, word, valence_milli, emotion) AS (VALUES {lexicon_values_sql()}),
 cleaned AS (SELECT doc_id, lang, {clean('text')} AS c FROM documents),
-arr AS (SELECT doc_id, lang, string_split(c, ' ') AS tk, {negs} AS negs FROM cleaned),
+arr0 AS (SELECT doc_id, lang, string_split(c, ' ') AS tk, {negs} AS negs, {cword} AS cw FROM cleaned),
+arr AS (SELECT *, coalesce(list_position(tk, cw), 0) AS cpos FROM arr0),
 toks AS (SELECT doc_id, lang, unnest(list_transform(tk, lambda w, i: {{'w': w, 'f': CAST({factor} AS BIGINT)}})) AS t
          FROM arr),
 sums AS (SELECT t.doc_id, sum(CAST(l.valence_milli AS BIGINT) * t.t.f) AS s
          FROM toks t JOIN lex l ON l.lang = t.lang AND l.word = t.t.w GROUP BY t.doc_id),
-sc AS (SELECT c.doc_id, round(CAST(coalesce(h.s, 0) AS DOUBLE) / 1e9
-         / sqrt(power(CAST(coalesce(h.s, 0) AS DOUBLE) / 1e9, 2) + {COMPOUND_ALPHA}), 4) AS compound
+sc AS (SELECT c.doc_id, round(CAST(coalesce(h.s, 0) AS DOUBLE) / {unit}
+         / sqrt(power(CAST(coalesce(h.s, 0) AS DOUBLE) / {unit}, 2) + {COMPOUND_ALPHA}), 4) AS compound
        FROM cleaned c LEFT JOIN sums h ON h.doc_id = c.doc_id)
 SELECT doc_id, compound,
        CASE WHEN compound = 0 THEN '0.0'
@@ -153,6 +161,7 @@ def queries_sql() -> dict[str, str]:
         FROM scores s"""
     q["top_emotion"] = doc_scores + "\nSELECT doc_id, emotion FROM scores"
     q["compound_score_negated"] = negated_scores_sql()
+    q["compound_score_rules"] = negated_scores_sql(contrast=True)
     return q
 
 

@@ -90,11 +90,13 @@ def test_user_lexicon_and_bounded_broadcast(spark, tmp):
     assert "broadcast" not in plan.lower()
 
 
-def brute_negated(text_clean, lang):
-    from moodlake.operators.lexicon import NEGATORS
+def brute_negated(text_clean, lang, contrast=False):
+    from moodlake.operators.lexicon import CONTRAST_WORDS, NEGATORS
     if not text_clean:
         return 0.0
     toks = text_clean.split(" ")
+    but = CONTRAST_WORDS.get(lang)
+    at = toks.index(but) if contrast and but in toks else None
     s = 0
     for i, w in enumerate(toks):
         hit = LEX.get((lang, w))
@@ -103,6 +105,8 @@ def brute_negated(text_clean, lang):
             for k in (1, 2, 3):
                 if i - k >= 0 and toks[i - k] in NEGATORS.get(lang, []):
                     f = f * -74 // 100
+            if at is not None:
+                f = f * (50 if i < at else 150 if i > at else 100) // 100
             s += hit[0] * f
     x = s / 1e9
     return round(x / math.sqrt(x * x + COMPOUND_ALPHA), 4)
@@ -117,3 +121,15 @@ def test_negation_option(spark):
     for i, lang, text in rows:
         assert got[i] == brute_negated(py_clean(text), lang), (i, text)
     assert got[11] < 0 < got[12]
+
+
+def test_contrast_option(spark):
+    from tests.test_text import py_clean
+    rows = ROWS + [(11, "en", "I love it but I hate it"), (12, "en", "sad but happy but sad"),
+                   (13, "de", "liebe aber nicht gut"), (14, "fr", "triste mais bon"), (15, "en", "but love")]
+    df = spark.createDataFrame(rows, "id INT, lang STRING, text STRING")
+    got = {r.id: r.compound for r in
+           score_texts(df, ["id"], "text", "lang", negation=True, contrast=True).collect()}
+    for i, lang, text in rows:
+        assert got[i] == brute_negated(py_clean(text), lang, contrast=True), (i, text)
+    assert got[11] < 0
