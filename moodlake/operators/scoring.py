@@ -5,7 +5,9 @@ lexicon (map side, no shuffle) → one ``groupBy(key)`` whose partial
 aggregate leaves at most one row per text and map task. The dominant
 emotion is computed in the same aggregate (one count per label and a
 ``greatest`` over ``(count, -label_rank)``), so scoring costs exactly one
-shuffle and no window.
+shuffle and no window. The optional valence rules (negation, contrast)
+weight each token from the row's own token array before the explode, so
+they add no shuffle either.
 """
 
 from __future__ import annotations
@@ -28,12 +30,6 @@ def _lexicon(spark: SparkSession, lexicon: DataFrame | None) -> DataFrame:
     return broadcast_if_bounded(lexicon, MAX_BROADCAST_WORDS)
 
 
-def compound_from_milli(s_milli: Column) -> Column:
-    """S / sqrt(s^2 + alpha), rounded to 4 places; no hits → 0.0."""
-    s = F.coalesce(s_milli, F.lit(0)).cast("double") / 1000.0
-    return F.round(s / F.sqrt(s * s + F.lit(float(COMPOUND_ALPHA))), 4)
-
-
 # Token weights are integers in 1e-8 (three negation factors and one
 # contrast factor, each in percent); valences are in 1e-3, so sums of
 # valence x weight are exact integers in 1e-11.
