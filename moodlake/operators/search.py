@@ -35,7 +35,7 @@ def search(catalogs: dict[str, DataFrame], query: str,
         # A literal cap per kind: the top-k runs as a partial limit per task.
         top = hits.orderBy("relevance", "name", "id").limit(caps[kind])
         w = Window.orderBy("relevance", "name", "id")
-        parts.append(top.withColumn("rank", F.row_number().over(w)))
+        parts.append(top.withColumn("rank", F.row_number().over(w).cast("long")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -56,4 +56,4 @@ def artist_top_tracks(plays: DataFrame, n: int = 10, market: str | None = None,
     counts = src.groupBy("artist", "track_id").agg(F.count(F.lit(1)).alias("plays"),
                                                    F.min("name").alias("name"))
     w = Window.partitionBy("artist").orderBy(F.col("plays").desc(), F.col("track_id"))
-    return counts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+    return counts.withColumn("rank", F.row_number().over(w).cast("long")).filter(F.col("rank") <= n)

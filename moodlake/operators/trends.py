@@ -74,7 +74,7 @@ def top_n(df: DataFrame, by: str, n: int, partition: str | None = "topic",
     if partition is None:
         # Top-k then merge (TakeOrderedAndProject): n rows per task at most.
         top = df.orderBy(*order).limit(n)
-        return top.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
+        return top.withColumn("rank", F.row_number().over(Window.orderBy(*order)).cast("long"))
     # rank <= n lets Catalyst insert a partial group limit before the shuffle.
     w = Window.partitionBy(partition).orderBy(*order)
-    return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+    return df.withColumn("rank", F.row_number().over(w).cast("long")).filter(F.col("rank") <= n)

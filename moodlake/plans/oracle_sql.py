@@ -416,7 +416,7 @@ WHERE l.kind = 'songs'"""
   SELECT 'playlist' AS kind, CAST(c_custkey AS VARCHAR) AS id, c_name AS name,
          {rel.format(q=pq).replace('name', 'c_name')} AS relevance FROM customer) x
 WHERE relevance IS NOT NULL QUALIFY row_number() OVER (ORDER BY relevance, name, id) <= 1""".replace(
-        "SELECT * FROM (", "SELECT *, 1 AS rank FROM (", 1)
+        "SELECT * FROM (", "SELECT *, CAST(1 AS BIGINT) AS rank FROM (", 1)
     q["artist_top_tracks"] = """WITH pl AS (
   SELECT s.s_name AS artist, l.l_partkey AS track_id, p.p_name AS name, n.n_name AS market
   FROM lineitem l JOIN supplier s ON s.s_suppkey = l.l_suppkey JOIN nation n ON n.n_nationkey = s.s_nationkey
