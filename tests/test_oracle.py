@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as E
 from moodlake.sources.tables import TABLES
-from scripts.oracle_check import rows_key
+from scripts.oracle_check import rows_key, type_diffs
 from tests.conftest import SF_SMALL
 
 
@@ -36,6 +36,7 @@ def test_query_matches_oracle(spark, con, name):
     rel = con.execute(E.oracle_sql()[name])
     dcols = [d[0] for d in rel.description]
     assert sorted(dcols) == cols
+    assert type_diffs(df, rel, cols) == []
     idx = [dcols.index(c) for c in cols]
     drows = [tuple(r[i] for i in idx) for r in rel.fetchall()]
     assert rows_key(srows) == rows_key(drows)
