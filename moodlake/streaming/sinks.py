@@ -38,11 +38,6 @@ def read_keyed(spark: SparkSession, path: str, key: str = "combined_id") -> Data
     return agg.select(key, *[F.col("_l")[c].alias(c) for c in out])
 
 
-def to_frames_sink(df: DataFrame):
-    """K2: rows as JSON values, ready for any sink (``value`` column)."""
-    return df.select(F.to_json(F.struct(*df.columns)).alias("value"))
-
-
 def compact_keyed(spark: SparkSession, path: str, out: str, key: str = "combined_id",
                   ts: str = "timestamp") -> DataFrame:
     """Resolve the keys once and store the documents partitioned by feed
