@@ -19,11 +19,11 @@ from moodlake.sources.tables import play_keys, song_variants, table
 
 
 def song_scores(spark: SparkSession, sf_dir: str, lexicon: DataFrame | None = None) -> DataFrame:
-    """Scores of every song variant:
-    ``doc_id, lyrics_missing, genre, artist, compound, sentiment, emotion``."""
+    """Scores of every song variant: ``doc_id, lyrics_missing, compound,
+    sentiment, emotion``. Grouped by the join key alone, so the scores are
+    already hash-partitioned the way the join with the play counts needs."""
     v = song_variants(spark, sf_dir)
-    return score_texts(v, ["doc_id", "lyrics_missing", "genre", "artist"], "lyrics",
-                       lang="genre", lexicon=lexicon)
+    return score_texts(v, ["doc_id", "lyrics_missing"], "lyrics", lang="genre", lexicon=lexicon)
 
 
 def weighted_plays(spark: SparkSession, sf_dir: str, by_day: bool = False,
