@@ -56,3 +56,44 @@ def test_percent_decode_fuzz(spark):
     got = run(spark, tx.percent_decode, values)
     bad = [(v, got[i], unquote(v)) for i, v in enumerate(values) if got[i] != unquote(v)]
     assert not bad, bad[:5]
+
+
+TITLE_ALPHABET = list("ab ()[]\t-") + ["\xa0", " (feat. x)", "[Live]", "\n"]
+FILE_ALPHABET = list("ab -") + [" - ", " -", "- ", "é"]
+
+
+def python_title(t):
+    return t.split("[")[0].split("(")[0].strip()
+
+
+def python_split_form(f):
+    parts = f[:-4].split(" - ")
+    return parts[0], parts[1] if len(parts) > 1 else None
+
+
+def python_index_form(f):
+    if " - " not in f:
+        return None, None
+    i = f.index(" - ")
+    return f[:i], f[i + 3:-4]
+
+
+def test_title_and_first_line_fuzz(spark):
+    values = strings(TITLE_ALPHABET, 300, seed=17, max_len=12)
+    got = run(spark, tx.clean_title, values)
+    assert [got[i] for i in range(len(values))] == [python_title(v) for v in values]
+    got = run(spark, tx.drop_first_line, values)
+    assert [got[i] for i in range(len(values))] == [v.split("\n", 1)[-1] for v in values]
+
+
+def test_file_name_forms_fuzz(spark):
+    values = [s + ".mp3" for s in strings(FILE_ALPHABET, 300, seed=19, max_len=8)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i INT, f STRING")
+    sn, sa = tx.parse_file_split("f")
+    i_n, i_a = tx.parse_file_index("f")
+    rows = {r.i: r for r in df.select("i", sn.alias("sn"), sa.alias("sa"), i_n.alias("xn"),
+                                      i_a.alias("xa")).collect()}
+    for i, v in enumerate(values):
+        r = rows[i]
+        assert (r.sn, r.sa) == python_split_form(v), v
+        assert (r.xn, r.xa) == python_index_form(v), v
