@@ -150,3 +150,7 @@ def test_sql_functions_match_column_functions(spark):
     r = spark.sql("SELECT sentiment_category('x', 0.5) a, score_text(0.0005) b, after_equals('a=b') c, "
                   "percent_decode('a%20b%zz+') d").first()
     assert (r.a, r.b, r.c, r.d) == ("slightly positive", "0.0005", "b", "a b%zz+")
+    r = spark.sql("SELECT iso_timestamp(TIMESTAMP'2024-03-01 10:11:12.345678') a, "
+                  "combined_id(NULL, '2024-03-01T10:11:12.345Z') b, combined_id('7', 'x') c, "
+                  "count_char('a\"b\"', '\"') d").first()
+    assert (r.a, r.b, r.c, r.d) == ("2024-03-01T10:11:12.345Z", "2024-03-01T10:11:12.345Z", "7_x", 2)
