@@ -11,6 +11,7 @@ output folder (K1).
 
 from __future__ import annotations
 
+import hashlib
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,7 +49,10 @@ def run_scoring(frames: DataFrame, sink_path: str, checkpoint: str,
     """Start the scoring stream (R1). ``available_now`` (R4) processes what
     is there and stops — the daily harvest run; otherwise the default
     micro-batch trigger keeps it running."""
-    run = os.path.basename(checkpoint.rstrip("/")) or "run"
+    # One run per checkpoint: the name carries a hash of the full path, so
+    # two checkpoints with the same folder name never share output folders.
+    digest = hashlib.sha1(checkpoint.rstrip("/").encode()).hexdigest()[:10]
+    run = f"{os.path.basename(checkpoint.rstrip('/')) or 'run'}-{digest}"
 
     def each(batch: DataFrame, batch_id: int) -> None:
         write_keyed_batch(score_frames(batch, lexicon), sink_path, run, batch_id)

@@ -159,3 +159,14 @@ def test_late_rows_are_dropped_in_append_mode(spark, tmp):
     got = {(str(r.period), r.plays) for r in spark.read.parquet(out).collect()}
     assert ("2024-01-01", 1) in got and ("2024-01-02", 1) in got
     assert ("2024-01-02", 2) not in got
+
+
+def test_same_checkpoint_name_in_two_places_keeps_both_runs(spark, tmp):
+    src = os.path.join(tmp, "frames")
+    write_frames(src, PLAYS, "part-0.json")
+    sink = os.path.join(tmp, "sink")
+    for parent in ("a", "b"):
+        run_scoring(read_frames(spark, "files", path=src), sink, os.path.join(tmp, parent, "checkpoint"),
+                    available_now=True).awaitTermination()
+    assert spark.read.parquet(sink).select("run").distinct().count() == 2
+    assert spark.read.parquet(sink).count() == 6
