@@ -68,11 +68,17 @@ def to_frames(df: DataFrame) -> DataFrame:
     return df.select(F.to_json(F.struct(*df.columns)).alias("value"))
 
 
+def envelope_value(feed: str | None = None) -> Column:
+    """K3 as a column: the play record JSON of the row; ``feed`` overrides
+    ``topic``."""
+    topic = F.lit(feed) if feed else F.col("topic")
+    return F.to_json(F.struct(topic.alias("topic"), *[F.col(f) for f in ENVELOPE_FIELDS[1:]]))
+
+
 def play_envelope(df: DataFrame, feed: str | None = None, value_only: bool = True) -> DataFrame:
     """K3: build the play record JSON; ``feed`` overrides ``topic``. With
-    ``value_only=False`` the other columns are kept next to ``value``."""
-    topic = F.lit(feed) if feed else F.col("topic")
-    rec = F.to_json(F.struct(topic.alias("topic"), *[F.col(f) for f in ENVELOPE_FIELDS[1:]]))
+    ``value_only=False`` the non-envelope columns are kept next to ``value``."""
+    rec = envelope_value(feed)
     if value_only:
         return df.select(rec.alias("value"))
     return df.select(*[c for c in df.columns if c not in ENVELOPE_FIELDS], rec.alias("value"))

@@ -21,6 +21,7 @@ from moodlake.operators import lookup, search
 from moodlake.operators.scoring import score_plays, score_texts
 from moodlake.plans import dashboards as dash
 from moodlake.plans import streams
+from moodlake.plans.harvest import chart_harvest
 from moodlake.sources.frames import frames_from_tables
 from moodlake.sources.library import library_from_tables
 from moodlake.sources.pages import pages_from_tables
@@ -457,6 +458,7 @@ def queries() -> dict[str, Query]:
                with_track_id, search_all, search_playlist, artist_top_tracks,
                track_neighbors, album_cards, playlist_cards, to_frames, sql_functions):
         q[fn.__name__] = fn
+    q["chart_harvest"] = chart_harvest
     q["stream_scoring"] = streams.stream_scoring
     q["stream_trend_day"] = streams.stream_trend_day
     return q

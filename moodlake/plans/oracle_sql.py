@@ -160,6 +160,24 @@ def queries_sql() -> dict[str, str]:
                                         '0+$', ''), '\\.$', '.0') END AS sentiment
         FROM scores s"""
     q["top_emotion"] = doc_scores + "\nSELECT doc_id, emotion FROM scores"
+    q["chart_harvest"] = "WITH " + PLAY_KEYS + """,
+counts AS (SELECT topic, doc_id, count(*) AS plays FROM pk
+           WHERE topic IN ('song_global_top', 'song_italy_top') GROUP BY topic, doc_id),
+chart AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY plays DESC, doc_id) AS rn
+                         FROM counts) WHERE rn <= 50),
+gen AS (SELECT source, list_sort(list_distinct(list(lang))) AS genres FROM documents GROUP BY source),
+items AS (
+  SELECT c.topic, c.rn AS item_number, CAST(d.doc_id AS VARCHAR) AS id, 'song ' || CAST(d.doc_id AS VARCHAR) AS name,
+         d.source AS artist,
+         CASE WHEN strpos(d.text, '[FN#') > 0 OR length(d.text) - length(replace(d.text, '"', '')) >= 50
+              THEN 'Lyrics not found' ELSE regexp_replace(d.text, '^[^\\n]*\\n', '') END AS lyrics,
+         CASE WHEN g.source IS NULL THEN NULL WHEN len(g.genres) = 0 OR g.genres[1] = '' THEN 'not applicable'
+              ELSE g.genres[1] END AS genre
+  FROM chart c JOIN documents d ON d.doc_id = c.doc_id LEFT JOIN gen g ON g.source = d.source)
+SELECT topic, item_number, id, name, artist, genre, md5(lyrics) AS lyrics_md5,
+       md5(CAST(json_object('topic', topic, 'name', name, 'artist', artist, 'lyrics', lyrics,
+                            'genre', genre, 'id', id) AS VARCHAR)) AS value_md5
+FROM items"""
     q["compound_score_negated"] = negated_scores_sql()
     q["compound_score_rules"] = negated_scores_sql(contrast=True)
     return q
