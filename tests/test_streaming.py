@@ -170,3 +170,17 @@ def test_same_checkpoint_name_in_two_places_keeps_both_runs(spark, tmp):
                     available_now=True).awaitTermination()
     assert spark.read.parquet(sink).select("run").distinct().count() == 2
     assert spark.read.parquet(sink).count() == 6
+
+
+def test_command_line_score_trend_compact(spark, tmp):
+    from moodlake.__main__ import main
+    src = os.path.join(tmp, "frames")
+    write_frames(src, PLAYS, "part-0.json")
+    sink, out, comp = (os.path.join(tmp, x) for x in ("sink", "trend", "compact"))
+    assert main(["score", "--frames", src, "--sink", sink, "--checkpoint", os.path.join(tmp, "ck"),
+                 "--available-now"]) == 0
+    assert len(keyed(spark, sink)) == 3
+    assert main(["trend", "--scored", sink, "--out", out, "--checkpoint", os.path.join(tmp, "ckt"),
+                 "--available-now", "--watermark", "0 seconds"]) == 0
+    assert main(["compact", "--scored", sink, "--out", comp]) == 0
+    assert spark.read.parquet(comp).count() == 3
