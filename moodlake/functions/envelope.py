@@ -163,8 +163,9 @@ def cards(df: DataFrame, kind: str, default_image: str = DEFAULT_IMAGE) -> DataF
     return df.select(*cols)
 
 
-def artist_profile(df: DataFrame) -> DataFrame:
-    """Name, first image, followers, popularity, genres as text."""
+def artist_profile(df: DataFrame, *keep: str) -> DataFrame:
+    """Name, first image, followers, popularity, genres as text (plus
+    the ``keep`` columns)."""
     return df.select("id", "name", F.get(F.col("images"), 0)["url"].alias("image"),
                      F.col("followers")["total"].alias("followers"), "popularity",
-                     join_genres("genres").alias("genres"))
+                     join_genres("genres").alias("genres"), *keep)

@@ -208,9 +208,8 @@ def _artists(spark, sf_dir):
 
 
 def artist_profile(spark, sf_dir):
-    a = _artists(spark, sf_dir)
-    prof = env.artist_profile(a)
-    return prof.join(a.select("id", env.primary_genre(F.struct("genres")).alias("primary_genre")), "id")
+    a = _artists(spark, sf_dir).withColumn("primary_genre", env.primary_genre(F.struct("genres")))
+    return env.artist_profile(a, "primary_genre")
 
 
 def artist_cards(spark, sf_dir):
