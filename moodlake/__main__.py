@@ -13,8 +13,6 @@ from __future__ import annotations
 import argparse
 import sys
 
-from pyspark.sql import functions as F
-
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="moodlake")
@@ -71,7 +69,8 @@ def main(argv: list[str] | None = None) -> int:
                              watermark=args.watermark)
         out = args.out
         w = (trend.writeStream.outputMode("append")
-             .foreachBatch(lambda b, i: b.withColumn("batch", F.lit(i)).write.mode("append").parquet(out))
+             # Each batch overwrites its own folder: a retried batch replaces itself.
+             .foreachBatch(lambda b, i: b.write.mode("overwrite").parquet(f"{out}/batch={i}"))
              .option("checkpointLocation", args.checkpoint or sub_dir(spark, "streams", f"trend-{args.grain}")))
         if args.available_now:
             w = w.trigger(availableNow=True)
