@@ -185,8 +185,15 @@ def circular_neighbors(df: DataFrame, container: list[str], position: str,
     return out.select(*keep, *[f"prev_{f}" for f in fields], *[f"next_{f}" for f in fields])
 
 
-def neighbors_of(neigh: DataFrame, name: str, artist: str, order: str = "position") -> DataFrame:
-    """W1 lookup: neighbours of the first matching track (W3 first-match
-    rule). No match gives no row; the player then shows empty names."""
-    hit = neigh.filter((F.col("name") == name) & (F.col("artist") == artist))
-    return hit.orderBy(order).limit(1)
+def neighbors_of(neigh: DataFrame, name: str, artist: str, order: str = "position",
+                 fields: list[str] = ("name", "artist")) -> DataFrame:
+    """W1 lookup with the W3 first-match rule: one row for the requested
+    track with the neighbours of its first occurrence; a track that is not
+    in the list gets empty strings, as the player shows."""
+    hit = (neigh.filter((F.col("name") == name) & (F.col("artist") == artist))
+                .orderBy(order).limit(1))
+    wanted = neigh.sparkSession.range(1).select(F.lit(name).alias("_n"), F.lit(artist).alias("_a"))
+    j = wanted.join(hit, (F.col("_n") == F.col("name")) & (F.col("_a") == F.col("artist")), "left")
+    cols = [F.coalesce(F.col(f"{side}_{f}").cast("string"), F.lit("")).alias(f"{side}_{f}")
+            for side in ("prev", "next") for f in fields]
+    return j.select(F.col("_n").alias("name"), F.col("_a").alias("artist"), F.col(order), *cols)

@@ -118,4 +118,6 @@ def test_neighbors_of_first_match_and_miss(spark):
     n = lib.circular_neighbors(df, ["list"], "position")
     hit = lib.neighbors_of(n, "a", "x").collect()
     assert len(hit) == 1 and hit[0].position == 0 and hit[0].prev_name == "c" and hit[0].next_name == "b"
-    assert lib.neighbors_of(n, "nope", "x").count() == 0
+    miss = lib.neighbors_of(n, "nope", "x").collect()
+    assert len(miss) == 1 and miss[0].position is None
+    assert (miss[0].prev_name, miss[0].prev_artist, miss[0].next_name, miss[0].next_artist) == ("", "", "", "")
