@@ -17,7 +17,7 @@ from moodlake.functions import envelope as env
 from moodlake.functions import predicates as pred
 from moodlake.functions import text as tx
 from moodlake.operators import library as lib
-from moodlake.operators import lookup, search
+from moodlake.operators import lookup, search, trends
 from moodlake.operators.scoring import score_plays, score_texts
 from moodlake.plans import dashboards as dash
 from moodlake.plans import streams
@@ -59,6 +59,16 @@ def compound_score_rules(spark, sf_dir):
             .select("doc_id", "compound", "sentiment"))
 
 
+def sentiment_category(spark, sf_dir):
+    """T10 per document: category of its compound; the sentinel lyrics
+    (the validity gate's output) are 'not applicable' whatever the score."""
+    d = table(spark, sf_dir, "documents")
+    lyrics = d.select("doc_id", "lang", tx.validate_lyrics("text").alias("lyrics"))
+    scored = score_texts(lyrics, ["doc_id"], "lyrics", lang="lang").join(lyrics.select("doc_id", "lyrics"),
+                                                                        "doc_id")
+    return scored.select("doc_id", tx.sentiment_category("lyrics", "compound").alias("sentiment_category"))
+
+
 def top_emotion(spark, sf_dir):
     return _doc_scores(spark, sf_dir).select("doc_id", "emotion")
 
@@ -444,6 +454,8 @@ def queries() -> dict[str, Query]:
         "compound_score_negated": compound_score_negated,
         "compound_score_rules": compound_score_rules,
     }
+    q["top_emotions"] = lambda s, d: trends.top_n(dash.mood_counts(s, d), "emotion", 3, partition="topic")
+    q["sentiment_category"] = sentiment_category
     for g in ("day", "week", "month"):
         q[f"taste_trend_{g}"] = (lambda grain: lambda s, d: dash.taste_trend(s, d, grain))(g)
     for fn in (scored_plays, clean_text, clean_title, drop_first_line, validate_lyrics,

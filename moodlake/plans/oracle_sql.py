@@ -178,6 +178,16 @@ SELECT topic, item_number, id, name, artist, genre, md5(lyrics) AS lyrics_md5,
        md5(CAST(json_object('topic', topic, 'name', name, 'artist', artist, 'lyrics', lyrics,
                             'genre', genre, 'id', id) AS VARCHAR)) AS value_md5
 FROM items"""
+    q["top_emotions"] = WEIGHTED + """, mc AS (SELECT topic, emotion, count(*) AS plays FROM wp GROUP BY topic, emotion)
+        SELECT topic, emotion, plays, rank FROM (
+          SELECT *, row_number() OVER (PARTITION BY topic ORDER BY plays DESC, emotion NULLS LAST) AS rank FROM mc)
+        WHERE rank <= 3"""
+    gate = ("CASE WHEN strpos(text, '[FN#') > 0 OR length(text) - length(replace(text, '\"', '')) >= 50 "
+            "THEN 'Lyrics not found' ELSE regexp_replace(text, '^[^\\n]*\\n', '') END")
+    q["sentiment_category"] = ("WITH gated AS (SELECT doc_id, lang, " + gate + " AS lyrics FROM documents),\n"
+                               + scoring_ctes("gated", ["doc_id"], "lyrics", "lang") + f"""
+SELECT s.doc_id, {category("g.lyrics = 'Lyrics not found'", "s.compound")} AS sentiment_category
+FROM scores s JOIN gated g ON g.doc_id = s.doc_id""")
     q["compound_score_negated"] = negated_scores_sql()
     q["compound_score_rules"] = negated_scores_sql(contrast=True)
     return q
