@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from moodlake.functions.text import parse_file_index, parse_file_split
-from moodlake.operators.ranking import first_per_key, sequence_number
+from moodlake.operators.ranking import first_per_key, row_numbers
 
 # Library folder kinds.
 KINDS = ["songs", "albums", "playlists"]
@@ -150,7 +150,7 @@ def distinct_artists(df: DataFrame, kind_order: list[str] = ("albums", "playlist
 def number_items(df: DataFrame, order: list, partition: list[str] = ("topic",),
                  out: str = "item_number") -> DataFrame:
     """Running item number (1, 2, …) per feed in list order."""
-    return sequence_number(df, list(partition), list(order), out=out)
+    return row_numbers(df, list(partition), list(order), out=out)
 
 
 def circular_neighbors(df: DataFrame, container: list[str], position: str,
@@ -161,11 +161,11 @@ def circular_neighbors(df: DataFrame, container: list[str], position: str,
     first; a one-item list points at itself. With ``dense`` positions
     (``min..max`` without gaps) neighbours are found by equi-joins on
     ``(container, position ± 1)``; otherwise positions are first renumbered
-    by ``sequence_number``. Adds ``prev_<f>`` and ``next_<f>``.
+    by ``row_numbers``. Adds ``prev_<f>`` and ``next_<f>``.
     """
     container, fields = list(container), list(fields)
     if not dense:
-        df = sequence_number(df, container, [position], out="_seq")
+        df = row_numbers(df, container, [position], out="_seq")
         pos = "_seq"
     else:
         pos = position

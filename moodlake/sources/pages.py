@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from moodlake.functions.envelope import PAGE_SCHEMA
-from moodlake.operators.ranking import sequence_number
+from moodlake.operators.ranking import row_numbers
 from moodlake.sources.tables import table
 
 # Fixed value: items per captured page of a list.
@@ -35,17 +35,17 @@ def pages_from_tables(spark: SparkSession, sf_dir: str, page_size: int = PAGE_SI
     = supplier; a returned line ('R') has no album image. Columns
     ``list_id, offset, items``.
 
-    Items are numbered with ``sequence_number`` (no list is gathered into one
-    task) and packed per (list, page), so every collected array holds at
-    most ``page_size`` items however long the list is.
+    Items are numbered with ``row_numbers`` (a window while lists are of
+    bounded size, the distributed ``sequence_number`` once one is not) and
+    packed per (list, page), so every collected array holds at most
+    ``page_size`` items however long the list is.
     """
     li = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("list_id"), "l_linenumber", "l_partkey", "l_suppkey",
         (F.col("l_returnflag") != "R").alias("_kept"))
     # Number the narrow line rows first (that copy is what gets written),
     # then attach the track attributes.
-    numbered = sequence_number(li, ["list_id"], ["l_linenumber", "l_partkey", "l_suppkey", "_kept"],
-                               out="_rn")
+    numbered = row_numbers(li, ["list_id"], ["l_linenumber", "l_partkey", "l_suppkey", "_kept"], out="_rn")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     j = (numbered.join(part, numbered["l_partkey"] == part["p_partkey"])

@@ -121,3 +121,12 @@ def test_neighbors_of_first_match_and_miss(spark):
     miss = lib.neighbors_of(n, "nope", "x").collect()
     assert len(miss) == 1 and miss[0].position is None
     assert (miss[0].prev_name, miss[0].prev_artist, miss[0].next_name, miss[0].next_artist) == ("", "", "", "")
+
+
+def test_row_numbers_picks_either_plan_with_same_result(spark):
+    from moodlake.operators.ranking import row_numbers
+    df = spark.range(0, 3000).select((F.col("id") % 4).alias("g"), (F.col("id") * 7 % 3001).alias("o"))
+    want = sorted(df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("o"))).collect())
+    window_plan = row_numbers(df, ["g"], ["o"])
+    distributed = row_numbers(df, ["g"], ["o"], max_group=100)   # groups of 750 > 100
+    assert sorted(window_plan.collect()) == want and sorted(distributed.collect()) == want
