@@ -33,7 +33,8 @@ def score_stream_to_sink(spark: SparkSession, sf_dir: str) -> str:
 
 def stream_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R1 + K1 + R3: the keyed documents the scoring stream stored."""
-    docs = read_keyed(spark, score_stream_to_sink(spark, sf_dir))
+    docs = read_keyed(spark, score_stream_to_sink(spark, sf_dir),
+                      columns=["topic", "sentiment", "emotion", "sentiment_category", "cleaned_lyrics"])
     return docs.select("combined_id", "topic", "sentiment", "emotion", "sentiment_category",
                        F.md5("cleaned_lyrics").alias("cleaned_md5"))
 

@@ -26,16 +26,19 @@ def write_keyed_batch(df: DataFrame, path: str, run: str, batch_id: int) -> None
        .write.mode("overwrite").parquet(batch_path(path, run, batch_id)))
 
 
-def read_keyed(spark: SparkSession, path: str, key: str = "combined_id") -> DataFrame:
+def read_keyed(spark: SparkSession, path: str, key: str = "combined_id",
+               columns: list[str] | None = None) -> DataFrame:
     """The stored documents: one row per key, the latest write wins (ties
-    broken by the later run and batch)."""
+    broken by the later run and batch). ``columns`` limits what is carried
+    through the aggregate (Catalyst cannot prune inside the struct that
+    decides the winner), e.g. to leave the lyrics out."""
     df = spark.read.parquet(path)
-    rest = [c for c in df.columns if c != key]
+    keep = columns if columns is not None else [c for c in df.columns if c not in ("written_at", "run", "batch")]
+    rest = [c for c in keep if c != key]
     latest = F.max(F.struct(F.col("written_at").alias("_w"), F.col("run").cast("string").alias("_r"),
                             F.col("batch").cast("long").alias("_b"), *[F.col(c) for c in rest]))
     agg = df.groupBy(key).agg(latest.alias("_l"))
-    out = [c for c in rest if c not in ("written_at", "run", "batch")]
-    return agg.select(key, *[F.col("_l")[c].alias(c) for c in out])
+    return agg.select(key, *[F.col("_l")[c].alias(c) for c in rest])
 
 
 def compact_keyed(spark: SparkSession, path: str, out: str, key: str = "combined_id",
