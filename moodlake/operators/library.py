@@ -170,17 +170,26 @@ def circular_neighbors(df: DataFrame, container: list[str], position: str,
     else:
         pos = position
     bounds = df.groupBy(*container).agg(F.min(pos).alias("_lo"), F.max(pos).alias("_hi"))
-    base = df.join(bounds, container)
+    bounds = bounds.select(*[F.col(c).alias(f"_b{i}") for i, c in enumerate(container)], "_lo", "_hi")
+    # Null-safe conditions: a NULL container is a list too, and the join keys
+    # then differ from the aggregate's partitioning, so both sides shuffle
+    # under the join and AQE can split a list holding a third of the rows.
+    base = df.join(bounds, [F.col(c).eqNullSafe(F.col(f"_b{i}")) for i, c in enumerate(container)])
     base = (base.withColumn("_prev", F.when(F.col(pos) > F.col("_lo"), F.col(pos) - 1)
                             .otherwise(F.col("_hi")))
                 .withColumn("_next", F.when(F.col(pos) < F.col("_hi"), F.col(pos) + 1)
                             .otherwise(F.col("_lo"))))
-    side = df.select(*container, F.col(pos).alias("_p"), *fields)
-    prev = side.select(*container, F.col("_p").alias("_prev"),
-                       *[F.col(f).alias(f"prev_{f}") for f in fields])
-    nxt = side.select(*container, F.col("_p").alias("_next"),
-                      *[F.col(f).alias(f"next_{f}") for f in fields])
-    out = base.join(prev, container + ["_prev"], "left").join(nxt, container + ["_next"], "left")
+    side = df.select(*[F.col(c).alias(f"_s{i}") for i, c in enumerate(container)],
+                     F.col(pos).alias("_p"), *fields)
+    prev = side.select(*[F.col(f"_s{i}").alias(f"_pc{i}") for i in range(len(container))],
+                       F.col("_p").alias("_pp"), *[F.col(f).alias(f"prev_{f}") for f in fields])
+    nxt = side.select(*[F.col(f"_s{i}").alias(f"_nc{i}") for i in range(len(container))],
+                      F.col("_p").alias("_np"), *[F.col(f).alias(f"next_{f}") for f in fields])
+    on_prev = [F.col(c).eqNullSafe(F.col(f"_pc{i}")) for i, c in enumerate(container)] + \
+        [F.col("_prev") == F.col("_pp")]
+    on_next = [F.col(c).eqNullSafe(F.col(f"_nc{i}")) for i, c in enumerate(container)] + \
+        [F.col("_next") == F.col("_np")]
+    out = base.join(prev, on_prev, "left").join(nxt, on_next, "left")
     keep = [c for c in df.columns if c != "_seq"]
     return out.select(*keep, *[f"prev_{f}" for f in fields], *[f"next_{f}" for f in fields])
 

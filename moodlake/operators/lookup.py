@@ -2,7 +2,9 @@
 
 Each dimension is first reduced to one row per lookup key with a partial
 aggregate (``first_per_key``), then joined with a left outer join, so a
-miss keeps the row. The reduced dimension is an aggregate stage: AQE sees
+miss keeps the row. The join conditions are null-safe expressions, which
+differ from the aggregate's partitioning: both sides shuffle under the
+join, so AQE can split the partition of a hot key on the track side. The reduced dimension is an aggregate stage: AQE sees
 its real size before the join and broadcasts it only when small;
 otherwise the join shuffles and AQE splits hot keys of the play side.
 """
@@ -25,8 +27,8 @@ def with_lyrics(tracks: DataFrame, lyrics_dim: DataFrame, order: str = "rank") -
                         ["title", "artist"], [order])
     dim = dim.select(F.col("title").alias("_t"), F.col("artist").alias("_a"),
                      validate_lyrics("lyrics").alias("_lyrics"))
-    keyed = tracks.withColumn("_t", clean_title("name")).withColumn("_a", F.col("artist"))
-    j = keyed.join(dim, ["_t", "_a"], "left")
+    keyed = tracks.withColumn("_kt", clean_title("name"))
+    j = keyed.join(dim, [F.col("_kt").eqNullSafe(F.col("_t")), F.col("artist").eqNullSafe(F.col("_a"))], "left")
     return j.select(*tracks.columns,
                     F.coalesce(F.col("_lyrics"), F.lit(SENTINEL_LYRICS)).alias("lyrics"))
 
@@ -36,7 +38,7 @@ def with_genre(tracks: DataFrame, artists_dim: DataFrame, order: str = "rank") -
     empty genres → ``not applicable``."""
     dim = first_per_key(artists_dim.select("name", order, "genres"), ["name"], [order])
     dim = dim.select(F.col("name").alias("_artist"), F.struct(F.col("genres")).alias("_hit"))
-    j = tracks.join(dim, F.col("artist") == F.col("_artist"), "left")
+    j = tracks.join(dim, F.col("artist").eqNullSafe(F.col("_artist")), "left")
     return j.select(*tracks.columns, primary_genre("_hit").alias("genre"))
 
 
@@ -45,6 +47,7 @@ def with_track_id(plays: DataFrame, catalog: DataFrame, order: str = "rank") ->
     separator); a miss gives NULL."""
     cat = catalog.withColumn("_key", search_key("name", "artist", ""))
     dim = first_per_key(cat.select("_key", order, F.col("id").alias("_id")), ["_key"], [order])
-    dim = dim.select("_key", "_id")
-    j = plays.withColumn("_key", search_key("name", "artist", "")).join(dim, "_key", "left")
+    dim = dim.select(F.col("_key").alias("_dkey"), "_id")
+    j = plays.withColumn("_key", search_key("name", "artist", "")).join(
+        dim, F.col("_key").eqNullSafe(F.col("_dkey")), "left")
     return j.select(*plays.columns, F.col("_id").alias("track_id"))

@@ -130,3 +130,11 @@ def test_row_numbers_picks_either_plan_with_same_result(spark):
     window_plan = row_numbers(df, ["g"], ["o"])
     distributed = row_numbers(df, ["g"], ["o"], max_group=100)   # groups of 750 > 100
     assert sorted(window_plan.collect()) == want and sorted(distributed.collect()) == want
+
+
+def test_circular_neighbors_null_container_is_a_list(spark):
+    rows = [(None, 0, "a"), (None, 1, "b"), ("L", 0, "x")]
+    df = spark.createDataFrame(rows, "list STRING, pos INT, name STRING")
+    n = {r.name: (r.prev_name, r.next_name)
+         for r in lib.circular_neighbors(df, ["list"], "pos", fields=["name"]).collect()}
+    assert n == {"a": ("b", "b"), "b": ("a", "a"), "x": ("x", "x")}
