@@ -62,8 +62,7 @@ def dedupe_keep_first(df: DataFrame, keys: list[str] = ("name", "artist"),
 def purge_duplicates(df: DataFrame, keys: list[str] = ("name", "artist"),
                      id_col: str = "id") -> DataFrame:
     """M5: delete by id every duplicate member (parity: no copy survives)."""
-    ids = duplicate_members(df, keys).select(id_col).distinct()
-    return df.join(ids, on=id_col, how="left_anti")
+    return library_delete(df, duplicate_members(df, keys), [id_col])
 
 
 # --- deletes (J5, M1-M4) -------------------------------------------------
