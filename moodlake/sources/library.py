@@ -8,6 +8,8 @@ On disk the library is ``songs/<file>``, ``albums/<album>/<file>`` and
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,9 +23,13 @@ def read_library(spark: SparkSession, root: str) -> DataFrame:
     path relative to ``root``. File contents are never loaded."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
              .option("pathGlobFilter", "*.mp3").load(root).select("path"))
-    prefix = root.rstrip("/") + "/"
-    rel = F.regexp_replace(F.regexp_replace(F.col("path"), r"^file:", ""),
-                           "^" + _regex_quote(prefix.replace("file:", "")), "")
+    # Spark reports absolute paths ("file:/…" for local files): compare
+    # against the absolute root, without the scheme for local folders.
+    local = "://" not in root
+    base = os.path.abspath(root.replace("file:", "")) if local else root
+    prefix = base.rstrip("/") + "/"
+    path = F.regexp_replace(F.col("path"), r"^file:", "") if local else F.col("path")
+    rel = F.regexp_replace(path, "^" + _regex_quote(prefix), "")
     parts = F.split(rel, "/")
     kind = F.get(parts, 0)
     container = F.when(F.size(parts) >= 3, F.get(parts, 1))

@@ -46,3 +46,10 @@ def test_read_item_pages(spark, tmp):
     flat = env.flatten_tracks(env.explode_items(read_item_pages(spark, p)))
     got = sorted((r.position, r.id) for r in flat.collect())
     assert got == [(0, "0"), (1, "1"), (2, "2"), (3, "3")]
+
+
+def test_read_library_relative_root(spark, tmp, monkeypatch):
+    touch(os.path.join(tmp, "lib", "songs", "A - B.mp3"))
+    monkeypatch.chdir(tmp)
+    rows = read_library(spark, "lib").collect()
+    assert [(r.kind, r.container, r.file_name, r.path) for r in rows] == [("songs", None, "A - B.mp3", "songs/A - B.mp3")]
