@@ -21,12 +21,13 @@ LISTING_COLUMNS = ["kind", "container", "file_name", "path"]
 def read_library(spark: SparkSession, root: str) -> DataFrame:
     """List ``*.mp3`` files below ``root`` (recursively); ``path`` is the
     path relative to ``root``. File contents are never loaded."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", "*.mp3").load(root).select("path"))
-    # Spark reports absolute paths ("file:/…" for local files): compare
-    # against the absolute root, without the scheme for local folders.
+    # Spark reports absolute paths ("file:/…" for local files): list and
+    # compare against the absolute root (resolved here, not in the JVM, whose
+    # working folder may differ), without the scheme for local folders.
     local = "://" not in root
     base = os.path.abspath(root.replace("file:", "")) if local else root
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+             .option("pathGlobFilter", "*.mp3").load(base).select("path"))
     prefix = base.rstrip("/") + "/"
     path = F.regexp_replace(F.col("path"), r"^file:", "") if local else F.col("path")
     rel = F.regexp_replace(path, "^" + _regex_quote(prefix), "")
