@@ -152,6 +152,9 @@ def queries_sql() -> dict[str, str]:
     for g, expr in grains.items():
         q[f"taste_trend_{g}"] = WEIGHTED + f"""SELECT {expr} AS period, topic, emotion, count(*) AS plays
             FROM wp GROUP BY ALL"""
+    q["genre_trend_week"] = "WITH " + PLAY_KEYS + f"""
+SELECT {week_start('CAST(pk."timestamp" AS DATE)')} AS period, pk.topic, d.lang AS genre, count(*) AS plays
+FROM pk JOIN documents d ON d.doc_id = pk.doc_id GROUP BY ALL"""
     doc_scores = "WITH " + scoring_ctes("documents", ["doc_id"], "text", "lang")
     q["compound_score"] = doc_scores + """
         SELECT s.doc_id, s.compound,
