@@ -455,6 +455,7 @@ def queries() -> dict[str, Query]:
         "compound_score_rules": compound_score_rules,
     }
     q["genre_trend_week"] = lambda s, d: dash.genre_trend(s, d, "week")
+    q["artist_trend_month"] = lambda s, d: dash.attribute_trend(s, d, "month", "artist")
     q["top_emotions"] = lambda s, d: trends.top_n(dash.mood_counts(s, d), "emotion", 3, partition="topic")
     q["sentiment_category"] = sentiment_category
     for g in ("day", "week", "month"):

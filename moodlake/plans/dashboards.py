@@ -78,10 +78,19 @@ def taste_trend(spark, sf_dir, grain: str, lexicon=None):
     return trends.taste_trend(wp, grain, dim="emotion", weight="n", bucket="day")
 
 
-def genre_trend(spark, sf_dir, grain: str):
-    """A4 by genre: plays per period, feed and genre. Plays are counted per
-    (feed, song, day) first; only those counts meet the song attributes."""
+SONG_ATTRIBUTES = {"genre": "lang", "artist": "source"}
+
+
+def attribute_trend(spark, sf_dir, grain: str, attribute: str = "genre"):
+    """A4 by a song attribute (genre or artist): plays per period, feed
+    and attribute. Plays are counted per (feed, song, day) first; only
+    those counts meet the song attributes."""
     keys = play_keys(spark, sf_dir).withColumn("day", F.to_date("timestamp"))
     counts = keys.groupBy("topic", "doc_id", "day").agg(F.count(F.lit(1)).alias("n"))
-    docs = table(spark, sf_dir, "documents", spread=False).select("doc_id", F.col("lang").alias("genre"))
-    return trends.taste_trend(counts.join(docs, "doc_id"), grain, dim="genre", weight="n", bucket="day")
+    docs = table(spark, sf_dir, "documents", spread=False).select(
+        "doc_id", F.col(SONG_ATTRIBUTES[attribute]).alias(attribute))
+    return trends.taste_trend(counts.join(docs, "doc_id"), grain, dim=attribute, weight="n", bucket="day")
+
+
+def genre_trend(spark, sf_dir, grain: str):
+    return attribute_trend(spark, sf_dir, grain, "genre")

@@ -154,6 +154,9 @@ def queries_sql() -> dict[str, str]:
             FROM wp GROUP BY ALL"""
     q["genre_trend_week"] = "WITH " + PLAY_KEYS + f"""
 SELECT {week_start('CAST(pk."timestamp" AS DATE)')} AS period, pk.topic, d.lang AS genre, count(*) AS plays
+FROM pk JOIN documents d ON d.doc_id = pk.doc_id GROUP BY ALL"""
+    q["artist_trend_month"] = "WITH " + PLAY_KEYS + f"""
+SELECT {month_start('CAST(pk."timestamp" AS DATE)')} AS period, pk.topic, d.source AS artist, count(*) AS plays
 FROM pk JOIN documents d ON d.doc_id = pk.doc_id GROUP BY ALL"""
     doc_scores = "WITH " + scoring_ctes("documents", ["doc_id"], "text", "lang")
     q["compound_score"] = doc_scores + """
