@@ -57,3 +57,15 @@ def artist_top_tracks(plays: DataFrame, n: int = 10, market: str | None = None,
                                                    F.min("name").alias("name"))
     w = Window.partitionBy("artist").orderBy(F.col("plays").desc(), F.col("track_id"))
     return counts.withColumn("rank", F.row_number().over(w).cast("long")).filter(F.col("rank") <= n)
+
+
+# Fixed value: albums listed on an artist page.
+ARTIST_ALBUMS = 50
+
+
+def artist_albums(albums: DataFrame, n: int = ARTIST_ALBUMS, newest: str = "released") -> DataFrame:
+    """L5 (albums): per artist, its ``n`` newest albums (then by album id).
+    ``albums`` holds album cards (``artist, id, name, image``) and a
+    ``newest`` date column. Adds ``rank``."""
+    w = Window.partitionBy("artist").orderBy(F.col(newest).desc(), F.col("id"))
+    return albums.withColumn("rank", F.row_number().over(w).cast("long")).filter(F.col("rank") <= n)

@@ -412,6 +412,21 @@ def album_cards(spark, sf_dir):
     return env.cards(albums, "album")
 
 
+def artist_albums(spark, sf_dir):
+    """L5 (albums): each artist's 50 newest album cards."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    images = F.when(F.col("o_orderstatus") == "F", F.array().cast("array<struct<url:string>>")) \
+        .otherwise(F.array(F.struct(F.concat(F.lit("img/album-"), F.col("o_orderkey").cast("string")).alias("url"))))
+    albums = o.join(c, o["o_custkey"] == c["c_custkey"]).select(
+        F.concat(F.lit("album-"), F.col("o_orderkey").cast("string")).alias("name"),
+        F.col("o_orderkey").cast("string").alias("id"), images.alias("images"),
+        F.array(F.struct(F.col("c_name").alias("name"))).alias("artists"),
+        F.to_date("o_orderdate").alias("released"))
+    cards = env.cards(albums, "album").join(albums.select("id", "released"), "id")
+    return search.artist_albums(cards).select("artist", "id", "name", "image", "released", "rank")
+
+
 def playlist_cards(spark, sf_dir):
     """P10: playlist cards (customers as playlists)."""
     c = table(spark, sf_dir, "customer")
@@ -469,7 +484,7 @@ def queries() -> dict[str, Query]:
                library_delete, library_neighbors, duplicate_members, dedupe_keep_first,
                purge_duplicates, circular_neighbors, number_items, page, with_lyrics,
                with_track_id, search_all, search_playlist, artist_top_tracks,
-               track_neighbors, album_cards, playlist_cards, to_frames, sql_functions):
+               track_neighbors, album_cards, artist_albums, playlist_cards, to_frames, sql_functions):
         q[fn.__name__] = fn
     q["chart_harvest"] = chart_harvest
     q["stream_scoring"] = streams.stream_scoring

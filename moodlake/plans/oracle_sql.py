@@ -470,6 +470,12 @@ WHERE name = 'red widget' AND artist = 'Supplier#000000007' ORDER BY list_id, po
   CASE WHEN o.o_orderstatus = 'F' THEN {DEFAULT_IMAGE_SQL} ELSE 'img/album-' || CAST(o.o_orderkey AS VARCHAR) END AS image,
   c.c_name AS artist
 FROM orders o LEFT JOIN customer c ON c.c_custkey = o.o_custkey"""
+    q["artist_albums"] = f"""SELECT artist, id, name, image, released, rank FROM (
+  SELECT c.c_name AS artist, CAST(o.o_orderkey AS VARCHAR) AS id, 'album-' || CAST(o.o_orderkey AS VARCHAR) AS name,
+    CASE WHEN o.o_orderstatus = 'F' THEN {DEFAULT_IMAGE_SQL} ELSE 'img/album-' || CAST(o.o_orderkey AS VARCHAR) END AS image,
+    CAST(o.o_orderdate AS DATE) AS released,
+    row_number() OVER (PARTITION BY c.c_name ORDER BY CAST(o.o_orderdate AS DATE) DESC, CAST(o.o_orderkey AS VARCHAR)) AS rank
+  FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey) WHERE rank <= 50"""
     q["playlist_cards"] = f"""SELECT c_name AS name, CAST(c_custkey AS VARCHAR) AS id,
   CASE WHEN c_acctbal < 0 THEN {DEFAULT_IMAGE_SQL} ELSE 'img/' || c_name END AS image FROM customer"""
     q["to_frames"] = """SELECT event_id, md5(CAST(json_object('event_id', event_id, 'user_id', user_id,
