@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from moodlake.llm import packing, token_counts
+from moodlake.llm import language_id, license_scan, packing, quality, token_counts, topk
 from moodlake.llm.common import read_table
 
 
@@ -20,5 +21,29 @@ def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack_documents(read_table(spark, sf_dir, "documents")))
 
 
+def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five highest integer inner products of every 50th vector."""
+    return topk.top_k(read_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, 5, 256.0)
+
+
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and detections of every document."""
+    return license_scan.digest(license_scan.scan(read_table(spark, sf_dir, "documents")))
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from three of four folds."""
+    docs = read_table(spark, sf_dir, "documents")
+    held = language_id.held_out(F.col("doc_id"), 4, 2)
+    model = language_id.learn(docs.where(~held))
+    return language_id.predict(docs, model, keep={"doc_id": F.col("doc_id"), "held_out": held})
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and the outlier verdict of every document."""
+    return quality.quality_report(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_histogram, op4_pack)}
+    return {f.__name__: f for f in (op2_token_histogram, op3_top_k, op4_pack, op8_license_scan,
+                                   op9_language, op10_quality)}
