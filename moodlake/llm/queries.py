@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodlake.llm import language_id, license_scan, packing, quality, token_counts, topk
+from moodlake.llm import jaccard_join, language_id, license_scan, packing, pii, quality, token_counts, topk, toxicity
 from moodlake.llm.common import read_table
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 5-word shingle sets are 75 % alike."""
+    return jaccard_join.jaccard_components(read_table(spark, sf_dir, "documents"))
+
+
 def op2_token_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact length histogram of all documents with its suffix sums."""
     return token_counts.length_histogram(token_counts.lengths(read_table(spark, sf_dir, "documents")))
@@ -26,6 +31,19 @@ def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(read_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, 5, 256.0)
 
 
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data and disclosing words in every document."""
+    return pii.digest(read_table(spark, sf_dir, "documents"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from four of five folds of the labels."""
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    held = language_id.held_out(F.col("doc_id"), 5, 0)
+    model = toxicity.learn(docs, labels, ~held)
+    return toxicity.score(docs, model, keep={"doc_id": F.col("doc_id"), "held_out": held})
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and detections of every document."""
     return license_scan.digest(license_scan.scan(read_table(spark, sf_dir, "documents")))
@@ -45,5 +63,5 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_histogram, op3_top_k, op4_pack, op8_license_scan,
+    return {f.__name__: f for f in (op1_jaccard_join, op2_token_histogram, op3_top_k, op4_pack, op5_personal_data, op6_toxicity, op8_license_scan,
                                    op9_language, op10_quality)}
