@@ -136,10 +136,11 @@ def signatures(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> Dat
                              s[often][:take - len(rare)].view(np.int64), bitmap(s).tobytes()))
             out = pd.DataFrame(rows, columns=["n", "d1", "d2", "rare", "frequent", "bits"])
             out["d1"], out["d2"] = out["d1"].astype("Int64"), out["d2"].astype("Int64")
-            out.insert(0, "doc_id", pdf["doc_id"].to_numpy())
+            out.insert(0, "text_key", pdf["text_key"].to_numpy())
+            out.insert(0, "doc_id", pdf["doc_id"].astype("Int64"))
             yield out
 
-    return docs.mapInPandas(sign, "doc_id long, n long, d1 long, d2 long, rare array<long>, "
+    return docs.mapInPandas(sign, "doc_id long, text_key long, n long, d1 long, d2 long, rare array<long>, "
                                   "frequent array<long>, bits binary")
 
 
@@ -294,9 +295,11 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int =
 
 def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE,
                        percent: int = PERCENT) -> DataFrame:
-    """``doc_id, n_shingles, component_id, class_id`` per row of ``docs``:
-    the smallest doc_id of its component and of its class of equal sets."""
-    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    """``doc_id, n_shingles, component_id, class_id, text_key`` per row of
+    ``docs``: the smallest doc_id of its component and of its class of equal
+    sets; ``text_key`` is ``xxhash64`` of the text."""
+    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"),
+                       F.xxhash64(text).alias("text_key"))
     sig = materialize(signatures(docs, size, percent), "signatures")
     classes = (sig.where("n > 0").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("first_id"))
                   .withColumn("cls", F.monotonically_increasing_id()))
@@ -332,9 +335,30 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     lowest = of_class.groupBy("root").agg(F.min("first_id").alias("component_id"))
     known = materialize(of_class.join(lowest, "root").select(
         F.col("d1").alias("c1"), F.col("d2").alias("c2"), "component_id", F.col("first_id").alias("class_id")), "known")
-    out = sig.select("doc_id", "n", "d1", "d2").join(
+    out = sig.select("doc_id", "text_key", "n", "d1", "d2").join(
         known, (F.col("d1") == F.col("c1")) & (F.col("d2") == F.col("c2")), "left")
     alone = F.col("n") == 0
     return out.select("doc_id", F.col("n").alias("n_shingles"),
                       F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-                      F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
+                      F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), "text_key")
+
+
+def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **kw) -> DataFrame:
+    """``docs`` with one document of each component: the one with the smallest
+    doc_id. Of rows repeated as a whole one stays; rows without an id stay
+    unless they are linked to one with an id; documents with an empty set stay."""
+    found = jaccard_components(docs, doc_id, text, **kw)
+    gone = materialize(found.where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
+                            .select(F.col("doc_id").alias("g_id"), F.col("text_key").alias("g_key")).distinct(), "gone")
+    small = gone.count() <= MAX_BROADCAST
+    same = F.col(doc_id).cast("long").eqNullSafe(F.col("g_id")) & (F.xxhash64(text) == F.col("g_key"))
+    kept = docs.join(F.broadcast(gone) if small else gone, same, "left_anti")
+    # Repeated rows: only rows whose id and text occur again go through the distinct.
+    again = (found.groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+                  .select(F.col("doc_id").alias("g_id"), F.col("text_key").alias("g_key")))
+    again = materialize(again, "again")
+    few = again.count()
+    if not few:
+        return kept
+    twice = F.broadcast(again) if few <= MAX_BROADCAST else again
+    return kept.join(twice, same, "left_anti").unionByName(kept.join(twice, same, "left_semi").distinct())

@@ -7,13 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodlake.llm import jaccard_join, language_id, license_scan, packing, pii, quality, token_counts, topk, toxicity
+from moodlake.llm import jaccard_join, language_id, license_scan, mixing, packing, pii, quality, token_counts, topk, toxicity
 from moodlake.llm.common import read_table
 
 
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 5-word shingle sets are 75 % alike."""
-    return jaccard_join.jaccard_components(read_table(spark, sf_dir, "documents"))
+    return jaccard_join.jaccard_components(read_table(spark, sf_dir, "documents")).drop("text_key")
 
 
 def op2_token_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,6 +44,11 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model, keep={"doc_id": F.col("doc_id"), "held_out": held})
 
 
+def op7_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calibrated weight, probability and draw of every document."""
+    return mixing.report(read_table(spark, sf_dir, "documents"))
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and detections of every document."""
     return license_scan.digest(license_scan.scan(read_table(spark, sf_dir, "documents")))
@@ -63,5 +68,5 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_jaccard_join, op2_token_histogram, op3_top_k, op4_pack, op5_personal_data, op6_toxicity, op8_license_scan,
+    return {f.__name__: f for f in (op1_jaccard_join, op2_token_histogram, op3_top_k, op4_pack, op5_personal_data, op6_toxicity, op7_mixture, op8_license_scan,
                                    op9_language, op10_quality)}
