@@ -123,7 +123,7 @@ def signatures(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> Dat
             for t in pdf["text"]:
                 s = shingle_set(t, size)
                 if not len(s):
-                    rows.append((0, None, None, [], [], b""))
+                    rows.append((0, 0, 0, [], [], b""))
                     continue
                 if len(last):
                     at = np.minimum(np.searchsorted(last, s), len(last) - 1)
@@ -135,13 +135,15 @@ def signatures(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> Dat
                 rows.append((len(s), *set_digest(s), rare.view(np.int64),
                              s[often][:take - len(rare)].view(np.int64), bitmap(s).tobytes()))
             out = pd.DataFrame(rows, columns=["n", "d1", "d2", "rare", "frequent", "bits"])
-            out["d1"], out["d2"] = out["d1"].astype("Int64"), out["d2"].astype("Int64")
             out.insert(0, "text_key", pdf["text_key"].to_numpy())
-            out.insert(0, "doc_id", pdf["doc_id"].astype("Int64"))
+            out.insert(0, "doc_id", pdf["doc_id"])
             yield out
 
-    return docs.mapInPandas(sign, "doc_id long, text_key long, n long, d1 long, d2 long, rare array<long>, "
+    # Ids travel as text: pandas would turn a column of numbers with nulls into floats.
+    keyed = docs.withColumn("doc_id", F.col("doc_id").cast("string"))
+    out = keyed.mapInPandas(sign, "doc_id string, text_key long, n long, d1 long, d2 long, rare array<long>, "
                                   "frequent array<long>, bits binary")
+    return out.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def shared_tokens(reps: DataFrame) -> DataFrame:
@@ -176,7 +178,7 @@ def shared_tokens(reps: DataFrame) -> DataFrame:
                 .mapInPandas(keep, "token long, frequent boolean, cls long, n long"))
 
 
-def tiled(rows: DataFrame, tile: int = TILE) -> DataFrame:
+def tiled(rows: DataFrame, tile: int) -> DataFrame:
     """Deal ``token, cls, n, comp, bits`` into tiles: every class asks in the
     tile of its size band and is a partner there and in the band above; tiles
     with more than ``tile`` askers are cut into a grid of blocks."""
@@ -294,7 +296,7 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int =
 
 
 def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE,
-                       percent: int = PERCENT) -> DataFrame:
+                       percent: int = PERCENT, tile: int = TILE) -> DataFrame:
     """``doc_id, n_shingles, component_id, class_id, text_key`` per row of
     ``docs``: the smallest doc_id of its component and of its class of equal
     sets; ``text_key`` is ``xxhash64`` of the text."""
@@ -316,7 +318,7 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     bits = materialize(reps(involved, "bits").dropDuplicates(["cls"]).select("cls", "bits"), "bitmaps")
     # First round: one rare and one frequent shingle per class, the best partner.
     asked = shared.groupBy("cls", "n", "frequent").agg(F.min("token").alias("token")).join(bits, "cls")
-    first = candidate_pairs(tiled(asked.withColumn("comp", F.col("cls"))), True, percent)
+    first = candidate_pairs(tiled(asked.withColumn("comp", F.col("cls")), tile), True, percent)
     first = materialize(first.distinct(), "pairs")
     links = materialize(verified(first, classes, docs, size, percent), "links")
     roots = components(links)
@@ -325,7 +327,7 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
         "token", "cls", "n", F.coalesce("root", "cls").alias("comp"))
     open_tokens = labelled.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
     rest = materialize(labelled.join(open_tokens.select("token"), "token", "left_semi"), "open")
-    second = candidate_pairs(tiled(rest.join(bits, "cls")), False, percent)
+    second = candidate_pairs(tiled(rest.join(bits, "cls"), tile), False, percent)
     second = materialize(second.distinct().join(first, ["a", "b"], "left_anti"), "pairs")
     more = materialize(verified(second, classes, docs, size, percent), "links")
     roots = materialize(components(links.unionByName(more)), "roots")

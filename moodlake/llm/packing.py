@@ -27,7 +27,7 @@ WINDOW = 4096
 OPEN_WINDOWS = 64
 MERGE_GROUP = 64
 
-PIECE = ("doc_id long, start long, length long, ids binary, doc_tokens long, "
+PIECE = ("doc_id string, start long, length long, ids binary, doc_tokens long, "
          "window_id long, offset long, left_open boolean")
 
 
@@ -47,14 +47,11 @@ def online_pieces(docs: DataFrame, tokenizer: str = DEFAULT_TOKENIZER, end_id: i
         names = ["doc_id", "start", "length", "ids", "doc_tokens", "window_id", "offset", "left_open"]
 
         def frame(rows):
-            out = pd.DataFrame(rows, columns=names)
-            out["doc_id"] = out["doc_id"].astype("Int64")
-            return out
+            return pd.DataFrame(rows, columns=names)
 
         for pdf in batches:
             ready = []
-            ids_of = pdf["doc_id"].astype("Int64").astype(object).where(pdf["doc_id"].notna(), None).tolist()
-            for key, ids in zip(ids_of, enc.encode(pdf["text"].fillna("").tolist())):
+            for key, ids in zip(pdf["doc_id"], enc.encode(pdf["text"].fillna("").tolist())):
                 ids += end
                 total, at = len(ids) // 4, 0
                 while total - at >= window:
@@ -80,8 +77,9 @@ def online_pieces(docs: DataFrame, tokenizer: str = DEFAULT_TOKENIZER, end_id: i
         if held:
             yield frame([r[:-1] + (True,) for w in held.values() for r in w])
 
-    src = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return src.mapInPandas(pack, PIECE)
+    # Ids travel as text: pandas would turn a column of numbers with nulls into floats.
+    src = docs.select(F.col(doc_id).cast("string").alias("doc_id"), F.col(text).alias("text"))
+    return src.mapInPandas(pack, PIECE).withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def merged(pieces: DataFrame, window: int, merge_group: int) -> DataFrame:
