@@ -57,7 +57,7 @@ def decode_frames(df: DataFrame) -> DataFrame:
 
 def parse_envelope(df: DataFrame, value: str = "value") -> DataFrame:
     """The six envelope fields next to the other columns of ``df``."""
-    j = F.from_json(F.col(value), ENVELOPE_SCHEMA, {"mode": "PERMISSIVE"})
+    j = F.from_json(F.col(value), ENVELOPE_SCHEMA, {"mode": "PERMISSIVE", "allowUnquotedControlChars": "true"})
     rest = [c for c in df.columns if c != value]
     return df.select(*[j[f].alias(f) for f in ["id", "name", "lyrics", "artist", "topic", "genre"]],
                      *rest)
@@ -72,7 +72,8 @@ def envelope_value(feed: str | None = None) -> Column:
     """K3 as a column: the play record JSON of the row; ``feed`` overrides
     ``topic``."""
     topic = F.lit(feed) if feed else F.col("topic")
-    return F.to_json(F.struct(topic.alias("topic"), *[F.col(f) for f in ENVELOPE_FIELDS[1:]]))
+    return F.to_json(F.struct(topic.alias("topic"), *[F.col(f) for f in ENVELOPE_FIELDS[1:]]),
+                     {"ignoreNullFields": "false"})
 
 
 def play_envelope(df: DataFrame, feed: str | None = None, value_only: bool = True) -> DataFrame:

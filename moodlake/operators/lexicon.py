@@ -40,9 +40,8 @@ NEGATORS = {
     "es": ["no", "nunca", "jamás", "nada", "ningún", "ninguna", "ninguno", "tampoco", "sin"],
 }
 
-# Largest lexicon we broadcast without a second look; bigger ones go
-# through a shuffle join (a full sentiment lexicon has ~10k words).
-MAX_BROADCAST_WORDS = 2_000_000
+# Languages a text can be scored in.
+LANGUAGES = sorted(NEGATORS)
 
 LEXICON_SCHEMA = T.StructType([
     T.StructField("lang", T.StringType(), False),
@@ -112,12 +111,15 @@ def builtin_lexicon(spark: SparkSession) -> DataFrame:
 
 
 def load_lexicon(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Read a user lexicon with the four lexicon columns."""
+    """Read a user lexicon with the four lexicon columns: words in lower case,
+    one valence per (lang, word) (the largest given), one row per emotion."""
     df = spark.read.format(fmt).schema(LEXICON_SCHEMA).load(path) if fmt != "parquet" \
         else spark.read.parquet(path)
-    return df.select(F.lower("lang").alias("lang"), F.lower("word").alias("word"),
-                     F.col("valence_milli").cast("int").alias("valence_milli"),
-                     F.col("emotion"))
+    rows = df.select(F.lower("lang").alias("lang"), F.lower("word").alias("word"),
+                     F.col("valence_milli").cast("int").alias("valence_milli"), F.col("emotion"))
+    one = rows.groupBy("lang", "word").agg(F.max("valence_milli").alias("valence_milli"),
+                                           F.collect_set("emotion").alias("emotions"))
+    return one.select("lang", "word", "valence_milli", F.explode_outer("emotions").alias("emotion"))
 
 
 def lexicon_values_sql() -> str:

@@ -7,16 +7,17 @@ with a container key and a ``position``.
 
 No operator here gathers a container into one task: duplicates and
 keep-first are partial aggregates, deletes are anti-joins, neighbours are
-equi-joins on ``(container, position ± 1)``.
+found inside range partitions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from moodlake.functions.text import parse_file_index, parse_file_split
 from moodlake.operators.ranking import first_per_key, row_numbers
+from moodlake.session import materialize
 
 # Library folder kinds.
 KINDS = ["songs", "albums", "playlists"]
@@ -153,44 +154,40 @@ def number_items(df: DataFrame, order: list, partition: list[str] = ("topic",),
 
 
 def circular_neighbors(df: DataFrame, container: list[str], position: str,
-                       fields: list[str] = ("name", "artist"), dense: bool = True) -> DataFrame:
+                       fields: list[str] = ("name", "artist")) -> DataFrame:
     """Previous and next item in a circular list.
 
     The first item's previous is the last, the last item's next is the
-    first; a one-item list points at itself. With ``dense`` positions
-    (``min..max`` without gaps) neighbours are found by equi-joins on
-    ``(container, position ± 1)``; otherwise positions are first renumbered
-    by ``row_numbers``. Adds ``prev_<f>`` and ``next_<f>``.
+    first; a one-item list points at itself. Positions may have gaps or
+    repeat (repeated ones are ordered by the fields). Rows are
+    range-partitioned by list and position and written once; neighbours come
+    from ``lag`` / ``lead`` inside a partition, and one row per list and
+    partition holds its first and last item, which mends the borders and the
+    list's ends. Adds ``prev_<f>`` and ``next_<f>``.
     """
     container, fields = list(container), list(fields)
-    if not dense:
-        df = row_numbers(df, container, [position], out="_seq")
-        pos = "_seq"
-    else:
-        pos = position
-    bounds = df.groupBy(*container).agg(F.min(pos).alias("_lo"), F.max(pos).alias("_hi"))
-    bounds = bounds.select(*[F.col(c).alias(f"_b{i}") for i, c in enumerate(container)], "_lo", "_hi")
-    # Null-safe conditions: a NULL container is a list too, and the join keys
-    # then differ from the aggregate's partitioning, so both sides shuffle
-    # under the join and AQE can split a list holding a third of the rows.
-    base = df.join(bounds, [F.col(c).eqNullSafe(F.col(f"_b{i}")) for i, c in enumerate(container)])
-    base = (base.withColumn("_prev", F.when(F.col(pos) > F.col("_lo"), F.col(pos) - 1)
-                            .otherwise(F.col("_hi")))
-                .withColumn("_next", F.when(F.col(pos) < F.col("_hi"), F.col(pos) + 1)
-                            .otherwise(F.col("_lo"))))
-    side = df.select(*[F.col(c).alias(f"_s{i}") for i, c in enumerate(container)],
-                     F.col(pos).alias("_p"), *fields)
-    prev = side.select(*[F.col(f"_s{i}").alias(f"_pc{i}") for i in range(len(container))],
-                       F.col("_p").alias("_pp"), *[F.col(f).alias(f"prev_{f}") for f in fields])
-    nxt = side.select(*[F.col(f"_s{i}").alias(f"_nc{i}") for i in range(len(container))],
-                      F.col("_p").alias("_np"), *[F.col(f).alias(f"next_{f}") for f in fields])
-    on_prev = [F.col(c).eqNullSafe(F.col(f"_pc{i}")) for i, c in enumerate(container)] + \
-        [F.col("_prev") == F.col("_pp")]
-    on_next = [F.col(c).eqNullSafe(F.col(f"_nc{i}")) for i, c in enumerate(container)] + \
-        [F.col("_next") == F.col("_np")]
-    out = base.join(prev, on_prev, "left").join(nxt, on_next, "left")
-    keep = [c for c in df.columns if c != "_seq"]
-    return out.select(*keep, *[f"prev_{f}" for f in fields], *[f"next_{f}" for f in fields])
+    order = [position, *[f for f in fields if f != position and f not in container]]
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = (df.repartitionByRange(n, *container, *order).sortWithinPartitions(*container, *order)
+                .withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id()))
+    ranged = materialize(ranged, "neighbors")
+    item = F.struct(*[F.col(f) for f in fields])
+    part = Window.partitionBy(*container, "_pid").orderBy("_mid")
+    inner = ranged.withColumn("_prev", F.lag(item).over(part)).withColumn("_next", F.lead(item).over(part))
+    ends = ranged.groupBy(*container, "_pid").agg(F.min_by(item, "_mid").alias("_first"),
+                                                  F.max_by(item, "_mid").alias("_last"))
+    # As many rows per list as range partitions hold a part of it.
+    along = Window.partitionBy(*container).orderBy("_pid")
+    whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ends = ends.select(
+        *[F.col(c).alias(f"_b{i}") for i, c in enumerate(container)], F.col("_pid").alias("_bpid"),
+        F.coalesce(F.lag("_last").over(along), F.last("_last").over(whole)).alias("_before"),
+        F.coalesce(F.lead("_first").over(along), F.first("_first").over(whole)).alias("_after"))
+    on = [F.col(c).eqNullSafe(F.col(f"_b{i}")) for i, c in enumerate(container)] + [F.col("_pid") == F.col("_bpid")]
+    out = inner.join(ends, on).withColumn("_prev", F.coalesce("_prev", "_before")) \
+               .withColumn("_next", F.coalesce("_next", "_after"))
+    return out.select(*df.columns, *[F.col("_prev")[f].alias(f"prev_{f}") for f in fields],
+                      *[F.col("_next")[f].alias(f"next_{f}") for f in fields])
 
 
 def neighbors_of(neigh: DataFrame, name: str, artist: str, order: str = "position",

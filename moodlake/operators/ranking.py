@@ -71,27 +71,8 @@ def sequence_number(df: DataFrame, partition_by: list[str], order_by: list, out:
     return j.select(*df.columns, rn.alias(out))
 
 
-# Largest group a plain window may number in one task; beyond it the
-# distributed sequence_number takes over.
-MAX_WINDOW_GROUP = 5_000_000
-
-
-def row_numbers(df: DataFrame, partition_by: list[str], order_by: list, out: str = "rn",
-                max_group: int = MAX_WINDOW_GROUP) -> DataFrame:
-    """``row_number()`` per group, choosing the plan by the largest group.
-
-    One small aggregate finds the biggest group (a single number reaches
-    the driver). When every group fits ``max_group`` rows, a window numbers
-    them (lazy, one shuffle); otherwise ``sequence_number`` does, so a hot
-    group is spread over many tasks. Both give the same numbers; as with
-    any row number, ``order_by`` must be unique per group for the numbers
-    to be stable when a plan evaluates them more than once."""
-    if partition_by:
-        sizes = df.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_n"))
-        biggest = sizes.agg(F.max("_n")).first()[0] or 0
-    else:
-        biggest = df.count()
-    if biggest <= max_group:
-        w = Window.partitionBy(*partition_by).orderBy(*[_col(c) for c in order_by])
-        return df.withColumn(out, F.row_number().over(w).cast("long"))
+def row_numbers(df: DataFrame, partition_by: list[str], order_by: list, out: str = "rn") -> DataFrame:
+    """``row_number()`` per group by ``sequence_number``: one plan at every
+    size, a group of any size is spread over many tasks. As with any row
+    number, ``order_by`` must be unique per group."""
     return sequence_number(df, partition_by, order_by, out=out)

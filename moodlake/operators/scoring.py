@@ -6,8 +6,8 @@ aggregate leaves at most one row per text and map task. The dominant
 emotion is computed in the same aggregate (one count per label and a
 ``greatest`` over ``(count, -label_rank)``), so scoring costs exactly one
 shuffle and no window. The optional valence rules (negation, contrast)
-weight each token from the row's own token array before the explode, so
-they add no shuffle either.
+weight a hit by the tokens before it, carried along from the row's own array,
+so they add no shuffle either.
 """
 
 from __future__ import annotations
@@ -16,18 +16,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moodlake.functions.text import NOT_APPLICABLE, clean_text, is_present, score_text
-from moodlake.operators.joins import broadcast_if_bounded
-from moodlake.operators.lexicon import (BUILTIN_LEXICON, COMPOUND_ALPHA, EMOTIONS,
-                                        CONTRAST_AFTER_PCT, CONTRAST_BEFORE_PCT, CONTRAST_WORDS,
-                                        MAX_BROADCAST_WORDS, NEGATION_SCALAR_PCT, NEGATION_WINDOW,
-                                        NEGATORS, builtin_lexicon)
+from moodlake.operators.lexicon import (COMPOUND_ALPHA, CONTRAST_AFTER_PCT, CONTRAST_BEFORE_PCT,
+                                        CONTRAST_WORDS, EMOTIONS, LANGUAGES, NEGATION_SCALAR_PCT,
+                                        NEGATION_WINDOW, NEGATORS, builtin_lexicon)
 
 
 def _lexicon(spark: SparkSession, lexicon: DataFrame | None) -> DataFrame:
+    """``_wlang, _word, _val, _emos``: one row per language and word. No join
+    hint: Catalyst and AQE broadcast the lexicon by its size in bytes."""
     if lexicon is None:
-        return broadcast_if_bounded(builtin_lexicon(spark), MAX_BROADCAST_WORDS,
-                                    known_rows=len(BUILTIN_LEXICON))
-    return broadcast_if_bounded(lexicon, MAX_BROADCAST_WORDS)
+        one = builtin_lexicon(spark).withColumn("emotions", F.array("emotion"))
+    else:
+        one = lexicon.groupBy("lang", "word").agg(F.max("valence_milli").alias("valence_milli"),
+                                                  F.collect_set("emotion").alias("emotions"))
+    return one.select(F.col("lang").alias("_wlang"), F.col("word").alias("_word"),
+                      F.col("valence_milli").cast("long").alias("_val"), F.col("emotions").alias("_emos"))
 
 
 # Token weights are integers in 1e-8 (three negation factors and one
@@ -48,48 +51,39 @@ def _negator_map() -> Column:
     return F.expr(f"map({langs})")
 
 
-def _contrast_map() -> Column:
-    pairs = ", ".join(f"'{l}', '{w}'" for l, w in CONTRAST_WORDS.items())
-    return F.expr(f"map({pairs})")
-
-
-def weighted_tokens(tokens: Column, negators: Column, contrast_at: Column,
-                    negation: bool, contrast: bool) -> Column:
-    """Tokens with their valence weight in 1e-8 units (``WEIGHT_ONE`` = 1).
-    Negation scales by the negation scalar once per negator among the
-    preceding ``NEGATION_WINDOW`` tokens; contrast scales tokens before /
-    after the first contrast word (1-based ``contrast_at``, 0 = none).
-    ``tokens``, ``negators`` and ``contrast_at`` must be plain column
-    references (computed once per row): the lambda reads them for every
-    element. Works on the row's own array: no window, no shuffle."""
-    def factor(i):
-        f = F.lit(1).cast("long")
-        for k in range(1, NEGATION_WINDOW + 1):
-            if negation:
-                prev = F.get(tokens, i - k)
-                f = f * F.when(F.array_contains(negators, prev), F.lit(NEGATION_SCALAR_PCT)).otherwise(F.lit(100))
-            else:
-                f = f * F.lit(100)
-        if contrast:
-            pos = i + 1
-            f = f * (F.when(contrast_at == 0, F.lit(100)).when(pos < contrast_at, F.lit(CONTRAST_BEFORE_PCT))
-                     .when(pos > contrast_at, F.lit(CONTRAST_AFTER_PCT)).otherwise(F.lit(100)))
-        else:
-            f = f * F.lit(100)
-        return f
+def _contrast_map(tokens: Column) -> Column:
+    """Language to the 1-based place of its contrast word in the row (0: none)."""
+    return F.create_map(*[x for l, w in CONTRAST_WORDS.items()
+                          for x in (F.lit(l), F.coalesce(F.array_position(tokens, w), F.lit(0)))])
+
 
-    return F.transform(tokens, lambda w, i: F.struct(w.alias("w"), factor(i).alias("f")))
+def placed_tokens(tokens: Column) -> Column:
+    """Each token with its place and the ``NEGATION_WINDOW`` tokens before it."""
+    return F.transform(tokens, lambda w, i: F.struct(
+        w.alias("w"), (i + 1).alias("i"),
+        F.array(*[F.get(tokens, i - k) for k in range(1, NEGATION_WINDOW + 1)]).alias("before")))
 
 
-def token_hits(df: DataFrame, keys: list[str], cleaned: str, lang: str,
-               lexicon: DataFrame) -> DataFrame:
-    """One row per token that is in the lexicon of the text's language."""
-    toks = df.select(*keys, F.col(lang).alias("lang"),
-                     F.explode(F.split(F.col(cleaned), " ")).alias("word"))
-    return toks.join(lexicon, on=["lang", "word"], how="inner")
+def hit_weight(negation: bool, contrast: bool) -> Column:
+    """Weight of a lexicon hit in 1e-8 units under the rules of its language:
+    the negation scalar once per negator just before it, the contrast factor
+    by its side of the first contrast word. Computed for hits only."""
+    f = F.lit(1).cast("long")
+    negators = F.try_element_at(_negator_map(), F.col("_wlang"))
+    for k in range(NEGATION_WINDOW):
+        if negation:
+            hit = F.coalesce(F.array_contains(negators, F.col("_t.before")[k]), F.lit(False))
+            f = f * F.when(hit, F.lit(NEGATION_SCALAR_PCT)).otherwise(F.lit(100))
+        else:
+            f = f * F.lit(100)
+    if not contrast:
+        return f * F.lit(100)
+    at = F.coalesce(F.try_element_at(F.col("_at"), F.col("_wlang")), F.lit(0))
+    return f * (F.when(at == 0, F.lit(100)).when(F.col("_t.i") < at, F.lit(CONTRAST_BEFORE_PCT))
+                .when(F.col("_t.i") > at, F.lit(CONTRAST_AFTER_PCT)).otherwise(F.lit(100)))
 
 
-def score_texts(df: DataFrame, keys: list[str], text: str, lang: str = "lang",
+def score_texts(df: DataFrame, keys: list[str], text: str, lang: str | None = "lang",
                 lexicon: DataFrame | None = None, cleaned: str | None = None,
                 negation: bool = False, contrast: bool = False) -> DataFrame:
     """Score each distinct key of ``df`` once.
@@ -100,36 +94,35 @@ def score_texts(df: DataFrame, keys: list[str], text: str, lang: str = "lang",
     lexicon hit → emotion ``not applicable``. ``negation`` scales a word's
     valence when a negator of its language precedes it; ``contrast`` damps
     what precedes the first contrast word and stresses what follows
-    (emotion counts are affected by neither).
+    (emotion counts are affected by neither; a word with several emotions
+    counts for each, its valence once).
+
+    Where ``lang`` is None, or a row's language is NULL or none of
+    ``LANGUAGES``, every language's words are looked up in the same join and
+    the language with the most hits is the text's (ties: alphabetical).
     """
     lex = _lexicon(df.sparkSession, lexicon)
     if cleaned is None:
         df = df.withColumn("_cleaned", clean_text(text))
         cleaned = "_cleaned"
-    base = df.select(*keys, F.col(lang).alias("_lang"), F.col(cleaned).alias("_text"),
-                     is_present(cleaned).alias("_present"))
-    lex = lex.select(F.col("lang").alias("_lang"), F.col("word").alias("_word"),
-                     F.col("valence_milli").alias("_val"), F.col("emotion").alias("_emo"))
-    # Left join keeps texts without hits; explode_outer keeps empty ones.
-    if negation or contrast:
-        negs = F.coalesce(F.try_element_at(_negator_map(), F.col("_lang")), F.array().cast("array<string>"))
-        arr = base.select(*keys, "_present", "_lang", F.split(F.col("_text"), " ").alias("_tk"),
-                          negs.alias("_negs"))
-        at = F.coalesce(F.array_position(F.col("_tk"), F.try_element_at(_contrast_map(), F.col("_lang"))),
-                        F.lit(0))
-        arr = arr.withColumn("_at", at)
-        weighted = weighted_tokens(F.col("_tk"), F.col("_negs"), F.col("_at"), negation, contrast)
-        toks = arr.select(*keys, "_present", "_lang", F.explode_outer(weighted).alias("_t"))
-        toks = toks.select(*keys, "_present", "_lang", F.col("_t")["w"].alias("_word"),
-                           F.col("_t")["f"].alias("_f"))
-    else:
-        toks = base.select(*keys, "_present", "_lang",
-                           F.explode_outer(F.split(F.col("_text"), " ")).alias("_word"),
-                           F.lit(WEIGHT_ONE).cast("long").alias("_f"))
-    hits = toks.join(lex, on=["_lang", "_word"], how="left")
-    counts = [F.count_if(F.col("_emo") == e).alias(f"_n{i}") for i, e in enumerate(EMOTIONS)]
-    agg = hits.groupBy(*keys).agg(F.max("_present").alias("_present"),
-                                  F.sum(F.col("_val").cast("long") * F.col("_f")).alias("_s"), *counts)
+    known = F.when(F.col(lang).isin(LANGUAGES), F.col(lang)) if lang else F.lit(None)
+    base = df.select(*keys, known.cast("string").alias("_lang"), is_present(cleaned).alias("_present"),
+                     F.split(F.col(cleaned), " ").alias("_tk"))
+    at = _contrast_map(F.col("_tk")) if contrast else F.lit(None)
+    each = placed_tokens(F.col("_tk")) if negation or contrast else \
+        F.transform("_tk", lambda w: F.struct(w.alias("w")))
+    # The left join keeps texts without hits; explode_outer keeps empty ones.
+    toks = base.select(*keys, "_present", "_lang", at.alias("_at"), F.explode_outer(each).alias("_t"))
+    same = (F.col("_t.w") == F.col("_word")) & (F.col("_lang").isNull() | (F.col("_lang") == F.col("_wlang")))
+    hits = toks.join(lex, same, "left")
+    counts = [F.count_if(F.array_contains("_emos", e)).alias(f"_n{i}") for i, e in enumerate(EMOTIONS)]
+    per = hits.groupBy(*keys, "_wlang").agg(
+        F.max("_present").alias("_present"), F.count("_val").alias("_hits"),
+        F.sum(F.col("_val") * hit_weight(negation, contrast)).alias("_s"), *counts)
+    sums = ["_s", *[f"_n{i}" for i in range(len(EMOTIONS))]]
+    agg = (per.groupBy(*keys).agg(F.max("_present").alias("_present"),
+                                  F.min_by(F.struct(*sums), F.struct((-F.col("_hits")).alias("h"), "_wlang")).alias("_b"))
+              .select(*keys, "_present", "_b.*"))
     best = F.greatest(*[F.struct(F.col(f"_n{i}").alias("n"), F.lit(-i).alias("r"),
                                  F.lit(e).alias("e")) for i, e in enumerate(EMOTIONS)])
     compound = compound_from_units(F.col("_s"))
@@ -141,10 +134,12 @@ def score_texts(df: DataFrame, keys: list[str], text: str, lang: str = "lang",
 
 
 def score_plays(plays: DataFrame, lexicon: DataFrame | None = None,
-                lyrics: str = "lyrics", lang: str = "genre", song_id: str = "id") -> DataFrame:
+                lyrics: str = "lyrics", lang: str | None = None, song_id: str = "id",
+                negation: bool = True, contrast: bool = True) -> DataFrame:
     """Per-play scored record: each distinct (id, lang, lyrics) is cleaned
     and scored once, then joined back. Adds ``cleaned_lyrics, sentiment,
-    emotion, compound``.
+    emotion, compound``. A play names no language (its genre is a music
+    genre): by default the lyrics' own words decide it.
 
     A song is keyed by one struct ``(id, lang, md5(lyrics))``: struct
     equality treats NULL fields as equal, so the key is null-safe and still a
@@ -153,12 +148,14 @@ def score_plays(plays: DataFrame, lexicon: DataFrame | None = None,
     partial ``dropDuplicates``, and its partition of the join-back is split
     by AQE's skew handling (tested in ``tests/test_skew.py``).
     """
-    key = F.struct(F.col(song_id).alias("id"), F.col(lang).alias("lang"), F.md5(F.col(lyrics)).alias("h"))
+    named = F.col(lang) if lang else F.lit(None).cast("string")
+    key = F.struct(F.col(song_id).alias("id"), named.alias("lang"), F.md5(F.col(lyrics)).alias("h"))
     keyed = plays.withColumn("_song", key)
     songs = (keyed.select("_song", lyrics).dropDuplicates(["_song"])
                   .withColumn("_lang", F.col("_song")["lang"])
                   .withColumn("_cleaned", clean_text(lyrics)))
-    scores = score_texts(songs, ["_song"], lyrics, lang="_lang", lexicon=lexicon, cleaned="_cleaned")
+    scores = score_texts(songs, ["_song"], lyrics, lang="_lang", lexicon=lexicon, cleaned="_cleaned",
+                         negation=negation, contrast=contrast)
     scored_songs = songs.select("_song", F.col("_cleaned").alias("cleaned_lyrics")).join(scores, "_song")
     # Join back on the key's fields rather than on the struct: both sides
     # then get their own shuffle under the join (the song side is small), so

@@ -295,7 +295,7 @@ def library_neighbors(spark, sf_dir):
     """W1 over sparse positions: playlist files in file-name order."""
     l_ = _library(spark, sf_dir).filter(F.col("kind") == "playlists")
     n = lib.circular_neighbors(l_.select("container", "file_name"), ["container"], "file_name",
-                               fields=["file_name"], dense=False)
+                               fields=["file_name"])
     return n.select("container", "file_name", "prev_file_name", "next_file_name")
 
 
@@ -321,7 +321,7 @@ def purge_duplicates(spark, sf_dir):
 # --- ordered lists ---------------------------------------------------------------------
 
 def circular_neighbors(spark, sf_dir):
-    c = table(spark, sf_dir, "conversations", spread=False).select("conv_id", "turn", "role")
+    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
     n = lib.circular_neighbors(c, ["conv_id"], "turn", fields=["turn", "role"])
     return n.select("conv_id", "turn", "role", "prev_turn", "prev_role", "next_turn", "next_role")
 

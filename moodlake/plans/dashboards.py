@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from moodlake.functions.text import SENTINEL_LYRICS, sentiment_category
 from moodlake.operators import trends
 from moodlake.operators.scoring import score_texts
-from moodlake.sources.tables import play_keys, song_variants, table
+from moodlake.sources.tables import music_genre, play_keys, song_variants, table
 
 
 def song_scores(spark: SparkSession, sf_dir: str, lexicon: DataFrame | None = None) -> DataFrame:
@@ -23,7 +23,8 @@ def song_scores(spark: SparkSession, sf_dir: str, lexicon: DataFrame | None = No
     sentiment, emotion``. Grouped by the join key alone, so the scores are
     already hash-partitioned the way the join with the play counts needs."""
     v = song_variants(spark, sf_dir)
-    return score_texts(v, ["doc_id", "lyrics_missing"], "lyrics", lang="genre", lexicon=lexicon)
+    return score_texts(v, ["doc_id", "lyrics_missing"], "lyrics", lang=None, lexicon=lexicon,
+                       negation=True, contrast=True)
 
 
 def weighted_plays(spark: SparkSession, sf_dir: str, by_day: bool = False,
@@ -59,7 +60,7 @@ def genre_counts(spark, sf_dir):
     # Genre and artist need no scores: count plays per song, then join the
     # song attributes (both sides bounded by the number of songs).
     counts = play_keys(spark, sf_dir).groupBy("topic", "doc_id").agg(F.count(F.lit(1)).alias("n"))
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("genre"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", music_genre(F.col("doc_id")).alias("genre"))
     return trends.genre_counts(counts.join(docs, "doc_id"), weight="n")
 
 
@@ -78,17 +79,14 @@ def taste_trend(spark, sf_dir, grain: str, lexicon=None):
     return trends.taste_trend(wp, grain, dim="emotion", weight="n", bucket="day")
 
 
-SONG_ATTRIBUTES = {"genre": "lang", "artist": "source"}
-
-
 def attribute_trend(spark, sf_dir, grain: str, attribute: str = "genre"):
     """A4 by a song attribute (genre or artist): plays per period, feed
     and attribute. Plays are counted per (feed, song, day) first; only
     those counts meet the song attributes."""
     keys = play_keys(spark, sf_dir).withColumn("day", F.to_date("timestamp"))
     counts = keys.groupBy("topic", "doc_id", "day").agg(F.count(F.lit(1)).alias("n"))
-    docs = table(spark, sf_dir, "documents", spread=False).select(
-        "doc_id", F.col(SONG_ATTRIBUTES[attribute]).alias(attribute))
+    value = music_genre(F.col("doc_id")) if attribute == "genre" else F.col("source")
+    docs = table(spark, sf_dir, "documents").select("doc_id", value.alias(attribute))
     return trends.taste_trend(counts.join(docs, "doc_id"), grain, dim=attribute, weight="n", bucket="day")
 
 

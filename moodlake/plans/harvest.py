@@ -39,10 +39,10 @@ def chart_harvest(spark: SparkSession, sf_dir: str) -> DataFrame:
     lyrics_dim = docs.select(F.concat(F.lit("song "), F.col("doc_id").cast("string")).alias("title"),
                              F.col("source").alias("artist"), F.col("doc_id").alias("rank"),
                              F.col("text").alias("lyrics"))
-    artists_dim = (table(spark, sf_dir, "documents", spread=False).groupBy("source")
+    artists_dim = (table(spark, sf_dir, "documents").groupBy("source")
                    .agg(F.sort_array(F.collect_set("lang")).alias("genres"))
                    .select(F.col("source").alias("name"), "genres", F.lit(0).alias("rank")))
-    song_attrs = table(spark, sf_dir, "documents", spread=False).select("doc_id", "source")
+    song_attrs = table(spark, sf_dir, "documents").select("doc_id", "source")
     parts = []
     for feed in (FEED_GLOBAL, FEED_ITALY):
         items = (charts.filter(F.col("topic") == feed).join(song_attrs, "doc_id")

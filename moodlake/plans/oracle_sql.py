@@ -6,7 +6,9 @@ check: same tables, same semantics, no Spark. Shared pieces are CTEs.
 
 from __future__ import annotations
 
-from moodlake.operators.lexicon import COMPOUND_ALPHA, EMOTIONS, lexicon_values_sql
+from moodlake.operators.lexicon import (COMPOUND_ALPHA, CONTRAST_AFTER_PCT, CONTRAST_BEFORE_PCT, CONTRAST_WORDS,
+                                        EMOTIONS, LANGUAGES, NEGATION_SCALAR_PCT, NEGATION_WINDOW, NEGATORS,
+                                        lexicon_values_sql)
 
 # Whitespace as Python's str.isspace sees it; punctuation is anything that
 # is not a letter, number, underscore or such whitespace.
@@ -19,6 +21,12 @@ def clean(x: str) -> str:
     return CLEAN.replace("@X@", x)
 
 
+def music_genre(doc_id: str) -> str:
+    from moodlake.sources.tables import GENRES
+    return (f"CASE {doc_id} % {len(GENRES) + 1} " + " ".join(f"WHEN {i} THEN '{g}'" for i, g in enumerate(GENRES))
+            + " END")
+
+
 FEED = ("CASE event_type WHEN 'view' THEN 'song_global_top' "
         "WHEN 'signup' THEN 'song_italy_top' ELSE 'song_played' END")
 
@@ -32,76 +40,65 @@ PLAYS = PLAY_KEYS + """,
 plays AS (
   SELECT pk.play_id, pk."timestamp", pk.user_id, pk.topic, pk.doc_id,
          CAST(pk.doc_id AS VARCHAR) AS id, 'song ' || CAST(pk.doc_id AS VARCHAR) AS name,
-         d.source AS artist, d.lang AS genre,
+         d.source AS artist, """ + music_genre("pk.doc_id") + """ AS genre,
          CASE WHEN pk.lyrics_missing THEN 'Lyrics not found' ELSE d.text END AS lyrics
   FROM pk JOIN documents d ON d.doc_id = pk.doc_id)"""
 
 _EMO_VALUES = ", ".join(f"('{e}', {i})" for i, e in enumerate(EMOTIONS))
 
 
-def scoring_ctes(src: str, keys: list[str], text: str, lang: str, prefix: str = "") -> str:
-    """CTEs ``{prefix}cleaned``, ``{prefix}scores`` scoring ``src`` per ``keys``.
-    ``scores`` holds keys, compound, emotion."""
+def scoring_ctes(src: str, keys: list[str], text: str, lang: str | None, negation: bool = False,
+                 contrast: bool = False) -> str:
+    """CTEs ending in ``scores`` (keys, compound, emotion) over ``src`` per
+    ``keys``; without ``lang`` (or with an unknown one) the language with
+    the most hits counts."""
     k = ", ".join(keys)
-    p = prefix
-    on = " AND ".join(f"h.{c} IS NOT DISTINCT FROM c.{c}" for c in keys)
-    on_t = " AND ".join(f"t.{c} IS NOT DISTINCT FROM c.{c}" for c in keys)
+    tk = ", ".join("t." + c for c in keys)
+    ck = ", ".join("c." + c for c in keys)
+    on = lambda a, b: " AND ".join(f"{a}.{c} IS NOT DISTINCT FROM {b}.{c}" for c in keys)
+    negs = "CASE x.l " + " ".join(
+        f"WHEN '{l}' THEN [{', '.join(chr(39) + w + chr(39) for w in ws)}]" for l, ws in NEGATORS.items()) + " END"
+    word = "CASE x.l " + " ".join(f"WHEN '{l}' THEN '{w}'" for l, w in CONTRAST_WORDS.items()) + " END"
+    factors = [f"(CASE WHEN i - {j} >= 1 AND list_contains(negs, tk[i - {j}]) THEN {NEGATION_SCALAR_PCT} ELSE 100 END)"
+               if negation else "100" for j in range(1, NEGATION_WINDOW + 1)]
+    factors.append(f"(CASE WHEN cpos = 0 THEN 100 WHEN i < cpos THEN {CONTRAST_BEFORE_PCT} "
+                   f"WHEN i > cpos THEN {CONTRAST_AFTER_PCT} ELSE 100 END)" if contrast else "100")
     return f"""lex(lang, word, valence_milli, emotion) AS (VALUES {lexicon_values_sql()}),
 emo(emotion, rnk) AS (VALUES {_EMO_VALUES}),
-{p}cleaned AS (SELECT {k}, {lang} AS lang, {clean(text)} AS c FROM {src}),
-{p}toks AS (SELECT {k}, lang, unnest(string_split(c, ' ')) AS word FROM {p}cleaned),
-{p}hits AS (SELECT {", ".join("t." + c for c in keys)}, l.valence_milli, l.emotion
-        FROM {p}toks t JOIN lex l ON l.lang = t.lang AND l.word = t.word),
-{p}sums AS (SELECT {k}, sum(valence_milli) AS s FROM {p}hits GROUP BY {k}),
-{p}emo_n AS (SELECT {", ".join("h." + c for c in keys)}, h.emotion, count(*) AS n, min(e.rnk) AS rnk
-         FROM {p}hits h JOIN emo e ON e.emotion = h.emotion
-         GROUP BY {", ".join("h." + c for c in keys)}, h.emotion),
-{p}top AS (SELECT * FROM {p}emo_n
-       QUALIFY row_number() OVER (PARTITION BY {k} ORDER BY n DESC, rnk) = 1),
-{p}scores AS (
-  SELECT {", ".join("c." + c for c in keys)},
-         round(CAST(coalesce(h.s, 0) AS DOUBLE) / 1000.0
-               / sqrt(power(CAST(coalesce(h.s, 0) AS DOUBLE) / 1000.0, 2) + {COMPOUND_ALPHA}), 4) AS compound,
+langs(l) AS (VALUES {", ".join(f"('{x}')" for x in LANGUAGES)}),
+cleaned AS (SELECT {k}, {lang or "CAST(NULL AS VARCHAR)"} AS known, {clean(text)} AS c FROM {src}),
+arr AS (SELECT {ck}, x.l AS lang, string_split(c.c, ' ') AS tk, {negs} AS negs,
+               coalesce(list_position(string_split(c.c, ' '), {word}), 0) AS cpos
+        FROM cleaned c JOIN langs x ON c.known IS NULL OR c.known NOT IN (SELECT l FROM langs) OR c.known = x.l),
+toks AS (SELECT {k}, lang, unnest(list_transform(tk,
+                lambda w, i: {{'w': w, 'f': CAST({" * ".join(factors)} AS BIGINT)}})) AS t FROM arr),
+hits AS (SELECT {tk}, t.lang, CAST(l.valence_milli AS BIGINT) * t.t.f AS v, l.emotion
+         FROM toks t JOIN lex l ON l.lang = t.lang AND l.word = t.t.w),
+best AS (SELECT {k}, lang, sum(v) AS s FROM hits GROUP BY {k}, lang
+         QUALIFY row_number() OVER (PARTITION BY {k} ORDER BY count(*) DESC, lang) = 1),
+top AS (SELECT {", ".join("h." + c for c in keys)}, h.emotion FROM hits h
+        JOIN best t ON {on("h", "t")} AND h.lang = t.lang JOIN emo e ON e.emotion = h.emotion
+        GROUP BY {", ".join("h." + c for c in keys)}, h.emotion
+        QUALIFY row_number() OVER (PARTITION BY {", ".join("h." + c for c in keys)}
+                                   ORDER BY count(*) DESC, min(e.rnk)) = 1),
+scores AS (
+  SELECT {ck},
+         round(CAST(coalesce(h.s, 0) AS DOUBLE) / 1e11
+               / sqrt(power(CAST(coalesce(h.s, 0) AS DOUBLE) / 1e11, 2) + {COMPOUND_ALPHA}), 4) AS compound,
          CASE WHEN c.c IS NULL OR c.c = '' THEN NULL
               ELSE coalesce(t.emotion, 'not applicable') END AS emotion
-  FROM {p}cleaned c
-  LEFT JOIN {p}sums h ON {on}
-  LEFT JOIN {p}top t ON {on_t})"""
+  FROM cleaned c LEFT JOIN best h ON {on("h", "c")} LEFT JOIN top t ON {on("t", "c")})"""
 
 
-def negated_scores_sql(contrast: bool = False) -> str:
-    """Document compound with negation scaling, and optionally the contrast
-    rule (same model as ``score_texts(..., negation=True, contrast=...)``)."""
-    from moodlake.operators.lexicon import (CONTRAST_AFTER_PCT, CONTRAST_BEFORE_PCT, CONTRAST_WORDS,
-                                            NEGATION_SCALAR_PCT, NEGATION_WINDOW, NEGATORS)
-    negs = "CASE lang " + " ".join(
-        f"WHEN '{l}' THEN [{', '.join(chr(39) + w + chr(39) for w in ws)}]" for l, ws in NEGATORS.items()
-    ) + " ELSE [] END"
-    cword = "CASE lang " + " ".join(f"WHEN '{l}' THEN '{w}'" for l, w in CONTRAST_WORDS.items()) + " END"
-    factors = [f"(CASE WHEN i - {k} >= 1 AND list_contains(negs, tk[i - {k}]) THEN {NEGATION_SCALAR_PCT} ELSE 100 END)"
-               for k in range(1, NEGATION_WINDOW + 1)]
-    unit = "1e9"
-    if contrast:
-        factors.append(f"(CASE WHEN cpos = 0 THEN 100 WHEN i < cpos THEN {CONTRAST_BEFORE_PCT} "
-                       f"WHEN i > cpos THEN {CONTRAST_AFTER_PCT} ELSE 100 END)")
-        unit = "1e11"
-    factor = " * ".join(factors)
-    return f"""WITH lex(lang, word, valence_milli, emotion) AS (VALUES {lexicon_values_sql()}),
-cleaned AS (SELECT doc_id, lang, {clean('text')} AS c FROM documents),
-arr0 AS (SELECT doc_id, lang, string_split(c, ' ') AS tk, {negs} AS negs, {cword} AS cw FROM cleaned),
-arr AS (SELECT *, coalesce(list_position(tk, cw), 0) AS cpos FROM arr0),
-toks AS (SELECT doc_id, lang, unnest(list_transform(tk, lambda w, i: {{'w': w, 'f': CAST({factor} AS BIGINT)}})) AS t
-         FROM arr),
-sums AS (SELECT t.doc_id, sum(CAST(l.valence_milli AS BIGINT) * t.t.f) AS s
-         FROM toks t JOIN lex l ON l.lang = t.lang AND l.word = t.t.w GROUP BY t.doc_id),
-sc AS (SELECT c.doc_id, round(CAST(coalesce(h.s, 0) AS DOUBLE) / {unit}
-         / sqrt(power(CAST(coalesce(h.s, 0) AS DOUBLE) / {unit}, 2) + {COMPOUND_ALPHA}), 4) AS compound
-       FROM cleaned c LEFT JOIN sums h ON h.doc_id = c.doc_id)
-SELECT doc_id, compound,
-       CASE WHEN compound = 0 THEN '0.0'
+_SENTIMENT = """CASE WHEN compound = 0 THEN '0.0'
             ELSE regexp_replace(regexp_replace(CAST(CAST(compound AS DECIMAL(6,4)) AS VARCHAR),
-                                '0+$', ''), '\\.$', '.0') END AS sentiment
-FROM sc"""
+                                '0+$', ''), '\\.$', '.0') END AS sentiment"""
+
+
+def negated_scores_sql(contrast: bool = False) -> str:
+    """Document compound with negation scaling, and optionally the contrast rule."""
+    return ("WITH " + scoring_ctes("documents", ["doc_id"], "text", "lang", negation=True, contrast=contrast)
+            + f"\nSELECT doc_id, compound, {_SENTIMENT} FROM scores")
 
 
 def category(lyrics_missing: str, compound: str) -> str:
@@ -111,13 +108,13 @@ def category(lyrics_missing: str, compound: str) -> str:
             f"ELSE 'negative' END")
 
 
-VARIANTS = """variants AS (
-  SELECT doc_id, false AS lyrics_missing, lang AS genre, source AS artist, text AS lyrics FROM documents
+VARIANTS = f"""variants AS (
+  SELECT doc_id, false AS lyrics_missing, {music_genre("doc_id")} AS genre, source AS artist, text AS lyrics FROM documents
   UNION ALL
-  SELECT doc_id, true, lang, source, 'Lyrics not found' FROM documents)"""
+  SELECT doc_id, true, {music_genre("doc_id")}, source, 'Lyrics not found' FROM documents)"""
 
 WEIGHTED = ("WITH " + PLAY_KEYS + ",\n" + VARIANTS + ",\n"
-            + scoring_ctes("variants", ["doc_id", "lyrics_missing", "genre", "artist"], "lyrics", "genre")
+            + scoring_ctes("variants", ["doc_id", "lyrics_missing", "genre", "artist"], "lyrics", None, True, True)
             + f""",
 wp AS (SELECT pk.*, s.genre, s.artist, s.compound, s.emotion,
               {category("pk.lyrics_missing", "s.compound")} AS sentiment_category
@@ -133,7 +130,7 @@ def month_start(d: str) -> str:
     return f"CAST(date_trunc('month', {d}) AS DATE)"
 
 
-def queries_sql() -> dict[str, str]:
+def scoring_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["mood_board"] = WEIGHTED + """SELECT topic, sentiment_category, emotion, count(*) AS plays
         FROM wp GROUP BY topic, sentiment_category, emotion"""
@@ -153,7 +150,7 @@ def queries_sql() -> dict[str, str]:
         q[f"taste_trend_{g}"] = WEIGHTED + f"""SELECT {expr} AS period, topic, emotion, count(*) AS plays
             FROM wp GROUP BY ALL"""
     q["genre_trend_week"] = "WITH " + PLAY_KEYS + f"""
-SELECT {week_start('CAST(pk."timestamp" AS DATE)')} AS period, pk.topic, d.lang AS genre, count(*) AS plays
+SELECT {week_start('CAST(pk."timestamp" AS DATE)')} AS period, pk.topic, {music_genre("d.doc_id")} AS genre, count(*) AS plays
 FROM pk JOIN documents d ON d.doc_id = pk.doc_id GROUP BY ALL"""
     q["artist_trend_month"] = "WITH " + PLAY_KEYS + f"""
 SELECT {month_start('CAST(pk."timestamp" AS DATE)')} AS period, pk.topic, d.source AS artist, count(*) AS plays
@@ -287,7 +284,7 @@ def more_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     # scored record of every play (R1 batch form)
     q["scored_plays"] = ("WITH " + PLAYS + ",\n" + VARIANTS + ",\n"
-                         + scoring_ctes("variants", ["doc_id", "lyrics_missing"], "lyrics", "genre")
+                         + scoring_ctes("variants", ["doc_id", "lyrics_missing"], "lyrics", None, True, True)
                          + f"""
 SELECT p.play_id, concat_ws('_', p.id, strftime(p."timestamp", '%Y-%m-%dT%H:%M:%S.%gZ')) AS combined_id,
        p.topic, CASE WHEN s.compound = 0 THEN '0.0'
@@ -488,11 +485,8 @@ FROM orders o LEFT JOIN customer c ON c.c_custkey = o.o_custkey"""
     return q
 
 
-_base_queries_sql = queries_sql
-
-
-def queries_sql() -> dict[str, str]:  # noqa: F811
-    q = _base_queries_sql()
+def queries_sql() -> dict[str, str]:
+    q = scoring_sql()
     q.update(more_sql())
     # The streams must equal their batch forms.
     q["stream_trend_day"] = q["taste_trend_day"]

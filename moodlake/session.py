@@ -64,12 +64,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     The launcher sets ``spark.checkpoint.dir`` to a shared file system and
-    Spark registers it with the context. Only when it is unset (local tests)
-    do we create a scratch folder and register that instead.
+    Spark registers it with the context. Only in local mode, where driver and
+    executors are one machine, an unset folder is replaced by a scratch one;
+    anywhere else executors could not see it, so it is an error.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="moodlake-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)

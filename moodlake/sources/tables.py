@@ -4,7 +4,8 @@ A play is an event mapped onto a song (a document). The mapping uses only
 the tables, so its size grows with them:
 
 * song = ``documents.doc_id = events.event_id % count(documents)``
-* ``id`` = doc_id as text, ``artist`` = source, ``genre`` = lang
+* ``id`` = doc_id as text, ``artist`` = source, ``genre`` = a music genre by
+  doc_id (one of five is ``not applicable``, one NULL)
 * ``lyrics`` = the text, or the sentinel when the event is an ``error``
   (the lyrics lookup failed)
 * ``topic`` (feed): view → global chart, signup → Italian chart,
@@ -31,31 +32,10 @@ FEED_ITALY = "song_italy_top"
 FEED_PLAYED = "song_played"
 
 
-# Tables whose rows carry long texts: per-row work (regex cleaning,
-# tokenising) dominates, so their scans must feed every core.
-TEXT_TABLES = {"documents", "pages", "conversations"}
-
-
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    """Read one driver table. Text tables are spread over all cores unless
-    ``spread=False`` (for reads that touch no text)."""
-    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    return spread_if_narrow(df) if spread and name in TEXT_TABLES else df
-
-
-def spread_if_narrow(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the cluster has
-    cores (a file written as one row group is read by one task). On a large
-    input the scan already has thousands of splits and this is a no-op, so
-    no shuffle is added where it is not needed."""
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Connect session): leave as is
-        return df
-    if splits >= cores:
-        return df
-    return df.repartition(cores * 2)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Read one driver table; the scan's splits set the parallelism
+    (``spark.sql.files.maxPartitionBytes``), nothing is shuffled for it."""
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def feed_of(event_type: Column) -> Column:
@@ -64,6 +44,15 @@ def feed_of(event_type: Column) -> Column:
             .otherwise(F.lit(FEED_PLAYED)))
 
 
+# Music genres of the songs, by doc_id; every sixth song has none.
+GENRES = ["pop", "rock", "rap", "jazz", "not applicable"]
+
+
+def music_genre(doc_id: Column) -> Column:
+    """A song's music genre (it says nothing about the language of its text)."""
+    return F.get(F.array(*[F.lit(g) for g in GENRES]), F.pmod(doc_id, F.lit(len(GENRES) + 1)).cast("int"))
+
+
 def song_key(events: DataFrame, documents: DataFrame) -> Column:
     """``event_id % count(documents)`` as a scalar subquery (stays lazy)."""
     n = documents.select(F.count(F.lit(1))).scalar()
@@ -74,7 +63,7 @@ def play_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Narrow play facts from ``events`` alone:
     ``play_id, timestamp, user_id, topic, doc_id, lyrics_missing``."""
     ev = table(spark, sf_dir, "events")
-    docs = table(spark, sf_dir, "documents", spread=False)
+    docs = table(spark, sf_dir, "documents")
     return ev.select(F.col("event_id").alias("play_id"), F.col("ts").alias("timestamp"),
                      "user_id", feed_of(F.col("event_type")).alias("topic"),
                      song_key(ev, docs).alias("doc_id"),
@@ -84,14 +73,14 @@ def play_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 def plays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Full play records (the envelope fields plus play id and time)."""
     keys = play_keys(spark, sf_dir)
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     j = keys.join(docs, "doc_id")
     return j.select(
         "play_id", "timestamp", "user_id", "topic", "doc_id",
         F.col("doc_id").cast("string").alias("id"),
         F.concat(F.lit("song "), F.col("doc_id").cast("string")).alias("name"),
         F.col("source").alias("artist"),
-        F.col("lang").alias("genre"),
+        music_genre(F.col("doc_id")).alias("genre"),
         F.when(F.col("lyrics_missing"), F.lit(SENTINEL_LYRICS)).otherwise(F.col("text")).alias("lyrics"),
     )
 
@@ -101,9 +90,8 @@ def song_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     and each document whose lyrics were not found.
     ``doc_id, lyrics_missing, genre, artist, lyrics``."""
     docs = table(spark, sf_dir, "documents")
-    attrs = ["doc_id", F.col("lang").alias("genre"), F.col("source").alias("artist")]
+    attrs = ["doc_id", music_genre(F.col("doc_id")).alias("genre"), F.col("source").alias("artist")]
     found = docs.select(*attrs, F.lit(False).alias("lyrics_missing"), F.col("text").alias("lyrics"))
-    # The sentinel rows carry no text: read without spreading.
-    missing = table(spark, sf_dir, "documents", spread=False).select(*attrs, F.lit(True).alias("lyrics_missing"),
+    missing = table(spark, sf_dir, "documents").select(*attrs, F.lit(True).alias("lyrics_missing"),
                           F.lit(SENTINEL_LYRICS).alias("lyrics"))
     return found.unionByName(missing)

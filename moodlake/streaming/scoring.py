@@ -33,7 +33,7 @@ SCORED_COLUMNS = ["id", "name", "lyrics", "artist", "topic", "genre", "timestamp
 def score_frames(frames: DataFrame, lexicon: DataFrame | None = None) -> DataFrame:
     """Batch form of R1: frames (``value, timestamp``) → scored records."""
     parsed = env.parse_envelope(env.decode_frames(frames))
-    scored = score_plays(parsed, lexicon=lexicon, lyrics="lyrics", lang="genre", song_id="id")
+    scored = score_plays(parsed, lexicon=lexicon, lyrics="lyrics", song_id="id")
     iso = tx.iso_timestamp("timestamp")
     return scored.select(
         "id", "name", "lyrics", "artist", "topic", "genre", "timestamp", "cleaned_lyrics",
@@ -70,7 +70,7 @@ def frames_stream_from_events(spark: SparkSession, sf_dir: str, max_files: int =
     """A frame stream built from the driver tables: the events parquet is
     read as a file stream and each event becomes a play envelope (stream-
     static join with the songs)."""
-    from moodlake.sources.tables import feed_of, table
+    from moodlake.sources.tables import feed_of, music_genre, table
     schema = table(spark, sf_dir, "events").schema
     ev = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
           .option("maxFilesPerTrigger", max_files).parquet(sf_dir))
@@ -84,5 +84,5 @@ def frames_stream_from_events(spark: SparkSession, sf_dir: str, max_files: int =
         F.concat(F.lit("song "), F.col("doc_id").cast("string")).alias("name"),
         F.col("source").alias("artist"),
         F.when(F.col("event_type") == "error", F.lit(SENTINEL_LYRICS)).otherwise(F.col("text")).alias("lyrics"),
-        F.col("lang").alias("genre"), F.col("doc_id").cast("string").alias("id")))
+        music_genre(F.col("doc_id")).alias("genre"), F.col("doc_id").cast("string").alias("id")))
     return p.select(rec.cast("binary").alias("value"), F.col("ts").cast("timestamp").alias("timestamp"))

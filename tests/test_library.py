@@ -23,7 +23,7 @@ def test_circular_neighbors_sparse_positions(spark):
     rows = [("L", 10, "a"), ("L", 20, "b"), ("L", 35, "c"), ("M", 5, "x"), ("M", 7, "y")]
     df = spark.createDataFrame(rows, "list STRING, pos INT, name STRING")
     n = {r.name: (r.prev_name, r.next_name)
-         for r in lib.circular_neighbors(df, ["list"], "pos", fields=["name"], dense=False).collect()}
+         for r in lib.circular_neighbors(df, ["list"], "pos", fields=["name"]).collect()}
     assert n == {"a": ("c", "b"), "b": ("a", "c"), "c": ("b", "a"), "x": ("y", "y"), "y": ("x", "x")}
 
 
@@ -32,7 +32,7 @@ def test_circular_neighbors_sparse_positions(spark):
 def test_prev_of_next_is_identity(spark, positions):
     df = spark.createDataFrame([("L", p, f"t{p}") for p in positions], "list STRING, pos INT, name STRING")
     n = {r.name: (r.prev_name, r.next_name)
-         for r in lib.circular_neighbors(df, ["list"], "pos", fields=["name"], dense=False).collect()}
+         for r in lib.circular_neighbors(df, ["list"], "pos", fields=["name"]).collect()}
     for name, (_, nxt) in n.items():
         assert n[nxt][0] == name
 
@@ -123,13 +123,21 @@ def test_neighbors_of_first_match_and_miss(spark):
     assert (miss[0].prev_name, miss[0].prev_artist, miss[0].next_name, miss[0].next_artist) == ("", "", "", "")
 
 
-def test_row_numbers_picks_either_plan_with_same_result(spark):
+def test_row_numbers_equal_the_window(spark):
+    from pyspark.sql import Window
     from moodlake.operators.ranking import row_numbers
-    df = spark.range(0, 3000).select((F.col("id") % 4).alias("g"), (F.col("id") * 7 % 3001).alias("o"))
-    want = sorted(df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("o"))).collect())
-    window_plan = row_numbers(df, ["g"], ["o"])
-    distributed = row_numbers(df, ["g"], ["o"], max_group=100)   # groups of 750 > 100
-    assert sorted(window_plan.collect()) == want and sorted(distributed.collect()) == want
+    df = spark.range(3000).select((F.col("id") % 4).alias("g"), (F.col("id") * 7919 % 3000).alias("o"))
+    want = df.withColumn("w", F.row_number().over(Window.partitionBy("g").orderBy("o")))
+    got = row_numbers(df, ["g"], ["o"]).join(want, ["g", "o"])
+    assert got.count() == 3000 and got.where("rn <> w").count() == 0
+
+
+def test_neighbors_with_gaps_and_repeated_positions(spark):
+    df = spark.createDataFrame([("a", 0, "x"), ("a", 1, "y"), ("a", 3, "z"), ("b", 2, "p"), (None, 1, "q"), (None, 1, "r")],
+                               "list string, pos int, name string")
+    got = {(r.list, r.name): (r.prev_name, r.next_name) for r in lib.circular_neighbors(df, ["list"], "pos", fields=["name"]).collect()}
+    assert got == {("a", "x"): ("z", "y"), ("a", "y"): ("x", "z"), ("a", "z"): ("y", "x"), ("b", "p"): ("p", "p"),
+                   (None, "q"): ("r", "r"), (None, "r"): ("q", "q")}
 
 
 def test_circular_neighbors_null_container_is_a_list(spark):

@@ -76,7 +76,6 @@ def test_score_plan_is_one_shuffle_with_broadcast_lexicon(spark):
 
 
 def test_user_lexicon_and_bounded_broadcast(spark, tmp):
-    from moodlake.operators.joins import bounded_rows, broadcast_if_bounded
     from moodlake.operators.lexicon import load_lexicon
     path = f"{tmp}/lex"
     spark.createDataFrame([("EN", "Zap", 1500, "surprise")],
@@ -85,9 +84,30 @@ def test_user_lexicon_and_bounded_broadcast(spark, tmp):
     df = spark.createDataFrame([(1, "en", "zap zap love")], "id INT, lang STRING, text STRING")
     r = score_texts(df, ["id"], "text", "lang", lexicon=lex).first()
     assert r.emotion == "surprise" and r.compound == round(3.0 / math.sqrt(9.0 + 15), 4)
-    assert bounded_rows(spark.range(10), 10) and not bounded_rows(spark.range(11), 10)
-    plan = broadcast_if_bounded(spark.range(11), 10)._jdf.queryExecution().logical().toString()
-    assert "broadcast" not in plan.lower()
+
+
+def test_language_is_the_texts_own_whatever_the_genre(spark):
+    from moodlake.operators.scoring import score_plays
+    rows = [("1", "pop", "love happy"), ("2", None, "love happy"), ("3", "en", "amour joie"), ("4", "rock", "zzz")]
+    plays = spark.createDataFrame(rows, "id string, genre string, lyrics string")
+    got = {r.id: (r.compound, r.emotion) for r in score_plays(plays).collect()}
+    assert got["1"] == got["2"] and got["1"][0] > 0.8 and got["1"][1] == "joy"
+    assert got["3"][0] > 0.8 and got["4"] == (0.0, "not applicable")
+
+
+def test_rules_apply_to_plays_and_words_may_have_two_emotions(spark, tmp):
+    import os
+    from moodlake.operators.lexicon import load_lexicon
+    from moodlake.operators.scoring import score_plays
+    plays = spark.createDataFrame([("1", "not good"), ("2", "good")], "id string, lyrics string")
+    got = {r.id: r.compound for r in score_plays(plays).collect()}
+    assert got["1"] < 0 < got["2"]
+    path = os.path.join(tmp, "lex")
+    spark.createDataFrame([("en", "War", -2900, "fear"), ("en", "war", -2900, "anger"), ("en", "Love", 3200, "joy")],
+                          "lang string, word string, valence_milli int, emotion string").write.parquet(path)
+    one = score_texts(spark.createDataFrame([(1, "en", "war")], "id int, lang string, text string"), ["id"], "text",
+                      lexicon=load_lexicon(spark, path)).first()
+    assert one.compound == -0.5994 and one.emotion == "fear"
 
 
 def brute_negated(text_clean, lang, contrast=False):
