@@ -63,15 +63,19 @@ def main(argv: list[str] | None = None) -> int:
                         lexicon=lexicon, available_now=args.available_now, query_name="moodlake-scoring")
         q.awaitTermination()
     elif args.cmd == "trend":
+        from moodlake.streaming.scoring import run_name
+        from moodlake.streaming.sinks import batch_path
         from moodlake.streaming.trend import stream_trend
         schema = spark.read.parquet(args.scored).schema
         trend = stream_trend(spark.readStream.schema(schema).parquet(args.scored), args.grain,
                              watermark=args.watermark)
-        out = args.out
+        out, checkpoint = args.out, args.checkpoint or sub_dir(spark, "streams", f"trend-{args.grain}")
+        run = run_name(checkpoint)
         w = (trend.writeStream.outputMode("append")
              # Each batch overwrites its own folder: a retried batch replaces itself.
-             .foreachBatch(lambda b, i: b.write.mode("overwrite").parquet(f"{out}/batch={i}"))
-             .option("checkpointLocation", args.checkpoint or sub_dir(spark, "streams", f"trend-{args.grain}")))
+             # A run is its checkpoint, so a fresh one leaves older runs whole.
+             .foreachBatch(lambda b, i: b.write.mode("overwrite").parquet(batch_path(out, run, i)))
+             .option("checkpointLocation", checkpoint))
         if args.available_now:
             w = w.trigger(availableNow=True)
         w.start().awaitTermination()

@@ -117,14 +117,18 @@ def _page_title(spark, sf_dir):
 
 
 def html_unescape(spark, sf_dir):
-    t = _page_title(spark, sf_dir)
-    return t.select("page_id", "raw_title", tx.html_unescape("raw_title").alias("title"))
+    """T6 over whole pages: titles and bodies."""
+    p = table(spark, sf_dir, "pages")
+    title = F.regexp_extract("html", r"<title>(.*?)</title>", 1)
+    whole = tx.html_unescape("html")
+    return p.select("page_id", tx.html_unescape(title).alias("title"),
+                    F.length(whole).alias("length"), F.md5(whole).alias("page_md5"))
 
 
 def percent_decode(spark, sf_dir):
     t = _page_title(spark, sf_dir)
     return t.select("page_id", tx.percent_decode("url").alias("decoded"),
-                    tx.percent_decode("raw_title").alias("decoded_title"))
+                    tx.percent_decode(F.concat(F.url_encode("raw_title"), F.lit("+%zz%41"))).alias("decoded_title"))
 
 
 def after_equals(spark, sf_dir):
@@ -227,8 +231,13 @@ def artist_cards(spark, sf_dir):
 
 
 def with_genre(spark, sf_dir):
-    tracks = _flat_items(spark, sf_dir).select("list_id", "position", "artist")
-    found = _artists(spark, sf_dir).filter(F.col("s_acctbal") > 0)
+    # Every fifth list names artists that the dimension does not have; every
+    # seventh artist ships nothing it has a genre for.
+    miss = F.when(F.col("list_id") % 5 == 0, F.lit(" (unknown)")).otherwise(F.lit(""))
+    tracks = _flat_items(spark, sf_dir).select("list_id", "position", F.concat("artist", miss).alias("artist"))
+    none = F.array().cast("array<string>")
+    found = _artists(spark, sf_dir).withColumn(
+        "genres", F.when(F.col("id").cast("long") % 7 == 0, none).otherwise(F.col("genres")))
     return lookup.with_genre(tracks, found)
 
 
@@ -344,9 +353,10 @@ def with_lyrics(spark, sf_dir):
     tracks = d.select("doc_id", F.concat(F.lit("song "), F.col("doc_id").cast("string"),
                                          F.when(F.col("lang") == "de", F.lit(" [Remastered]"))
                                           .when(F.col("lang") == "fr", F.lit(" (live)"))
+                                          .when(F.col("doc_id") % 7 == 0, F.lit(" unknown"))
                                           .otherwise(F.lit(""))).alias("name"),
                       F.col("source").alias("artist"))
-    dim = d.filter(F.col("lang") != "es").select(
+    dim = d.select(
         F.concat(F.lit("song "), F.col("doc_id").cast("string")).alias("title"),
         F.col("source").alias("artist"), F.col("doc_id").alias("rank"), F.col("text").alias("lyrics"))
     out = lookup.with_lyrics(tracks, dim)

@@ -308,9 +308,10 @@ FROM plays p JOIN scores s ON s.doc_id = p.doc_id
                  THEN 'Lyrics not found' ELSE regexp_replace(text, '^[^\\n]*\\n', '') END) AS lyrics_md5
         FROM documents"""
     title = "regexp_extract(html, '<title>(.*?)</title>', 1)"
-    q["html_unescape"] = f"""SELECT page_id, {title} AS raw_title, {html_unescape_sql(title)} AS title FROM pages"""
+    q["html_unescape"] = f"""SELECT page_id, {html_unescape_sql(title)} AS title, CAST(length(u) AS INTEGER) AS length,
+        md5(u) AS page_md5 FROM (SELECT *, {html_unescape_sql("html")} AS u FROM pages)"""
     q["percent_decode"] = f"""SELECT page_id, url_decode(replace(url, '+', '%2B')) AS decoded,
-        url_decode(replace({title}, '+', '%2B')) AS decoded_title FROM pages"""
+        replace({title}, ' ', '+') || '+%zzA' AS decoded_title FROM pages"""
     q["after_equals"] = """SELECT page_id,
         CASE WHEN strpos(url, '=') > 0 THEN substr(url, strpos(url, '=') + 1) END AS after_eq FROM pages"""
     q["search_keys"] = """SELECT p_partkey, p_name || ' ' || p_brand AS key_spaced,
@@ -341,10 +342,11 @@ SELECT id, name, image, followers, popularity, array_to_string(genres, ', ') AS
     q["artist_cards"] = "WITH " + ARTISTS + f"""
 SELECT name, id, coalesce(image, {DEFAULT_IMAGE_SQL}) AS image FROM artists"""
     q["with_genre"] = "WITH " + ITEMS + ",\n" + ARTISTS + """
-SELECT i.list_id, i.position, i.artist,
+SELECT i.list_id, i.position, i.artist || CASE WHEN i.list_id % 5 = 0 THEN ' (unknown)' ELSE '' END AS artist,
        CASE WHEN a.id IS NULL THEN NULL
-            WHEN len(a.genres) = 0 OR a.genres[1] = '' THEN 'not applicable' ELSE a.genres[1] END AS genre
-FROM items i LEFT JOIN (SELECT * FROM artists WHERE s_acctbal > 0) a ON a.name = i.artist"""
+            WHEN CAST(a.id AS BIGINT) % 7 = 0 OR len(a.genres) = 0 OR a.genres[1] = '' THEN 'not applicable'
+            ELSE a.genres[1] END AS genre
+FROM items i LEFT JOIN artists a ON a.name = i.artist || CASE WHEN i.list_id % 5 = 0 THEN ' (unknown)' ELSE '' END"""
     q["parse_file_split"] = "WITH " + FILES + "\nSELECT path, name, artist FROM lib"
     q["parse_file_index"] = "WITH " + FILES + """,
 ix AS (SELECT kind, container, path,
@@ -415,12 +417,13 @@ FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)"""
   ORDER BY o_orderdate, o_orderkey LIMIT 50 OFFSET 100"""
     q["with_lyrics"] = """WITH t AS (
   SELECT doc_id, 'song ' || CAST(doc_id AS VARCHAR) || CASE lang WHEN 'de' THEN ' [Remastered]'
-         WHEN 'fr' THEN ' (live)' ELSE '' END AS name, source AS artist FROM documents),
+         WHEN 'fr' THEN ' (live)' ELSE CASE WHEN doc_id % 7 = 0 THEN ' unknown' ELSE '' END END AS name,
+         source AS artist FROM documents),
 dim AS (SELECT 'song ' || CAST(doc_id AS VARCHAR) AS title, source AS artist,
   CASE WHEN strpos(text, '[FN#') > 0 OR length(text) - length(replace(text, '"', '')) >= 50
        THEN 'Lyrics not found' ELSE regexp_replace(text, '^[^\\n]*\\n', '') END AS lyrics,
   row_number() OVER (PARTITION BY 'song ' || CAST(doc_id AS VARCHAR), source ORDER BY doc_id) AS rn
-  FROM documents WHERE lang <> 'es'),
+  FROM documents),
 j AS (SELECT t.doc_id, t.name, coalesce(d.lyrics, 'Lyrics not found') AS lyrics FROM t
   LEFT JOIN dim d ON d.rn = 1 AND d.artist = t.artist AND d.title = """ + py_strip(
         "regexp_extract(t.name, '^[^\\[(]*', 0)") + """)

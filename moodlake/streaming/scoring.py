@@ -43,16 +43,20 @@ def score_frames(frames: DataFrame, lexicon: DataFrame | None = None) -> DataFra
         F.coalesce(F.col("compound"), F.lit(0.0)).alias("compound"))
 
 
+def run_name(checkpoint: str) -> str:
+    """One run per checkpoint: the name carries a hash of the full path, so
+    two checkpoints with the same folder name never share output folders."""
+    digest = hashlib.sha1(checkpoint.rstrip("/").encode()).hexdigest()[:10]
+    return f"{os.path.basename(checkpoint.rstrip('/')) or 'run'}-{digest}"
+
+
 def run_scoring(frames: DataFrame, sink_path: str, checkpoint: str,
                 lexicon: DataFrame | None = None, available_now: bool = False,
                 query_name: str | None = None) -> StreamingQuery:
     """Start the scoring stream (R1). ``available_now`` (R4) processes what
     is there and stops — the daily harvest run; otherwise the default
     micro-batch trigger keeps it running."""
-    # One run per checkpoint: the name carries a hash of the full path, so
-    # two checkpoints with the same folder name never share output folders.
-    digest = hashlib.sha1(checkpoint.rstrip("/").encode()).hexdigest()[:10]
-    run = f"{os.path.basename(checkpoint.rstrip('/')) or 'run'}-{digest}"
+    run = run_name(checkpoint)
 
     def each(batch: DataFrame, batch_id: int) -> None:
         write_keyed_batch(score_frames(batch, lexicon), sink_path, run, batch_id)
