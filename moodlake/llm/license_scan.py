@@ -144,10 +144,10 @@ def _rule_array(only: list | None = None) -> Column:
 _DETECTION = "array<struct<start:int,end:int,prio:int,label:string,strength:double>>"
 
 
-def detections(text: Column) -> Column:
+def detections(text: Column, low: Column) -> Column:
     """Detections of one text after suppression, in order of place:
-    ``array<struct<start, end, prio, label, strength>>`` (code points)."""
-    low = F.lower(text)
+    ``array<struct<start, end, prio, label, strength>>`` (code points).
+    ``low`` is the text in lower case, a column of its own: it is read often."""
     none = F.array().cast(_DETECTION)
     gated = F.lit(False)
     for stem in STEMS:
@@ -187,8 +187,9 @@ def count_words(text: Column) -> Column:
     return F.size(F.regexp_extract_all(text, F.lit(_WORD + "+"), F.lit(0))).cast("long")
 
 
-def phrase_starts(text: Column, phrase: tuple[str, ...]) -> Column:
+def phrase_starts(text: Column, low: Column, phrase: tuple[str, ...]) -> Column:
     """Word positions at which the phrase's words stand consecutively."""
+    hint = F.lit(max(phrase, key=len) if len(phrase) > 2 else phrase[0])
     pattern = F.lit(f"(?i)(?<!{_WORD})" + _GAP.join(phrase) + f"(?!{_WORD})")
     none = F.array().cast("array<long>")
     cuts = F.transform(F.split(text, pattern, F.lit(-1)), count_words)
@@ -196,16 +197,16 @@ def phrase_starts(text: Column, phrase: tuple[str, ...]) -> Column:
     starts = F.aggregate(cuts, acc, lambda a, n: F.struct(
         (a["at"] + n + len(phrase)).alias("at"), F.concat(a["out"], F.array(a["at"] + n)).alias("out")))["out"]
     # The last cut is followed by no phrase.
-    return F.when(F.rlike(text, pattern), F.slice(starts, F.lit(1), F.size(starts) - 1)).otherwise(none)
+    return F.when(F.contains(low, hint) & F.rlike(text, pattern), F.slice(starts, F.lit(1), F.size(starts) - 1)).otherwise(none)
 
 
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document its words, base places and labels, ``detections`` and ``score``."""
     t = F.coalesce(F.col(text), F.lit(""))
-    src = docs.select(F.col(doc_id).alias("doc_id"), t.alias("t"))
-    places = [phrase_starts(F.col("t"), p) for p, _ in BASE]
+    src = docs.select(F.col(doc_id).alias("doc_id"), t.alias("t")).withColumn("low", F.lower("t"))
+    places = [phrase_starts(F.col("t"), F.col("low"), p) for p, _ in BASE]
     out = src.select("doc_id", count_words(F.col("t")).alias("n_words"), F.array(*places).alias("places"),
-                     detections(F.col("t")).alias("detections"))
+                     detections(F.col("t"), F.col("low")).alias("detections"))
     every = F.flatten("places")
     base = F.array_compact(F.array(*[F.when(F.size(F.col("places")[i]) > 0, F.lit(label))
                                      for i, (_, label) in enumerate(BASE)]))
