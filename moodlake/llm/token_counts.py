@@ -16,6 +16,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from moodlake.llm.common import materialize
 from moodlake.llm.tokens import DEFAULT_TOKENIZER, encoder
 
 # Lengths per block: suffix sums run inside a block and over the few block totals.
@@ -40,8 +41,9 @@ def length_histogram(lens: DataFrame) -> DataFrame:
     this length or more (``docs_atleast``, ``tokens_atleast``), all documents
     and tokens (``docs_total``, ``tokens_total``) and the total when cut to
     this length (``tokens_cut``)."""
-    hist = (lens.groupBy("length").agg(F.count(F.lit(1)).alias("n_docs"))
-                .withColumn("block", F.floor(F.col("length") / BLOCK)))
+    # Written once: it is read twice below, and its input tokenises whole texts.
+    hist = materialize(lens.groupBy("length").agg(F.count(F.lit(1)).alias("n_docs"))
+                           .withColumn("block", F.floor(F.col("length") / BLOCK)), "histogram")
     # One row per block of lengths: as many as the longest text has blocks.
     blocks = hist.groupBy("block").agg(F.sum("n_docs").alias("b_docs"),
                                        F.sum(F.col("n_docs") * F.col("length")).alias("b_tokens"))
