@@ -39,7 +39,7 @@ FEATURES = 1024
 MIN_SUPPORT = 4
 MAX_TOKEN = 32
 PREFIXES = range(4, 9)
-MAX_CACHED = 200_000
+MAX_CACHED = 80_000
 
 # Letters: 0 word border, 1-26 a-z, 27-58 U+00E0 to U+00FF, 59 any other letter.
 ALPHABET = 60
@@ -194,6 +194,7 @@ def text_features(text: str | None, model: np.ndarray, known: dict, select: dict
             got = [f for w in restored_words(t, model) for f in word_features(w)]
             if select is not None:
                 got = [select[f] for f in got if f in select]
+            got = tuple(got)     # () is one object: most words have no selected feature
             if len(known) > MAX_CACHED:
                 known.clear()
             known[t] = got

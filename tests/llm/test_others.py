@@ -74,12 +74,10 @@ def letters():
 
 
 @pytest.mark.parametrize("written, meant", [
-    ("1d10t", "idiot"), ("!diot", "idiot"), ("m0r0n,", "moron"), ("s.t.u.p.i.d", "stupid"), ("c-l-0-w-n", "clown"),
+    ("1d10t", "idiot"), ("!diot", "diot"), ("m0r0n,", "moron"), ("s.t.u.p.i.d", "stupid"), ("c-l-0-w-n", "clown"),
     ("idiooooot", "idiot"), ("l o s e r", "loser"), ("the", "the"), ("soup.", "soup"), ("2024", ""), ("***", "")])
 def test_deobfuscation(written, meant):
-    if written == "!diot":
-        written = "x!diot"[1:]   # an edge sign is cut off before decoding
-        meant = "diot"
+    # Signs at the edges are cut off before decoding.
     assert toxicity.restored_text(written, letters()) == meant
 
 
@@ -277,3 +275,12 @@ def test_license_query(spark, odd_docs, no_docs):
         assert r.labels == ",".join(sorted(want))
     assert sum(r.n_base for r in rows) > 10
     assert license_scan.scan(odd_docs).count() == odd_docs.count() and license_scan.scan(no_docs).collect() == []
+
+
+# --- native operators ---
+
+@pytest.mark.parametrize("name", ["op5_personal_data", "op8_license_scan"])
+def test_native_plans_run_no_python(spark, name):
+    from moodlake.llm.queries import queries
+    plan = queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
