@@ -125,19 +125,28 @@ def disclosing_terms(docs: DataFrame, text: str = "text") -> DataFrame:
     joint = (rows.select(F.explode(pairs).alias("p")).select("p.*")
                  .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_joint")))
     entity = rows.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    cand = materialize(joint.join(contexts, ["entity", "term"]).join(entity, "entity"), "candidates")
+    near_n = (rows.select(F.explode(F.array_distinct(F.transform("entries", lambda e: e["term"]))).alias("term"))
+                  .groupBy("term").agg(F.count(F.lit(1)).alias("n_near")))
+    total = docs.agg(F.count(F.lit(1)).alias("n_docs"))
+    ic = F.log(F.col("n_docs") / F.col("n_entity"))
+
+    def disclosure(n_term: str) -> Column:
+        pmi = F.log(F.col("n_docs") * F.col("n_joint") / (F.col("n_entity") * F.col(n_term).cast("double")))
+        return F.try_divide(pmi, ic)
+
+    # A term stands in at least the documents that have it near some entity:
+    # words common there cannot reach the threshold and need no corpus count.
+    cand = (joint.join(contexts, ["entity", "term"]).join(entity, "entity").join(near_n, "term")
+                 .join(F.broadcast(total)).where(F.col("n_entity") < F.col("n_docs"))
+                 .where(disclosure("n_near") >= GENERALISE - 1e-9).drop("n_near"))
+    cand = materialize(cand, "candidates")
     # Documents that hold a candidate word, over the whole corpus.
     words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(
         F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(WORD), F.lit(0)))).alias("term"))
     term = (words.join(cand.select("term").distinct(), "term", "left_semi")
                  .groupBy("term").agg(F.count(F.lit(1)).alias("n_term")))
-    total = docs.agg(F.count(F.lit(1)).alias("n_docs"))
-    scored = cand.join(term, "term").join(F.broadcast(total))
-    pmi = F.log(F.col("n_docs") * F.col("n_joint") / (F.col("n_entity") * F.col("n_term").cast("double")))
-    ic = F.log(F.col("n_docs") / F.col("n_entity"))
-    flagged = materialize(scored.where(F.col("n_entity") < F.col("n_docs"))
-                                .select("entity", "term", (pmi / ic).alias("disclosure"))
-                                .where(F.col("disclosure") >= GENERALISE), "disclosing")
+    flagged = materialize(cand.join(term, "term").select("entity", "term", disclosure("n_term").alias("disclosure"))
+                              .where(F.col("disclosure") >= GENERALISE), "disclosing")
     concerned = rows.select("k1", "k2", F.explode("entities").alias("entity")).distinct().join(flagged, "entity")
     best = concerned.groupBy("k1", "k2", "term").agg(F.max("disclosure").alias("disclosure"))
     return best.groupBy("k1", "k2").agg(F.sort_array(F.collect_list(F.struct("term", "disclosure"))).alias("terms"))
