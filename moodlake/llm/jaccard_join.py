@@ -178,92 +178,92 @@ def shared_tokens(reps: DataFrame) -> DataFrame:
                 .mapInPandas(keep, "token long, frequent boolean, cls long, n long"))
 
 
-def tiled(rows: DataFrame, tile: int) -> DataFrame:
-    """Deal ``token, cls, n, comp, bits`` into tiles: every class asks in the
-    tile of its size band and is a partner there and in the band above; tiles
-    with more than ``tile`` askers are cut into a grid of blocks."""
+def tiled(rows: DataFrame, bits: DataFrame, tile: int) -> DataFrame:
+    """Deal ``token, cls, n, comp`` into tiles: every class asks in the tile of
+    its size band and is a partner there and in the band above. Tiles without
+    two components to compare go before the bitmaps are attached; tiles of more
+    than ``tile`` classes are cut into a grid of blocks, in which a class asks
+    along one row and is a partner along one column."""
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(4.0 / 3)) + 1e-9).cast("int")
-    rows = rows.withColumn("band", band)
-    # Partners may also come from the band below: blocks are counted over both.
-    sizes = (rows.select("token", F.explode(F.array("band", F.col("band") + 1)).alias("band"))
-                 .groupBy("token", "band").agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("cuts"))
-                 .where("cuts > 1"))
-    roles = rows.select("token", "cls", "n", "comp", "bits", F.explode(F.array(
+    roles = rows.withColumn("band", band).select("token", "cls", "n", "comp", F.explode(F.array(
         F.struct(F.col("band").alias("band"), F.lit(True).alias("asks")),
-        F.struct(F.col("band").alias("band"), F.lit(False).alias("asks")),
         F.struct((F.col("band") + 1).alias("band"), F.lit(False).alias("asks")))).alias("r"))
-    roles = roles.select("token", "cls", "n", "comp", "bits", "r.band", "r.asks").join(sizes, ["token", "band"], "left")
-    cuts = F.coalesce("cuts", F.lit(1))
-    own = F.pmod(F.xxhash64("cls"), cuts).cast("int")
-    other = F.explode(F.sequence(F.lit(0), cuts - 1))
-    placed = roles.withColumn("own", own).withColumn("other", other)
-    block = F.struct(F.when(F.col("asks"), F.col("own")).otherwise(F.col("other")),
-                     F.when(F.col("asks"), F.col("other")).otherwise(F.col("own")))
-    return placed.select(F.xxhash64("token", "band", block).alias("tile"), "asks", "cls", "n", "comp", "bits")
+    roles = roles.select("token", "r.band", "r.asks", "cls", "n", "comp")
+    tiles = (roles.groupBy("token", "band")
+                  .agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("cuts"), F.max("asks").alias("asked"),
+                       F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+                  .where("asked and lo <> hi").select("token", "band", "cuts"))
+    kept = roles.join(tiles, ["token", "band"])
+    own = F.pmod(F.xxhash64("cls"), F.col("cuts")).cast("int")
+    line = F.sequence(F.lit(0), F.col("cuts") - 1)
+    both = F.array(F.struct(F.lit(0).alias("x"), F.lit(0).alias("y"), F.col("asks").alias("asks"), F.lit(True).alias("offers")))
+    column = F.transform(line, lambda k: F.struct(k.alias("x"), own.alias("y"), F.lit(False).alias("asks"), F.lit(True).alias("offers")))
+    row = F.transform(line, lambda k: F.struct(own.alias("x"), k.alias("y"), F.lit(True).alias("asks"), F.lit(False).alias("offers")))
+    places = F.when(F.col("cuts") == 1, both).when(F.col("asks"), F.concat(row, column)).otherwise(column)
+    placed = kept.select("token", "band", "cls", "n", "comp", F.explode(places).alias("b"))
+    return placed.select(F.xxhash64("token", "band", "b.x", "b.y").alias("tile"), "b.asks", "b.offers",
+                         "cls", "n", "comp").join(bits, "cls")
+
+
+class Partners:
+    """Bitmaps of one width that a tile's later classes are compared with, in order of set size."""
+
+    def __init__(self, width: int):
+        self.m, self.rows, self.n = np.empty((8, width), np.uint8), np.empty((3, 8), np.int64), 0
+
+    def add(self, bits: np.ndarray, n: int, cls: int, comp: int) -> None:
+        if self.n == len(self.m):
+            self.m, self.rows = np.concatenate((self.m, self.m)), np.concatenate((self.rows, self.rows), axis=1)
+        self.m[self.n], self.rows[:, self.n] = bits, (n, cls, comp)
+        self.n += 1
+
+    def passing(self, bits: np.ndarray, n: int, comp: int, percent: int):
+        """Slack over the overlap needed, and class, of each partner whose bound allows it."""
+        ns, ids, comps = self.rows[:, :self.n]
+        lo = np.searchsorted(ns, -(-percent * n // 100))
+        at = np.flatnonzero(comps[lo:] != comp) + lo
+        width = min(self.m.shape[1], len(bits))
+        for k in range(0, len(at), 4096):
+            part = at[k:k + 4096]
+            differ = np.bitwise_count(folded(self.m[part], width) ^ folded(bits, width)).sum(axis=1, dtype=np.int64)
+            slack = (ns[part] + n - differ) // 2 - needed(ns[part], n, percent)
+            yield from zip(slack[slack >= 0].tolist(), ids[part[slack >= 0]].tolist())
 
 
 def candidate_pairs(tiles: DataFrame, best_only: bool, percent: int = PERCENT) -> DataFrame:
-    """``a, b``: pairs of a tile whose bitmaps allow the overlap needed (each
-    asker's best one only, or all whose components differ)."""
+    """``a, b``: pairs of a tile whose bitmaps allow the overlap needed and
+    whose components differ (each asker's best one only, or all)."""
     def compare(batches: Iterator) -> Iterator:
-        here, partners, store, n_of = None, [], {}, {}
-
-        def load():
-            """Partners by bitmap width, in order of set size."""
-            store.clear()
-            n_of.clear()
-            for w in sorted({len(p[3]) for p in partners}):
-                same = [p for p in partners if len(p[3]) == w]
-                store[w] = np.frombuffer(b"".join(p[3] for p in same), np.uint8).reshape(len(same), w)
-                n_of[w] = tuple(np.array([p[i] for p in same], np.int64) for i in (1, 0, 2))   # n, cls, comp
-            partners.clear()
-
-        def ask(cls, n, comp, bits):
-            mine = np.frombuffer(bits, np.uint8)
-            got = []
-            for w in store:
-                if w > 2 * len(mine) or 2 * w < len(mine):
-                    continue
-                ns, ids, comps = n_of[w]
-                lo, hi = np.searchsorted(ns, -(-percent * n // 100)), np.searchsorted(ns, n, "right")
-                if lo >= hi:
-                    continue
-                ok = ((ns[lo:hi] < n) | (ids[lo:hi] < cls)) & (comps[lo:hi] != comp)
-                at = np.flatnonzero(ok) + lo
-                for k in range(0, len(at), 4096):
-                    part = at[k:k + 4096]
-                    width = min(w, len(mine))
-                    differ = np.bitwise_count(folded(store[w][part], width) ^ folded(mine, width)).sum(axis=1, dtype=np.int64)
-                    bound = (ns[part] + n - differ) // 2
-                    passed = bound >= needed(ns[part], n, percent)
-                    got += zip((bound[passed] - needed(ns[part][passed], n, percent)).tolist(), ids[part[passed]].tolist())
-            if best_only and got:
-                got = [max(got, key=lambda g: (g[0], -g[1]))]
-            return [(cls, other) for _, other in got]
-
+        here, partners = None, {}
         for pdf in batches:
             pairs = []
-            for tile, asks, cls, n, comp, bits in zip(pdf["tile"], pdf["asks"], pdf["cls"], pdf["n"], pdf["comp"], pdf["bits"]):
+            for tile, asks, offers, cls, n, comp, raw in zip(*(pdf[c] for c in ("tile", "asks", "offers", "cls", "n", "comp", "bits"))):
                 if tile != here:
-                    here = tile
-                    partners.clear()
-                    store.clear()
-                if not asks:
-                    partners.append((cls, n, comp, bits))
-                    continue
-                if partners:
-                    load()
-                pairs += ask(cls, n, comp, bits)
+                    here, partners = tile, {}
+                bits = np.frombuffer(raw, np.uint8)
+                if asks:
+                    got = [g for w, p in partners.items() if len(bits) <= 2 * w <= 4 * len(bits)
+                           for g in p.passing(bits, n, comp, percent)]
+                    if best_only and got:
+                        got = [max(got, key=lambda g: (g[0], -g[1]))]
+                    pairs += [(cls, other) for _, other in got]
+                if offers:
+                    if len(bits) not in partners:
+                        partners[len(bits)] = Partners(len(bits))
+                    partners[len(bits)].add(bits, n, cls, comp)
             yield pd.DataFrame(pairs, columns=["a", "b"]).astype("int64")
 
-    dealt = tiles.repartition("tile").sortWithinPartitions("tile", "asks", "n", "cls")
+    dealt = tiles.repartition("tile").sortWithinPartitions("tile", "n", "cls")
     return dealt.mapInPandas(compare, "a long, b long")
 
 
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
-    """``a, b, overlap`` of the pairs at or above the threshold, by intersecting sorted arrays."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-    wanted = materialize(classes.join(ids, "cls").select("cls", "d1", "d2", F.col("first_id").alias("doc_id")), "wanted")
+    """``a, b, overlap`` of the distinct pairs at or above the threshold, by
+    intersecting sorted arrays. Each array is computed once from its text and
+    sent to its pairs; a pair's two arrays are neighbours after sorting."""
+    ends = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("cls"))
+    ids = ends.select("cls").distinct()
+    wanted = materialize(classes.join(ids, "cls").select("cls", "d1", "d2", F.col("first_id").alias("w_id")), "wanted")
     small = wanted.count() <= MAX_BROADCAST
 
     def sets(batches: Iterator) -> Iterator:
@@ -275,24 +275,25 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int =
                     rows.append((cls, s.tobytes()))
             yield pd.DataFrame(rows, columns=["cls", "set"])
 
-    w = wanted.withColumnRenamed("doc_id", "w_id")
-    texts = docs.join(F.broadcast(w) if small else w, F.col("doc_id").eqNullSafe(F.col("w_id")))
-    arrays = materialize(texts.select("cls", "d1", "d2", "text").mapInPandas(sets, "cls long, set binary")
-                              .dropDuplicates(["cls"]), "sets")
+    texts = docs.join(F.broadcast(wanted) if small else wanted, F.col("doc_id").eqNullSafe(F.col("w_id")))
+    arrays = texts.select("cls", "d1", "d2", "text").mapInPandas(sets, "cls long, set binary")
 
     def intersect(batches: Iterator) -> Iterator:
+        a = b = first = None      # the pair under way and its first array
         for pdf in batches:
             rows = []
-            for a, b, x, y in zip(pdf["a"], pdf["b"], pdf["x"], pdf["y"]):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                if common >= needed(len(x), len(y), percent):
-                    rows.append((a, b, common))
+            for x, y, cls, raw in zip(pdf["a"], pdf["b"], pdf["cls"], pdf["set"]):
+                if (x, y) != (a, b):
+                    a, b, first = x, y, (cls, raw)
+                elif first is not None and cls != first[0]:    # repeated rows give an array twice
+                    s, t = np.frombuffer(first[1], np.uint64), np.frombuffer(raw, np.uint64)
+                    common, first = len(np.intersect1d(s, t, assume_unique=True)), None
+                    if common >= needed(len(s), len(t), percent):
+                        rows.append((a, b, common))
             yield pd.DataFrame(rows, columns=["a", "b", "overlap"]).astype("int64")
 
-    both = (pairs.join(arrays.select(F.col("cls").alias("a"), F.col("set").alias("x")), "a")
-                 .join(arrays.select(F.col("cls").alias("b"), F.col("set").alias("y")), "b"))
-    return both.select("a", "b", "x", "y").mapInPandas(intersect, "a long, b long, overlap long")
+    met = ends.join(arrays, "cls").repartition("a", "b").sortWithinPartitions("a", "b", "cls")
+    return met.select("a", "b", "cls", "set").mapInPandas(intersect, "a long, b long, overlap long")
 
 
 def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE,
@@ -317,17 +318,17 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     involved = classes.join(shared.select("cls").distinct(), "cls")
     bits = materialize(reps(involved, "bits").dropDuplicates(["cls"]).select("cls", "bits"), "bitmaps")
     # First round: one rare and one frequent shingle per class, the best partner.
-    asked = shared.groupBy("cls", "n", "frequent").agg(F.min("token").alias("token")).join(bits, "cls")
-    first = candidate_pairs(tiled(asked.withColumn("comp", F.col("cls")), tile), True, percent)
+    asked = shared.groupBy("cls", "n", "frequent").agg(F.min("token").alias("token"))
+    first = candidate_pairs(tiled(asked.withColumn("comp", F.col("cls")), bits, tile), True, percent)
     first = materialize(first.distinct(), "pairs")
     links = materialize(verified(first, classes, docs, size, percent), "links")
     roots = components(links)
-    # Second round: every shingle whose classes are not of one component yet.
+    # Second round: every shingle, but only classes that are not of one component yet.
     labelled = shared.join(roots.withColumnRenamed("node", "cls"), "cls", "left").select(
         "token", "cls", "n", F.coalesce("root", "cls").alias("comp"))
     open_tokens = labelled.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
     rest = materialize(labelled.join(open_tokens.select("token"), "token", "left_semi"), "open")
-    second = candidate_pairs(tiled(rest.join(bits, "cls"), tile), False, percent)
+    second = candidate_pairs(tiled(rest, bits, tile), False, percent)
     second = materialize(second.distinct().join(first, ["a", "b"], "left_anti"), "pairs")
     more = materialize(verified(second, classes, docs, size, percent), "links")
     roots = materialize(components(links.unionByName(more)), "roots")
