@@ -2,8 +2,8 @@
 
 The lexicon is a dimension table ``(lang, word, valence_milli, emotion)``
 with one row per ``(lang, word)``. Valences are integers in thousandths so
-sums are exact in any order. The built-in list below is small and
-self-written; a real deployment passes its own table with ``load_lexicon``.
+sums are exact in any order. The built-in list below is a small example of
+unrecorded origin; a real deployment passes its own table with ``load_lexicon``.
 """
 
 from __future__ import annotations
