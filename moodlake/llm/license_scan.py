@@ -17,6 +17,8 @@ are not read. Whole texts are scanned.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,19 +29,18 @@ BASE = [(("cc", "by"), "cc-by"), (("general", "public", "license"), "gpl"), (("a
 _WORD = r"[0-9A-Za-z\x{80}-\x{10FFFF}]"
 _GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
-# Stems of which every text with a detection holds one (lower case).
-STEMS = ["licen", "spdx", "copyright", "rights reserved", "public domain", "creativecommons", "creative commons",
-         "gnu", "gpl", "copyleft", "unlicense", "wtfpl", "cc0", "cc by", "cc-by", "openfontlicense", "opensource.org"]
-
-# Families: label, keyword (lower case, in every text the family's rules can
-# match), name as written in prose, identifiers as in tags and addresses.
+# Families: label, keyword (lower case, one word that every alternative of the
+# name holds; alternatives without a common word are families of their own),
+# name as written in prose, identifiers as in tags and addresses (None: in an
+# earlier family of the label).
 _V = r"(?:,?\s+|-)(?:version\s+|v\.?\s?)?"
 FAMILIES = [
     ("apache-2.0", "apache", rf"apache\s+(?:software\s+)?licen[sc]e(?:{_V}2(?:\.0)?)?", r"apache-2\.0"),
     ("apache-1.1", "apache", rf"apache\s+(?:software\s+)?licen[sc]e{_V}1\.1", r"apache-1\.1"),
     ("apache-1.0", "apache", rf"apache\s+(?:software\s+)?licen[sc]e{_V}1\.0", r"apache-1\.0"),
-    ("mit", "mit", r"(?:mit|expat)(?:\s*/\s*x11)?\s+licen[sc]e", r"mit"),
-    ("mit-0", "mit", r"mit\s+no\s+attribution(?:\s+licen[sc]e)?", r"mit-0"),
+    ("mit", "mit", r"mit(?:\s*/\s*x11)?\s+licen[sc]e", r"mit"),
+    ("mit", "expat", r"expat(?:\s*/\s*x11)?\s+licen[sc]e", None),
+    ("mit-0", "attribution", r"mit\s+no\s+attribution(?:\s+licen[sc]e)?", r"mit-0"),
     ("x11", "x11", r"x11\s+licen[sc]e", r"x11"),
     ("bsd-2-clause", "bsd", r"(?:simplified|freebsd|2[- ]clause|two[- ]clause)\s+bsd\s+licen[sc]e", r"bsd-2-clause"),
     ("bsd-3-clause", "bsd", r"(?:new|modified|revised|3[- ]clause|three[- ]clause)\s+bsd\s+licen[sc]e", r"bsd-3-clause"),
@@ -53,7 +54,7 @@ FAMILIES = [
     ("gpl-2.0", "general", rf"(?:gnu\s+)?general\s+public\s+licen[sc]e{_V}2(?:\.0)?\b", r"gplv2"),
     ("gpl-3.0", "general", rf"(?:gnu\s+)?general\s+public\s+licen[sc]e{_V}3(?:\.0)?\b", r"gplv3"),
     ("gpl", "general", r"(?:gnu\s+)?general\s+public\s+licen[sc]e", r"gpl"),
-    ("lgpl-2.0", "lesser", rf"(?:gnu\s+)?(?:lesser|library)\s+general\s+public\s+licen[sc]e{_V}2(?:\.0)?\b", r"lgpl-2\.0(?:-only|-or-later|\+)?"),
+    ("lgpl-2.0", "general", rf"(?:gnu\s+)?(?:lesser|library)\s+general\s+public\s+licen[sc]e{_V}2(?:\.0)?\b", r"lgpl-2\.0(?:-only|-or-later|\+)?"),
     ("lgpl-2.1", "lesser", rf"(?:gnu\s+)?lesser\s+general\s+public\s+licen[sc]e{_V}2\.1", r"lgpl-2\.1(?:-only|-or-later|\+)?"),
     ("lgpl-3.0", "lesser", rf"(?:gnu\s+)?lesser\s+general\s+public\s+licen[sc]e{_V}3(?:\.0)?\b", r"lgpl-3\.0(?:-only|-or-later|\+)?"),
     ("lgpl", "lesser", r"(?:gnu\s+)?lesser\s+general\s+public\s+licen[sc]e", r"lgpl"),
@@ -73,7 +74,7 @@ FAMILIES = [
     ("eupl-1.2", "european", r"european\s+union\s+public\s+licen[sc]e", r"eupl-1\.[012]"),
     ("isc", "isc", r"isc\s+licen[sc]e", r"isc"),
     ("zlib", "zlib", r"zlib(?:/libpng)?\s+licen[sc]e", r"zlib"),
-    ("libpng", "libpng", r"(?:png\s+reference\s+library|libpng)\s+licen[sc]e", r"libpng(?:-2\.0)?"),
+    ("libpng", "png", r"(?:png\s+reference\s+library|libpng)\s+licen[sc]e", r"libpng(?:-2\.0)?"),
     ("bsl-1.0", "boost", r"boost\s+software\s+licen[sc]e", r"bsl-1\.0"),
     ("busl-1.1", "business", r"business\s+source\s+licen[sc]e", r"busl-1\.1"),
     ("artistic-1.0", "artistic", rf"artistic\s+licen[sc]e{_V}1(?:\.0)?", r"artistic-1\.0(?:-perl|-cl8)?"),
@@ -84,10 +85,10 @@ FAMILIES = [
     ("ofl-1.1", "font", r"(?:sil\s+)?open\s+font\s+licen[sc]e", r"ofl-1\.[01]"),
     ("unlicense", "unlicense", r"(?:the\s+)?unlicense", r"unlicense"),
     ("wtfpl", "wtfpl", r"wtfpl", r"wtfpl"),
-    ("wtfpl", "what the", r"do\s+what\s+the\s+\w+\s+you\s+want\s+to\s+public\s+licen[sc]e", r"wtf-pl"),
+    ("wtfpl", "want", r"do\s+what\s+the\s+\w+\s+you\s+want\s+to\s+public\s+licen[sc]e", r"wtf-pl"),
     ("ms-pl", "microsoft", r"microsoft\s+public\s+licen[sc]e", r"ms-pl"),
     ("ms-rl", "microsoft", r"microsoft\s+reciprocal\s+licen[sc]e", r"ms-rl"),
-    ("osl-3.0", "open software", r"open\s+software\s+licen[sc]e", r"osl-[123]\.[01]"),
+    ("osl-3.0", "software", r"open\s+software\s+licen[sc]e", r"osl-[123]\.[01]"),
     ("afl-3.0", "academic", r"academic\s+free\s+licen[sc]e", r"afl-[123]\.[012]"),
     ("ecl-2.0", "educational", r"educational\s+community\s+licen[sc]e", r"ecl-[12]\.0"),
     ("upl-1.0", "universal", r"universal\s+permissive\s+licen[sc]e", r"upl-1\.0"),
@@ -110,7 +111,7 @@ FAMILIES = [
     ("cc-by-nc-sa", "cc", r"\bcc[- ]by[- ]nc[- ]sa\b", r"by-nc-sa"),
     ("cc-by-nc", "cc", r"\bcc[- ]by[- ]nc\b", r"by-nc"),
     ("cc-by-sa", "cc", r"\bcc[- ]by[- ]sa\b", r"by-sa"),
-    ("public-domain", "public domain", r"(?:released\s+(?:in)?to|placed\s+in|in)\s+the\s+public\s+domain", r"public-domain"),
+    ("public-domain", "domain", r"(?:released\s+(?:in)?to|placed\s+in|in)\s+the\s+public\s+domain", r"public-domain"),
     ("proprietary", "proprietary", r"proprietary\s+(?:and\s+confidential|licen[sc]e)", r"proprietary"),
     ("reserved", "reserved", r"all\s+rights\s+reserved", r"licenseref-reserved"),
     ("copyright", "copyright", r"copyright\s+(?:\(c\)\s*|©\s*)?(?:19|20)[0-9]{2}", r"licenseref-copyright"),
@@ -124,11 +125,29 @@ FORMS = [
 ]
 
 
+def _stems() -> list[str]:
+    """Stems of which every text with a detection holds one (lower case): those of tags and addresses, "licen" for
+    names that always hold it (outside all brackets), the keyword of other names."""
+    out = {"licen", "legalcode", "opensource.org"}
+    for _, keyword, name, _ in FAMILIES:
+        flat = name
+        while (less := re.sub(r"\([^()]*\)", "", flat)) != flat:
+            flat = less
+        if "licen" not in flat:
+            out |= {"cc by", "cc-by"} if name.startswith(r"\bcc[- ]by") else {keyword}
+    return sorted(s for s in out if not any(o in s for o in out - {s}))
+
+
+STEMS = _stems()
+
+
 def rules() -> list[tuple[int, str, str, str, float]]:
     """Ordered rules: priority, label, keyword, pattern, strength."""
     out = []
     for form, strength, around in FORMS:
         for label, keyword, name, ident in FAMILIES:
+            if ident is None and "{id}" in around:
+                continue
             # An identifier need not hold the prose keyword: its own first letters gate it.
             gate = keyword if "{name}" in around else ident.replace("\\", "").split("(")[0].split("[")[0]
             out.append((len(out), label, gate, "(?i)" + around.format(name=f"(?:{name})", id=f"(?:{ident})"), strength))
