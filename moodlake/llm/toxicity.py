@@ -2,9 +2,10 @@
 
 A trigram model over letters is counted on the words of all documents. Tokens
 that look disguised (letters mixed with digits or signs, a letter three times
-in a row, letters one by one with spaces between) span a lattice: each sign may
-stand for itself's look-alikes or for nothing, each repetition or gap may be
-dropped. The Viterbi path under the letter model and the channel's costs is the
+in a row, letters one by one with spaces between, look-alikes of letters only)
+span a lattice: each sign may stand for itself's look-alikes or for nothing,
+each repetition or gap may be dropped. A look-alike at the edge of an ordinary
+word is read or dropped, the word itself stays ("!" at an edge is a mark). The Viterbi path under the letter model and the channel's costs is the
 restored word; other tokens have one path and stay as they are.
 
 Restored texts are scored by a logistic model over the presence of words and
@@ -16,8 +17,8 @@ Defined results: null and empty texts get the score of a text without words;
 without labelled rows, or with one class only, every score is the share of
 toxic rows (0 where there is none); of several labels of a doc_id the toxic one
 counts; repeated rows are scored alike; an empty table gives no rows; extra
-columns are not read. Whole texts are counted and scored; tokens over
-``MAX_TOKEN`` letters are words of their own and never disguised ones.
+columns are not read. Whole texts are counted and scored, tokens of any length
+alike.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from os.path import commonprefix
 
 import numpy as np
 import pandas as pd
@@ -37,9 +39,12 @@ SAMPLE_TOXIC = 4000
 SAMPLE_CLEAN = 12000
 FEATURES = 1024
 MIN_SUPPORT = 4
-MAX_TOKEN = 32
 PREFIXES = range(4, 9)
 MAX_CACHED = 80_000
+# Longer tokens are restored anew each time, not kept.
+MAX_KEY = 64
+# Characters after which the common beginning of all paths is put aside.
+SETTLE = 64
 
 # Letters: 0 word border, 1-26 a-z, 27-58 U+00E0 to U+00FF, 59 any other letter.
 ALPHABET = 60
@@ -48,7 +53,11 @@ LOOKS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb",
          "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "<": "c", "€": "e", "£": "l", "¡": "i"}
 # Costs of the channel, as negative natural logarithms.
 COST_LOOK, COST_SIGN_DROPPED, COST_DIGIT_DROPPED, COST_REPEAT_DROPPED, COST_GAP_DROPPED = 1.0, 0.7, 6.0, 0.3, 0.7
+# A leading "@" or "$" is no punctuation, so dropping it costs more than a separator.
+COST_LEAD_DROPPED = 4.0
 _EDGE = "".join(chr(i) for i in range(33, 127) if not chr(i).isalnum())
+# Edge signs that can be no letter; "!" at an edge ends or opens a sentence.
+_PLAIN_EDGE = "".join(c for c in _EDGE if c not in LOOKS or c == "!")
 
 
 def letter(c: str) -> int:
@@ -120,8 +129,16 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
 
 def decode(token: str, model: np.ndarray) -> str:
     """The cheapest path through the token's lattice under the letter model."""
+    return cheapest(lattice(token), model)
+
+
+def cheapest(readings_of: list[list[tuple[str, float]]], model: np.ndarray) -> str:
+    """The cheapest path under the letter model, in time linear in the length:
+    what all paths have in common is put aside every ``SETTLE`` characters."""
+    log_p = model.item    # a plain float, faster than a numpy one
+    settled: list[str] = []
     paths = {(0, 0): (0.0, "")}
-    for readings in lattice(token):
+    for at, readings in enumerate(readings_of, 1):
         ahead: dict[tuple[int, int], tuple[float, str]] = {}
         for (a, b), (cost, text) in paths.items():
             for c, extra in readings:
@@ -129,33 +146,64 @@ def decode(token: str, model: np.ndarray) -> str:
                     state, total, longer = (a, b), cost + extra, text
                 else:
                     k = 0 if c == " " else letter(c)
-                    state, total, longer = (b, k), cost + extra - float(model[a, b, k]), text + c
+                    state, total, longer = (b, k), cost + extra - log_p(a, b, k), text + c
                 if state not in ahead or (total, longer) < ahead[state]:
                     ahead[state] = (total, longer)
         paths = ahead
-    return min((cost - float(model[a, b, 0]), text) for (a, b), (cost, text) in paths.items())[1]
+        if at % SETTLE == 0:
+            shared = commonprefix([text for _, text in paths.values()])
+            settled.append(shared)
+            paths = {k: (cost, text[len(shared):]) for k, (cost, text) in paths.items()}
+    return "".join(settled) + min((cost - log_p(a, b, 0), text) for (a, b), (cost, text) in paths.items())[1]
+
+
+def edge_word(lead: str, core: str, tail: str, model: np.ndarray) -> str:
+    """The cheapest path of an ordinary word between signs: only the signs have readings.
+    All paths meet at the word's first and again at its last two letters, so the sides are decoded alone."""
+    before = after = ""
+    if lead:
+        signs = lattice(lead)
+        if lead[0] in "@$":
+            signs[0] = [(c, COST_LEAD_DROPPED if c == "" else cost) for c, cost in signs[0]]
+        before = cheapest(signs + [[(c, 0.0)] for c in core[:2]], model)[:-2]
+    if tail:
+        after = cheapest([[(c, 0.0)] for c in core[-2:]] + lattice(tail), model)[2:]
+    return before + core + after
 
 
 _RUN = re.compile(r"(.)\1\1")
 _HEX = re.compile(r"[0-9a-f]{12,}")
 
 
+# Amounts and table cells: digits with signs other than "@" before or between them.
+_NUMBER = re.compile(r"[^\w@]*\d[\d\W]*")
+
+
 def disguised(word: str) -> bool:
-    """Whether a lower-case token (edge signs gone) has more than one path."""
-    if len(word) > MAX_TOKEN or len(word) < 2:
+    """Whether a lower-case token (plain edge signs gone) has more than one path."""
+    if len(word) < 2:
         return False
     if word.isalpha():
         return bool(_RUN.search(word))
     letters = sum(map(str.isalpha, word))
-    return letters >= 2 and not _HEX.fullmatch(word)
+    if not letters:
+        looks = {c for c in word if c in LOOKS}
+        return len(looks) >= 2 and not all(map(str.isdigit, looks)) and not _NUMBER.fullmatch(word)
+    return letters + sum(c in LOOKS for c in word) >= 2 and not _HEX.fullmatch(word)
 
 
 def restored_words(token: str, model: np.ndarray) -> tuple[str, ...]:
-    """The words a token stands for, lower case (none if it holds no letter)."""
-    word = token.lower().strip(_EDGE)
+    """The words a token stands for, lower case (none if it holds no letter and no disguise)."""
+    word = token.lower().strip(_PLAIN_EDGE)
+    if word.isalpha():
+        return tuple(decode(word, model).split()) if _RUN.search(word) else (word,)
+    core = word.strip(_EDGE)
+    if len(core) < len(word) and len(core) > 1 and core.isalpha() and not disguised(core):
+        start = word.index(core)
+        return (edge_word(word[:start], core, word[start + len(core):], model),)
     if disguised(word):
         return tuple(decode(word, model).split())
-    return (word,) if any(map(str.isalpha, word)) else ()
+    return (word.strip(_EDGE),) if any(map(str.isalpha, word)) else ()
 
 
 def tokens(text: str) -> list[str]:
@@ -166,10 +214,10 @@ def tokens(text: str) -> list[str]:
             run.append(t)
             continue
         if run:
-            out.extend([" ".join(run)] if 3 <= len(run) <= MAX_TOKEN // 2 else run)
+            out.extend([" ".join(run)] if len(run) >= 3 else run)
             run = []
         out.append(t)
-    out.extend([" ".join(run)] if 3 <= len(run) <= MAX_TOKEN // 2 else run)
+    out.extend([" ".join(run)] if len(run) >= 3 else run)
     return out
 
 
@@ -197,7 +245,8 @@ def text_features(text: str | None, model: np.ndarray, known: dict, select: dict
             got = tuple(got)     # () is one object: most words have no selected feature
             if len(known) > MAX_CACHED:
                 known.clear()
-            known[t] = got
+            if len(t) <= MAX_KEY:
+                known[t] = got
         out.update(got)
     return out
 
