@@ -8,9 +8,10 @@ Per language and source the minimum covariance determinant estimates centre
 and scatter: from two deterministic starts (coordinate-wise median and MAD;
 spatial signs), concentration steps keep the ``H`` share of vectors with the
 smallest Mahalanobis distance and re-estimate, the start with the smaller
-determinant wins, one reweighting step follows, and the scatter is scaled so
-that the median distance is that of a chi-square law. A document whose squared
-distance exceeds ``CUT`` is rejected.
+determinant wins, one reweighting step follows, and the scatter is scaled, up
+or down, so that the median distance is that of a multivariate t law with
+``FREEDOM`` degrees of freedom. A document whose squared distance exceeds
+``CUT``, that law's ``QUANTILE``, is rejected.
 
 Every statistic is a partial aggregate over whole groups: vectors are held as
 integers (1/256), sums are exact, and shares come from counts per distance
@@ -40,17 +41,35 @@ WINDOW_WORDS = 8
 H = 0.75
 STEPS = 4
 MIN_GROUP = 200
-# Squared distance beyond which a vector is an outlier: far outside the chi-square
-# law, since word statistics of honest texts have longer tails than a normal law.
-CUT = 100.0
 UNIT = 256
 DIMS = ["word_length", "symbols", "capitals", "punctuation", "repetition", "digits"]
 # Smallest standard deviation believed per dimension (in the units of DIMS): many
-# groups have no symbol or digit at all, which would make their scatter singular.
-FLOOR = [0.08, 0.35, 0.03, 0.15, 0.5, 0.8]
+# groups have no symbol or digit at all, which would make their scatter singular,
+# and the few honest texts that have some all outliers (figures in the README).
+# The largest value of any dimension, alone, is beyond the cut.
+FLOOR = [0.08, 0.35, 0.03, 0.15, 0.45, 0.5]
 D = len(DIMS)
-# Median of the chi-square law with D degrees of freedom (Wilson and Hilferty).
-CHI_MEDIAN = D * (1 - 2 / (9 * D)) ** 3
+# Word statistics of honest texts have longer tails than a normal law: squared
+# distances follow a t law in D = 6 dimensions with FREEDOM = 3.
+FREEDOM = 3
+QUANTILE = 0.999
+
+
+def law_quantile(share: float) -> float:
+    """The squared distance that ``share`` of the law does not exceed (its tail has a closed form at D = 6, FREEDOM = 3)."""
+    low, high = 0.0, 1e9
+    for _ in range(200):
+        mid = (low + high) / 2
+        v = FREEDOM / (FREEDOM + mid)
+        tail = 105 / 16 * v ** 1.5 * (2 / 3 - 4 / 5 * v + 2 / 7 * v * v)
+        low, high = (mid, high) if tail > 1 - share else (low, mid)
+    return high
+
+
+LAW_MEDIAN = law_quantile(0.5)
+CUT = law_quantile(QUANTILE)
+# Median distances below are not believed: half the group are copies then.
+LEAST_MEDIAN = 0.25
 # Distances are counted in steps of 1/32 of a power of two.
 STEP = 32
 COUNTS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
@@ -218,7 +237,7 @@ def _starts(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 def scatter(rows: DataFrame, keys: list[str], h: float = H, steps: int = STEPS) -> DataFrame:
     """Minimum covariance determinant per group of ``rows`` (columns ``keys``
-    and ``x``): ``keys, n, mean, inv`` with distances scaled to the chi-square median."""
+    and ``x``): ``keys, n, mean, inv`` with distances scaled to the law's median."""
     keyed = [*keys, "start"]
     params = materialize(_starts(rows, keys), "starts")
     steps_of = F.floor(F.log2(F.col("d2") + 1) * STEP).cast("int")
@@ -241,7 +260,7 @@ def scatter(rows: DataFrame, keys: list[str], h: float = H, steps: int = STEPS)
     final = materialize(_estimates(_moments(inside, keys, F.col("x")), keys), "reweighted")
     d = measured(final, keys).withColumn("step", steps_of)
     scale = _share_step(d, keys, "step", 0.5)
-    ratio = CHI_MEDIAN / F.greatest(F.pow(F.lit(2.0), (F.col("edge") + 1) / STEP) - 1, F.lit(CHI_MEDIAN))
+    ratio = LAW_MEDIAN / F.greatest(F.pow(F.lit(2.0), (F.col("edge") + 1) / STEP) - 1, F.lit(LEAST_MEDIAN))
     return _joined(final, scale, keys).select(
         *keys, "n", "mean", F.transform("inv", lambda v: v * ratio).alias("inv"))
 
