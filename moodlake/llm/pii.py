@@ -2,16 +2,18 @@
 DataFrame expressions only.
 
 Base spans (e-mail, IP address, card, phone) are protected entities. For every
-word within ``REACH`` characters of one, the corpus tells how strongly it
-reveals the entity: with document counts over all N documents,
+word of a document that holds one, the corpus tells how strongly it reveals the
+entity: with document counts over all N documents,
 
-    PMI(e; t) = log(N * docs(e near t) / (docs(e) * docs(t))),  IC(e) = log(N / docs(e)),
+    PMI(e; t) = log(N * docs(e with t) / (docs(e) * docs(t))),  IC(e) = log(N / docs(e)),
 
 and disclosure = PMI / IC, 1 for a word found with the entity only. A word
 whose disclosure reaches ``GENERALISE`` is replaced by a category mark wherever
 it stands in documents that hold the entity, one that reaches ``REMOVE`` is
-removed. Words need ``MIN_CONTEXTS`` different surroundings of the same entity,
-so that copies and repeated lines of one place prove nothing.
+removed. Words need ``MIN_CONTEXTS`` different texts with the same entity, so
+that copies prove nothing. Pairs are pruned by bounds that lose none: docs(e
+with t) <= docs(e), so a disclosure of ``GENERALISE`` = g needs docs(t) <=
+N^(1-g) * docs(e)^g, and docs(t) and docs(e) are at least ``MIN_CONTEXTS``.
 
 Defined results: a null text counts as empty, has no spans and stays null when
 redacted; repeated rows count each as documents and get the same spans; an
@@ -29,7 +31,6 @@ from moodlake.llm.spans import match_spans
 
 KINDS = ["email", "ip", "card", "phone"]
 TERM = "term"
-REACH = 60
 MIN_CONTEXTS = 3
 GENERALISE = 0.6
 REMOVE = 0.95
@@ -53,7 +54,7 @@ GATES = {
 }
 _OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 _SPAN = "array<struct<kind:string,start:int,end:int,hit:string>>"
-WORD = r"\p{L}[\p{L}\p{N}']{2,}+"
+WORD = r"\p{L}[\p{L}\p{N}']*+"
 
 
 def _digits(hit: Column) -> Column:
@@ -91,13 +92,13 @@ def _entity(s: Column) -> Column:
     return F.concat(s["kind"], F.lit(":"), F.lower(s["hit"]))
 
 
-def _around(text: Column, s: Column) -> Column:
-    """The span's surroundings, lower case, cut at white space so that no word is halved."""
-    left = F.substr(text, F.greatest(s["start"] - REACH, F.lit(0)) + 1, F.least(s["start"], F.lit(REACH)))
-    right = F.substr(text, s["end"] + 1, F.lit(REACH))
-    left = F.when(s["start"] > REACH, F.regexp_replace(left, r"^\S*+", "")).otherwise(left)
-    right = F.when(F.char_length(right) == REACH, F.regexp_replace(right, r"(?<=\s)\S*+$", "")).otherwise(right)
-    return F.lower(F.concat(left, F.lit(" "), right))
+def _words(text: Column) -> Column:
+    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)))
+
+
+def _outside(text: Column, spans: Column) -> Column:
+    """The text with a blank for each span's hit."""
+    return F.aggregate(spans, text, lambda a, s: F.replace(a, s["hit"], F.lit(" ")))
 
 
 def _keys(text: Column) -> list[Column]:
@@ -111,43 +112,35 @@ def disclosing_terms(docs: DataFrame, text: str = "text") -> DataFrame:
     an array of ``struct<term, disclosure>``."""
     t = F.coalesce(F.col(text), F.lit(""))
     near = docs.select(t.alias("t")).select("t", base_spans(F.col("t")).alias("spans")).where(F.size("spans") > 0)
-    entries = F.flatten(F.transform("spans", lambda s: F.transform(
-        F.array_distinct(F.regexp_extract_all(_around(F.col("t"), s), F.lit(WORD), F.lit(0))),
-        lambda w: F.struct(_entity(s).alias("entity"), w.alias("term"), F.xxhash64(_around(F.col("t"), s)).alias("ctx")))))
     k1, k2 = _keys(F.col("t"))
-    rows = materialize(near.select(k1.alias("k1"), k2.alias("k2"),
-                                   F.array_distinct(F.transform("spans", _entity)).alias("entities"),
-                                   F.array_distinct(entries).alias("entries")), "entities")
-    contexts = (rows.select(F.explode("entries").alias("e")).select("e.*").distinct()
-                    .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("contexts"))
-                    .where(F.col("contexts") >= MIN_CONTEXTS).drop("contexts"))
-    pairs = F.array_distinct(F.transform("entries", lambda e: F.struct(e["entity"].alias("entity"), e["term"].alias("term"))))
-    joint = (rows.select(F.explode(pairs).alias("p")).select("p.*")
-                 .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_joint")))
-    entity = rows.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    near_n = (rows.select(F.explode(F.array_distinct(F.transform("entries", lambda e: e["term"]))).alias("term"))
-                  .groupBy("term").agg(F.count(F.lit(1)).alias("n_near")))
-    total = docs.agg(F.count(F.lit(1)).alias("n_docs"))
-    ic = F.log(F.col("n_docs") / F.col("n_entity"))
-
-    def disclosure(n_term: str) -> Column:
-        pmi = F.log(F.col("n_docs") * F.col("n_joint") / (F.col("n_entity") * F.col(n_term).cast("double")))
-        return F.try_divide(pmi, ic)
-
-    # A term stands in at least the documents that have it near some entity:
-    # words common there cannot reach the threshold and need no corpus count.
-    cand = (joint.join(contexts, ["entity", "term"]).join(entity, "entity").join(near_n, "term")
-                 .join(F.broadcast(total)).where(F.col("n_entity") < F.col("n_docs"))
-                 .where(disclosure("n_near") >= GENERALISE - 1e-9).drop("n_near"))
-    cand = materialize(cand, "candidates")
-    # Documents that hold a candidate word, over the whole corpus.
-    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(
-        F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(WORD), F.lit(0)))).alias("term"))
-    term = (words.join(cand.select("term").distinct(), "term", "left_semi")
-                 .groupBy("term").agg(F.count(F.lit(1)).alias("n_term")))
-    flagged = materialize(cand.join(term, "term").select("entity", "term", disclosure("n_term").alias("disclosure"))
-                              .where(F.col("disclosure") >= GENERALISE), "disclosing")
-    concerned = rows.select("k1", "k2", F.explode("entities").alias("entity")).distinct().join(flagged, "entity")
+    # One row per distinct text and the number of its documents.
+    rows = near.select(k1.alias("k1"), k2.alias("k2"), F.array_distinct(F.transform("spans", _entity)).alias("entities"),
+                       _words(_outside(F.col("t"), F.col("spans"))).alias("words"))
+    rows = materialize(rows.groupBy("k1", "k2").agg(F.first("entities").alias("entities"), F.first("words").alias("words"),
+                                                    F.count(F.lit(1)).alias("copies")), "entities")
+    n_docs = docs.count()
+    held = rows.select("k1", "k2", "copies", F.explode("entities").alias("entity"))
+    entity = materialize(held.groupBy("entity").agg(F.sum("copies").alias("n_entity"), F.count(F.lit(1)).alias("texts"))
+                             .where((F.col("texts") >= MIN_CONTEXTS) & (F.col("n_entity") < n_docs)).drop("texts"), "counts")
+    most = F.pow(F.lit(float(n_docs)), 1 - GENERALISE) * F.pow(F.col("n_entity").cast("double"), GENERALISE) * (1 + 1e-9)
+    widest = entity.agg(F.max(most)).first()[0] or 0.0
+    # Documents that hold a word, over the whole corpus; common and lone words go here.
+    term = (docs.select(F.explode(_words(t)).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+                .where(F.col("n_term").between(MIN_CONTEXTS, F.lit(widest))))
+    owned = materialize(held.join(entity, "entity").select("k1", "k2", "copies", "entity", "n_entity", most.alias("most")), "owned")
+    ids = owned.groupBy("k1", "k2").agg(F.max("most").alias("text_most"))
+    worded = (rows.join(ids, ["k1", "k2"]).select("k1", "k2", "text_most", F.explode("words").alias("term"))
+                  .join(term, "term").where(F.col("n_term") <= F.col("text_most")).drop("text_most"))
+    pairs = materialize(owned.join(worded, ["k1", "k2"]).where(F.col("n_term") <= F.col("most")).drop("most"), "pairs")
+    joint = (pairs.groupBy("entity", "term").agg(F.sum("copies").alias("n_joint"), F.count(F.lit(1)).alias("contexts"),
+                                                  F.first("n_entity").alias("n_entity"), F.first("n_term").alias("n_term"))
+                  .where(F.col("contexts") >= MIN_CONTEXTS))
+    pmi = F.log(n_docs * F.col("n_joint") / (F.col("n_entity") * F.col("n_term").cast("double")))
+    disclosure = F.try_divide(pmi, F.log(n_docs / F.col("n_entity")))
+    flagged = materialize(joint.select("entity", "term", disclosure.alias("disclosure"))
+                               .where(F.col("disclosure") >= GENERALISE), "disclosing")
+    # From the pairs again: a text gets only words that it holds itself.
+    concerned = pairs.select("k1", "k2", "entity", "term").join(flagged, ["entity", "term"])
     best = concerned.groupBy("k1", "k2", "term").agg(F.max("disclosure").alias("disclosure"))
     return best.groupBy("k1", "k2").agg(F.sort_array(F.collect_list(F.struct("term", "disclosure"))).alias("terms"))
 
