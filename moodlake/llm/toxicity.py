@@ -16,7 +16,7 @@ on a bounded sample of the labelled training rows (``SAMPLE_TOXIC`` toxic and
 Defined results: null and empty texts get the score of a text without words;
 without labelled rows, or with one class only, every score is the share of
 toxic rows (0 where there is none); of several labels of a doc_id the toxic one
-counts; repeated rows are scored alike; an empty table gives no rows; extra
+counts, and of several texts of a sampled doc_id the smallest is learned from; repeated rows are scored alike; an empty table gives no rows; extra
 columns are not read. Whole texts are counted and scored, tokens of any length
 alike.
 """
@@ -266,6 +266,8 @@ def learn(docs: DataFrame, labels: DataFrame, train: Column, doc_id: str = "doc_
     sample = training_sample(labels, train)
     rows = (docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
                 .join(F.broadcast(sample), "doc_id"))   # bounded by the sample's parameters
+    # One text per sampled id, the smallest, so that rows are bounded too (partial aggregates fold repeated ids).
+    rows = rows.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
     rows = materialize(rows.repartition(32, F.xxhash64("doc_id", "text")), "sample")
     sent = docs.sparkSession.sparkContext.broadcast(letters)
 

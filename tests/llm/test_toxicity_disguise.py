@@ -36,3 +36,14 @@ def test_putting_aside_changes_no_path(monkeypatch):
     for n in (1, 3, 10**9):
         monkeypatch.setattr(toxicity, "SETTLE", n)
         assert [toxicity.decode(w, m) for w in words] == want
+
+
+def test_the_fit_gets_one_row_per_sampled_id(spark, monkeypatch):
+    rows = [(1, f"some text number {i}") for i in range(300)] + [(i, f"the idiot {i}") for i in range(2, 12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, int(i > 1)) for i in range(1, 12)] + [(20, 0)], "doc_id long, toxic int")
+    seen = []
+    fit = toxicity.fit
+    monkeypatch.setattr(toxicity, "fit", lambda active, y, n: seen.append(len(y)) or fit(active, y, n))
+    model = toxicity.learn(docs, labels, toxicity.F.lit(True))
+    assert seen == [11] and toxicity.score(docs, model).count() == len(rows)
