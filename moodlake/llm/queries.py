@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodlake.llm import jaccard_join, language_id, license_scan, mixing, packing, pii, quality, token_counts, topk, toxicity
+from moodlake.llm import (conversation_repair, jaccard_join, language_id, license_scan, mixing, packing, pii, quality,
+                          token_counts, topk, toxicity, url_filters, vector_codes)
 from moodlake.llm.common import read_table
 
 
@@ -67,6 +68,22 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(read_table(spark, sf_dir, "documents"))
 
 
+def op11_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, deciding rule and verdict of every page's url."""
+    return url_filters.judge(read_table(spark, sf_dir, "pages").select("page_id", "url"), url_filters.fixed_rules(spark))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest edits of every damaged conversation."""
+    return conversation_repair.audit(conversation_repair.damage(read_table(spark, sf_dir, "conversations")))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code and errors of every vector under codebooks of eight parts."""
+    return vector_codes.compress(read_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_jaccard_join, op2_token_histogram, op3_top_k, op4_pack, op5_personal_data, op6_toxicity, op7_mixture, op8_license_scan,
-                                   op9_language, op10_quality)}
+                                   op9_language, op10_quality, op11_url_filters, op12_conversation_repair,
+                                   op13_vector_codes)}

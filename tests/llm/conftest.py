@@ -2,6 +2,8 @@ import random
 
 import pytest
 
+from tests.conftest import SF_MID
+
 SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, "
           "x string, stats string, __stats string, tokens string, start string, toxic string")
 
@@ -12,6 +14,11 @@ def prose(seed: int, n: int, words: int = 400) -> str:
                     for _ in range(n))
 
 
+@pytest.fixture(scope="session")
+def sf_dir():
+    return SF_MID
+
+
 @pytest.fixture(scope="session")
 def odd_rows():
     """Nulls in every column, empty, blank and very long texts, ties, repeated rows."""
