@@ -70,7 +70,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op11_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Host, path, deciding rule and verdict of every page's url."""
-    return url_filters.judge(read_table(spark, sf_dir, "pages").select("page_id", "url"), url_filters.fixed_rules(spark))
+    return url_filters.judge(read_table(spark, sf_dir, "pages").select("page_id", "url"), url_filters.fixed_rules(spark)).drop("url")
 
 
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
