@@ -40,6 +40,21 @@ NEGATORS = {
     "es": ["no", "nunca", "jamás", "nada", "ningún", "ninguna", "ninguno", "tampoco", "sin"],
 }
 
+# Intensity words (1 strengthens, -1 weakens the lexicon word after
+# it) and what one adds to that word's valence, in thousandths, from one, two and three tokens before it.
+INTENSITY_MILLI = [293, 278, 264]
+INTENSIFIERS = {
+    "en": {"very": 1, "really": 1, "so": 1, "extremely": 1, "totally": 1, "completely": 1, "absolutely": 1,
+           "deeply": 1, "truly": 1, "incredibly": 1, "especially": 1, "more": 1, "most": 1,
+           "almost": -1, "barely": -1, "hardly": -1, "slightly": -1, "somewhat": -1, "partly": -1, "less": -1},
+    "fr": {"très": 1, "vraiment": 1, "tellement": 1, "extrêmement": 1, "totalement": 1, "trop": 1,
+           "peu": -1, "presque": -1, "légèrement": -1},
+    "de": {"sehr": 1, "wirklich": 1, "extrem": 1, "total": 1, "völlig": 1, "besonders": 1,
+           "kaum": -1, "etwas": -1, "fast": -1, "wenig": -1},
+    "es": {"muy": 1, "realmente": 1, "tan": 1, "extremadamente": 1, "totalmente": 1, "demasiado": 1,
+           "poco": -1, "casi": -1, "apenas": -1},
+}
+
 # Languages a text can be scored in.
 LANGUAGES = sorted(NEGATORS)
 

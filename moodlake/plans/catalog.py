@@ -18,6 +18,7 @@ from moodlake.functions import predicates as pred
 from moodlake.functions import text as tx
 from moodlake.operators import library as lib
 from moodlake.operators import lookup, search, trends
+from moodlake.operators.lexicon import builtin_lexicon
 from moodlake.operators.scoring import score_plays, score_texts
 from moodlake.plans import dashboards as dash
 from moodlake.plans import streams
@@ -25,7 +26,7 @@ from moodlake.plans.harvest import chart_harvest
 from moodlake.sources.frames import frames_from_tables
 from moodlake.sources.library import library_from_tables
 from moodlake.sources.pages import pages_from_tables
-from moodlake.sources.tables import FEED_GLOBAL, FEED_ITALY, FEED_PLAYED, plays, table
+from moodlake.sources.tables import FEED_GLOBAL, FEED_ITALY, FEED_PLAYED, plays, sung, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +35,7 @@ ARTIST = "Brand#3"
 PLAYLIST = "1-URGENT"
 SEARCH_TERM = "12"
 MARKET = "NATION_7"
+CALM_WORDS = [("en", "for"), ("de", "und"), ("fr", "une"), ("es", "para")]
 
 
 # --- scoring ---------------------------------------------------------------
@@ -59,6 +61,20 @@ def compound_score_rules(spark, sf_dir):
             .select("doc_id", "compound", "sentiment"))
 
 
+def compound_score_intensity(spark, sf_dir):
+    """A6 with all rules over sung texts, which hold words of every rule."""
+    return (score_texts(sung(spark, sf_dir), ["doc_id"], "lyrics", lang="lang", negation=True, contrast=True,
+                        intensity=True).select("doc_id", "compound", "sentiment", "emotion"))
+
+
+def open_emotion_labels(spark, sf_dir):
+    """A7 with a lexicon that holds a label besides the fixed ten."""
+    words = ", ".join(f"('{l}', '{w}', 100, 'calm')" for l, w in CALM_WORDS)
+    more = spark.sql(f"SELECT * FROM VALUES {words} AS w(lang, word, valence_milli, emotion)")
+    return score_texts(sung(spark, sf_dir), ["doc_id"], "lyrics", lang="lang",
+                       lexicon=builtin_lexicon(spark).unionByName(more)).select("doc_id", "emotion")
+
+
 def sentiment_category(spark, sf_dir):
     """T10 per document: category of its compound; the sentinel lyrics
     (the validity gate's output) are 'not applicable' whatever the score."""
@@ -478,6 +494,8 @@ def queries() -> dict[str, Query]:
         "top_emotion": top_emotion,
         "compound_score_negated": compound_score_negated,
         "compound_score_rules": compound_score_rules,
+        "compound_score_intensity": compound_score_intensity,
+        "open_emotion_labels": open_emotion_labels,
     }
     q["genre_trend_week"] = lambda s, d: dash.genre_trend(s, d, "week")
     q["artist_trend_month"] = lambda s, d: dash.attribute_trend(s, d, "month", "artist")

@@ -24,7 +24,7 @@ def song_scores(spark: SparkSession, sf_dir: str, lexicon: DataFrame | None = No
     already hash-partitioned the way the join with the play counts needs."""
     v = song_variants(spark, sf_dir)
     return score_texts(v, ["doc_id", "lyrics_missing"], "lyrics", lang=None, lexicon=lexicon,
-                       negation=True, contrast=True)
+                       negation=True, contrast=True, intensity=True)
 
 
 def weighted_plays(spark: SparkSession, sf_dir: str, by_day: bool = False,

@@ -7,7 +7,7 @@ check: same tables, same semantics, no Spark. Shared pieces are CTEs.
 from __future__ import annotations
 
 from moodlake.operators.lexicon import (COMPOUND_ALPHA, CONTRAST_AFTER_PCT, CONTRAST_BEFORE_PCT, CONTRAST_WORDS,
-                                        EMOTIONS, LANGUAGES, NEGATION_SCALAR_PCT, NEGATION_WINDOW, NEGATORS,
+                                        EMOTIONS, INTENSIFIERS, INTENSITY_MILLI, LANGUAGES, NEGATION_SCALAR_PCT, NEGATION_WINDOW, NEGATORS,
                                         lexicon_values_sql)
 
 # Whitespace as Python's str.isspace sees it; punctuation is anything that
@@ -48,7 +48,7 @@ _EMO_VALUES = ", ".join(f"('{e}', {i})" for i, e in enumerate(EMOTIONS))
 
 
 def scoring_ctes(src: str, keys: list[str], text: str, lang: str | None, negation: bool = False,
-                 contrast: bool = False) -> str:
+                 contrast: bool = False, intensity: bool = False, extra_words: str = "") -> str:
     """CTEs ending in ``scores`` (keys, compound, emotion) over ``src`` per
     ``keys``; without ``lang`` (or with an unknown one) the language with
     the most hits counts."""
@@ -61,26 +61,35 @@ def scoring_ctes(src: str, keys: list[str], text: str, lang: str | None, negatio
     word = "CASE x.l " + " ".join(f"WHEN '{l}' THEN '{w}'" for l, w in CONTRAST_WORDS.items()) + " END"
     factors = [f"(CASE WHEN i - {j} >= 1 AND list_contains(negs, tk[i - {j}]) THEN {NEGATION_SCALAR_PCT} ELSE 100 END)"
                if negation else "100" for j in range(1, NEGATION_WINDOW + 1)]
+    boosts = [f"(CASE WHEN i - {j} < 1 THEN 0 WHEN list_contains(ups, tk[i - {j}]) THEN {m} "
+              f"WHEN list_contains(downs, tk[i - {j}]) THEN -{m} ELSE 0 END)" if intensity else "0"
+              for j, m in enumerate(INTENSITY_MILLI, 1)]
+
+    def intensifiers(sign: int) -> str:
+        return "CASE x.l " + " ".join(f"WHEN '{l}' THEN [{', '.join(chr(39) + w + chr(39) for w, s in ws.items() if s == sign)}]"
+                                      for l, ws in INTENSIFIERS.items()) + " END"
+
     factors.append(f"(CASE WHEN cpos = 0 THEN 100 WHEN i < cpos THEN {CONTRAST_BEFORE_PCT} "
                    f"WHEN i > cpos THEN {CONTRAST_AFTER_PCT} ELSE 100 END)" if contrast else "100")
-    return f"""lex(lang, word, valence_milli, emotion) AS (VALUES {lexicon_values_sql()}),
+    return f"""lex(lang, word, valence_milli, emotion) AS (VALUES {lexicon_values_sql()}{extra_words}),
 emo(emotion, rnk) AS (VALUES {_EMO_VALUES}),
 langs(l) AS (VALUES {", ".join(f"('{x}')" for x in LANGUAGES)}),
 cleaned AS (SELECT {k}, {lang or "CAST(NULL AS VARCHAR)"} AS known, {clean(text)} AS c FROM {src}),
 arr AS (SELECT {ck}, x.l AS lang, string_split(c.c, ' ') AS tk, {negs} AS negs,
+               {intensifiers(1)} AS ups, {intensifiers(-1)} AS downs,
                coalesce(list_position(string_split(c.c, ' '), {word}), 0) AS cpos
         FROM cleaned c JOIN langs x ON c.known IS NULL OR c.known NOT IN (SELECT l FROM langs) OR c.known = x.l),
 toks AS (SELECT {k}, lang, unnest(list_transform(tk,
-                lambda w, i: {{'w': w, 'f': CAST({" * ".join(factors)} AS BIGINT)}})) AS t FROM arr),
-hits AS (SELECT {tk}, t.lang, CAST(l.valence_milli AS BIGINT) * t.t.f AS v, l.emotion
+                lambda w, i: {{'w': w, 'f': CAST({" * ".join(factors)} AS BIGINT), 'b': {" + ".join(boosts)}}})) AS t FROM arr),
+hits AS (SELECT {tk}, t.lang, CAST(l.valence_milli + sign(l.valence_milli) * t.t.b AS BIGINT) * t.t.f AS v, l.emotion
          FROM toks t JOIN lex l ON l.lang = t.lang AND l.word = t.t.w),
 best AS (SELECT {k}, lang, sum(v) AS s FROM hits GROUP BY {k}, lang
          QUALIFY row_number() OVER (PARTITION BY {k} ORDER BY count(*) DESC, lang) = 1),
 top AS (SELECT {", ".join("h." + c for c in keys)}, h.emotion FROM hits h
-        JOIN best t ON {on("h", "t")} AND h.lang = t.lang JOIN emo e ON e.emotion = h.emotion
+        JOIN best t ON {on("h", "t")} AND h.lang = t.lang LEFT JOIN emo e ON e.emotion = h.emotion
         GROUP BY {", ".join("h." + c for c in keys)}, h.emotion
         QUALIFY row_number() OVER (PARTITION BY {", ".join("h." + c for c in keys)}
-                                   ORDER BY count(*) DESC, min(e.rnk)) = 1),
+                                   ORDER BY count(*) DESC, coalesce(min(e.rnk), 99), h.emotion) = 1),
 scores AS (
   SELECT {ck},
          round(CAST(coalesce(h.s, 0) AS DOUBLE) / 1e11
@@ -114,7 +123,7 @@ VARIANTS = f"""variants AS (
   SELECT doc_id, true, {music_genre("doc_id")}, source, 'Lyrics not found' FROM documents)"""
 
 WEIGHTED = ("WITH " + PLAY_KEYS + ",\n" + VARIANTS + ",\n"
-            + scoring_ctes("variants", ["doc_id", "lyrics_missing", "genre", "artist"], "lyrics", None, True, True)
+            + scoring_ctes("variants", ["doc_id", "lyrics_missing", "genre", "artist"], "lyrics", None, True, True, True)
             + f""",
 wp AS (SELECT pk.*, s.genre, s.artist, s.compound, s.emotion,
               {category("pk.lyrics_missing", "s.compound")} AS sentiment_category
@@ -193,6 +202,17 @@ SELECT s.doc_id, {category("g.lyrics = 'Lyrics not found'", "s.compound")} AS se
 FROM scores s JOIN gated g ON g.doc_id = s.doc_id""")
     q["compound_score_negated"] = negated_scores_sql()
     q["compound_score_rules"] = negated_scores_sql(contrast=True)
+    from moodlake.sources.tables import VOICE
+    voiced = "text"
+    for old, new in VOICE.items():
+        voiced = f"replace({voiced}, ' {old} ', ' {new} ')"
+    sung = f"WITH sung AS (SELECT doc_id, lang, {voiced} AS lyrics FROM documents),\n"
+    q["compound_score_intensity"] = (sung + scoring_ctes("sung", ["doc_id"], "lyrics", "lang", True, True, True)
+                                     + f"\nSELECT doc_id, compound, {_SENTIMENT}, emotion FROM scores")
+    from moodlake.plans.catalog import CALM_WORDS
+    calm = "".join(f", ('{l}', '{w}', 100, 'calm')" for l, w in CALM_WORDS)
+    q["open_emotion_labels"] = (sung + scoring_ctes("sung", ["doc_id"], "lyrics", "lang", extra_words=calm)
+                                + "\nSELECT doc_id, emotion FROM scores")
     return q
 
 
@@ -284,7 +304,7 @@ def more_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     # scored record of every play (R1 batch form)
     q["scored_plays"] = ("WITH " + PLAYS + ",\n" + VARIANTS + ",\n"
-                         + scoring_ctes("variants", ["doc_id", "lyrics_missing"], "lyrics", None, True, True)
+                         + scoring_ctes("variants", ["doc_id", "lyrics_missing"], "lyrics", None, True, True, True)
                          + f"""
 SELECT p.play_id, concat_ws('_', p.id, strftime(p."timestamp", '%Y-%m-%dT%H:%M:%S.%gZ')) AS combined_id,
        p.topic, CASE WHEN s.compound = 0 THEN '0.0'

@@ -153,3 +153,61 @@ def test_contrast_option(spark):
     for i, lang, text in rows:
         assert got[i] == brute_negated(py_clean(text), lang, contrast=True), (i, text)
     assert got[11] < 0
+
+
+def brute_rules(text_clean, lang):
+    """Negation, intensity and contrast, token by token."""
+    from moodlake.operators.lexicon import CONTRAST_WORDS, INTENSIFIERS, INTENSITY_MILLI, NEGATORS
+    toks = text_clean.split(" ") if text_clean else []
+    at = toks.index(CONTRAST_WORDS[lang]) if CONTRAST_WORDS[lang] in toks else None
+    s = 0
+    for i, w in enumerate(toks):
+        if (lang, w) not in LEX:
+            continue
+        v = LEX[lang, w][0]
+        v += (1 if v > 0 else -1) * sum(INTENSIFIERS[lang].get(toks[i - d], 0) * INTENSITY_MILLI[d - 1]
+                                        for d in (1, 2, 3) if i >= d)
+        f = 100
+        for d in (1, 2, 3):
+            f *= -74 if i >= d and toks[i - d] in NEGATORS[lang] else 100
+        s += v * f * (100 if at is None or i == at else 50 if i < at else 150) // 100
+    x = s / 1e11 * 100 / 100
+    return round(x / math.sqrt(x * x + COMPOUND_ALPHA), 4)
+
+
+def test_rules_equal_brute_force_on_random_texts(spark):
+    import random
+    r = random.Random(1)
+    words = ["good", "bad", "not", "very", "but", "slightly", "love", "x", "so", "never", "hate", "no"]
+    rows = [(i, "en", " ".join(r.choice(words) for _ in range(r.randint(1, 40)))) for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, lang string, text string")
+    got = {x.id: x.compound for x in score_texts(df, ["id"], "text", "lang", negation=True, contrast=True, intensity=True).collect()}
+    assert got == {i: brute_rules(t, "en") for i, _, t in rows}
+    assert got != {x.id: x.compound for x in score_texts(df, ["id"], "text", "lang", negation=True, contrast=True).collect()}
+
+
+def test_a_label_outside_the_fixed_ten_can_win(spark):
+    lex = spark.createDataFrame([("en", "sea", 100, "calm"), ("en", "sky", 100, "awe"), ("en", "war", -2900, "fear")],
+                                "lang string, word string, valence_milli int, emotion string")
+    df = spark.createDataFrame([(1, "en", "sea sea war"), (2, "en", "sea war"), (3, "en", "sea sky"), (4, "en", "land")],
+                               "id int, lang string, text string")
+    got = {r.id: r.emotion for r in score_texts(df, ["id"], "text", lexicon=lex).collect()}
+    assert got == {1: "calm", 2: "fear", 3: "awe", 4: "not applicable"}
+
+
+def test_cost_grows_with_the_words_not_their_square(spark):
+    import time
+    unit = "the good of not very bad but this love was "
+
+    def seconds(words, texts):
+        df = spark.range(texts).select("id", F.lit("en").alias("lang"), F.repeat(F.lit(unit), words // 10).alias("text"))
+        best = None
+        for _ in range(2):
+            t = time.perf_counter()
+            score_texts(df, ["id"], "text", negation=True, contrast=True, intensity=True).write.format("noop").mode("overwrite").save()
+            best = min(best or 1e9, time.perf_counter() - t)
+        return best
+
+    seconds(1000, 8)
+    # 20 times the words of a text, quadratic work would be 400 times.
+    assert seconds(20_000, 8) < 25 * seconds(1000, 8)
