@@ -64,9 +64,9 @@ def main(argv: list[str] | None = None) -> int:
         q.awaitTermination()
     elif args.cmd == "trend":
         from moodlake.streaming.scoring import run_name
-        from moodlake.streaming.sinks import batch_path
+        from moodlake.streaming.sinks import batch_path, read_stored
         from moodlake.streaming.trend import stream_trend
-        schema = spark.read.parquet(args.scored).schema
+        schema = read_stored(spark, args.scored).schema
         trend = stream_trend(spark.readStream.schema(schema).parquet(args.scored), args.grain,
                              watermark=args.watermark)
         out, checkpoint = args.out, args.checkpoint or sub_dir(spark, "streams", f"trend-{args.grain}")

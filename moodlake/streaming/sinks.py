@@ -1,54 +1,126 @@
-"""K1: keyed, replay-safe sink for scored records (and its reader).
+"""K1: keyed, replay-safe store of scored records (and its reader).
 
 A keyed document store overwrites a document whose id reappears. Plain
 files cannot upsert, so every micro-batch is written to its own folder
-``run=<run>/batch=<id>`` in overwrite mode: a batch that is retried after a
-failure replaces its own output, and a new run (fresh checkpoint) never
-touches an old one. ``read_keyed`` resolves the key on read, keeping the
-most recently written row per key with one partial aggregate.
+``run=<run>/batch=<id>/topic=<feed>/day=<day>`` in overwrite mode: a batch that
+is retried after a failure replaces its own output, and a new run (fresh
+checkpoint) never touches an old one. Beside the data each batch leaves a
+manifest of the (feed, day) partitions it touched.
+
+Keys are resolved by the latest write: the winner of a key is chosen over
+narrow columns (write time, run, batch, place in the file), and whole rows
+are fetched for winners only. ``compact_keyed`` does that for the partitions
+that batches since the last compaction touched, and for no others; the key
+holds the play time, so a document never moves to another day.
 """
 
 from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+MANIFEST = "_manifest"       # hidden from readers of the data
+DONE = "_compacted"
+PARTITIONS = {"run": "string", "batch": "bigint", "topic": "string", "day": "date"}
+STORE_COLUMNS = ["written_at", "run", "batch", "day"]
 
 
 def batch_path(path: str, run: str, batch_id: int) -> str:
     return os.path.join(path, f"run={run}", f"batch={batch_id}")
 
 
-def write_keyed_batch(df: DataFrame, path: str, run: str, batch_id: int) -> None:
-    """Write one micro-batch (idempotent per ``(run, batch_id)``)."""
-    (df.withColumn("written_at", F.current_timestamp())
-       .write.mode("overwrite").parquet(batch_path(path, run, batch_id)))
+def _manifest_path(path: str, run: str, batch_id: int) -> str:
+    return os.path.join(path, MANIFEST, f"run={run}", f"batch={batch_id}")
+
+
+def write_keyed_batch(df: DataFrame, path: str, run: str, batch_id: int, ts: str = "timestamp") -> None:
+    """Write one micro-batch and its manifest (idempotent per ``(run,
+    batch_id)``). Rows are dealt by feed and day, so a batch leaves few files;
+    AQE splits the share of a hot feed."""
+    spark = df.sparkSession
+    rows = df.withColumn("written_at", F.current_timestamp()).withColumn("day", F.to_date(F.col(ts)))
+    target = batch_path(path, run, batch_id)
+    (rows.hint("rebalance", F.col("topic"), F.col("day"))
+         .write.mode("overwrite").partitionBy("topic", "day").parquet(target))
+    # Counted from the files written: partition values and footers, no data.
+    written = spark.read.schema(_typed(rows.schema)).parquet(target)
+    (written.groupBy("topic", "day").agg(F.count(F.lit(1)).alias("n"))
+            .write.mode("overwrite").parquet(_manifest_path(path, run, batch_id)))
+
+
+def _typed(schema: T.StructType) -> T.StructType:
+    """``schema`` with the partition columns in their own types (never inferred from folder names)."""
+    return T.StructType([T.StructField(f.name, T._parse_datatype_string(PARTITIONS[f.name]))
+                         if f.name in PARTITIONS else f for f in schema])
+
+
+def read_stored(spark: SparkSession, path: str) -> DataFrame:
+    """Every stored row, replays included, with ``written_at, run, batch, topic, day``."""
+    return spark.read.schema(_typed(spark.read.parquet(path).schema)).parquet(path)
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """``run, batch, topic, day, n``: the partitions each batch touched."""
+    return spark.read.schema("topic string, day date, n bigint, run string, batch bigint").parquet(
+        os.path.join(path, MANIFEST))
+
+
+def resolve(stored: DataFrame, key: str = "combined_id") -> DataFrame:
+    """The winning row of each key: latest write, then later run, batch and
+    place. The aggregate holds no text; the semi join fetches the winners."""
+    place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")]
+    rows = stored.select("*", *place)
+    latest = F.max(F.struct("written_at", "run", "batch", "_file", "_row")).alias("_w")
+    won = rows.groupBy(key).agg(latest).select(F.col("_w._file").alias("_f"), F.col("_w._row").alias("_r"))
+    return rows.join(won, (F.col("_file") == F.col("_f")) & (F.col("_row") == F.col("_r")), "left_semi").drop("_file", "_row")
 
 
 def read_keyed(spark: SparkSession, path: str, key: str = "combined_id",
                columns: list[str] | None = None) -> DataFrame:
-    """The stored documents: one row per key, the latest write wins (ties
-    broken by the later run and batch). ``columns`` limits what is carried
-    through the aggregate (Catalyst cannot prune inside the struct that
-    decides the winner), e.g. to leave the lyrics out."""
-    df = spark.read.parquet(path)
-    keep = columns if columns is not None else [c for c in df.columns if c not in ("written_at", "run", "batch")]
-    rest = [c for c in keep if c != key]
-    latest = F.max(F.struct(F.col("written_at").alias("_w"), F.col("run").cast("string").alias("_r"),
-                            F.col("batch").cast("long").alias("_b"), *[F.col(c) for c in rest]))
-    agg = df.groupBy(key).agg(latest.alias("_l"))
-    return agg.select(key, *[F.col("_l")[c].alias(c) for c in rest])
-
-
-def compact_keyed(spark: SparkSession, path: str, out: str, key: str = "combined_id",
-                  ts: str = "timestamp") -> DataFrame:
-    """Resolve the keys once and store the documents partitioned by feed
-    and day, so dashboard reads prune partitions instead of resolving keys
-    on every read. The key holds the play time, so a document never moves
-    to another day; re-running a compaction rewrites only the days present
-    (dynamic partition overwrite)."""
-    docs = read_keyed(spark, path, key).withColumn("day", F.to_date(F.col(ts)))
-    (docs.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("topic", "day").parquet(out))
-    return spark.read.parquet(out)
+    """The stored documents: one row per key, the latest write wins.
+    Only ``columns`` (all, if not given) are read besides the key."""
+    stored = read_stored(spark, path)
+    keep = columns if columns is not None else [c for c in stored.columns if c not in STORE_COLUMNS]
+    return resolve(stored, key).select(key, *[c for c in keep if c != key])
+
+
+def _any_of(parts: list) -> Column:
+    """Filter on partition values (NULL partitions included)."""
+    cond = F.lit(False)
+    for topic, day in parts:
+        cond = cond | (F.col("topic").eqNullSafe(F.lit(topic)) & F.col("day").eqNullSafe(F.lit(day)))
+    return cond
+
+
+def touched_partitions(spark: SparkSession, path: str, out: str) -> tuple[list, DataFrame]:
+    """(feed, day) pairs of the batches that no compaction into ``out`` has
+    taken in yet, and those batches. The pairs are feeds x days, not rows."""
+    manifest = read_manifest(spark, path)
+    done_path = os.path.join(out, DONE)
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path(done_path)
+    if fs_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(fs_path):
+        done = spark.read.schema("run string, batch bigint, files bigint").parquet(done_path)
+        manifest = manifest.join(done, ["run", "batch"], "left_anti")
+    pairs = [(r.topic, r.day) for r in manifest.select("topic", "day").distinct().collect()]
+    return pairs, manifest.select("run", "batch").distinct()
+
+
+def compact_keyed(spark: SparkSession, path: str, out: str, key: str = "combined_id") -> DataFrame:
+    """Store the documents partitioned by feed and day, so that dashboard
+    reads prune partitions instead of resolving keys on every read. Reads and
+    rewrites (dynamic partition overwrite) the partitions touched since the
+    last compaction into ``out`` alone; a compaction that failed is simply run again."""
+    pairs, batches = touched_partitions(spark, path, out)
+    if pairs:
+        taken = batches.withColumn("files", F.lit(len(pairs)).cast("long")).collect()   # one row per batch
+        docs = resolve(read_stored(spark, path).where(_any_of(pairs)), key)
+        docs = docs.drop("written_at", "run", "batch")
+        (docs.hint("rebalance", F.col("topic"), F.col("day"))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("topic", "day").parquet(out))
+        spark.createDataFrame(taken, "run string, batch long, files long").coalesce(1).write.mode("append").parquet(
+            os.path.join(out, DONE))
+    return spark.read.schema(_typed(spark.read.parquet(out).schema)).parquet(out)

@@ -4,6 +4,11 @@ Event-time windows with a watermark: days are ``window("1 day")``; weeks
 start on Monday, which is ``window("7 days", "7 days", "4 days")`` because
 the epoch fell on a Thursday. Months are not a fixed duration, so they are
 rolled up from the day counts (``month_rollup``).
+
+The store keeps replayed rows beside the first ones, so the stream drops
+rows whose key it has seen before it counts. The keys are kept for as long as
+the watermark admits rows of their time; a row that comes later than that is
+late and dropped anyway, so a replay never counts, however late it is.
 """
 
 from __future__ import annotations
@@ -15,8 +20,9 @@ WEEK_OFFSET = "4 days"
 
 
 def stream_trend(scored: DataFrame, grain: str = "day", dim: str = "emotion",
-                 watermark: str = "1 day", ts: str = "timestamp") -> DataFrame:
-    """Plays per window, feed and ``dim``. Rows later than the watermark
+                 watermark: str = "1 day", ts: str = "timestamp", key: str | None = "combined_id") -> DataFrame:
+    """Plays per window, feed and ``dim``, each ``key`` counted once (``key=None``
+    counts every row). Rows later than the watermark
     are dropped (the late-data policy); append mode emits a window once it
     is closed.
 
@@ -27,6 +33,8 @@ def stream_trend(scored: DataFrame, grain: str = "day", dim: str = "emotion",
     zone = scored.sparkSession.conf.get("spark.sql.session.timeZone")
     local = F.from_utc_timestamp(F.col(ts).cast("timestamp"), zone)
     src = scored.withColumn("_local", local).withWatermark("_local", watermark)
+    if key:
+        src = src.dropDuplicatesWithinWatermark([key])
     if grain == "day":
         win = F.window("_local", "1 day")
     elif grain == "week":

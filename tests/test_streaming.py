@@ -132,9 +132,10 @@ def test_late_rows_are_dropped_in_append_mode(spark, tmp):
     older than the newest event seen is dropped; append mode emits a day
     only once the watermark has passed it."""
     scored_dir = os.path.join(tmp, "scored")
-    schema = "topic STRING, emotion STRING, timestamp TIMESTAMP"
+    schema = "combined_id STRING, topic STRING, emotion STRING, timestamp TIMESTAMP"
 
     def land(rows, name):
+        rows = [(f"{name}{i}", *r) for i, r in enumerate(rows)]
         spark.createDataFrame(rows, schema).write.mode("append").parquet(os.path.join(scored_dir, name))
 
     import datetime as dt
@@ -184,3 +185,97 @@ def test_command_line_score_trend_compact(spark, tmp):
                  "--available-now", "--watermark", "0 seconds"]) == 0
     assert main(["compact", "--scored", sink, "--out", comp]) == 0
     assert spark.read.parquet(comp).count() == 3
+
+
+def run_trend(spark, sink, base, grain="day"):
+    """The trend stream in append mode on its own checkpoint: closed windows so far."""
+    from moodlake.streaming.sinks import read_stored
+    out = os.path.join(base, "closed")
+    trend = stream_trend(spark.readStream.schema(read_stored(spark, sink).schema).parquet(sink), grain)
+    q = (trend.writeStream.outputMode("append")
+         .foreachBatch(lambda b, i: b.write.mode("append").parquet(out))
+         .option("checkpointLocation", os.path.join(base, "ck")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return sorted((str(r.period), r.topic, r.plays) for r in spark.read.parquet(out).collect())
+
+
+def test_replayed_plays_do_not_count_twice(spark, tmp):
+    src, sink = os.path.join(tmp, "frames"), os.path.join(tmp, "sink")
+    late = [({**PLAYS[0][0], "id": "9"}, "2024-02-20T00:00:00")]     # closes all windows before it
+    write_frames(src, PLAYS + [PLAYS[0]], "a.json")
+    run_scoring(read_frames(spark, "files", path=src), sink, os.path.join(tmp, "ck1"), available_now=True).awaitTermination()
+    run_trend(spark, sink, os.path.join(tmp, "trend"))
+    # A whole replay lands after the stream has read the first run, then the window-closing play.
+    run_scoring(read_frames(spark, "files", path=src), sink, os.path.join(tmp, "ck2"), available_now=True).awaitTermination()
+    run_trend(spark, sink, os.path.join(tmp, "trend"))
+    write_frames(src, late, "b.json")
+    run_scoring(read_frames(spark, "files", path=src), sink, os.path.join(tmp, "ck2"), available_now=True).awaitTermination()
+    got = run_trend(spark, sink, os.path.join(tmp, "trend"))
+    assert got == [("2024-01-01", "song_played", 1), ("2024-01-02", "song_global_top", 1), ("2024-01-08", "song_italy_top", 1)]
+
+
+def test_a_batch_reads_its_source_once(spark, tmp):
+    src, sink = os.path.join(tmp, "frames"), os.path.join(tmp, "sink")
+    write_frames(src, PLAYS, "a.json")
+    q = run_scoring(read_frames(spark, "files", path=src), sink, os.path.join(tmp, "ck"), available_now=True)
+    q.awaitTermination()
+    assert [p["numInputRows"] for p in q.recentProgress if p["numInputRows"]] == [len(PLAYS)]
+
+
+def test_crash_between_write_and_commit(spark, tmp):
+    import pytest
+    from pyspark.errors import StreamingQueryException
+    src, sink, ck = (os.path.join(tmp, x) for x in ("frames", "sink", "ck"))
+    for i, play in enumerate(PLAYS):
+        write_frames(src, [play], f"{i}.json")
+    stored = []
+
+    def fail(batch_id):
+        stored.append((batch_id, spark.read.parquet(sink).count()))
+        if batch_id == 1:
+            raise RuntimeError("power cut")
+
+    def run(after):
+        frames = read_frames(spark, "files", path=src, maxFilesPerTrigger=1)
+        run_scoring(frames, sink, ck, available_now=True, after_write=after).awaitTermination()
+
+    with pytest.raises(StreamingQueryException):
+        run(fail)
+    assert stored == [(0, 1), (1, 2)]            # the second batch was stored when it failed
+    again = []
+    run(again.append)
+    assert again == [1, 2] and spark.read.parquet(sink).count() == 3 and len(keyed(spark, sink)) == 3
+
+
+def test_compaction_touches_only_new_days(spark, tmp):
+    from moodlake.streaming.sinks import touched_partitions
+    src, sink, out = (os.path.join(tmp, x) for x in ("frames", "sink", "compact"))
+    write_frames(src, PLAYS, "a.json")
+    run_scoring(read_frames(spark, "files", path=src), sink, os.path.join(tmp, "ck"), available_now=True).awaitTermination()
+    compact_keyed(spark, sink, out)
+    assert touched_partitions(spark, sink, out)[0] == []
+
+    def files():
+        return {r.path: r.modificationTime for r in spark.read.format("binaryFile").option("recursiveFileLookup", True)
+                .option("pathGlobFilter", "*.parquet").load(out + "/topic=*").select("path", "modificationTime").collect()}
+
+    before = files()
+    other = dict(PLAYS[0][0], lyrics="hate hate")
+    write_frames(src, [(other, PLAYS[0][1])], "b.json")      # same key, written later: it wins
+    run_scoring(read_frames(spark, "files", path=src), sink, os.path.join(tmp, "ck"), available_now=True).awaitTermination()
+    pairs, _ = touched_partitions(spark, sink, out)
+    assert [(t, str(d)) for t, d in pairs] == [("song_played", "2024-01-01")]
+    docs = compact_keyed(spark, sink, out)
+    assert docs.count() == 3 and docs.filter("topic = 'song_played'").first().emotion == "anger"
+    kept = {p for p, t in files().items() if before.get(p) == t}
+    assert len(kept) == 2 and not any("song_played" in p for p in kept)
+
+
+def test_the_winner_is_chosen_without_text(spark, tmp):
+    src, sink = os.path.join(tmp, "frames"), os.path.join(tmp, "sink")
+    write_frames(src, PLAYS, "a.json")
+    run_scoring(read_frames(spark, "files", path=src), sink, os.path.join(tmp, "ck"), available_now=True).awaitTermination()
+    plan = read_keyed(spark, sink)._jdf.queryExecution().executedPlan().toString()
+    for line in plan.splitlines():
+        if "Aggregate" in line:
+            assert "lyrics" not in line
