@@ -153,15 +153,19 @@ def with_feed(df: DataFrame, tag: str) -> DataFrame:
     return df.withColumn("topic", F.lit(tag))
 
 
-def cards(df: DataFrame, kind: str, default_image: str = DEFAULT_IMAGE) -> DataFrame:
-    """P10: album / artist / playlist cards ``name, id, image[, artist]``."""
+def cards(df: DataFrame, kind: str, *keep: str, default_image: str = DEFAULT_IMAGE) -> DataFrame:
+    """P10: album / artist / playlist cards ``name, id, image[, artist]``, song
+    cards ``name, image, artist`` (a song's image is its album's, and its card links by name and artist), and the ``keep`` columns."""
+    if kind == "song":
+        return df.select("name", first_or_default(F.col("album")["images"], "url", default_image).alias("image"),
+                         first_artist("artists").alias("artist"), *keep)
     cols = [F.col("name"), F.col("id"),
             first_or_default("images", "url", default_image).alias("image")]
     if kind == "album":
         cols.append(first_artist("artists").alias("artist"))
     elif kind not in ("artist", "playlist"):
-        raise ValueError("kind must be album, artist or playlist")
-    return df.select(*cols)
+        raise ValueError("kind must be album, artist, playlist or song")
+    return df.select(*cols, *keep)
 
 
 def artist_profile(df: DataFrame, *keep: str) -> DataFrame:

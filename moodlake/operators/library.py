@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from moodlake.functions.envelope import DEFAULT_IMAGE
 from moodlake.functions.text import parse_file_index, parse_file_split
 from moodlake.operators.ranking import first_per_key, row_numbers
 from moodlake.session import materialize
@@ -40,10 +41,13 @@ def with_names(df: DataFrame, file_col: str = "file_name", form: str = "split")
 # --- duplicates (J4, M5) -------------------------------------------------
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys held by at least two *different* records (one partial aggregate)."""
-    rec = F.struct(*[F.col(c) for c in df.columns])
-    agg = df.groupBy(*keys).agg(F.min(rec).alias("_lo"), F.max(rec).alias("_hi"))
-    return agg.filter(F.col("_lo") != F.col("_hi")).select(*keys)
+    """Keys held by at least two *different* records: one partial aggregate
+    over two 64-bit hashes of the record, nulls told apart by place, so it holds longs and never sorts."""
+    rec = [x for c in df.columns for x in (F.col(c), F.col(c).isNull())]
+    one, two = F.xxhash64(*rec), F.xxhash64(F.lit(1), *rec)
+    agg = df.groupBy(*keys).agg(F.min(one).alias("_lo1"), F.max(one).alias("_hi1"),
+                                F.min(two).alias("_lo2"), F.max(two).alias("_hi2"))
+    return agg.filter((F.col("_lo1") != F.col("_hi1")) | (F.col("_lo2") != F.col("_hi2"))).select(*keys)
 
 
 def duplicate_members(df: DataFrame, keys: list[str] = ("name", "artist")) -> DataFrame:
@@ -153,6 +157,16 @@ def number_items(df: DataFrame, order: list, partition: list[str] = ("topic",),
     return row_numbers(df, list(partition), list(order), out=out)
 
 
+def list_ranges(df: DataFrame, container: list[str], order: list[str]) -> DataFrame:
+    """``df`` dealt over range partitions by list and order and written once, with
+    its partition (``_pid``) and place (``_mid``). A long list spans several
+    partitions, so no (list, ``_pid``) group outgrows one partition."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = (df.repartitionByRange(n, *container, *order).sortWithinPartitions(*container, *order)
+                .withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id()))
+    return materialize(ranged, "neighbors")
+
+
 def circular_neighbors(df: DataFrame, container: list[str], position: str,
                        fields: list[str] = ("name", "artist")) -> DataFrame:
     """Previous and next item in a circular list.
@@ -167,10 +181,7 @@ def circular_neighbors(df: DataFrame, container: list[str], position: str,
     """
     container, fields = list(container), list(fields)
     order = [position, *[f for f in fields if f != position and f not in container]]
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *container, *order).sortWithinPartitions(*container, *order)
-                .withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id()))
-    ranged = materialize(ranged, "neighbors")
+    ranged = list_ranges(df, container, order)
     item = F.struct(*[F.col(f) for f in fields])
     part = Window.partitionBy(*container, "_pid").orderBy("_mid")
     inner = ranged.withColumn("_prev", F.lag(item).over(part)).withColumn("_next", F.lead(item).over(part))
@@ -190,15 +201,30 @@ def circular_neighbors(df: DataFrame, container: list[str], position: str,
                       *[F.col("_next")[f].alias(f"next_{f}") for f in fields])
 
 
-def neighbors_of(neigh: DataFrame, name: str, artist: str, order: str = "position",
-                 fields: list[str] = ("name", "artist")) -> DataFrame:
-    """W1 lookup with the W3 first-match rule: one row for the requested
-    track with the neighbours of its first occurrence; a track that is not
-    in the list gets empty strings, as the player shows."""
-    hit = (neigh.filter((F.col("name") == name) & (F.col("artist") == artist))
-                .orderBy(order).limit(1))
-    wanted = neigh.sparkSession.range(1).select(F.lit(name).alias("_n"), F.lit(artist).alias("_a"))
-    j = wanted.join(hit, (F.col("_n") == F.col("name")) & (F.col("_a") == F.col("artist")), "left")
-    cols = [F.coalesce(F.col(f"{side}_{f}").cast("string"), F.lit("")).alias(f"{side}_{f}")
-            for side in ("prev", "next") for f in fields]
-    return j.select(F.col("_n").alias("name"), F.col("_a").alias("artist"), F.col(order), *cols)
+def neighbors_of(items: DataFrame, name: str, artist: str, order: str = "position",
+                 default_image: str = DEFAULT_IMAGE) -> DataFrame:
+    """W1 lookup with the W3 first-match rule over one list (``name, artist,
+    image`` and an ``order`` column): one row ``name, artist, image`` and the
+    neighbours of the track's first place, circular. A track that is not in the
+    list gets empty names and the default image, as the player shows.
+
+    The list is not numbered or sorted: one aggregate finds the track's
+    first key, a second one the largest key below it, the smallest above it
+    and both ends. Each task keeps five rows.
+    """
+    key = F.struct(F.col(order).alias("at"), F.col("name").alias("name"), F.col("artist").alias("artist"),
+                   F.col("image").alias("image"))
+    keyed = items.select(key.alias("k"))
+    match = (F.col("k.name") == name) & (F.col("k.artist") == artist)
+    hit = keyed.agg(F.min(F.when(match, F.col("k")))).scalar()
+    near = keyed.agg(F.max(F.when(F.col("k") < hit, F.col("k"))).alias("below"),
+                     F.min(F.when(F.col("k") > hit, F.col("k"))).alias("above"),
+                     F.min("k").alias("first"), F.max("k").alias("last"), F.min(F.when(match, F.col("k"))).alias("hit"))
+
+    def side(inner: str, wrap: str, field: str) -> Column:
+        found = F.coalesce(F.col(inner), F.col(wrap))[field]
+        return F.coalesce(F.when(F.col("hit").isNotNull(), found), F.lit("")).alias(f"{'prev' if inner == 'below' else 'next'}_{field}")
+
+    return near.select(F.lit(name).alias("name"), F.lit(artist).alias("artist"),
+                       F.coalesce(F.col("hit.image"), F.lit(default_image)).alias("image"),
+                       *[side(i, w, f) for i, w in (("below", "last"), ("above", "first")) for f in ("name", "artist")])

@@ -11,7 +11,7 @@ otherwise the join shuffles and AQE splits hot keys of the play side.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from moodlake.functions.envelope import primary_genre
@@ -21,14 +21,28 @@ from moodlake.operators.ranking import first_per_key
 
 def with_lyrics(tracks: DataFrame, lyrics_dim: DataFrame, order: str = "rank") -> DataFrame:
     """Lyrics by (clean title, artist). ``lyrics_dim`` has ``title,
-    artist, lyrics`` and an ``order`` column (best hit first). Raw lyrics go
-    through the validity gate and first-line cut; a miss → sentinel."""
-    dim = first_per_key(lyrics_dim.select("title", "artist", order, "lyrics"),
-                        ["title", "artist"], [order])
-    dim = dim.select(F.col("title").alias("_t"), F.col("artist").alias("_a"),
-                     validate_lyrics("lyrics").alias("_lyrics"))
+    artist, lyrics`` and an ``order`` column (best hit first; ties go to the
+    smaller md5 of the lyrics). Raw lyrics go through the validity gate and
+    first-line cut; a miss → sentinel.
+
+    The winner is chosen on keys, order and digest alone, for the keys that
+    some track asks for; only then is its text fetched, once per key.
+    """
     keyed = tracks.withColumn("_kt", clean_title("name"))
-    j = keyed.join(dim, [F.col("_kt").eqNullSafe(F.col("_t")), F.col("artist").eqNullSafe(F.col("_a"))], "left")
+    wanted = keyed.select(F.col("_kt").alias("_wt"), F.col("artist").alias("_wa")).distinct()
+    dim = lyrics_dim.select(F.col("title").alias("_t"), F.col("artist").alias("_a"), F.col(order).alias("_o"),
+                            F.md5("lyrics").alias("_d"), F.col("lyrics").alias("_l"))
+    asked = [F.col("_t").eqNullSafe(F.col("_wt")), F.col("_a").eqNullSafe(F.col("_wa"))]
+    best = (dim.drop("_l").join(wanted, asked, "left_semi")
+               .groupBy("_t", "_a").agg(F.min(F.struct("_o", "_d")).alias("_b"))
+               .select(F.col("_t").alias("_bt"), F.col("_a").alias("_ba"), F.col("_b._o").alias("_bo"), F.col("_b._d").alias("_bd")))
+    won = [F.col(x).eqNullSafe(F.col(y)) for x, y in (("_t", "_bt"), ("_a", "_ba"), ("_o", "_bo"), ("_d", "_bd"))]
+    fetched = dim.join(best, won, "left_semi")
+    # Repeated rows of the dimension: one of the equal texts stays.
+    one = Window.partitionBy("_t", "_a").orderBy("_d")
+    fetched = fetched.withColumn("_n", F.row_number().over(one)).where("_n = 1").select(
+        "_t", "_a", validate_lyrics("_l").alias("_lyrics"))
+    j = keyed.join(fetched, [F.col("_kt").eqNullSafe(F.col("_t")), F.col("artist").eqNullSafe(F.col("_a"))], "left")
     return j.select(*tracks.columns,
                     F.coalesce(F.col("_lyrics"), F.lit(SENTINEL_LYRICS)).alias("lyrics"))
 

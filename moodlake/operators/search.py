@@ -47,12 +47,16 @@ def page(df: DataFrame, order: list, offset: int, limit: int = 50) -> DataFrame:
     return df.orderBy(*order).offset(offset).limit(limit)
 
 
-def artist_top_tracks(plays: DataFrame, n: int = 10, market: str | None = None,
-                      market_col: str = "market") -> DataFrame:
-    """Per artist, its ``n`` most played tracks (in one market when
-    given): play count desc, then track id. Result ``artist, track_id,
-    name, plays, rank``."""
-    src = plays.filter(F.col(market_col) == market) if market else plays
+# Fixed value: market of an artist's top tracks.
+MARKET = "IT"
+
+
+def artist_top_tracks(plays: DataFrame, n: int = 10, market: str | None = MARKET,
+                      markets: str = "markets") -> DataFrame:
+    """Per artist, its ``n`` most played tracks among those whose array
+    of ``markets`` holds ``market`` (None: all): play count desc, then track id.
+    Result ``artist, track_id, name, plays, rank``."""
+    src = plays.filter(F.array_contains(markets, market)) if market else plays
     counts = src.groupBy("artist", "track_id").agg(F.count(F.lit(1)).alias("plays"),
                                                    F.min("name").alias("name"))
     w = Window.partitionBy("artist").orderBy(F.col("plays").desc(), F.col("track_id"))

@@ -21,7 +21,7 @@ from moodlake.operators import lookup, search, trends
 from moodlake.operators.lexicon import builtin_lexicon
 from moodlake.operators.scoring import score_plays, score_texts
 from moodlake.plans import dashboards as dash
-from moodlake.plans import streams
+from moodlake.plans import browse, streams
 from moodlake.plans.harvest import chart_harvest
 from moodlake.sources.frames import frames_from_tables
 from moodlake.sources.library import library_from_tables
@@ -34,7 +34,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 ARTIST = "Brand#3"
 PLAYLIST = "1-URGENT"
 SEARCH_TERM = "12"
-MARKET = "NATION_7"
 CALM_WORDS = [("en", "for"), ("de", "und"), ("fr", "une"), ("es", "para")]
 
 
@@ -120,7 +119,11 @@ def drop_first_line(spark, sf_dir):
 
 
 def validate_lyrics(spark, sf_dir):
+    """F4 + T3: every tenth text carries a footnote mark, every tenth one has its quotes multiplied."""
     d = table(spark, sf_dir, "documents")
+    lyrics = (F.when(F.col("doc_id") % 10 == 1, F.concat(F.lit(tx.FOOTNOTE_MARK + "1] "), F.col("text")))
+              .when(F.col("doc_id") % 10 == 2, F.replace(F.col("text"), F.lit("e"), F.lit('"'))).otherwise(F.col("text")))
+    d = d.select("doc_id", lyrics.alias("text"))
     return d.select("doc_id", tx.count_char("text", '"').alias("quotes"),
                     F.contains(F.col("text"), F.lit(tx.FOOTNOTE_MARK)).alias("footnote"),
                     F.md5(tx.validate_lyrics("text")).alias("lyrics_md5"))
@@ -317,11 +320,10 @@ def library_delete(spark, sf_dir):
 
 
 def library_neighbors(spark, sf_dir):
-    """W1 over sparse positions: playlist files in file-name order."""
-    l_ = _library(spark, sf_dir).filter(F.col("kind") == "playlists")
-    n = lib.circular_neighbors(l_.select("container", "file_name"), ["container"], "file_name",
-                               fields=["file_name"])
-    return n.select("container", "file_name", "prev_file_name", "next_file_name")
+    """W1 over sparse positions: the files of every folder (the songs' one too) in file-name order."""
+    n = lib.circular_neighbors(_library(spark, sf_dir).select("kind", "container", "file_name"), ["kind", "container"],
+                               "file_name", fields=["file_name"])
+    return n.select("kind", "container", "file_name", "prev_file_name", "next_file_name")
 
 
 # --- duplicates over line items ------------------------------------------------------
@@ -338,9 +340,9 @@ def dedupe_keep_first(spark, sf_dir):
 
 
 def purge_duplicates(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem")
-    doomed = lib.duplicate_members(li, _LI_KEYS)
-    return lib.library_delete(li, doomed, _LI_KEYS)
+    """M5: line items as favourites; a track's id is its order, line, part and supplier."""
+    li = table(spark, sf_dir, "lineitem").withColumn("id", F.concat_ws("-", *_LI_KEYS, "l_partkey", "l_suppkey"))
+    return lib.purge_duplicates(li, _LI_KEYS).drop("id")
 
 
 # --- ordered lists ---------------------------------------------------------------------
@@ -412,8 +414,9 @@ def artist_top_tracks(spark, sf_dir):
     pl = (li.join(s, li["l_suppkey"] == s["s_suppkey"]).join(n, s["s_nationkey"] == n["n_nationkey"])
             .join(p, li["l_partkey"] == p["p_partkey"])
             .select(F.col("s_name").alias("artist"), F.col("l_partkey").alias("track_id"),
-                    F.col("p_name").alias("name"), F.col("n_name").alias("market")))
-    return search.artist_top_tracks(pl, n=3, market=MARKET)
+                    F.col("p_name").alias("name"),
+                    F.array_compact(F.array("n_name", F.when(F.col("n_nationkey") % 3 == 0, search.MARKET))).alias("markets")))
+    return search.artist_top_tracks(pl, n=3)
 
 
 def track_neighbors(spark, sf_dir):
@@ -439,17 +442,18 @@ def album_cards(spark, sf_dir):
 
 
 def artist_albums(spark, sf_dir):
-    """L5 (albums): each artist's 50 newest album cards."""
+    """L5 (albums): the 50 newest album cards of each artist (the nation of the order's customer)."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     images = F.when(F.col("o_orderstatus") == "F", F.array().cast("array<struct<url:string>>")) \
         .otherwise(F.array(F.struct(F.concat(F.lit("img/album-"), F.col("o_orderkey").cast("string")).alias("url"))))
-    albums = o.join(c, o["o_custkey"] == c["c_custkey"]).select(
+    albums = o.join(c, o["o_custkey"] == c["c_custkey"]).join(n, c["c_nationkey"] == n["n_nationkey"]).select(
         F.concat(F.lit("album-"), F.col("o_orderkey").cast("string")).alias("name"),
         F.col("o_orderkey").cast("string").alias("id"), images.alias("images"),
-        F.array(F.struct(F.col("c_name").alias("name"))).alias("artists"),
+        F.array(F.struct(F.col("n_name").alias("name"))).alias("artists"),
         F.to_date("o_orderdate").alias("released"))
-    cards = env.cards(albums, "album").join(albums.select("id", "released"), "id")
+    cards = env.cards(albums, "album", "released")
     return search.artist_albums(cards).select("artist", "id", "name", "image", "released", "rank")
 
 
@@ -478,8 +482,19 @@ def sql_functions(spark, sf_dir):
     return spark.sql("""
         SELECT doc_id, md5(clean_text(text)) AS cleaned_md5,
                clean_title(substring_index(text, '\n', 1)) AS title,
-               md5(validate_lyrics(text)) AS lyrics_md5, count_char(text, '"') AS quotes
-        FROM ml_documents""")
+               md5(validate_lyrics(text)) AS lyrics_md5, count_char(text, '"') AS quotes,
+               md5(drop_first_line(text)) AS body_md5, md5(html_unescape(text)) AS unescaped_md5,
+               percent_decode(concat(source, '%C3%A9+%zz')) AS decoded,
+               after_equals(concat('v=', lang, '=', source)) AS after_eq,
+               search_key(lang, source, '-') AS key,
+               sentiment_category(IF(doc_id % 5 = 0, 'Lyrics not found', text), CAST(doc_id % 9 - 4 AS DOUBLE) / 4) AS category,
+               combined_id(CAST(doc_id AS STRING), iso_timestamp(timestamp_seconds(doc_id))) AS combined,
+               score_text(CAST(doc_id % 9 - 4 AS DOUBLE) / 4) AS score,
+               library_path('albums', lang, source, CAST(doc_id AS STRING)) AS path,
+               s.name AS split_name, s.artist AS split_artist, i.name AS index_name, i.artist AS index_artist
+        FROM ml_documents,
+             LATERAL parse_file_split(concat(lang, ' - ', source, ' - ', doc_id, '.mp3')) AS s,
+             LATERAL parse_file_index(concat(lang, ' - ', source, ' - ', doc_id, '.mp3')) AS i""")
 
 
 def queries() -> dict[str, Query]:
@@ -514,6 +529,7 @@ def queries() -> dict[str, Query]:
                with_track_id, search_all, search_playlist, artist_top_tracks,
                track_neighbors, album_cards, artist_albums, playlist_cards, to_frames, sql_functions):
         q[fn.__name__] = fn
+    q.update(browse.queries())
     q["chart_harvest"] = chart_harvest
     q["stream_scoring"] = streams.stream_scoring
     q["stream_replay"] = streams.stream_replay

@@ -330,12 +330,14 @@ FROM plays p JOIN scores s ON s.doc_id = p.doc_id
         {py_strip("regexp_extract(split_part(text, chr(10), 1), '^[^\\[(]*', 0)")} AS title FROM documents"""
     q["drop_first_line"] = """SELECT doc_id, md5(regexp_replace(text, '^[^\\n]*\\n', '')) AS body_md5
         FROM documents"""
-    q["validate_lyrics"] = """SELECT doc_id,
+    q["validate_lyrics"] = """WITH sung AS (SELECT doc_id, CASE doc_id % 10 WHEN 1 THEN '[FN#1] ' || text
+          WHEN 2 THEN replace(text, 'e', '"') ELSE text END AS text FROM documents)
+        SELECT doc_id,
         CAST(length(text) - length(replace(text, '"', '')) AS INTEGER) AS quotes,
         strpos(text, '[FN#') > 0 AS footnote,
         md5(CASE WHEN strpos(text, '[FN#') > 0 OR length(text) - length(replace(text, '"', '')) >= 50
                  THEN 'Lyrics not found' ELSE regexp_replace(text, '^[^\\n]*\\n', '') END) AS lyrics_md5
-        FROM documents"""
+        FROM sung"""
     title = "regexp_extract(html, '<title>(.*?)</title>', 1)"
     q["html_unescape"] = f"""SELECT page_id, {html_unescape_sql(title)} AS title, CAST(length(u) AS INTEGER) AS length,
         md5(u) AS page_md5 FROM (SELECT *, {html_unescape_sql("html")} AS u FROM pages)"""
@@ -415,12 +417,11 @@ SELECT path FROM lib l WHERE NOT EXISTS (SELECT 1 FROM doomed d WHERE d.name IS
 doomed AS (SELECT DISTINCT name, artist FROM lib WHERE kind = 'playlists' AND container = '3-MEDIUM')
 SELECT path FROM lib l WHERE NOT EXISTS (SELECT 1 FROM doomed d WHERE d.name IS NOT DISTINCT FROM l.name
                                          AND d.artist IS NOT DISTINCT FROM l.artist)"""
-    q["library_neighbors"] = "WITH " + FILES + """,
-pl AS (SELECT container, file_name FROM lib WHERE kind = 'playlists')
-SELECT container, file_name,
+    q["library_neighbors"] = "WITH " + FILES + """
+SELECT kind, container, file_name,
   coalesce(lag(file_name) OVER w, last_value(file_name) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS prev_file_name,
   coalesce(lead(file_name) OVER w, first_value(file_name) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS next_file_name
-FROM pl WINDOW w AS (PARTITION BY container ORDER BY file_name)"""
+FROM lib WINDOW w AS (PARTITION BY kind, container ORDER BY file_name)"""
     q["duplicate_members"] = """WITH k AS (
   SELECT l_orderkey, l_linenumber FROM (SELECT DISTINCT * FROM lineitem)
   GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)
@@ -432,8 +433,9 @@ SELECT l.* FROM lineitem l SEMI JOIN k ON k.l_orderkey = l.l_orderkey AND k.l_li
              l_returnflag NULLS FIRST, l_linestatus NULLS FIRST) AS rn FROM lineitem) WHERE rn = 1"""
     q["purge_duplicates"] = """WITH k AS (
   SELECT l_orderkey, l_linenumber FROM (SELECT DISTINCT * FROM lineitem)
-  GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)
-SELECT l.* FROM lineitem l ANTI JOIN k ON k.l_orderkey = l.l_orderkey AND k.l_linenumber = l.l_linenumber"""
+  GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1),
+ids AS (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem SEMI JOIN k USING (l_orderkey, l_linenumber))
+SELECT l.* FROM lineitem l ANTI JOIN ids USING (l_orderkey, l_linenumber, l_partkey, l_suppkey)"""
     q["circular_neighbors"] = """SELECT conv_id, turn, role,
   coalesce(lag(turn) OVER w, last_value(turn) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS prev_turn,
   coalesce(lag(role) OVER w, last_value(role) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS prev_role,
@@ -481,10 +483,11 @@ WHERE l.kind = 'songs'"""
 WHERE relevance IS NOT NULL QUALIFY row_number() OVER (ORDER BY relevance, name, id) <= 1""".replace(
         "SELECT * FROM (", "SELECT *, CAST(1 AS BIGINT) AS rank FROM (", 1)
     q["artist_top_tracks"] = """WITH pl AS (
-  SELECT s.s_name AS artist, l.l_partkey AS track_id, p.p_name AS name, n.n_name AS market
+  SELECT s.s_name AS artist, l.l_partkey AS track_id, p.p_name AS name,
+         CASE WHEN n.n_nationkey % 3 = 0 THEN [n.n_name, 'IT'] ELSE [n.n_name] END AS markets
   FROM lineitem l JOIN supplier s ON s.s_suppkey = l.l_suppkey JOIN nation n ON n.n_nationkey = s.s_nationkey
   JOIN part p ON p.p_partkey = l.l_partkey),
-c AS (SELECT artist, track_id, count(*) AS plays, min(name) AS name FROM pl WHERE market = 'NATION_7'
+c AS (SELECT artist, track_id, count(*) AS plays, min(name) AS name FROM pl WHERE list_contains(markets, 'IT')
       GROUP BY artist, track_id)
 SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY artist ORDER BY plays DESC, track_id) AS rank FROM c)
 WHERE rank <= 3"""
@@ -500,11 +503,11 @@ WHERE name = 'red widget' AND artist = 'Supplier#000000007' ORDER BY list_id, po
   c.c_name AS artist
 FROM orders o LEFT JOIN customer c ON c.c_custkey = o.o_custkey"""
     q["artist_albums"] = f"""SELECT artist, id, name, image, released, rank FROM (
-  SELECT c.c_name AS artist, CAST(o.o_orderkey AS VARCHAR) AS id, 'album-' || CAST(o.o_orderkey AS VARCHAR) AS name,
+  SELECT n.n_name AS artist, CAST(o.o_orderkey AS VARCHAR) AS id, 'album-' || CAST(o.o_orderkey AS VARCHAR) AS name,
     CASE WHEN o.o_orderstatus = 'F' THEN {DEFAULT_IMAGE_SQL} ELSE 'img/album-' || CAST(o.o_orderkey AS VARCHAR) END AS image,
     CAST(o.o_orderdate AS DATE) AS released,
-    row_number() OVER (PARTITION BY c.c_name ORDER BY CAST(o.o_orderdate AS DATE) DESC, CAST(o.o_orderkey AS VARCHAR)) AS rank
-  FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey) WHERE rank <= 50"""
+    row_number() OVER (PARTITION BY n.n_name ORDER BY CAST(o.o_orderdate AS DATE) DESC, CAST(o.o_orderkey AS VARCHAR)) AS rank
+  FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey JOIN nation n ON n.n_nationkey = c.c_nationkey) WHERE rank <= 50"""
     q["playlist_cards"] = f"""SELECT c_name AS name, CAST(c_custkey AS VARCHAR) AS id,
   CASE WHEN c_acctbal < 0 THEN {DEFAULT_IMAGE_SQL} ELSE 'img/' || c_name END AS image FROM customer"""
     q["to_frames"] = """SELECT event_id, md5(CAST(json_object('event_id', event_id, 'user_id', user_id,
@@ -513,13 +516,23 @@ FROM orders o LEFT JOIN customer c ON c.c_custkey = o.o_custkey"""
   {py_strip("regexp_extract(split_part(text, chr(10), 1), '^[^\\[(]*', 0)")} AS title,
   md5(CASE WHEN strpos(text, '[FN#') > 0 OR length(text) - length(replace(text, '"', '')) >= 50
            THEN 'Lyrics not found' ELSE regexp_replace(text, '^[^\\n]*\\n', '') END) AS lyrics_md5,
-  CAST(length(text) - length(replace(text, '"', '')) AS INTEGER) AS quotes FROM documents"""
+  CAST(length(text) - length(replace(text, '"', '')) AS INTEGER) AS quotes,
+  md5(regexp_replace(text, '^[^\\n]*\\n', '')) AS body_md5, md5({html_unescape_sql('text')}) AS unescaped_md5,
+  source || 'é+%zz' AS decoded, lang || '=' || source AS after_eq, lang || '-' || source AS key,
+  {category("doc_id % 5 = 0", "(doc_id % 9 - 4) / 4.0")} AS category,
+  doc_id || '_' || strftime(make_timestamp(doc_id * 1000000), '%Y-%m-%dT%H:%M:%S.%gZ') AS combined,
+  CASE WHEN doc_id % 9 = 4 THEN '0.0' ELSE regexp_replace(regexp_replace(CAST(CAST((doc_id % 9 - 4) / 4.0 AS DECIMAL(6,4)) AS VARCHAR),
+    '0+$', ''), '\\.$', '.0') END AS score,
+  'albums/' || lang || '/' || source || ' - ' || doc_id || '.mp3' AS path,
+  lang AS split_name, source AS split_artist, lang AS index_name, source || ' - ' || doc_id AS index_artist FROM documents"""
     return q
 
 
 def queries_sql() -> dict[str, str]:
     q = scoring_sql()
     q.update(more_sql())
+    from moodlake.plans import browse
+    q.update(browse.queries_sql())
     # The streams must equal their batch forms.
     for g in ("day", "week", "month"):
         q[f"stream_trend_{g}"] = q[f"taste_trend_{g}"]

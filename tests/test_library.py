@@ -113,14 +113,25 @@ def test_number_items(spark):
 
 
 def test_neighbors_of_first_match_and_miss(spark):
-    rows = [("L", 0, "a", "x"), ("L", 1, "b", "y"), ("L", 2, "a", "x"), ("L", 3, "c", "z")]
-    df = spark.createDataFrame(rows, "list STRING, position INT, name STRING, artist STRING")
-    n = lib.circular_neighbors(df, ["list"], "position")
-    hit = lib.neighbors_of(n, "a", "x").collect()
-    assert len(hit) == 1 and hit[0].position == 0 and hit[0].prev_name == "c" and hit[0].next_name == "b"
-    miss = lib.neighbors_of(n, "nope", "x").collect()
-    assert len(miss) == 1 and miss[0].position is None
-    assert (miss[0].prev_name, miss[0].prev_artist, miss[0].next_name, miss[0].next_artist) == ("", "", "", "")
+    rows = [(0, "a", "x", "i0"), (1, "b", "y", "i1"), (2, "a", "x", "i2"), (7, "c", "z", "i3")]
+    df = spark.createDataFrame(rows, "position INT, name STRING, artist STRING, image STRING").repartition(3)
+    hit = lib.neighbors_of(df, "a", "x").collect()
+    assert [tuple(r) for r in hit] == [("a", "x", "i0", "c", "z", "b", "y")]
+    assert tuple(lib.neighbors_of(df, "c", "z").first()) == ("c", "z", "i3", "a", "x", "a", "x")
+    one = df.filter("position = 1")
+    assert tuple(lib.neighbors_of(one, "b", "y").first()) == ("b", "y", "i1", "b", "y", "b", "y")
+    for empty in (df, df.filter("false")):
+        assert tuple(lib.neighbors_of(empty, "nope", "x").first()) == ("nope", "x", "static/default-cover.jpg", "", "", "", "")
+    plan = lib.neighbors_of(df, "a", "x")._jdf.queryExecution().executedPlan().toString()
+    assert "Sort " not in plan and "Window" not in plan and "Exchange range" not in plan
+
+
+def test_duplicate_keys_tell_nulls_apart(spark):
+    rows = [("k", 1, None, 2), ("k", 1, 2, None), ("same", 1, None, 2), ("same", 1, None, 2), ("one", 1, 1, 1)]
+    df = spark.createDataFrame(rows, "key STRING, a INT, b INT, c INT")
+    keys = lib.duplicate_keys(df, ["key"])
+    assert [r.key for r in keys.collect()] == ["k"]
+    assert "Sort" not in keys._jdf.queryExecution().executedPlan().toString()
 
 
 def test_row_numbers_equal_the_window(spark):
