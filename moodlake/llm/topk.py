@@ -5,12 +5,15 @@ inner product. Since q.x = (|q|^2 + |x|^2 - |q-x|^2) / 2, a lower bound of the
 squared distance bounds the score from above. For a cut of the vector into
 segments, each segment of w components contributes at least
 w * ((difference of means)^2 + (difference of deviations)^2); finer cuts bound
-tighter. Each block of candidates is filtered coarse to fine against the
-query's k-th best score so far, and only the survivors' scores are computed.
+tighter. The first candidates a query meets are scored as they are, which
+gives it a k-th best score; from then on strips of candidates are filtered coarse to
+fine against that score, and only the survivors' scores are computed. Strips hold
+a fixed number of pairs, so memory does not grow with a block that prunes badly.
 
-Queries and candidates meet in blocks: every block of ``QUERY_BLOCK`` queries
-is joined with every salted share of the candidates, each task keeps k rows per
-query, and a partial top-k per (query, share) is merged per query.
+Candidates stay: they are dealt over salted shares of a bounded number of
+components, and a task holds one share with its statistics while the queries
+go by in blocks. Where shares are fewer than ``TASKS``, groups of queries split
+the work further. Each task gives k rows per query, merged per query.
 
 Defined results: vectors that are null, empty, hold a null or non-finite
 component, or have no id take no part; of vectors of different lengths only
@@ -31,7 +34,10 @@ from pyspark.sql import functions as F
 RESOLUTIONS = (1, 4, 16)
 QUERY_BLOCK = 2048
 CANDIDATE_BLOCK = 1024
-SHARES = 24
+SHARE_VALUES = 4_000_000    # components of the candidates that one task holds
+TASKS = 24                  # shares x query groups, at least
+PAIRS = 1 << 16             # pairs of a strip
+SEED = 32                   # candidates scored before the first bound, at least
 
 
 def integer_vectors(df: DataFrame, vec_id: str, vector: str, scale: float) -> DataFrame:
@@ -54,6 +60,12 @@ def segment_stats(m, cuts: int):
     return np.stack(out, axis=1)
 
 
+def described(x, cuts: list):
+    """Squared norms, statistics at each resolution and the largest component."""
+    import numpy as np
+    return (x.astype(float) ** 2).sum(axis=1), [segment_stats(x, c) for c in cuts], float(np.abs(x).max(initial=0))
+
+
 class Searcher:
     """The k best candidates so far of one block of queries of one length."""
 
@@ -62,47 +74,64 @@ class Searcher:
         self.ids, self.q, self.k = ids, vectors, k
         dims = vectors.shape[1]
         self.cuts = [c for c in RESOLUTIONS if c <= dims]
-        self.stats = [segment_stats(vectors, c) for c in self.cuts]
-        self.norm = (vectors.astype(float) ** 2).sum(axis=1)
-        self.peak = float(np.abs(vectors).max(initial=0))
+        self.norm, self.stats, self.peak = described(vectors, self.cuts)
         # Best first: score descending, then id; missing places hold None-like rows.
         self.best: list[list[tuple[int, int]]] = [[] for _ in ids]
         self.floor = np.full(len(ids), -np.inf)
         self.measured = 0
 
-    def offer(self, ids, x) -> None:
+    def offer(self, ids, x, known=None) -> None:
+        """Candidates of one block; ``known`` are their norms, statistics and peak."""
+        import numpy as np
+        norm, theirs, peak = known or described(x, self.cuts)
+        small = self.peak * peak * x.shape[1] < 2 ** 53
+        start = 0
+        if np.isinf(self.floor).any():
+            start = min(len(x), max(SEED, 4 * self.k))
+            rows, cols = (g.ravel() for g in np.meshgrid(np.arange(len(self.q)), np.arange(start), indexing="ij"))
+            self._score(rows, cols, ids, x, small)
+        strip = max(1, PAIRS // max(len(self.q), 1))
+        for a in range(start, len(x), strip):
+            rows = cols = None
+            for mine, other in zip(self.stats, theirs):
+                if rows is None:
+                    part = other[a:a + strip]
+                    d2 = (mine ** 2).sum(axis=1)[:, None] + (part ** 2).sum(axis=1)[None, :] - 2 * mine @ part.T
+                    upper = (self.norm[:, None] + norm[None, a:a + strip] - d2) / 2
+                    slack = 1e-9 * (self.norm[:, None] + norm[None, a:a + strip]) + 1
+                    rows, cols = np.nonzero(upper + slack >= self.floor[:, None])
+                    cols = cols + a
+                else:
+                    d2 = ((mine[rows] - other[cols]) ** 2).sum(axis=1)
+                    upper = (self.norm[rows] + norm[cols] - d2) / 2
+                    stay = upper + 1e-9 * (self.norm[rows] + norm[cols]) + 1 >= self.floor[rows]
+                    rows, cols = rows[stay], cols[stay]
+            self._score(rows, cols, ids, x, small)
+
+    def _score(self, rows, cols, ids, x, small: bool) -> None:
+        """Exact scores of pairs, some at a time, kept where they are among the k best."""
         import numpy as np
-        norm = (x.astype(float) ** 2).sum(axis=1)
-        rows, cols = None, None
-        for cuts, mine in zip(self.cuts, self.stats):
-            theirs = segment_stats(x, cuts)
-            if rows is None:
-                d2 = (mine ** 2).sum(axis=1)[:, None] + (theirs ** 2).sum(axis=1)[None, :] - 2 * mine @ theirs.T
-                upper = (self.norm[:, None] + norm[None, :] - d2) / 2
-                slack = 1e-9 * (self.norm[:, None] + norm[None, :]) + 1
-                rows, cols = np.nonzero(upper + slack >= self.floor[:, None])
-            else:
-                d2 = ((mine[rows] - theirs[cols]) ** 2).sum(axis=1)
-                upper = (self.norm[rows] + norm[cols] - d2) / 2
-                stay = upper + 1e-9 * (self.norm[rows] + norm[cols]) + 1 >= self.floor[rows]
-                rows, cols = rows[stay], cols[stay]
         other = self.ids[rows] != ids[cols]
         rows, cols = rows[other], cols[other]
         self.measured += len(rows)
-        if not len(rows):
-            return
-        if self.peak * float(np.abs(x).max(initial=0)) * x.shape[1] < 2 ** 53:
-            score = np.einsum("ij,ij->i", self.q[rows].astype(float), x[cols].astype(float)).astype(np.int64)
-        else:
-            score = (self.q[rows] * x[cols]).sum(axis=1)
-        stay = score >= self.floor[rows]
-        rows, cols, score = rows[stay], cols[stay], score[stay]
-        order = np.lexsort((ids[cols], -score, rows))
-        rows, cols, score = rows[order], cols[order], score[order]
-        first = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
+        step = max(1, (64 * PAIRS) // x.shape[1])
+        for a in range(0, len(rows), step):
+            r, c = rows[a:a + step], cols[a:a + step]
+            if small:
+                score = np.einsum("ij,ij->i", self.q[r].astype(float), x[c].astype(float)).astype(np.int64)
+            else:
+                score = (self.q[r] * x[c]).sum(axis=1)
+            stay = score >= self.floor[r]
+            self._keep(r[stay], ids[c[stay]], score[stay])
+
+    def _keep(self, rows, ids, score) -> None:
+        import numpy as np
+        order = np.lexsort((ids, -score, rows))
+        rows, ids, score = rows[order], ids[order], score[order]
+        first = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]]) if len(rows) else []
         for a, b in zip(first, np.r_[first[1:], len(rows)]):
             r, b = rows[a], min(b, a + self.k)
-            merged = self.best[r] + list(zip((-score[a:b]).tolist(), ids[cols[a:b]].tolist()))
+            merged = self.best[r] + list(zip((-score[a:b]).tolist(), ids[a:b].tolist()))
             merged.sort()
             self.best[r] = merged[:self.k]
             if len(self.best[r]) == self.k:
@@ -119,56 +148,49 @@ def _blocks(pdf, size: int):
 
 
 def top_k(df: DataFrame, is_query: Column, k: int, scale: float, vec_id: str = "vec_id",
-          vector: str = "embedding", query_block: int = QUERY_BLOCK, shares: int = SHARES) -> DataFrame:
+          vector: str = "embedding", query_block: int = QUERY_BLOCK, shares: int | None = None) -> DataFrame:
     """``query_id, rank, vec_id, score`` of every row where ``is_query`` (an
     expression over ``id``), against all rows."""
     every = integer_vectors(df, vec_id, vector, scale)
-    queries = every.where(is_query)
-    n_blocks = F.greatest(F.ceil(queries.select(F.count(F.lit(1))).scalar() / query_block), F.lit(1)).cast("int")
-    blocked = queries.select(F.pmod(F.xxhash64("id"), n_blocks).cast("int").alias("block"), "id", "v")
-    # Each query block goes to every share of the candidates, each candidate to every query block:
-    # queries are the stated set, and only blocks are multiplied.
-    q = blocked.select(F.explode(F.sequence(F.lit(0), F.lit(shares - 1))).alias("share"), "block",
-                       F.lit(True).alias("asks"), "id", "v")
-    c = every.select(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(shares)).cast("int").alias("share"),
-                     F.explode(F.sequence(F.lit(0), n_blocks - 1)).alias("block"), F.lit(False).alias("asks"), "id", "v")
-    dealt = q.unionByName(c).repartition("block", "share").sortWithinPartitions("block", "share", F.desc("asks"), "id")
+    if shares is None:
+        n, width = every.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
+        shares = max(1, -(-n * (width or 0) // SHARE_VALUES))
+    groups = max(1, -(-TASKS // shares))
+    # Place in the input, not the id alone, salts the shares: an id may hold a third of the rows.
+    c = every.select(F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(shares)).cast("int").alias("share"),
+                     F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("grp"), F.lit(False).alias("asks"), "id", "v")
+    q = every.where(is_query).select(
+        F.explode(F.sequence(F.lit(0), F.lit(shares - 1))).alias("share"),
+        F.pmod(F.xxhash64("id"), F.lit(groups)).cast("int").alias("grp"), F.lit(True).alias("asks"), "id", "v")
+    # One task a cell; a few cells that share one are taken one after another.
+    dealt = c.unionByName(q).repartition(shares * groups, "share", "grp").sortWithinPartitions("share", "grp", "asks", "id")
 
     def search(batches: Iterator) -> Iterator:
         import numpy as np
         import pandas as pd
-        here, asked, ready = None, [], {}
-
-        def start():
-            if asked:
-                for ids, m in _blocks(pd.concat(asked), query_block):
-                    ready.setdefault(m.shape[1], []).append(Searcher(ids, m, k))
-                asked.clear()
-
-        def results():
-            rows = [(int(q), -s, i) for group in ready.values() for one in group
-                    for q, best in zip(one.ids, one.best) for s, i in best]
+        here, held = None, {}
+
+        def answers(part):
+            rows = []
+            for ids, m in _blocks(part, query_block):
+                one = Searcher(ids, m, k)
+                for other, x, known in held.get(m.shape[1], []):
+                    one.offer(other, x, known)
+                rows += [(int(q), -s, i) for q, best in zip(one.ids, one.best) for s, i in best]
             return pd.DataFrame(rows, columns=["query_id", "score", "vec_id"])
 
         for pdf in batches:
-            key = pdf["block"].to_numpy(np.int64) * shares + pdf["share"].to_numpy(np.int64)
-            edges = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+            key = pdf["share"].to_numpy(np.int64) * groups + pdf["grp"].to_numpy(np.int64)
+            edges = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(pdf) else []
             for a, b in zip(edges, np.r_[edges[1:], len(pdf)]):
                 part = pdf.iloc[a:b]
                 if key[a] != here:
-                    if ready:
-                        yield results()
-                    here, ready = key[a], {}
-                    asked.clear()
-                asked.append(part[part["asks"]])
-                rest = part[~part["asks"]]
-                if len(rest):
-                    start()
-                    for ids, m in _blocks(rest, CANDIDATE_BLOCK):
-                        for one in ready.get(m.shape[1], []):
-                            one.offer(ids, m)
-        if ready:
-            yield results()
+                    here, held = key[a], {}
+                for ids, x in _blocks(part[~part["asks"]], CANDIDATE_BLOCK):
+                    cuts = [c for c in RESOLUTIONS if c <= x.shape[1]]
+                    held.setdefault(x.shape[1], []).append((ids, x, described(x, cuts)))
+                if part["asks"].any():
+                    yield answers(part[part["asks"]])
 
     partial = dealt.mapInPandas(search, "query_id long, score long, vec_id long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
