@@ -17,7 +17,14 @@ SPACES = " \t\n\r\x0b\x0c"
 NOT_SPACE = r"[^\x20\x09-\x0D]+"
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# Largest Arrow batch sent to a Python worker: whole texts and arrays come by bytes, not by rows.
+BATCH_BYTES = 16 << 20
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table. Sets the session's bound of Arrow batches."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
@@ -33,10 +40,25 @@ def fresh(df: DataFrame, base: str) -> str:
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once below the shared checkpoint folder and read it back:
     later uses see the written rows, and a lost executor replays nothing
-    upstream."""
+    upstream. Shuffle files of the write go when it has ended."""
     path = sub_dir(df.sparkSession, "llm", f"{name}-{uuid.uuid4().hex}")
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    conf, old = df.sparkSession.conf, df.sparkSession.conf.get(CLEANUP)
+    conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        conf.set(CLEANUP, old)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._written = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables of ``materialize`` that no plan reads any more: all that
+    was derived from them has been written itself, so a lost executor never needs them again."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._written)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def ascii_lower(c: Column) -> Column:

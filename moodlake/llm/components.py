@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from moodlake.llm.common import materialize
+from moodlake.llm.common import discard, materialize
 
 
 def _stars(edges: DataFrame, large: bool) -> DataFrame:
@@ -33,6 +33,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         if seen == mark:
             break
         seen = mark
-        edges = materialize(_stars(_stars(edges, True), False), "edges")
+        before, edges = edges, materialize(_stars(_stars(edges, True), False), "edges")
+        discard(before)
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

@@ -18,19 +18,25 @@ Documents with equal sets are one class, and classes are joined exactly:
    again from the texts of these classes only.
 
 The first round lets each class ask in one tile and keeps its best pair, which
-joins most groups of near copies; the second round takes every shingle, but
-only pairs whose components still differ, so a group of k near copies costs
-about k pairs, not k squared. Components are those of all links.
+joins most groups of near copies. The following rounds take every shingle, but
+only pairs whose components still differ, and of each class at most its ``BEST``
+best partners in a tile; classes that had more ask again after the components have been
+joined, until none had more. A round that joins nothing is followed by one
+without the bound. So a group of k near copies costs about k pairs, not k
+squared, and no link between components is lost. Components are those of all links.
+``class_links`` gives all links between different sets instead, which is quadratic in a group by nature.
 
 Defined results: null and empty texts (and texts of white space) have an empty
 set, link with nothing and are their own component; texts under ``SIZE`` words
-have one shingle, all their words; rows repeated or with equal sets are one
+have one shingle, all their words; very long texts are one row of their batch
+(batches are bounded by bytes) and one array of 8 bytes a shingle; rows repeated or with equal sets are one
 class; a null doc_id takes part and is never the smallest of a component with
 another id; an empty table gives no rows; extra columns are not read.
 """
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,7 +44,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from moodlake.llm.common import materialize
+from moodlake.llm.common import discard, fresh, materialize
 from moodlake.llm.components import components
 
 SIZE = 5
@@ -46,8 +52,7 @@ PERCENT = 75
 # Frequent shingles: found in at least MIN_SEEN of one in SAMPLE distinct texts, the most frequent MAX_FREQUENT of them.
 SAMPLE, MIN_SEEN, MAX_FREQUENT = 64, 3, 100_000
 TILE = 2000
-# Class keys (40 bytes each) sent to every executor up to here, joined by shuffle beyond.
-MAX_BROADCAST = 500_000
+BEST = 4
 
 
 def shingle_set(text: str | None, size: int = SIZE) -> np.ndarray:
@@ -179,14 +184,14 @@ def shared_tokens(reps: DataFrame) -> DataFrame:
 
 
 def tiled(rows: DataFrame, bits: DataFrame, tile: int) -> DataFrame:
-    """Deal ``token, cls, n, comp`` into tiles: every class asks in the tile of
+    """Deal ``token, cls, n, comp, asks`` into tiles: every class that asks does so in the tile of
     its size band and is a partner there and in the band above. Tiles without
     two components to compare go before the bitmaps are attached; tiles of more
     than ``tile`` classes are cut into a grid of blocks, in which a class asks
     along one row and is a partner along one column."""
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(4.0 / 3)) + 1e-9).cast("int")
     roles = rows.withColumn("band", band).select("token", "cls", "n", "comp", F.explode(F.array(
-        F.struct(F.col("band").alias("band"), F.lit(True).alias("asks")),
+        F.struct(F.col("band").alias("band"), F.col("asks").alias("asks")),
         F.struct((F.col("band") + 1).alias("band"), F.lit(False).alias("asks")))).alias("r"))
     roles = roles.select("token", "r.band", "r.asks", "cls", "n", "comp")
     tiles = (roles.groupBy("token", "band")
@@ -230,9 +235,9 @@ class Partners:
             yield from zip(slack[slack >= 0].tolist(), ids[part[slack >= 0]].tolist())
 
 
-def candidate_pairs(tiles: DataFrame, best_only: bool, percent: int = PERCENT) -> DataFrame:
-    """``a, b``: pairs of a tile whose bitmaps allow the overlap needed and
-    whose components differ (each asker's best one only, or all)."""
+def candidate_pairs(tiles: DataFrame, best: int | None, percent: int = PERCENT) -> DataFrame:
+    """``a, b, more``: pairs of a tile whose bitmaps allow the overlap needed and
+    whose components differ: each asker's ``best`` ones (``more`` where it had others), or all."""
     def compare(batches: Iterator) -> Iterator:
         here, partners = None, {}
         for pdf in batches:
@@ -244,17 +249,19 @@ def candidate_pairs(tiles: DataFrame, best_only: bool, percent: int = PERCENT) -
                 if asks:
                     got = [g for w, p in partners.items() if len(bits) <= 2 * w <= 4 * len(bits)
                            for g in p.passing(bits, n, comp, percent)]
-                    if best_only and got:
-                        got = [max(got, key=lambda g: (g[0], -g[1]))]
-                    pairs += [(cls, other) for _, other in got]
+                    more = best is not None and len(got) > best
+                    if more:
+                        got = heapq.nsmallest(best, got, key=lambda g: (-g[0], g[1]))
+                    pairs += [(cls, other, more) for _, other in got]
                 if offers:
                     if len(bits) not in partners:
                         partners[len(bits)] = Partners(len(bits))
                     partners[len(bits)].add(bits, n, cls, comp)
-            yield pd.DataFrame(pairs, columns=["a", "b"]).astype("int64")
+            out = pd.DataFrame(pairs, columns=["a", "b", "more"])
+            yield out.astype({"a": "int64", "b": "int64", "more": "bool"})
 
     dealt = tiles.repartition("tile").sortWithinPartitions("tile", "n", "cls")
-    return dealt.mapInPandas(compare, "a long, b long")
+    return dealt.mapInPandas(compare, "a long, b long, more boolean").groupBy("a", "b").agg(F.max("more").alias("more"))
 
 
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
@@ -263,8 +270,7 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int =
     sent to its pairs; a pair's two arrays are neighbours after sorting."""
     ends = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("cls"))
     ids = ends.select("cls").distinct()
-    wanted = materialize(classes.join(ids, "cls").select("cls", "d1", "d2", F.col("first_id").alias("w_id")), "wanted")
-    small = wanted.count() <= MAX_BROADCAST
+    wanted = classes.join(ids, "cls").select("cls", "d1", "d2", F.col("first_id").alias("w_id"))
 
     def sets(batches: Iterator) -> Iterator:
         for pdf in batches:
@@ -275,7 +281,7 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int =
                     rows.append((cls, s.tobytes()))
             yield pd.DataFrame(rows, columns=["cls", "set"])
 
-    texts = docs.join(F.broadcast(wanted) if small else wanted, F.col("doc_id").eqNullSafe(F.col("w_id")))
+    texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("w_id")))
     arrays = texts.select("cls", "d1", "d2", "text").mapInPandas(sets, "cls long, set binary")
 
     def intersect(batches: Iterator) -> Iterator:
@@ -296,50 +302,96 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int =
     return met.select("a", "b", "cls", "set").mapInPandas(intersect, "a long, b long, overlap long")
 
 
+class Joined:
+    """Tables of one join: ``sig`` per row, ``classes`` of equal sets, the shared prefix shingles and bitmaps."""
+
+    def __init__(self, docs: DataFrame, doc_id: str, text: str, size: int, percent: int):
+        self.docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"),
+                                F.xxhash64(text).alias("text_key"))
+        self.size, self.percent = size, percent
+        self.sig = materialize(signatures(self.docs, size, percent), "signatures")
+        classes = (self.sig.where("n > 0").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("first_id"))
+                       .withColumn("cls", F.monotonically_increasing_id()))
+        self.classes = materialize(classes, "classes")
+        self.shared = materialize(shared_tokens(self._reps(self.classes, "rare", "frequent")), "shared")
+        involved = self.classes.join(self.shared.select("cls").distinct(), "cls")
+        self.bits = materialize(self._reps(involved, "bits").dropDuplicates(["cls"]).select("cls", "bits"), "bitmaps")
+
+    def _reps(self, of: DataFrame, *cols: str) -> DataFrame:
+        """Signature columns of one document of each class; its id spreads copies over the join."""
+        c = of.select("cls", F.col("d1").alias("c1"), F.col("d2").alias("c2"), "first_id")
+        cond = (F.col("d1") == F.col("c1")) & (F.col("d2") == F.col("c2")) & F.col("doc_id").eqNullSafe(F.col("first_id"))
+        return self.sig.select("doc_id", "d1", "d2", "n", *cols).join(c, cond).select("cls", "n", *cols)
+
+    def pairs(self, rows: DataFrame, best: int | None, tile: int) -> DataFrame:
+        return materialize(candidate_pairs(tiled(rows, self.bits, tile), best, self.percent), "pairs")
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        return materialize(verified(pairs, self.classes, self.docs, self.size, self.percent), "links")
+
+    def roots(self, tile: int) -> DataFrame:
+        """``node, root``: components of classes, by rounds of best partners."""
+        # First round: one rare and one frequent shingle per class, the best partner.
+        asked = self.shared.groupBy("cls", "n", "frequent").agg(F.min("token").alias("token"))
+        tried = self.pairs(asked.withColumn("comp", F.col("cls")).withColumn("asks", F.lit(True)), 1, tile)
+        links, best, again = self.links(tried), BEST, None
+        while True:
+            roots = materialize(components(links), "roots")
+            labelled = self.shared.join(roots.withColumnRenamed("node", "cls"), "cls", "left").select(
+                "token", "cls", "n", F.coalesce("root", "cls").alias("comp"))
+            if again is None:
+                labelled = labelled.withColumn("asks", F.lit(True))
+            else:
+                labelled = labelled.join(again.withColumn("asks", F.lit(True)), "cls", "left").withColumn(
+                    "asks", F.coalesce("asks", F.lit(False)))
+            # Shingles of several components, one of whose classes asks.
+            open_tokens = labelled.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
+                                                        F.max("asks").alias("asked")).where("lo <> hi and asked")
+            rest = materialize(labelled.join(open_tokens.select("token"), "token", "left_semi"), "open")
+            found = self.pairs(rest, best, tile)
+            new = materialize(found.join(tried.select("a", "b"), ["a", "b"], "left_anti"), "new")
+            more = self.links(new)
+            discard(rest, roots)
+            if again is not None:
+                discard(again)
+            again = materialize(found.where("more").select(F.col("a").alias("cls")).distinct(), "again")
+            joined = not more.isEmpty()
+            links = links.unionByName(more)
+            tried = tried.unionByName(new)
+            if again.isEmpty():
+                return materialize(components(links), "roots")
+            best = BEST if joined else None
+
+
+def class_links(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE,
+                percent: int = PERCENT, tile: int = TILE) -> tuple[DataFrame, DataFrame]:
+    """All links between different sets, and what they link: ``a, b, overlap``
+    over class numbers, and ``doc_id, cls`` per row of ``docs`` with a set.
+    Rows of one class have equal sets. The pairs of a group grow with the square of its different texts."""
+    join = Joined(docs, doc_id, text, size, percent)
+    every = join.shared.withColumn("comp", F.col("cls")).withColumn("asks", F.lit(True))
+    links = join.links(join.pairs(every, None, tile))
+    members = join.sig.join(join.classes.select(F.col("d1").alias("c1"), F.col("d2").alias("c2"), "cls"),
+                            (F.col("d1") == F.col("c1")) & (F.col("d2") == F.col("c2"))).select("doc_id", "cls")
+    return links, members
+
+
 def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE,
                        percent: int = PERCENT, tile: int = TILE) -> DataFrame:
     """``doc_id, n_shingles, component_id, class_id, text_key`` per row of
     ``docs``: the smallest doc_id of its component and of its class of equal
     sets; ``text_key`` is ``xxhash64`` of the text."""
-    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"),
-                       F.xxhash64(text).alias("text_key"))
-    sig = materialize(signatures(docs, size, percent), "signatures")
-    classes = (sig.where("n > 0").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("first_id"))
-                  .withColumn("cls", F.monotonically_increasing_id()))
-    classes = materialize(classes, "classes")
-
-    def reps(of: DataFrame, *cols: str) -> DataFrame:
-        """Signature columns of one document of each class; its id spreads copies over the join."""
-        c = of.select("cls", F.col("d1").alias("c1"), F.col("d2").alias("c2"), "first_id")
-        cond = (F.col("d1") == F.col("c1")) & (F.col("d2") == F.col("c2")) & F.col("doc_id").eqNullSafe(F.col("first_id"))
-        return sig.select("doc_id", "d1", "d2", "n", *cols).join(c, cond).select("cls", "n", *cols)
-
-    shared = materialize(shared_tokens(reps(classes, "rare", "frequent")), "shared")
-    involved = classes.join(shared.select("cls").distinct(), "cls")
-    bits = materialize(reps(involved, "bits").dropDuplicates(["cls"]).select("cls", "bits"), "bitmaps")
-    # First round: one rare and one frequent shingle per class, the best partner.
-    asked = shared.groupBy("cls", "n", "frequent").agg(F.min("token").alias("token"))
-    first = candidate_pairs(tiled(asked.withColumn("comp", F.col("cls")), bits, tile), True, percent)
-    first = materialize(first.distinct(), "pairs")
-    links = materialize(verified(first, classes, docs, size, percent), "links")
-    roots = components(links)
-    # Second round: every shingle, but only classes that are not of one component yet.
-    labelled = shared.join(roots.withColumnRenamed("node", "cls"), "cls", "left").select(
-        "token", "cls", "n", F.coalesce("root", "cls").alias("comp"))
-    open_tokens = labelled.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
-    rest = materialize(labelled.join(open_tokens.select("token"), "token", "left_semi"), "open")
-    second = candidate_pairs(tiled(rest, bits, tile), False, percent)
-    second = materialize(second.distinct().join(first, ["a", "b"], "left_anti"), "pairs")
-    more = materialize(verified(second, classes, docs, size, percent), "links")
-    roots = materialize(components(links.unionByName(more)), "roots")
+    join = Joined(docs, doc_id, text, size, percent)
+    roots = join.roots(tile)
     # The smallest document of every component, then of every class.
-    of_class = classes.join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
+    of_class = join.classes.join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
         "root", F.coalesce("root", "cls"))
     lowest = of_class.groupBy("root").agg(F.min("first_id").alias("component_id"))
     known = materialize(of_class.join(lowest, "root").select(
         F.col("d1").alias("c1"), F.col("d2").alias("c2"), "component_id", F.col("first_id").alias("class_id")), "known")
-    out = sig.select("doc_id", "text_key", "n", "d1", "d2").join(
-        known, (F.col("d1") == F.col("c1")) & (F.col("d2") == F.col("c2")), "left")
+    rows = materialize(join.sig.select("doc_id", "text_key", "n", "d1", "d2"), "rows")
+    discard(join.sig, join.shared, join.bits, join.classes, roots)
+    out = rows.join(known, (F.col("d1") == F.col("c1")) & (F.col("d2") == F.col("c2")), "left")
     alone = F.col("n") == 0
     return out.select("doc_id", F.col("n").alias("n_shingles"),
                       F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
@@ -350,18 +402,14 @@ def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **k
     """``docs`` with one document of each component: the one with the smallest
     doc_id. Of rows repeated as a whole one stays; rows without an id stay
     unless they are linked to one with an id; documents with an empty set stay."""
-    found = jaccard_components(docs, doc_id, text, **kw)
-    gone = materialize(found.where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
-                            .select(F.col("doc_id").alias("g_id"), F.col("text_key").alias("g_key")).distinct(), "gone")
-    small = gone.count() <= MAX_BROADCAST
-    same = F.col(doc_id).cast("long").eqNullSafe(F.col("g_id")) & (F.xxhash64(text) == F.col("g_key"))
-    kept = docs.join(F.broadcast(gone) if small else gone, same, "left_anti")
+    found = materialize(jaccard_components(docs, doc_id, text, **kw), "found")
+    g_id, g_key = fresh(docs, "g_id"), fresh(docs, "g_key")
+    key = [F.col("doc_id").alias(g_id), F.col("text_key").alias(g_key)]
+    gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(*key).distinct()
+    same = F.col(doc_id).cast("long").eqNullSafe(F.col(g_id)) & (F.xxhash64(text) == F.col(g_key))
+    kept = docs.join(gone, same, "left_anti")
     # Repeated rows: only rows whose id and text occur again go through the distinct.
-    again = (found.groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-                  .select(F.col("doc_id").alias("g_id"), F.col("text_key").alias("g_key")))
-    again = materialize(again, "again")
-    few = again.count()
-    if not few:
+    again = materialize(found.groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(*key), "again")
+    if again.isEmpty():
         return kept
-    twice = F.broadcast(again) if few <= MAX_BROADCAST else again
-    return kept.join(twice, same, "left_anti").unionByName(kept.join(twice, same, "left_semi").distinct())
+    return kept.join(again, same, "left_anti").unionByName(kept.join(again, same, "left_semi").distinct())

@@ -100,3 +100,40 @@ def test_prefix_and_overlap_bounds(n):
         need = J.needed(n, m)
         assert 100 * need >= 75 * (n + m - need) and 100 * (need - 1) < 75 * (n + m - need + 1)
         assert need >= low or m < low
+
+
+def test_a_large_group_needs_pairs_in_proportion_and_loses_no_link(spark, monkeypatch):
+    """Hundreds of different near copies: a few best partners each, not all pairs; ``class_links`` gives all."""
+    base = prose(8, 120).split()
+    texts = []
+    for i in range(300):
+        w = list(base)
+        w[(i * 7) % 120], w[(i * 31 + 5) % 120] = f"one{i}", f"two{i % 9}"
+        texts.append(" ".join(w))
+    texts += [prose(300 + i, 70) for i in range(40)] + texts[:5]
+    sizes, roots = brute(texts)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    seen = []
+    pairs = J.Joined.pairs
+
+    def counted(self, rows, best, tile):
+        out = pairs(self, rows, best, tile)
+        seen.append((best, out.count()))
+        return out
+
+    monkeypatch.setattr(J.Joined, "pairs", counted)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in J.jaccard_components(df).collect()}
+    assert got == {i: (n, r) for i, (n, r) in enumerate(zip(sizes, roots))}
+    assert sum(n for _, n in seen) < 40 * 300 and len(seen) > 1
+    links, members = J.class_links(df)
+    cls = {r.doc_id: r.cls for r in members.collect()}
+    sets = [shingles(t) for t in texts]
+    want = {tuple(sorted((cls[a], cls[b]))) for a in range(len(texts)) for b in range(a)
+            if cls[a] != cls[b] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    assert {tuple(sorted((r.a, r.b))) for r in links.collect()} == want and len(want) > 1000
+
+
+def test_clashing_column_names(spark):
+    df = spark.createDataFrame([(1, prose(1, 40), "x", "y"), (2, prose(1, 40), "x", "y"), (2, prose(1, 40), "x", "y")],
+                               "doc_id long, text string, g_id string, g_key string")
+    assert [tuple(r)[0] for r in J.deduplicate(df).collect()] == [1]
