@@ -176,11 +176,17 @@ def detections(text: Column, low: Column) -> Column:
         match_spans(text, r["pattern"]),
         lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), r["prio"].alias("prio"),
                            r["label"].alias("label"), r["strength"].alias("strength")))))
-    return F.when(gated, suppressed(found)).otherwise(none)
+    return F.when(gated, bound(found, suppressed)).otherwise(none)
+
+
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), 0)
 
 
 def suppressed(found: Column) -> Column:
-    """Containment, then priority between neighbours that still overlap."""
+    """Containment first: of detections inside another the wider stays. Then
+    priority: in its order, a detection stays if it overlaps none that stays already."""
     order = F.transform(found, lambda d: F.struct(d["start"].alias("start"), (-d["end"]).alias("back"), d["prio"].alias("prio"),
                                                   d["label"].alias("label"), d["strength"].alias("strength")))
     first = F.struct(F.lit(-1).alias("reach"), F.array().cast(_DETECTION).alias("out"))
@@ -192,14 +198,23 @@ def suppressed(found: Column) -> Column:
         return F.when(acc["reach"] >= end, acc).otherwise(
             F.struct(end.alias("reach"), F.concat(acc["out"], F.array(row)).alias("out")))
 
-    kept = F.aggregate(F.array_sort(order), first, widest)["out"]
-    # Starts and ends now both grow: only neighbours can overlap.
-    return F.transform(F.filter(F.zip_with(kept, F.sequence(F.lit(0), F.size(kept)), lambda d, i: F.struct(
-        d.alias("d"), F.get(kept, i - 1).alias("before"), F.get(kept, i + 1).alias("after"))),
-        lambda x: x["d"].isNotNull()
-        & ~F.coalesce((x["before"]["end"] > x["d"]["start"]) & (x["before"]["prio"] < x["d"]["prio"]), F.lit(False))
-        & ~F.coalesce((x["after"]["start"] < x["d"]["end"]) & (x["after"]["prio"] < x["d"]["prio"]), F.lit(False))),
-        lambda x: x["d"])
+    def free(kept: Column, d: Column) -> Column:
+        return ~F.exists(kept, lambda k: (k["start"] < d["end"]) & (d["start"] < k["end"]))
+
+    def by_priority(kept: Column) -> Column:
+        # Starts and ends both grow now: most detections touch no neighbour and stay as they are.
+        crowded = F.filter(kept, lambda d, i: (
+            F.coalesce(F.get(kept, i - 1)["end"] > d["start"], F.lit(False))
+            | F.coalesce(F.get(kept, i + 1)["start"] < d["end"], F.lit(False))))
+        alone = F.filter(kept, lambda d, i: ~(
+            F.coalesce(F.get(kept, i - 1)["end"] > d["start"], F.lit(False))
+            | F.coalesce(F.get(kept, i + 1)["start"] < d["end"], F.lit(False))))
+        ranked = F.array_sort(F.transform(crowded, lambda d: F.struct(d["prio"].alias("prio"), d["start"].alias("start"), d.alias("d"))))
+        chosen = F.aggregate(ranked, F.array().cast(_DETECTION), lambda acc, r: F.when(
+            free(acc, r["d"]), F.concat(acc, F.array(r["d"]))).otherwise(acc))
+        return F.array_sort(F.concat(alone, chosen))
+
+    return bound(F.aggregate(F.array_sort(order), first, widest)["out"], by_priority)
 
 
 def count_words(text: Column) -> Column:
@@ -216,7 +231,8 @@ def phrase_starts(text: Column, low: Column, phrase: tuple[str, ...]) -> Column:
     starts = F.aggregate(cuts, acc, lambda a, n: F.struct(
         (a["at"] + n + len(phrase)).alias("at"), F.concat(a["out"], F.array(a["at"] + n)).alias("out")))["out"]
     # The last cut is followed by no phrase.
-    return F.when(F.contains(low, hint) & F.rlike(text, pattern), F.slice(starts, F.lit(1), F.size(starts) - 1)).otherwise(none)
+    whole = bound(starts, lambda s: F.slice(s, F.lit(1), F.size(s) - 1))
+    return F.when(F.contains(low, hint) & F.rlike(text, pattern), whole).otherwise(none)
 
 
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
