@@ -36,7 +36,7 @@ QUERY_BLOCK = 2048
 CANDIDATE_BLOCK = 1024
 SHARE_VALUES = 4_000_000    # components of the candidates that one task holds
 TASKS = 24                  # shares x query groups, at least
-PAIRS = 1 << 16             # pairs of a strip
+PAIRS = 1 << 17             # pairs of a strip
 SEED = 32                   # candidates scored before the first bound, at least
 
 
@@ -92,21 +92,30 @@ class Searcher:
             self._score(rows, cols, ids, x, small)
         strip = max(1, PAIRS // max(len(self.q), 1))
         for a in range(start, len(x), strip):
+            # While many pairs of the strip stay, bounds are matrix products; then pair by pair.
+            b = min(a + strip, len(x))
+            both = self.norm[:, None] + norm[None, a:b]
+            least = 2 * (self.floor[:, None] - 1 - 1e-9 * both) - both      # -d2 must reach this
             rows = cols = None
+            open_ = np.ones((len(self.q), b - a), dtype=bool)
             for mine, other in zip(self.stats, theirs):
                 if rows is None:
-                    part = other[a:a + strip]
-                    d2 = (mine ** 2).sum(axis=1)[:, None] + (part ** 2).sum(axis=1)[None, :] - 2 * mine @ part.T
-                    upper = (self.norm[:, None] + norm[None, a:a + strip] - d2) / 2
-                    slack = 1e-9 * (self.norm[:, None] + norm[None, a:a + strip]) + 1
-                    rows, cols = np.nonzero(upper + slack >= self.floor[:, None])
-                    cols = cols + a
+                    part = other[a:b]
+                    open_ &= 2 * mine @ part.T - (mine ** 2).sum(axis=1)[:, None] - (part ** 2).sum(axis=1)[None, :] >= least
+                    if open_.sum() <= open_.size // 16:
+                        rows, cols = np.nonzero(open_)
                 else:
-                    d2 = ((mine[rows] - other[cols]) ** 2).sum(axis=1)
-                    upper = (self.norm[rows] + norm[cols] - d2) / 2
-                    stay = upper + 1e-9 * (self.norm[rows] + norm[cols]) + 1 >= self.floor[rows]
+                    stay = -((mine[rows] - other[cols + a]) ** 2).sum(axis=1) >= least[rows, cols]
                     rows, cols = rows[stay], cols[stay]
-            self._score(rows, cols, ids, x, small)
+            if rows is None:
+                rows, cols = np.nonzero(open_)
+            if small and len(rows) > open_.size // 16:      # exact in doubles: all products are below 2^53
+                score = (self.q.astype(float) @ x[a:b].T.astype(float)).astype(np.int64)[rows, cols]
+                self.measured += len(rows)
+                stay = (self.ids[rows] != ids[cols + a]) & (score >= self.floor[rows])
+                self._keep(rows[stay], ids[cols[stay] + a], score[stay])
+            else:
+                self._score(rows, cols + a, ids, x, small)
 
     def _score(self, rows, cols, ids, x, small: bool) -> None:
         """Exact scores of pairs, some at a time, kept where they are among the k best."""
