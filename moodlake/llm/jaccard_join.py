@@ -18,12 +18,11 @@ Documents with equal sets are one class, and classes are joined exactly:
    again from the texts of these classes only.
 
 The first round lets each class ask in one tile and keeps its best pair, which
-joins most groups of near copies. The following rounds take every shingle, but
-only pairs whose components still differ, and of each class at most its ``BEST``
-best partners in a tile; classes that had more ask again after the components have been
-joined, until none had more. A round that joins nothing is followed by one
-without the bound. So a group of k near copies costs about k pairs, not k
-squared, and no link between components is lost. Components are those of all links.
+joins most groups of near copies. The other two rounds take every shingle, but
+only pairs whose components still differ: the second, of each class its ``BEST``
+best partners in a tile; the third, for classes that had more than those and
+whose shingles still meet several components, all partners. So a group of k
+near copies costs about k pairs, not k squared, and no link between components is lost. Components are those of all links.
 ``class_links`` gives all links between different sets instead, which is quadratic in a group by nature.
 
 Defined results: null and empty texts (and texts of white space) have an empty
@@ -52,7 +51,7 @@ PERCENT = 75
 # Frequent shingles: found in at least MIN_SEEN of one in SAMPLE distinct texts, the most frequent MAX_FREQUENT of them.
 SAMPLE, MIN_SEEN, MAX_FREQUENT = 64, 3, 100_000
 TILE = 2000
-BEST = 4
+BEST = 8
 
 
 def shingle_set(text: str | None, size: int = SIZE) -> np.ndarray:
@@ -80,9 +79,9 @@ def prefix_length(n: int, percent: int = PERCENT) -> int:
 
 
 def bitmap(s: np.ndarray) -> np.ndarray:
-    """Bits of the hashes' low ends, at least two per element, as bytes."""
+    """Bits of the hashes' low ends, at least four per element, as bytes."""
     width = 64
-    while width < 2 * len(s):
+    while width < 4 * len(s):
         width *= 2
     bits = np.zeros(width, np.uint8)
     bits[(s & np.uint64(width - 1)).astype(np.int64)] = 1
@@ -334,8 +333,8 @@ class Joined:
         # First round: one rare and one frequent shingle per class, the best partner.
         asked = self.shared.groupBy("cls", "n", "frequent").agg(F.min("token").alias("token"))
         tried = self.pairs(asked.withColumn("comp", F.col("cls")).withColumn("asks", F.lit(True)), 1, tile)
-        links, best, again = self.links(tried), BEST, None
-        while True:
+        links, again = self.links(tried), None
+        for best in (BEST, None):
             roots = materialize(components(links), "roots")
             labelled = self.shared.join(roots.withColumnRenamed("node", "cls"), "cls", "left").select(
                 "token", "cls", "n", F.coalesce("root", "cls").alias("comp"))
@@ -350,17 +349,12 @@ class Joined:
             rest = materialize(labelled.join(open_tokens.select("token"), "token", "left_semi"), "open")
             found = self.pairs(rest, best, tile)
             new = materialize(found.join(tried.select("a", "b"), ["a", "b"], "left_anti"), "new")
-            more = self.links(new)
+            links, tried = links.unionByName(self.links(new)), tried.unionByName(new)
             discard(rest, roots)
-            if again is not None:
-                discard(again)
             again = materialize(found.where("more").select(F.col("a").alias("cls")).distinct(), "again")
-            joined = not more.isEmpty()
-            links = links.unionByName(more)
-            tried = tried.unionByName(new)
             if again.isEmpty():
-                return materialize(components(links), "roots")
-            best = BEST if joined else None
+                break
+        return materialize(components(links), "roots")
 
 
 def class_links(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE,
