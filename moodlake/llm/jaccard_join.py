@@ -13,7 +13,9 @@ Documents with equal sets are one class, and classes are joined exactly:
    a factor of 4/3, so partners are in the same band or the one below). Large
    tiles are cut into blocks of ``TILE`` classes that meet pairwise. In a tile
    each pair's bitmaps are compared: every differing bit is an element that
-   only one of the sets has, which bounds the overlap from above.
+   only one of the sets has, which bounds the overlap from above. Where
+   classes meet in many tiles, bitmaps are sent in a narrow form, laid over
+   themselves, and each distinct pair that passes is compared by the whole ones.
 3. Pairs that pass are verified by intersecting the sorted arrays, computed
    again from the texts of these classes only.
 
@@ -52,6 +54,8 @@ PERCENT = 75
 SAMPLE, MIN_SEEN, MAX_FREQUENT = 64, 3, 100_000
 TILE = 2000
 BEST = 8
+# The second round's tiles compare bitmaps folded to one part in COARSE, distinct pairs that pass the whole ones.
+COARSE = 4
 
 
 def shingle_set(text: str | None, size: int = SIZE) -> np.ndarray:
@@ -88,6 +92,10 @@ def bitmap(s: np.ndarray) -> np.ndarray:
     return np.packbits(bits)
 
 
+def coarse(bits: np.ndarray) -> np.ndarray:
+    return folded(bits, max(2, len(bits) // COARSE))
+
+
 def folded(m: np.ndarray, width: int) -> np.ndarray:
     """Bitmaps (rows) narrowed to ``width`` bytes by laying their parts over each other."""
     while m.shape[-1] > width:
@@ -117,7 +125,7 @@ def frequent_shingles(docs: DataFrame, size: int = SIZE) -> np.ndarray:
 
 def signatures(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """Per document ``doc_id, n, d1, d2`` (set size and digest), the prefix as
-    ``rare`` and ``frequent`` hashes, and the ``bits``."""
+    ``rare`` and ``frequent`` hashes, the bitmap ``bits`` and its narrow form ``coarse``."""
     sent = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs, size))   # at most MAX_FREQUENT numbers
 
     def sign(batches: Iterator) -> Iterator:
@@ -127,7 +135,7 @@ def signatures(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> Dat
             for t in pdf["text"]:
                 s = shingle_set(t, size)
                 if not len(s):
-                    rows.append((0, 0, 0, [], [], b""))
+                    rows.append((0, 0, 0, [], [], b"", b""))
                     continue
                 if len(last):
                     at = np.minimum(np.searchsorted(last, s), len(last) - 1)
@@ -135,10 +143,10 @@ def signatures(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> Dat
                 else:
                     often = np.zeros(len(s), bool)
                 take = prefix_length(len(s), percent)
-                rare = s[~often][:take]
+                rare, bits = s[~often][:take], bitmap(s)
                 rows.append((len(s), *set_digest(s), rare.view(np.int64),
-                             s[often][:take - len(rare)].view(np.int64), bitmap(s).tobytes()))
-            out = pd.DataFrame(rows, columns=["n", "d1", "d2", "rare", "frequent", "bits"])
+                             s[often][:take - len(rare)].view(np.int64), bits.tobytes(), coarse(bits).tobytes()))
+            out = pd.DataFrame(rows, columns=["n", "d1", "d2", "rare", "frequent", "bits", "coarse"])
             out.insert(0, "text_key", pdf["text_key"].to_numpy())
             out.insert(0, "doc_id", pdf["doc_id"])
             yield out
@@ -146,7 +154,7 @@ def signatures(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> Dat
     # Ids travel as text: pandas would turn a column of numbers with nulls into floats.
     keyed = docs.withColumn("doc_id", F.col("doc_id").cast("string"))
     out = keyed.mapInPandas(sign, "doc_id string, text_key long, n long, d1 long, d2 long, rare array<long>, "
-                                  "frequent array<long>, bits binary")
+                                  "frequent array<long>, bits binary, coarse binary")
     return out.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
@@ -263,6 +271,24 @@ def candidate_pairs(tiles: DataFrame, best: int | None, percent: int = PERCENT)
     return dealt.mapInPandas(compare, "a long, b long, more boolean").groupBy("a", "b").agg(F.max("more").alias("more"))
 
 
+def bounded(pairs: DataFrame, bits: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """``a, b`` of the distinct pairs whose whole bitmaps (``cls, n, bits``) allow the overlap needed."""
+    @F.pandas_udf("boolean")
+    def allowed(n: pd.Series, bits: pd.Series, m: pd.Series, other: pd.Series) -> pd.Series:
+        out = []
+        for a, x, b, y in zip(n, bits, m, other):
+            x, y = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+            width = min(len(x), len(y))
+            differ = int(np.bitwise_count(folded(x, width) ^ folded(y, width)).sum(dtype=np.int64))
+            out.append((a + b - differ) // 2 >= needed(a, b, percent))
+        return pd.Series(out, dtype=bool)
+
+    one = bits.select(F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a"))
+    two = bits.select(F.col("cls").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b"))
+    met = pairs.select("a", "b").join(one, "a").join(two, "b")
+    return met.where(allowed("n_a", "bits_a", "n_b", "bits_b")).select("a", "b")
+
+
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """``a, b, overlap`` of the distinct pairs at or above the threshold, by
     intersecting sorted arrays. Each array is computed once from its text and
@@ -314,7 +340,7 @@ class Joined:
         self.classes = materialize(classes, "classes")
         self.shared = materialize(shared_tokens(self._reps(self.classes, "rare", "frequent")), "shared")
         involved = self.classes.join(self.shared.select("cls").distinct(), "cls")
-        self.bits = materialize(self._reps(involved, "bits").dropDuplicates(["cls"]).select("cls", "bits"), "bitmaps")
+        self.bits = materialize(self._reps(involved, "bits", "coarse").dropDuplicates(["cls"]), "bitmaps")
 
     def _reps(self, of: DataFrame, *cols: str) -> DataFrame:
         """Signature columns of one document of each class; its id spreads copies over the join."""
@@ -322,11 +348,13 @@ class Joined:
         cond = (F.col("d1") == F.col("c1")) & (F.col("d2") == F.col("c2")) & F.col("doc_id").eqNullSafe(F.col("first_id"))
         return self.sig.select("doc_id", "d1", "d2", "n", *cols).join(c, cond).select("cls", "n", *cols)
 
-    def pairs(self, rows: DataFrame, best: int | None, tile: int) -> DataFrame:
-        return materialize(candidate_pairs(tiled(rows, self.bits, tile), best, self.percent), "pairs")
+    def pairs(self, rows: DataFrame, best: int | None, tile: int, bits: str = "bits") -> DataFrame:
+        sent = self.bits.select("cls", F.col(bits).alias("bits"))
+        return materialize(candidate_pairs(tiled(rows, sent, tile), best, self.percent), "pairs")
 
     def links(self, pairs: DataFrame) -> DataFrame:
-        return materialize(verified(pairs, self.classes, self.docs, self.size, self.percent), "links")
+        near = materialize(bounded(pairs, self.bits, self.percent), "near")
+        return materialize(verified(near, self.classes, self.docs, self.size, self.percent), "links")
 
     def roots(self, tile: int) -> DataFrame:
         """``node, root``: components of classes, by rounds of best partners."""
@@ -334,8 +362,8 @@ class Joined:
         asked = self.shared.groupBy("cls", "n", "frequent").agg(F.min("token").alias("token"))
         tried = self.pairs(asked.withColumn("comp", F.col("cls")).withColumn("asks", F.lit(True)), 1, tile)
         links, again = self.links(tried), None
+        roots = materialize(components(links), "roots")
         for best in (BEST, None):
-            roots = materialize(components(links), "roots")
             labelled = self.shared.join(roots.withColumnRenamed("node", "cls"), "cls", "left").select(
                 "token", "cls", "n", F.coalesce("root", "cls").alias("comp"))
             if again is None:
@@ -347,14 +375,19 @@ class Joined:
             open_tokens = labelled.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
                                                         F.max("asks").alias("asked")).where("lo <> hi and asked")
             rest = materialize(labelled.join(open_tokens.select("token"), "token", "left_semi"), "open")
-            found = self.pairs(rest, best, tile)
+            # The second round meets in every open shingle, so it sends the narrow bitmaps.
+            found = self.pairs(rest, best, tile, "bits" if best is None else "coarse")
             new = materialize(found.join(tried.select("a", "b"), ["a", "b"], "left_anti"), "new")
-            links, tried = links.unionByName(self.links(new)), tried.unionByName(new)
-            discard(rest, roots)
+            linked, tried = self.links(new), tried.unionByName(new)
+            discard(rest)
+            if not linked.isEmpty():
+                links = links.unionByName(linked)
+                discard(roots)
+                roots = materialize(components(links), "roots")
             again = materialize(found.where("more").select(F.col("a").alias("cls")).distinct(), "again")
             if again.isEmpty():
                 break
-        return materialize(components(links), "roots")
+        return roots
 
 
 def class_links(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE,
