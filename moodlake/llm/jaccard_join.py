@@ -348,8 +348,9 @@ class Joined:
         cond = (F.col("d1") == F.col("c1")) & (F.col("d2") == F.col("c2")) & F.col("doc_id").eqNullSafe(F.col("first_id"))
         return self.sig.select("doc_id", "d1", "d2", "n", *cols).join(c, cond).select("cls", "n", *cols)
 
-    def pairs(self, rows: DataFrame, best: int | None, tile: int, bits: str = "bits") -> DataFrame:
-        sent = self.bits.select("cls", F.col(bits).alias("bits"))
+    def pairs(self, rows: DataFrame, best: int | None, tile: int) -> DataFrame:
+        """Candidates of one round; the one of ``BEST`` partners meets in every open shingle and sends narrow bitmaps."""
+        sent = self.bits.select("cls", F.col("coarse" if best == BEST else "bits").alias("bits"))
         return materialize(candidate_pairs(tiled(rows, sent, tile), best, self.percent), "pairs")
 
     def links(self, pairs: DataFrame) -> DataFrame:
@@ -375,8 +376,7 @@ class Joined:
             open_tokens = labelled.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
                                                         F.max("asks").alias("asked")).where("lo <> hi and asked")
             rest = materialize(labelled.join(open_tokens.select("token"), "token", "left_semi"), "open")
-            # The second round meets in every open shingle, so it sends the narrow bitmaps.
-            found = self.pairs(rest, best, tile, "bits" if best is None else "coarse")
+            found = self.pairs(rest, best, tile)
             new = materialize(found.join(tried.select("a", "b"), ["a", "b"], "left_anti"), "new")
             linked, tried = self.links(new), tried.unionByName(new)
             discard(rest)
