@@ -19,6 +19,7 @@ in training and prediction.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -29,11 +30,10 @@ from moodlake.llm.common import materialize, per_process
 
 BUCKETS = 1 << 15
 SMOOTHING = 0.5
-ITERATIONS = 12
+# Expectation-maximisation ends when no share moves by more.
+TOLERANCE = 1e-3
 PENALTY = 3.0
 UNDEFINED = "und"
-# Tables of 4 * BUCKETS bytes per language are sent to every executor: at most 64 MB.
-MAX_LANGUAGES = 512
 
 
 def _letters():
@@ -68,9 +68,7 @@ def trigrams(text: str | None):
 
 def trigram_counts(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """``lang, bucket, n`` over all rows with a language: counted per task first, then summed."""
-    def count(batches: Iterator) -> Iterator:
-
-
+    def tally(batches: Iterator) -> Iterator:
         total = {}
         for pdf in batches:
             for name, t in zip(pdf["lang"], pdf["text"]):
@@ -86,35 +84,37 @@ def trigram_counts(docs: DataFrame, text: str = "text", lang: str = "lang") -> D
             yield pd.DataFrame({"lang": name, "bucket": at, "n": n[at]})
 
     src = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")).where("lang is not null")
-    return (src.mapInPandas(count, "lang string, bucket long, n long")
+    return (src.mapInPandas(tally, "lang string, bucket long, n long")
                .groupBy("lang", "bucket").agg(F.sum("n").alias("n")))
 
 
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> tuple[list[str], np.ndarray]:
-    """Languages and their log-free probability tables (languages x BUCKETS)."""
+    """Languages and their log-free probability tables (languages x BUCKETS):
+    4 * BUCKETS bytes per language, whatever the number of documents."""
 
     counts = materialize(trigram_counts(docs, text, lang), "trigrams")
-    langs = [r[0] for r in counts.select("lang").distinct().orderBy("lang").limit(MAX_LANGUAGES + 1).collect()]
-    if len(langs) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages to learn")
-    table = np.full((len(langs), BUCKETS), SMOOTHING)
-    row = {name: i for i, name in enumerate(langs)}
-    for name in langs:   # one language's counts at a time: at most BUCKETS rows
-        pdf = counts.where(F.col("lang") == name).select("bucket", "n").toPandas()
-        table[row[name], pdf["bucket"].to_numpy()] += pdf["n"].to_numpy()
-    return langs, (table / table.sum(axis=1, keepdims=True)).astype(np.float32) if langs else table.astype(np.float32)
+    langs, rows = [], []
+    # One row per language, of at most BUCKETS numbers; the driver reads one partition at a time.
+    of_lang = counts.groupBy("lang").agg(F.collect_list("bucket").alias("at"), F.collect_list("n").alias("n"))
+    for r in of_lang.orderBy("lang").toLocalIterator():
+        row = np.full(BUCKETS, SMOOTHING)
+        row[np.array(r["at"], np.int64)] += np.array(r["n"], np.int64)
+        langs.append(r["lang"])
+        rows.append((row / row.sum()).astype(np.float32))
+    return langs, np.array(rows, np.float32).reshape(len(langs), BUCKETS)
 
 
-def mixture(p, n, iterations: int = ITERATIONS):
-    """Expectation-maximisation of the shares: ``p`` languages x features, ``n`` counts. Shares and log-likelihood."""
+def mixture(p, n, iterations: int | None = None, tolerance: float = TOLERANCE):
+    """Expectation-maximisation of the shares, until they stand still or for
+    ``iterations``: ``p`` languages x features, ``n`` counts. Shares and log-likelihood."""
 
     share = np.full(len(p), 1 / len(p))
     total = n.sum()
-    for _ in range(iterations):
+    for _ in count() if iterations is None else range(iterations):
         joint = share[:, None] * p
         mix = joint.sum(axis=0)
         new = joint @ (n / mix) / total
-        if np.abs(new - share).max() < 1e-3:
+        if np.abs(new - share).max() < tolerance:
             share = new
             break
         share = new
@@ -143,7 +143,7 @@ def predict_one(g, table):
 def predict(docs: DataFrame, model: tuple, text: str = "text", keep: dict[str, Column] | None = None) -> DataFrame:
     """``keep`` columns (name to expression), ``lang_pred`` and ``score`` of every row."""
     langs, table = model
-    sent = docs.sparkSession.sparkContext.broadcast(table)   # bounded by MAX_LANGUAGES
+    sent = docs.sparkSession.sparkContext.broadcast(table)   # 128 KB per language
 
     @F.pandas_udf("struct<lang_pred:string,score:double>")
     def guess(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
