@@ -5,9 +5,10 @@ weights are raked in turn to the target share of every source, language and
 topic until all three marginals agree. A document's weight is its cell's fitted
 share over its share of the tokens; its probability is ``RATE`` times the
 weight. Weights stay at or below 1/RATE during the fitting, so no probability
-passes 1 and expected token shares of the sample are the fitted ones exactly
-(where the bound lets no fit meet all targets, the fit comes as near as the
-last round did). A document is drawn when a hash of its id and text, as a number
+passes 1 and expected token shares of the sample are the fitted ones exactly.
+Fitting ends when the marginals agree within ``TOLERANCE``, or, where the bound
+lets no fit meet all targets, when a round no longer brings them nearer; the
+error reached is the column ``error`` of the fitted cells. A document is drawn when a hash of its id and text, as a number
 from 0 to 1, is below its probability.
 
 Targets are tempered shares, (tokens)^``TEMPER`` normalised, unless given as
@@ -38,11 +39,9 @@ TEMPER = 0.8
 RATE = 0.5
 TOPICS = 8
 TOPIC_LETTERS = 6
-# Fitting rounds of three cycles each, at most, and the marginal error that ends them.
-ROUNDS = 8
+# The marginal error that ends the fitting, and the part of it that a round (three cycles) must take off to go on.
 TOLERANCE = 1e-4
-# Cells (about 100 bytes each) sent to every executor up to here, joined by shuffle beyond.
-MAX_BROADCAST = 100_000
+PROGRESS = 0.01
 DIMS = ["source", "lang", "topic"]
 _LONG = re.compile(rf"[^\W\d_]{{{TOPIC_LETTERS},}}")
 
@@ -76,9 +75,10 @@ def tempered(cells: DataFrame, dim: str, temper: float = TEMPER) -> DataFrame:
     return by.join(F.broadcast(total)).select("value", (F.col("p") / F.col("all")).alias("share"))
 
 
-def fitted(cells: DataFrame, targets: dict[str, DataFrame], rate: float = RATE, rounds: int = ROUNDS,
+def fitted(cells: DataFrame, targets: dict[str, DataFrame], rate: float = RATE,
            tolerance: float = TOLERANCE) -> DataFrame:
-    """Raked cells: ``source, lang, topic, weight``; only cells with tokens."""
+    """Raked cells: ``source, lang, topic, weight``, and the largest marginal
+    ``error`` left; only cells with tokens."""
     sums = cells.agg(F.sum("tokens").alias("all"))
     x = cells.where("tokens > 0").join(F.broadcast(sums)).select(
         *DIMS, (F.col("tokens") / F.col("all")).alias("base"), (F.col("tokens") / F.col("all")).alias("share"))
@@ -86,7 +86,8 @@ def fitted(cells: DataFrame, targets: dict[str, DataFrame], rate: float = RATE,
         t = targets[d].select(F.col("value").alias(f"v_{d}"), F.col("share").alias(f"t_{d}"))
         x = x.join(t, F.col(d).eqNullSafe(F.col(f"v_{d}")), "left").drop(f"v_{d}").fillna(0.0, [f"t_{d}"])
     x = materialize(x, "cells")
-    for _ in range(rounds):
+    before = float("inf")
+    while True:
         for d in DIMS * 3:
             have = F.sum("share").over(Window.partitionBy(d))
             raked = F.when(have > 0, F.col("share") * F.col(f"t_{d}") / have).otherwise(0.0)
@@ -94,9 +95,10 @@ def fitted(cells: DataFrame, targets: dict[str, DataFrame], rate: float = RATE,
         x = materialize(x, "raked")
         off = [x.groupBy(d).agg(F.abs(F.sum("share") - F.first(f"t_{d}")).alias("e")).select("e") for d in DIMS]
         worst = off[0].unionByName(off[1]).unionByName(off[2]).agg(F.max("e")).first()[0]
-        if worst is None or worst < tolerance:
+        if worst is None or worst < tolerance or worst > before * (1 - PROGRESS):
             break
-    return x.select(*DIMS, (F.col("share") / F.col("base")).alias("weight"))
+        before = worst
+    return x.select(*DIMS, (F.col("share") / F.col("base")).alias("weight"), F.lit(worst).cast("double").alias("error"))
 
 
 def unit_hash(*cols: Column) -> Column:
@@ -114,11 +116,10 @@ def mixed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: s
     targets = {**{d: tempered(cells, d) for d in DIMS}, **(targets or {})}
     probs = materialize(fitted(cells, targets, rate), "weights")
     cell = probs.select(F.struct(*[F.col(c) for c in probs.columns]).alias(f"{out}p"))
-    small = probs.count() <= MAX_BROADCAST
     same = F.lit(True)
     for d in DIMS:
         same = same & F.col(f"{out}.{d}").eqNullSafe(F.col(f"{out}p.{d}"))
-    joined = rows.join(F.broadcast(cell) if small else cell, same, "left")
+    joined = rows.join(cell, same, "left")   # Spark broadcasts the cells or not, by their bytes
     weight = F.coalesce(F.col(f"{out}p.weight"), F.lit(1.0))
     chance = F.least(weight * rate, F.lit(1.0))
     u = unit_hash(F.lit(seed), F.col(doc_id), F.xxhash64(text))
