@@ -14,11 +14,14 @@ removed. Words need ``MIN_CONTEXTS`` different texts with the same entity, so
 that copies prove nothing. Pairs are pruned by bounds that lose none: docs(e
 with t) <= docs(e), so a disclosure of ``GENERALISE`` = g needs docs(t) <=
 N^(1-g) * docs(e)^g, and docs(t) and docs(e) are at least ``MIN_CONTEXTS``.
+Entities that stand in the same texts have the same counts with every word, and
+words of the same texts with every entity: each such class is paired once, so
+that a list of many addresses and names, in several versions, is one pair.
 
 Defined results: a null text counts as empty, has no spans and stays null when
 redacted; repeated rows count each as documents and get the same spans; an
 empty table gives no rows; extra columns pass through the redaction untouched.
-Whole texts are searched.
+Whole texts are searched, in time linear in their length and spans.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from moodlake.llm.common import fresh, materialize
-from moodlake.llm.spans import match_spans
+from moodlake.llm.spans import let, match_spans, replaced
 
 KINDS = ["email", "ip", "card", "phone"]
 TERM = "term"
@@ -55,6 +58,7 @@ GATES = {
 _OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 _SPAN = "array<struct<kind:string,start:int,end:int,hit:string>>"
 WORD = r"\p{L}[\p{L}\p{N}']*+"
+FILLER = "\ua66e"   # a letter, so that a word beside a span ends where it did
 
 
 def _digits(hit: Column) -> Column:
@@ -97,8 +101,17 @@ def _words(text: Column) -> Column:
 
 
 def _outside(text: Column, spans: Column) -> Column:
-    """The text with a blank for each span's hit."""
-    return F.aggregate(spans, text, lambda a, s: F.replace(a, s["hit"], F.lit(" ")))
+    """The text with a blank for each span."""
+    return replaced(text, F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))),
+                    lambda s: F.lit(" "))
+
+
+def _masked(text: Column, spans: Column) -> Column:
+    """The text with ``FILLER`` for each letter, digit and apostrophe of the spans: no word
+    begins in them, and every place stays."""
+    return replaced(text, F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"),
+                                                                s["hit"].alias("hit"))),
+                    lambda s: F.regexp_replace(s["hit"], r"[\p{L}\p{N}']", FILLER))
 
 
 def _keys(text: Column) -> list[Column]:
@@ -106,6 +119,16 @@ def _keys(text: Column) -> list[Column]:
     return [F.xxhash64(text), F.xxhash64(F.lit(1), text)]
 
 
+def _class(name: str) -> list[Column]:
+    """Two hashes that stand for a group's set of texts (each text once in the group)."""
+    return [F.bit_xor(k).alias(f"{name}{k[1]}") for k in ("k1", "k2")]
+
+
+# Columns that name a class of entities and a class of words.
+ENTITIES = ["e1", "e2"]
+WORDS = ["t1", "t2", "n_term"]
+
+
 def disclosing_terms(docs: DataFrame, text: str = "text") -> DataFrame:
     """``entity, term, disclosure`` of the words at or above ``GENERALISE``, and
     which texts they concern: one row per text, ``k1, k2, terms`` with ``terms``
@@ -120,44 +143,49 @@ def disclosing_terms(docs: DataFrame, text: str = "text") -> DataFrame:
                                                     F.count(F.lit(1)).alias("copies")), "entities")
     n_docs = docs.count()
     held = rows.select("k1", "k2", "copies", F.explode("entities").alias("entity"))
-    entity = materialize(held.groupBy("entity").agg(F.sum("copies").alias("n_entity"), F.count(F.lit(1)).alias("texts"))
-                             .where((F.col("texts") >= MIN_CONTEXTS) & (F.col("n_entity") < n_docs)).drop("texts"), "counts")
+    # Entities of the same texts tell the same: they make one class, named by its texts' hashes.
+    entity = materialize(held.groupBy("entity").agg(
+        F.sum("copies").alias("n_entity"), F.count(F.lit(1)).alias("texts"), *_class("e"))
+        .where((F.col("texts") >= MIN_CONTEXTS) & (F.col("n_entity") < n_docs)).drop("texts"), "counts")
     most = F.pow(F.lit(float(n_docs)), 1 - GENERALISE) * F.pow(F.col("n_entity").cast("double"), GENERALISE) * (1 + 1e-9)
     widest = entity.agg(F.max(most)).first()[0] or 0.0
     # Documents that hold a word, over the whole corpus; common and lone words go here.
     term = (docs.select(F.explode(_words(t)).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
                 .where(F.col("n_term").between(MIN_CONTEXTS, F.lit(widest))))
-    owned = materialize(held.join(entity, "entity").select("k1", "k2", "copies", "entity", "n_entity", most.alias("most")), "owned")
+    owned = materialize(held.join(entity, "entity").select("k1", "k2", "copies", *ENTITIES, "n_entity", most.alias("most"))
+                            .dropDuplicates(["k1", "k2", *ENTITIES]), "owned")
     ids = owned.groupBy("k1", "k2").agg(F.max("most").alias("text_most"))
-    worded = (rows.join(ids, ["k1", "k2"]).select("k1", "k2", "text_most", F.explode("words").alias("term"))
-                  .join(term, "term").where(F.col("n_term") <= F.col("text_most")).drop("text_most"))
-    pairs = materialize(owned.join(worded, ["k1", "k2"]).where(F.col("n_term") <= F.col("most")).drop("most"), "pairs")
-    joint = (pairs.groupBy("entity", "term").agg(F.sum("copies").alias("n_joint"), F.count(F.lit(1)).alias("contexts"),
-                                                  F.first("n_entity").alias("n_entity"), F.first("n_term").alias("n_term"))
+    worded = materialize(rows.join(ids, ["k1", "k2"]).select("k1", "k2", "text_most", F.explode("words").alias("term"))
+                             .join(term, "term").where(F.col("n_term") <= F.col("text_most")).drop("text_most"), "worded")
+    # So do words of the same texts and the same count.
+    alike = worded.groupBy("term").agg(*_class("t"))
+    worded = materialize(worded.join(alike, "term"), "words")
+    classes = worded.select("k1", "k2", *WORDS).distinct()
+    pairs = materialize(owned.join(classes, ["k1", "k2"]).where(F.col("n_term") <= F.col("most")).drop("most"), "pairs")
+    joint = (pairs.groupBy(*ENTITIES, *WORDS).agg(F.sum("copies").alias("n_joint"), F.count(F.lit(1)).alias("contexts"),
+                                                   F.first("n_entity").alias("n_entity"))
                   .where(F.col("contexts") >= MIN_CONTEXTS))
     pmi = F.log(n_docs * F.col("n_joint") / (F.col("n_entity") * F.col("n_term").cast("double")))
     disclosure = F.try_divide(pmi, F.log(n_docs / F.col("n_entity")))
-    flagged = materialize(joint.select("entity", "term", disclosure.alias("disclosure"))
+    flagged = materialize(joint.select(*ENTITIES, *WORDS, disclosure.alias("disclosure"))
                                .where(F.col("disclosure") >= GENERALISE), "disclosing")
     # From the pairs again: a text gets only words that it holds itself.
-    concerned = pairs.select("k1", "k2", "entity", "term").join(flagged, ["entity", "term"])
-    best = concerned.groupBy("k1", "k2", "term").agg(F.max("disclosure").alias("disclosure"))
+    concerned = pairs.select("k1", "k2", *ENTITIES, *WORDS).join(flagged, [*ENTITIES, *WORDS])
+    best = concerned.groupBy("k1", "k2", *WORDS).agg(F.max("disclosure").alias("disclosure"))
+    best = best.join(worded, ["k1", "k2", *WORDS])
     return best.groupBy("k1", "k2").agg(F.sort_array(F.collect_list(F.struct("term", "disclosure"))).alias("terms"))
 
 
 def _term_spans(text: Column, base: Column, terms: Column) -> Column:
     """Places of the words, outside the base spans; kind ``term`` or ``term-removed``."""
-    none = F.array().cast(_SPAN)
     names = F.transform(terms, lambda x: x["term"])
     pattern = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}'])(?:"), F.array_join(names, "|"), F.lit(r")(?![\p{L}\p{N}'])"))
     weight = F.map_from_arrays(names, F.transform(terms, lambda x: x["disclosure"]))
-    free = F.filter(match_spans(text, pattern),
-                    lambda m: ~F.exists(base, lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
-    typed = F.transform(free, lambda m: F.struct(
-        F.when(F.coalesce(F.try_element_at(weight, F.lower(m["hit"])), F.lit(0.0)) >= REMOVE, F.lit(TERM + "-removed"))
-         .otherwise(F.lit(TERM)).alias("kind"), m["start"].alias("start"), m["end"].alias("end"), m["hit"].alias("hit")))
+    typed = let(weight, lambda w: F.transform(match_spans(_masked(text, base), pattern), lambda m: F.struct(
+        F.when(F.coalesce(F.try_element_at(w, F.lower(m["hit"])), F.lit(0.0)) >= REMOVE, F.lit(TERM + "-removed"))
+         .otherwise(F.lit(TERM)).alias("kind"), m["start"].alias("start"), m["end"].alias("end"), m["hit"].alias("hit"))))
     return F.when(F.size(F.coalesce(terms, F.array().cast("array<struct<term:string,disclosure:double>>"))) > 0,
-                  typed).otherwise(none)
+                  typed).otherwise(F.array().cast(_SPAN))
 
 
 def find_personal_data(docs: DataFrame, text: str = "text") -> tuple[DataFrame, str]:
@@ -177,20 +205,11 @@ def find_personal_data(docs: DataFrame, text: str = "text") -> tuple[DataFrame,
 def redacted(text: Column, spans: Column) -> Column:
     """The text with its spans replaced by marks; of spans that overlap the
     later one's rest goes with the earlier one's mark."""
-    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(
-        s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(acc: Column, s: Column) -> Column:
-        mark = F.when(s["kind"] == TERM + "-removed", F.lit("")) \
-                .otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
-        piece = F.concat(acc["out"], F.substr(text, acc["at"] + 1, s["start"] - acc["at"]), mark)
-        fresh_one = s["start"] >= acc["at"]
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(fresh_one, piece).otherwise(acc["out"]).alias("out"))
-
-    done = F.aggregate(ordered, start, step)
-    whole = F.concat(done["out"], F.substr(text, done["at"] + 1, F.char_length(text)))
-    return F.when(F.size(spans) > 0, whole).otherwise(text)
+    def mark(s: Column) -> Column:
+        return F.when(s["kind"] == TERM + "-removed", F.lit("")).otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
+
+    return replaced(text, F.transform(spans, lambda s: F.struct(
+        s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))), mark)
 
 
 def sanitise(docs: DataFrame, text: str = "text") -> DataFrame:
