@@ -32,7 +32,8 @@ def stream_trend(scored: DataFrame, grain: str = "day", dim: str = "emotion",
     """
     zone = scored.sparkSession.conf.get("spark.sql.session.timeZone")
     local = F.from_utc_timestamp(F.col(ts).cast("timestamp"), zone)
-    src = scored.withColumn("_local", local).withWatermark("_local", watermark)
+    # No other columns: the rows are shuffled to drop the keys seen before.
+    src = scored.select("topic", dim, *([key] if key else []), local.alias("_local")).withWatermark("_local", watermark)
     if key:
         src = src.dropDuplicatesWithinWatermark([key])
     if grain == "day":

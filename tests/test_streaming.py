@@ -279,3 +279,50 @@ def test_the_winner_is_chosen_without_text(spark, tmp):
     for line in plan.splitlines():
         if "Aggregate" in line:
             assert "lyrics" not in line
+
+
+def stored_bytes(folder):
+    return sum(os.path.getsize(os.path.join(at, f)) for at, _, names in os.walk(folder) for f in names)
+
+
+def test_a_text_is_stored_once_per_batch_however_often_it_is_played(spark, tmp):
+    import random
+    words = random.Random(5)
+    lyrics = " ".join(f"w{words.randrange(10**9)}" for _ in range(5000)) + " love"
+    plays = [({"topic": "song_played", "name": "N", "artist": "A", "lyrics": lyrics, "genre": "en", "id": "1"},
+              f"2024-01-01T10:{i // 60:02d}:{i % 60:02d}") for i in range(120)]
+    src, sink, out = (os.path.join(tmp, x) for x in ("frames", "sink", "compact"))
+    for part in range(4):
+        write_frames(src, plays[part::4], f"{part}.json")
+    run_scoring(read_frames(spark, "files", path=src), sink, os.path.join(tmp, "ck"), available_now=True).awaitTermination()
+    docs = compact_keyed(spark, sink, out)
+    assert stored_bytes(sink) < 6 * len(lyrics) and stored_bytes(out) < 6 * len(lyrics)
+    for rows in (read_keyed(spark, sink), docs):      # the readers give the whole records
+        assert rows.count() == 120
+        assert {(r.lyrics, r.cleaned_lyrics, r.emotion) for r in rows.collect()} == {(lyrics, lyrics, "joy")}
+
+
+def test_rows_that_hold_their_own_texts_are_read(spark, tmp):
+    """Records written whole (no ``texts``) beside a run that stores texts by key."""
+    from moodlake.streaming.sinks import read_stored, write_keyed_batch
+    src, sink = os.path.join(tmp, "frames"), os.path.join(tmp, "sink")
+    write_frames(src, PLAYS[:1], "a.json")
+    whole = spark.read.schema("value STRING, timestamp TIMESTAMP").json(src).select(F.col("value").cast("binary").alias("value"), "timestamp")
+    write_keyed_batch(score_frames(whole), sink, "old", 0)
+    write_frames(src, PLAYS[1:], "b.json")
+    run_scoring(read_frames(spark, "files", path=src), sink, os.path.join(tmp, "ck"), available_now=True).awaitTermination()
+    want = {(r["lyrics"], r["lyrics"].lower()) for r, _ in PLAYS}
+    assert {(r.lyrics, r.cleaned_lyrics) for r in read_stored(spark, sink).collect()} == want
+    assert {(r.lyrics, r.cleaned_lyrics) for r in compact_keyed(spark, sink, os.path.join(tmp, "compact")).collect()} == want
+
+
+def test_the_captured_log_holds_every_frame(spark, tmp):
+    from moodlake.plans.streams import captured_log
+    from moodlake.sources.frames import frames_from_tables
+    from tests.conftest import SF_SMALL
+    captured_log(spark, SF_SMALL, os.path.join(tmp, "log"))
+    log = spark.read.schema("value STRING, timestamp TIMESTAMP").json(os.path.join(tmp, "log"))
+    want = frames_from_tables(spark, SF_SMALL).select(F.col("value").cast("string").alias("value"),
+                                                             F.date_trunc("millisecond", "timestamp").alias("timestamp"))
+    assert sorted(map(tuple, log.collect())) == sorted(map(tuple, want.collect()))
+    assert stored_bytes(os.path.join(tmp, "log")) * 5 < sum(len(r.value) for r in want.collect())
