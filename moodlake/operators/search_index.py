@@ -24,6 +24,7 @@ from moodlake.operators.search import DEFAULT_CAPS, relevance
 GRAM = 3
 RAREST = 3          # posting lists intersected per term; more would only be read to verify what the name verifies
 BUCKETS = 16        # raise with the catalogues: a search reads whole buckets
+TASK_NAMES = 100_000    # names whose grams one task sorts and writes
 CARD = ["kind", "id", "name", "image", "artist"]
 
 
@@ -53,15 +54,21 @@ def build_index(catalogs: dict[str, DataFrame], path: str, buckets: int = BUCKET
           .hint("rebalance", F.col("kind"), F.col("bucket"))
           .write.mode("overwrite").partitionBy("kind", "bucket").parquet(os.path.join(path, "cards")))
     stored = read_cards(spark, path)
-    postings = stored.select("kind", "id", "name", F.explode(_grams(F.col("name"))).alias("gram")).distinct()
-    postings = postings.withColumn("bucket", _bucket(F.col("gram"), buckets))
-    (postings.hint("rebalance", F.col("bucket")).sortWithinPartitions("bucket", "gram")
-             .write.mode("overwrite").partitionBy("bucket").parquet(os.path.join(path, "postings")))
+    (postings(stored, stored.count() // TASK_NAMES + 1, buckets)
+             .write.mode("overwrite").partitionBy("bucket").parquet(os.path.join(path, "postings"), compression="zstd"))
     (read_postings(spark, path).groupBy("bucket", "kind", "gram").agg(F.count(F.lit(1)).alias("n"))
         .hint("rebalance", F.col("bucket")).write.mode("overwrite").partitionBy("bucket").parquet(os.path.join(path, "lengths")))
     return path
 
 
+def postings(cards: DataFrame, tasks: int, buckets: int = BUCKETS) -> DataFrame:
+    """``kind, id, name, gram, bucket``, a row per gram of every name. The names are dealt, not
+    their grams: each task sorts those of its names and writes them by bucket."""
+    names = cards.select("kind", "id", "name").repartition(tasks, "kind", "id", "name").dropDuplicates()
+    rows = names.select("kind", "id", "name", F.explode(_grams(F.col("name"))).alias("gram"))
+    return rows.withColumn("bucket", _bucket(F.col("gram"), buckets)).sortWithinPartitions("bucket", "gram", "kind", "name")
+
+
 def read_cards(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("id string, name string, image string, artist string, kind string, bucket int").parquet(
         os.path.join(path, "cards"))

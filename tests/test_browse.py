@@ -97,3 +97,13 @@ def test_both_sides_of_every_branch_occur(spark):
         on = {k: k != off for k in ("negation", "contrast", "intensity")}
         other = {r.doc_id: r.compound for r in score_texts(sung(spark, SF_SMALL), ["doc_id"], "lyrics", **on).collect()}
         assert any(rules[d] != other[d] for d in rules), off
+
+
+def test_postings_shuffle_names_and_not_their_grams(spark):
+    from moodlake.operators.search_index import postings
+    cards = spark.createDataFrame([("song", "1", "Blue"), ("song", "1", "Blue"), ("album", "1", "b")], "kind string, id string, name string")
+    rows = postings(cards, 3, 4)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate") < plan.index("Exchange")      # every shuffle lies below the explode
+    got = [(r.kind, r.gram) for r in rows.collect()]
+    assert len(got) == len(set(got)) == 10                      # a card that is there twice is posted once
