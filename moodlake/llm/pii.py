@@ -215,7 +215,10 @@ def redacted(text: Column, spans: Column) -> Column:
 def sanitise(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with personal data and disclosing words taken out of ``text``."""
     found, s = find_personal_data(docs, text)
-    return found.withColumn(text, redacted(F.col(text), F.concat(f"{s}.base", f"{s}.terms"))).drop(s)
+    # Generated, not projected: a Python function that reads the text would take the whole expression
+    # in as its argument, with lambdas that Spark does not hand to Python.
+    clean = F.explode(F.array(redacted(F.col(text), F.concat(f"{s}.base", f"{s}.terms"))))
+    return found.select(*[clean.alias(c) if c == text else F.col(c) for c in docs.columns])
 
 
 def digest(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
