@@ -326,3 +326,37 @@ def test_the_captured_log_holds_every_frame(spark, tmp):
                                                              F.date_trunc("millisecond", "timestamp").alias("timestamp"))
     assert sorted(map(tuple, log.collect())) == sorted(map(tuple, want.collect()))
     assert stored_bytes(os.path.join(tmp, "log")) * 5 < sum(len(r.value) for r in want.collect())
+
+
+def test_a_batch_leaves_no_shuffle_files(spark, tmp):
+    import time
+    env = spark._jvm.org.apache.spark.SparkEnv.get()
+
+    def shuffle_files():
+        found = env.blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n")
+        return {os.path.basename(f) for f in found if "shuffle_" in f}
+
+    src, sink = os.path.join(tmp, "frames"), os.path.join(tmp, "sink")
+    write_frames(src, PLAYS, "a.json")
+    before = shuffle_files()
+    run_scoring(read_frames(spark, "files", path=src), sink, os.path.join(tmp, "ck"), available_now=True).awaitTermination()
+    until = time.time() + 20
+    while (left := shuffle_files() - before) and time.time() < until:     # they go in the background
+        time.sleep(0.2)
+    assert not left
+    assert read_keyed(spark, sink).count() == 3
+
+
+def test_winners_are_stored_for_repeated_keys_alone(spark, tmp):
+    from moodlake.streaming.sinks import read_rows, resolve
+    src, sink = os.path.join(tmp, "frames"), os.path.join(tmp, "sink")
+    write_frames(src, PLAYS, "a.json")
+    run_scoring(read_frames(spark, "files", path=src), sink, os.path.join(tmp, "ck"), available_now=True).awaitTermination()
+    assert resolve(read_rows(spark, sink), os.path.join(tmp, "w1")).count() == 3
+    assert spark.read.parquet(os.path.join(tmp, "w1")).count() == 0
+    other = dict(PLAYS[2][0], lyrics="hate hate")        # its id is null, and so is its key
+    write_frames(src, [(other, PLAYS[2][1])], "b.json")
+    run_scoring(read_frames(spark, "files", path=src), sink, os.path.join(tmp, "ck"), available_now=True).awaitTermination()
+    docs = resolve(read_rows(spark, sink), os.path.join(tmp, "w2"))
+    assert spark.read.parquet(os.path.join(tmp, "w2")).count() == 1
+    assert docs.count() == 3 and [r.emotion for r in docs.filter("topic = 'song_italy_top'").collect()] == ["anger"]
