@@ -360,3 +360,84 @@ def test_winners_are_stored_for_repeated_keys_alone(spark, tmp):
     docs = resolve(read_rows(spark, sink), os.path.join(tmp, "w2"))
     assert spark.read.parquet(os.path.join(tmp, "w2")).count() == 1
     assert docs.count() == 3 and [r.emotion for r in docs.filter("topic = 'song_italy_top'").collect()] == ["anger"]
+
+
+def event_tables(spark, folder, texts):
+    """``events`` and ``documents`` of two plays per text."""
+    import pandas as pd
+    docs = [(i, t, "en", "s") for i, t in enumerate(texts)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").write.parquet(f"{folder}/documents.parquet")
+    n = 2 * len(texts)
+    pd.DataFrame({"event_id": range(n), "ts": pd.to_datetime([f"2024-01-0{1 + i % 3} 10:00:0{i % 10}" for i in range(n)]).astype("datetime64[us]"),
+                  "user_id": 1, "event_type": [["view", "signup", "buy", "error"][i % 4] for i in range(n)], "value": 1.0,
+                  "props": "{}"}).to_parquet(f"{folder}/events.parquet", index=False)     # one file: the stream takes no folder
+
+
+def test_the_join_of_events_leaves_no_shuffle_files_while_a_batch_lasts(spark, tmp, monkeypatch):
+    import time
+    from moodlake.plans import streams
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffle_files():
+        return {os.path.basename(f) for f in found.getAllFiles().mkString("\n").split("\n") if "shuffle_" in f}
+
+    event_tables(spark, tmp, ["love", "hate", "love love", "sad", "joy"])
+    before, left, run = shuffle_files(), [], streams.run_scoring
+
+    def stored(batch_id):                       # not committed yet, the batch lasts
+        until = time.time() + 20
+        while (now := shuffle_files() - before) and time.time() < until:
+            time.sleep(0.2)
+        left.append(now)
+
+    monkeypatch.setattr(streams, "run_scoring", lambda *a, **k: run(*a, **k, after_write=stored))
+    names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    old = {k: spark.conf.get(k, None) for k in names}
+    for k in names:
+        spark.conf.set(k, "-1")
+    try:
+        sink = streams.score_stream_to_sink(spark, tmp)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    assert left == [set()] and read_keyed(spark, sink).count() == 10
+
+
+def test_raw_texts_go_when_they_are_stored(spark, tmp, monkeypatch):
+    import glob
+    import random
+    from moodlake.session import checkpoint_dir
+    from moodlake.streaming import scoring
+    words = random.Random(6)
+    lyrics = " ".join(f"w{words.randrange(10**9)}" for _ in range(5000))
+    plays = [({**PLAYS[0][0], "id": str(i), "lyrics": lyrics}, f"2024-01-01T10:00:0{i}") for i in range(5)]
+    src, sink, seen, write = os.path.join(tmp, "frames"), os.path.join(tmp, "sink"), [], scoring.write_keyed_batch
+    write_frames(src, plays, "a.json")
+    work = checkpoint_dir(spark).removeprefix("file:") + "/streams/work-*"
+    before = set(glob.glob(work))
+
+    def watched(*a, **k):
+        seen.append(sum(stored_bytes(f) for f in set(glob.glob(work)) - before))
+        return write(*a, **k)
+
+    monkeypatch.setattr(scoring, "write_keyed_batch", watched)
+    run_scoring(read_frames(spark, "files", path=src), sink, os.path.join(tmp, "ck"), available_now=True).awaitTermination()
+    assert len(seen) == 1 and 0 < seen[0] < len(lyrics) / 2
+    assert stored_bytes(sink) < 3 * len(lyrics)          # five songs of one text
+    assert {(r.lyrics, r.cleaned_lyrics) for r in read_keyed(spark, sink).collect()} == {(lyrics, lyrics)}
+
+
+def test_null_texts_and_texts_of_two_songs_equal_the_batch(spark, tmp):
+    play = PLAYS[0][0]
+    plays = PLAYS + [({**play, "id": "5"}, "2024-01-03T10:00:00"), ({**play, "id": "6", "lyrics": None}, "2024-01-03T10:00:01"),
+                     ({**play, "id": "7", "lyrics": ""}, "2024-01-03T10:00:02"), ({**play, "id": None, "lyrics": None}, "2024-01-03T10:00:03")]
+    src, sink = os.path.join(tmp, "frames"), os.path.join(tmp, "sink")
+    write_frames(src, plays, "a.json")
+    run_scoring(read_frames(spark, "files", path=src), sink, os.path.join(tmp, "ck"), available_now=True).awaitTermination()
+    frames = spark.read.schema("value STRING, timestamp TIMESTAMP").json(src).select(F.col("value").cast("binary").alias("value"), "timestamp")
+    columns = ["combined_id", "lyrics", "cleaned_lyrics", "sentiment", "emotion", "sentiment_category", "compound"]
+
+    def rows(df):
+        return sorted((tuple(r) for r in df.select(*columns).collect()), key=str)
+
+    assert rows(read_keyed(spark, sink)) == rows(score_frames(frames)) and len(rows(score_frames(frames))) == 7
