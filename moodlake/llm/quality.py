@@ -171,6 +171,19 @@ def _moments(df: DataFrame, keys: list[str], x: Column) -> DataFrame:
         F.array(*[F.sum(v[i] * v[j]) for i in range(D) for j in range(i, D)]).alias("s2"))
 
 
+def _moments_inside(measured: DataFrame, keys: list[str], share: float, margin: int = 0) -> DataFrame:
+    """Moments of the rows up to ``margin`` steps beyond the one (as in ``_share_step``) that ``share`` of a
+    group's rows do not exceed. Rows are read once: each distance step has its own moments, and the steps
+    inside are added up."""
+    per = _moments(measured, [*keys, "step"], F.col("x"))
+    every = Window.partitionBy(*keys)
+    per = (per.withColumn("upto", F.sum("n").over(every.orderBy("step"))).withColumn("total", F.sum("n").over(every))
+              .withColumn("edge", F.min(F.when(F.col("upto") >= F.ceil(F.col("total") * share), F.col("step"))).over(every)))
+    return per.where(F.col("step") <= F.col("edge") + margin).groupBy(*keys).agg(
+        F.sum("n").alias("n"), F.array(*[F.sum(F.col("s1")[i]) for i in range(D)]).alias("s1"),
+        F.array(*[F.sum(F.col("s2")[k]) for k in range(D * (D + 1) // 2)]).alias("s2"))
+
+
 def _solve(n, s1, s2):
     """Mean, inverse scatter (upper triangle) and log-determinant of exact sums, with the floor added."""
 
@@ -248,16 +261,12 @@ def scatter(rows: DataFrame, keys: list[str], h: float = H, steps: int = STEPS)
 
     for _ in range(steps):
         d = measured(params, keyed).withColumn("step", steps_of)
-        edge = _share_step(d, keyed, "step", h)
-        inside = _joined(d, edge, keyed).where(F.col("step") <= F.col("edge"))
-        params = materialize(_estimates(_moments(inside, keyed, F.col("x")), keyed), "concentration")
+        params = materialize(_estimates(_moments_inside(d, keyed, h), keyed), "concentration")
     best = params.groupBy(*keys).agg(F.min_by(F.struct("mean", "inv"), F.struct("logdet", "start")).alias("best"))
     best = best.select(*keys, "best.mean", "best.inv")
     # Reweighting: all vectors within three times the median distance.
     d = measured(best, keys).withColumn("step", steps_of)
-    near = _share_step(d, keys, "step", 0.5)
-    inside = _joined(d, near, keys).where(F.col("step") <= F.col("edge") + 2 * STEP)
-    final = materialize(_estimates(_moments(inside, keys, F.col("x")), keys), "reweighted")
+    final = materialize(_estimates(_moments_inside(d, keys, 0.5, 2 * STEP), keys), "reweighted")
     d = measured(final, keys).withColumn("step", steps_of)
     scale = _share_step(d, keys, "step", 0.5)
     ratio = LAW_MEDIAN / F.greatest(F.pow(F.lit(2.0), (F.col("edge") + 1) / STEP) - 1, F.lit(LEAST_MEDIAN))

@@ -85,3 +85,28 @@ def test_small_groups_use_their_language(spark):
     got = {(r.lang, r.source): r.mean[0] for r in est.collect()}
     assert len({got["en", f"s{i}"] for i in range(3)}) == 1 and 1000 < got["en", "s0"] < 1100
     assert got["de", "s0"] < 1500    # five documents: the estimate of all
+
+
+def test_a_concentration_step_reads_its_rows_once(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    from moodlake.llm import quality
+    rng = np.random.default_rng(8)
+    x = [(str(i % 2), [int(v) for v in rng.integers(0, 900, quality.D)]) for i in range(120)]
+    rows = spark.createDataFrame(x, "k string, x array<int>")
+    plans, write = [], quality.materialize
+
+    def seen(df, name):
+        if name in ("concentration", "reweighted"):
+            plans.append(df._jdf.queryExecution().executedPlan().toString().count("Join "))
+        return write(df, name)
+
+    monkeypatch.setattr(quality, "materialize", seen)
+    quality.scatter(rows, ["k"]).collect()
+    assert plans == [1] * (quality.STEPS + 1)
+    # The same sums as rows kept by the edge of their group.
+    d = rows.withColumn("step", (F.col("x")[0] / 100).cast("int"))
+    for share, margin in ((0.75, 0), (0.5, 2)):
+        edge = quality._share_step(d, ["k"], "step", share)
+        inside = quality._joined(d, edge, ["k"]).where(F.col("step") <= F.col("edge") + margin)
+        want = quality._moments(inside, ["k"], F.col("x")).orderBy("k").collect()
+        assert quality._moments_inside(d, ["k"], share, margin).orderBy("k").collect() == want
