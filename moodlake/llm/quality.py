@@ -139,7 +139,8 @@ def with_stats(df: DataFrame, text: str, out: str) -> DataFrame:
         for s in batches:
             yield pd.DataFrame([text_stats(t) for t in s.astype(object).where(s.notna(), None)], columns=names)
 
-    return df.withColumn(out, stats(F.col(text)))
+    # Not to be copied into the filters above it: each copy would read every text in a Python worker of its own.
+    return df.withColumn(out, stats.asNondeterministic()(F.col(text)))
 
 
 def base_failed(s: Column) -> Column:

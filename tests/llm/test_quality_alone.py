@@ -40,3 +40,12 @@ def test_largest_values_alone_pass_the_cut():
     for name, value in biggest.items():
         floor = Q.FLOOR[Q.DIMS.index(name)]
         assert (value / floor) ** 2 * Q.LAW_MEDIAN > Q.CUT
+
+
+def test_texts_are_read_once(spark, odd_docs):
+    """The filter on the counts does not evaluate them a second time, in Python workers of its own."""
+    from pyspark.sql import functions as F
+    kept = Q.quality_filter(odd_docs)
+    vectors = Q.with_stats(odd_docs, "text", "st").where(~Q.base_failed(F.col("st"))).select("lang", "st.x")
+    for df in (kept, vectors):
+        assert df._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
