@@ -37,7 +37,6 @@ another id; an empty table gives no rows; extra columns are not read.
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -56,6 +55,8 @@ TILE = 2000
 BEST = 8
 # The second round's tiles compare bitmaps folded to one part in COARSE, distinct pairs that pass the whole ones.
 COARSE = 4
+# Pairs of bitmaps under way in a task, and bytes of one side's bitmaps compared at once.
+PAIRS, COMPARED_BYTES = 1 << 17, 1 << 21
 
 
 def shingle_set(text: str | None, size: int = SIZE) -> np.ndarray:
@@ -217,55 +218,78 @@ def tiled(rows: DataFrame, bits: DataFrame, tile: int) -> DataFrame:
                          "cls", "n", "comp").join(bits, "cls")
 
 
-class Partners:
-    """Bitmaps of one width that a tile's later classes are compared with, in order of set size."""
-
-    def __init__(self, width: int):
-        self.m, self.rows, self.n = np.empty((8, width), np.uint8), np.empty((3, 8), np.int64), 0
-
-    def add(self, bits: np.ndarray, n: int, cls: int, comp: int) -> None:
-        if self.n == len(self.m):
-            self.m, self.rows = np.concatenate((self.m, self.m)), np.concatenate((self.rows, self.rows), axis=1)
-        self.m[self.n], self.rows[:, self.n] = bits, (n, cls, comp)
-        self.n += 1
-
-    def passing(self, bits: np.ndarray, n: int, comp: int, percent: int):
-        """Slack over the overlap needed, and class, of each partner whose bound allows it."""
-        ns, ids, comps = self.rows[:, :self.n]
-        lo = np.searchsorted(ns, -(-percent * n // 100))
-        at = np.flatnonzero(comps[lo:] != comp) + lo
-        width = min(self.m.shape[1], len(bits))
-        for k in range(0, len(at), 4096):
-            part = at[k:k + 4096]
-            differ = np.bitwise_count(folded(self.m[part], width) ^ folded(bits, width)).sum(axis=1, dtype=np.int64)
-            slack = (ns[part] + n - differ) // 2 - needed(ns[part], n, percent)
-            yield from zip(slack[slack >= 0].tolist(), ids[part[slack >= 0]].tolist())
+def differing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Differing bits of each row of ``x`` and ``y`` (bitmaps as bytes), the wider ones folded."""
+    width = min(x.shape[1], y.shape[1])
+    x, y = folded(x, width), folded(y, width)
+    if width % 8 == 0:
+        x, y = x.view(np.uint64), y.view(np.uint64)
+    return np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+
+
+def tile_pairs(rows: pd.DataFrame, best: int | None, percent: int = PERCENT) -> pd.DataFrame:
+    """``a, b, more`` (see ``candidate_pairs``) of whole tiles, sorted by ``tile, n, cls``: a row
+    that asks meets the rows before it that offer. All askers' pairs are compared at once, ``PAIRS`` at a time."""
+    n, cls, comp = (rows[c].to_numpy(np.int64) for c in ("n", "cls", "comp"))
+    raws = rows["bits"].to_numpy()
+    widths = np.fromiter(map(len, raws), np.int64, len(raws))
+    maps, place = {}, np.empty(len(raws), np.int64)
+    for w in np.unique(widths).tolist():
+        at = np.flatnonzero(widths == w)
+        maps[w], place[at] = np.frombuffer(b"".join(raws[at]), np.uint8).reshape(-1, w), np.arange(len(at))
+    # Offering rows of an asker: of its tile, from the smallest set it can be linked with up to itself.
+    tile = np.unique(rows["tile"].to_numpy(), return_inverse=True)[1].astype(np.int64) << 40
+    askers, offers = np.flatnonzero(rows["asks"].to_numpy(bool)), np.flatnonzero(rows["offers"].to_numpy(bool))
+    first = np.searchsorted((tile + n)[offers], tile[askers] - (-percent * n[askers] // 100))
+    count = np.maximum(np.searchsorted(offers, askers) - first, 0)
+    upto, out = np.cumsum(count), [np.empty((3, 0), np.int64)]
+    k = 0
+    while k < len(askers):
+        end = max(k + 1, int(np.searchsorted(upto, upto[k] - count[k] + PAIRS, side="right")))
+        many = count[k:end]
+        i = np.repeat(askers[k:end], many)
+        j = offers[np.arange(len(i)) + np.repeat(first[k:end] - (np.cumsum(many) - many), many)]
+        k = end
+        near = (comp[i] != comp[j]) & (widths[i] <= 2 * widths[j]) & (widths[j] <= 2 * widths[i])
+        i, j = i[near], j[near]
+        differ = np.zeros(len(i), np.int64)
+        for w in np.unique(widths[i]).tolist():
+            for v in (w // 2, w, 2 * w):
+                of = np.flatnonzero((widths[i] == w) & (widths[j] == v))
+                step = max(1, COMPARED_BYTES // max(v, 1))
+                for p in range(0, len(of), step):
+                    part = of[p:p + step]
+                    differ[part] = differing(maps[w][place[i[part]]], maps[v][place[j[part]]])
+        slack = (n[i] + n[j] - differ) // 2 - needed(n[i], n[j], percent)
+        i, j, slack = i[slack >= 0], j[slack >= 0], slack[slack >= 0]
+        more = np.zeros(len(i), np.int64)
+        if best is not None:
+            order = np.lexsort((cls[j], -slack, i))
+            i, j = i[order], j[order]
+            start = np.searchsorted(i, i)
+            more = (np.searchsorted(i, i, side="right") - start > best).astype(np.int64)
+            taken = np.arange(len(i)) - start < best
+            i, j, more = i[taken], j[taken], more[taken]
+        out.append(np.stack((cls[i], cls[j], more)))
+    a, b, more = np.concatenate(out, axis=1)
+    return pd.DataFrame({"a": a, "b": b, "more": more.astype(bool)})
 
 
 def candidate_pairs(tiles: DataFrame, best: int | None, percent: int = PERCENT) -> DataFrame:
     """``a, b, more``: pairs of a tile whose bitmaps allow the overlap needed and
     whose components differ: each asker's ``best`` ones (``more`` where it had others), or all."""
     def compare(batches: Iterator) -> Iterator:
-        here, partners = None, {}
+        held = None      # the rows of the last tile so far
         for pdf in batches:
-            pairs = []
-            for tile, asks, offers, cls, n, comp, raw in zip(*(pdf[c] for c in ("tile", "asks", "offers", "cls", "n", "comp", "bits"))):
-                if tile != here:
-                    here, partners = tile, {}
-                bits = np.frombuffer(raw, np.uint8)
-                if asks:
-                    got = [g for w, p in partners.items() if len(bits) <= 2 * w <= 4 * len(bits)
-                           for g in p.passing(bits, n, comp, percent)]
-                    more = best is not None and len(got) > best
-                    if more:
-                        got = heapq.nsmallest(best, got, key=lambda g: (-g[0], g[1]))
-                    pairs += [(cls, other, more) for _, other in got]
-                if offers:
-                    if len(bits) not in partners:
-                        partners[len(bits)] = Partners(len(bits))
-                    partners[len(bits)].add(bits, n, cls, comp)
-            out = pd.DataFrame(pairs, columns=["a", "b", "more"])
-            yield out.astype({"a": "int64", "b": "int64", "more": "bool"})
+            if not len(pdf):
+                continue
+            rows = pdf if held is None else pd.concat((held, pdf), ignore_index=True)
+            cut = int(np.searchsorted(rows["tile"].to_numpy(), rows["tile"].iloc[-1]))
+            if cut:
+                yield tile_pairs(rows[:cut], best, percent)
+            held = rows[cut:]
+        if held is not None:
+            yield tile_pairs(held, best, percent)
 
     dealt = tiles.repartition("tile").sortWithinPartitions("tile", "n", "cls")
     return dealt.mapInPandas(compare, "a long, b long, more boolean").groupBy("a", "b").agg(F.max("more").alias("more"))

@@ -1,6 +1,8 @@
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+import pandas as pd
 import pytest
 
 from moodlake.llm import jaccard_join as J
@@ -137,3 +139,38 @@ def test_clashing_column_names(spark):
     df = spark.createDataFrame([(1, prose(1, 40), "x", "y"), (2, prose(1, 40), "x", "y"), (2, prose(1, 40), "x", "y")],
                                "doc_id long, text string, g_id string, g_key string")
     assert [tuple(r)[0] for r in J.deduplicate(df).collect()] == [1]
+
+
+@pytest.mark.parametrize("best", [None, 1, 3])
+def test_pairs_of_many_tiles_are_compared_at_once(monkeypatch, best):
+    """The pairs of each asker, as one by one; bitmaps of a batch's tiles meet in a few steps, not one for each asker."""
+    r = np.random.default_rng(4)
+    base = {n: np.unique(r.integers(0, 1 << 63, n).astype(np.uint64)) for n in (9, 17, 40, 47, 130, 150)}
+    rows = []
+    for cls in range(900):
+        n = r.choice(list(base))
+        s = base[n].copy()
+        s[: r.integers(0, n // 3)] += np.uint64(cls)
+        asks = bool(r.integers(0, 3))
+        rows.append((int(r.integers(-60, 60)) ** 3, asks, not asks or bool(r.integers(0, 2)), cls, len(np.unique(s)), cls % 7, J.coarse(J.bitmap(s)).tobytes()))
+    table = pd.DataFrame(rows, columns=["tile", "asks", "offers", "cls", "n", "comp", "bits"]).sort_values(["tile", "n", "cls"], ignore_index=True)
+    want = set()
+    for x in table.itertuples():
+        got = []
+        for y in table[(table["tile"] == x.tile) & (table.index < x.Index)].itertuples():
+            a, b = np.frombuffer(x.bits, np.uint8), np.frombuffer(y.bits, np.uint8)
+            if x.asks and y.offers and x.comp != y.comp and 100 * y.n >= 75 * x.n and len(a) <= 2 * len(b):
+                width = min(len(a), len(b))
+                differ = int(np.bitwise_count(J.folded(a, width) ^ J.folded(b, width)).sum())
+                slack = (x.n + y.n - differ) // 2 - J.needed(x.n, y.n)
+                got += [(-slack, y.cls)] if slack >= 0 else []
+        more = best is not None and len(got) > best
+        want |= {(x.cls, other, more) for _, other in sorted(got)[:best]}
+    steps, differing = [], J.differing
+    monkeypatch.setattr(J, "differing", lambda x, y: steps.append(len(x)) or differing(x, y))
+    assert set(J.tile_pairs(table, best).itertuples(index=False, name=None)) == want and len(want) > 100
+    assert len(steps) < 20
+    monkeypatch.setattr(J, "PAIRS", 5)
+    monkeypatch.setattr(J, "COMPARED_BYTES", 40)
+    assert set(J.tile_pairs(table, best).itertuples(index=False, name=None)) == want
+    assert len(J.tile_pairs(table[:0], best)) == 0
